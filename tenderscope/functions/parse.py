@@ -32,4 +32,4 @@ def parse_loose(col) -> Column:
 
 def parse_month(col) -> Column:
     """``MM/yyyy`` → first day of that month; anything else → null."""
-    return F.try_to_date(_c(col), F.lit("MM/yyyy"))
+    return F.try_to_date(_c(col), "MM/yyyy")

@@ -64,9 +64,14 @@ def month_spine(monthly: DataFrame, end: str = "edate7", date_col: str = "mes")
 def month_windows(spark, y0: int, y1: int) -> DataFrame:
     """One row per month of years y0..y1 with first/last day (``dd/MM/yyyy``)
     and label (``MM/yyyy``) — the request windows of the paged pull."""
-    base = spark.range(1).select(
-        F.explode(F.sequence(F.make_date(F.lit(y0), F.lit(1), F.lit(1)),
-                             F.make_date(F.lit(y1), F.lit(12), F.lit(1)),
+    return month_windows_from(spark.range(1).select(F.lit(y0).alias("y0"), F.lit(y1).alias("y1")))
+
+
+def month_windows_from(years: DataFrame) -> DataFrame:
+    """S1 over a frame of ``(y0, y1)`` year ranges (one row per pull)."""
+    base = years.select(
+        F.explode(F.sequence(F.make_date("y0", F.lit(1), F.lit(1)),
+                             F.make_date("y1", F.lit(12), F.lit(1)),
                              F.expr("interval 1 month"))).alias("d")
     )
     return base.select(

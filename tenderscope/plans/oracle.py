@@ -75,3 +75,45 @@ def div(a: str, b: str) -> str:
 
 def dcount_blank(c: str) -> str:
     return f"(COUNT(DISTINCT {c}) + COALESCE(MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0))"
+
+
+RAW_ITEMS_CTE = """
+raw_items AS (
+  SELECT CAST(l.l_orderkey AS VARCHAR) AS id,
+         CAST(l.l_partkey AS VARCHAR) AS codigoItemCompra,
+         CAST(l.l_linenumber AS VARCHAR) AS numero,
+         p.p_name AS descricao,
+         CAST(CAST(l.l_quantity AS BIGINT) AS VARCHAR) AS quantidade,
+         translate(format('{:,.2f}', l.l_extendedprice), ',.', '.,') AS valor,
+         CAST(l.l_suppkey AS VARCHAR) AS cpfCnpjVencedor
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+)"""
+
+HEADERS_CTE = """
+headers AS (
+  SELECT strftime(o_orderdate, '%m/%Y') AS "mes/ano", o_orderkey AS id,
+         CAST(o_orderdate AS DATE) AS dataAbertura, o_orderstatus AS situacaoCompra,
+         o_orderpriority AS modalidadeLicitacao, o_totalprice AS valor
+  FROM orders
+)"""
+
+MAPA_CTE = """
+mapa AS (
+  SELECT p_name AS descricao_original, p_type AS categoria_ia,
+         ((200 * n + ntot) // (2 * ntot)) / 100.0 AS confianca
+  FROM (SELECT p_name, p_type, n, SUM(n) OVER (PARTITION BY p_name) AS ntot,
+               ROW_NUMBER() OVER (PARTITION BY p_name ORDER BY n DESC, p_type) AS rn
+        FROM (SELECT p_name, p_type, COUNT(*) AS n FROM part GROUP BY ALL) c) r
+  WHERE rn = 1
+)"""
+
+EXPENSES_CTE = """
+expenses AS (
+  SELECT 2024 AS ano, CAST(n.n_nationkey AS VARCHAR) AS codigoOrgao, n.n_name AS nomeOrgao,
+         CAST(c.c_acctbal AS VARCHAR) AS valor
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+)"""
+
+
+def with_ctes(body: str, *ctes: str) -> str:
+    return "WITH " + ",\n".join(c.strip("\n") for c in ctes if c) + "\n" + body

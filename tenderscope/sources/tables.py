@@ -61,14 +61,16 @@ def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze item rows as the API lands them: everything text, the month as
-    ``MM/yyyy`` and the value as Brazilian money text ``1.234,56``."""
+    """Bronze item rows as the API lands them, before the header month is
+    attached: everything is text, the value is Brazilian money ``1.234,56``."""
     li = read_table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.date_format("l_shipdate", "MM/yyyy").alias("mes/ano"),
+    part = read_table(spark, sf_dir, "part")
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    return j.select(
         F.col("l_orderkey").cast("string").alias("id"),
         F.col("l_partkey").cast("string").alias("codigoItemCompra"),
         F.col("l_linenumber").cast("string").alias("numero"),
+        F.col("p_name").alias("descricao"),
         F.col("l_quantity").cast("bigint").cast("string").alias("quantidade"),
         F.translate(F.format_number("l_extendedprice", 2), ",.", ".,").alias("valor"),
         F.col("l_suppkey").cast("string").alias("cpfCnpjVencedor"),
@@ -81,6 +83,7 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.date_format("o_orderdate", "MM/yyyy").alias("mes/ano"),
         F.col("o_orderkey").alias("id"),
+        F.create_map(F.lit("situacao"), F.col("o_orderstatus"), F.lit("prioridade"), F.col("o_orderpriority")).alias("licitacao"),
         F.to_date("o_orderdate").alias("dataAbertura"),
         F.col("o_orderstatus").alias("situacaoCompra"),
         F.col("o_orderpriority").alias("modalidadeLicitacao"),
@@ -99,3 +102,9 @@ def expenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_name").alias("nomeOrgao"),
         F.col("c_acctbal").cast("string").alias("valor"),
     )
+
+
+def description_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mapa_descricao`` on the test tables (see ``operators.joins``)."""
+    from ..operators.joins import description_map as build
+    return build(read_table(spark, sf_dir, "part"))
