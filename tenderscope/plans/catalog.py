@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_ingest, q_measures, q_prep  # noqa: F401
+from . import q_dashboard, q_ingest, q_measures, q_prep  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 
