@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from ..operators.util import rnd
 
 # Fixed values (must equal the model's pt-BR culture output).
 MONTH_NAMES_PT = [
@@ -37,7 +38,7 @@ def weekday_pt(date) -> Column:
 def brl_number(x) -> Column:
     """``1234567.891`` → ``1.234.567,89`` (round half-up first: format_number
     alone rounds half-even)."""
-    s = F.format_number(F.round(_c(x).cast("double"), 2), 2)
+    s = F.format_number(rnd(_c(x).cast("double"), 2), 2)
     return F.translate(s, ",.", ".,")
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from .util import rnd
 
 
 
@@ -38,12 +39,12 @@ def reconcile(before: DataFrame, after: DataFrame) -> DataFrame:
     b = before.agg(
         F.count(F.lit(1)).alias("linhas_antes"),
         F.count_distinct("id").alias("ids_antes"),
-        F.round(F.sum("valor").cast("double"), 4).alias("valor_antes"),
+        rnd(F.sum("valor").cast("double"), 4).alias("valor_antes"),
     )
     a = after.agg(
         F.count(F.lit(1)).alias("linhas_depois"),
         F.count_distinct("id").alias("ids_depois"),
-        F.round(F.sum("valor").cast("double"), 4).alias("valor_depois"),
+        rnd(F.sum("valor").cast("double"), 4).alias("valor_depois"),
     )
     return b.join(F.broadcast(a), how="cross")
 

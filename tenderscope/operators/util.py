@@ -12,11 +12,11 @@ def as_col(c) -> Column:
 
 def money(c) -> Column:
     """Exact decimal money → double rounded to 4 places (output hygiene)."""
-    return F.round(as_col(c).cast("double"), 4)
+    return rnd(as_col(c).cast("double"), 4)
 
 
 def ratio(c) -> Column:
-    return F.round(as_col(c).cast("double"), 6)
+    return rnd(as_col(c).cast("double"), 6)
 
 
 def month_seq(date_col) -> Column:
@@ -59,3 +59,12 @@ def join_on_keys(left: DataFrame, right: DataFrame, keys, how: str = "inner") ->
     out = lf.join(rt, cond, how)
     keep_r = [c for c in right.columns if c not in keys]
     return out.select(*[qcol("_jl", c).alias(c) for c in left.columns], *[qcol("_jr", c).alias(c) for c in keep_r])
+
+
+def rnd(c, k: int) -> Column:
+    """Round to ``k`` places as ``round(x·10^k) / 10^k``.  Used for every
+    compared output so that Spark and the SQL oracle round the same IEEE value
+    the same way (a direct ``round(x, k)`` rounds the shortest decimal text of
+    the double instead, which disagrees on near-ties)."""
+    s = 10.0 ** k
+    return F.round(as_col(c) * F.lit(s), 0) / F.lit(s)

@@ -4,6 +4,7 @@ concentration (K), data quality (D), report visuals (V), slicers (P16)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from ..operators.util import rnd
 
 from ..functions.parse import parse_br, parse_loose, parse_month
 from ..operators import quality as dq
@@ -55,7 +56,7 @@ _PMONTH = """CASE WHEN regexp_full_match("mes/ano", '[0-9]{2}/[0-9]{4}') THEN CA
 def q_monthly_kpis(spark, d):
     j = attach_month(raw_items(spark, d), headers(spark, d))
     g = j.groupBy(parse_month("`mes/ano`").alias("mes")).agg(
-        F.round(F.sum(parse_br("valor")), 2).alias("valor_total"),
+        rnd(F.sum(parse_br("valor")), 2).alias("valor_total"),
         F.count_distinct("id").alias("qtd_licitacoes"), F.count_distinct("cpfCnpjVencedor").alias("qtd_fornecedores"))
     return g.orderBy("mes")
 
@@ -74,7 +75,7 @@ def q_category_month_sum(spark, d):
 def q_month_sum_valid(spark, d):
     j = attach_month(raw_items(spark, d), headers(spark, d))
     j = j.select(parse_month("`mes/ano`").alias("mes"), parse_br("valor").alias("v")).dropna(subset=["mes", "v"])
-    return j.groupBy("mes").agg(F.round(F.sum("v"), 2).alias("valor_total"))
+    return j.groupBy("mes").agg(rnd(F.sum("v"), 2).alias("valor_total"))
 
 
 @register("category_series", with_ctes(
@@ -85,14 +86,14 @@ def q_month_sum_valid(spark, d):
 def q_category_series(spark, d):
     j = enrich_category(attach_month(raw_items(spark, d), headers(spark, d)), description_map(spark, d))
     j = j.select("categoria_ia", parse_month("`mes/ano`").alias("mes"), parse_loose("valor").alias("v")).where(F.col("mes").isNotNull())
-    return j.groupBy("categoria_ia", "mes").agg(F.round(F.coalesce(F.sum("v"), F.lit(0.0)), 2).alias("valor_total"))
+    return j.groupBy("categoria_ia", "mes").agg(rnd(F.coalesce(F.sum("v"), F.lit(0.0)), 2).alias("valor_total"))
 
 
 @register("header_value_by_month", with_ctes(
     f"""SELECT {_PMONTH} AS mes, ROUND(SUM(valor), 2) AS valor_total FROM headers GROUP BY 1""", HEADERS_CTE))
 def q_header_value_by_month(spark, d):
     h = headers(spark, d)
-    return h.groupBy(parse_month("`mes/ano`").alias("mes")).agg(F.round(F.sum("valor"), 2).alias("valor_total"))
+    return h.groupBy(parse_month("`mes/ano`").alias("mes")).agg(rnd(F.sum("valor"), 2).alias("valor_total"))
 
 
 _DETAIL_SQL = f"""{dcount_blank('id')} AS qtd_licitacoes, CAST(SUM(quantidade) AS BIGINT) AS qtd_itens,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from ..operators.util import rnd
 
 from ..sources.files import read_csv, read_json_records, write_csv
 from ..sources.tables import expenses
@@ -106,7 +107,7 @@ def q_gold_agency_totals(spark, d):
     from ..sources.files import read_layer
     paths = md.run_expenses_pipeline(spark, d)
     g = read_layer(spark, paths["gold"])
-    return g.select("nome_orgao", F.round("total_gasto", 4).alias("total_gasto"))
+    return g.select("nome_orgao", rnd("total_gasto", 4).alias("total_gasto"))
 
 
 @register("top5_agencies", with_ctes(
@@ -114,4 +115,4 @@ def q_gold_agency_totals(spark, d):
     EXPENSES_CTE))
 def q_top5_agencies(spark, d):
     g = md.gold(md.silver(expenses(spark, d))).limit(5)
-    return g.select("nome_orgao", F.round("total_gasto", 4).alias("total_gasto"))
+    return g.select("nome_orgao", rnd("total_gasto", 4).alias("total_gasto"))

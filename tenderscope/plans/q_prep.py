@@ -4,6 +4,7 @@ month windows (S1) and the multi-year union (S11)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from ..operators.util import rnd
 
 from ..functions.parse import parse_br, parse_decimal_comma, parse_loose, parse_month
 from ..operators import calendar as cal
@@ -79,7 +80,7 @@ def q_dropna_subset(spark, d):
     j = attach_month(raw_items(spark, d), headers(spark, d))
     j = j.select(F.col("`mes/ano`").alias("mes_ano"), parse_decimal_comma("valor").alias("v"))
     j = j.dropna(subset=["mes_ano", "v"])
-    return j.groupBy("mes_ano").agg(F.count(F.lit(1)).alias("linhas"), F.round(F.sum("v"), 2).alias("valor"))
+    return j.groupBy("mes_ano").agg(F.count(F.lit(1)).alias("linhas"), rnd(F.sum("v"), 2).alias("valor"))
 
 
 @register("select_present", with_ctes("SELECT id, \"mes/ano\", valor FROM headers", HEADERS_CTE))
