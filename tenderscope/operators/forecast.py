@@ -79,13 +79,12 @@ def train_test(series: DataFrame, cutoff: str | None = None) -> DataFrame:
 
 
 def _seasonal_fit(train: DataFrame):
-    t = train.withColumn("x", month_seq("mes").cast("double"))
+    t = train.select("series_id", "mes", "y", month_seq("mes").cast("double").alias("x"), F.month("mes").alias("moy"))
     trend = t.groupBy("series_id").agg(F.regr_slope("y", "x").alias("b"), F.regr_intercept("y", "x").alias("a"))
     t = t.join(trend, on="series_id").withColumn("tr", F.col("a") + F.col("b") * F.col("x"))
-    idx = t.groupBy("series_id", F.month("mes").alias("moy")).agg(F.avg(F.try_divide("y", "tr")).alias("_i"))
-    idx = idx.withColumn("idx", F.col("_i") / F.avg("_i").over(Window.partitionBy("series_id"))).drop("_i")
-    fitted = t.join(idx, (t["series_id"] == idx["series_id"]) & (F.month(t["mes"]) == idx["moy"])).select(
-        t["series_id"], t["y"], (t["tr"] * idx["idx"]).alias("yhat"))
+    idx = t.groupBy("series_id", "moy").agg(F.avg(F.try_divide("y", "tr")).alias("_i"))
+    idx = idx.select("series_id", "moy", (F.col("_i") / F.avg("_i").over(Window.partitionBy("series_id"))).alias("idx"))
+    fitted = t.join(idx, on=["series_id", "moy"]).select("series_id", "y", (F.col("tr") * F.col("idx")).alias("yhat"))
     sd = fitted.groupBy("series_id").agg(F.stddev_samp(F.col("y") - F.col("yhat")).alias("sd"))
     return trend.join(sd, on="series_id"), idx
 

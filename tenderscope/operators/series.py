@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from .util import rnd
 
-from .util import month_seq
+from .util import materialize, month_seq
 
 
 def series_frame(fact: DataFrame, key: str | None = None, value: str = "valor") -> DataFrame:
@@ -159,5 +159,7 @@ def first_difference(series: DataFrame, col: str = "y") -> DataFrame:
 
 def cleaned(fact: DataFrame, key: str | None = None) -> DataFrame:
     """The modelling series of the study: interpolate, replace the July
-    outlier of the first year, drop the incomplete last year."""
-    return trim_incomplete(replace_outlier(series_frame(fact, key)))
+    outlier of the first year, drop the incomplete last year.  The result
+    monthly series (#series × #months rows) is checkpointed after the big
+    aggregation and again once cleaned: the fits above read it many times."""
+    return materialize(trim_incomplete(replace_outlier(materialize(series_frame(fact, key)))))

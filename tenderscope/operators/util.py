@@ -68,3 +68,18 @@ def rnd(c, k: int) -> Column:
     the double instead, which disagrees on near-ties)."""
     s = 10.0 ** k
     return F.round(as_col(c) * F.lit(s), 0) / F.lit(s)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small derived frame that later steps use many
+    times (e.g. a monthly series after the big aggregation): a reliable
+    ``checkpoint`` into the cluster's shared ``spark.checkpoint.dir``.  The
+    frame is persisted first so the checkpoint job writes the cached blocks
+    instead of recomputing the plan; a lost executor recomputes nothing above
+    the checkpoint."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    cached = df.persist()
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out
