@@ -16,7 +16,11 @@ from ..functions.fmt import month_abbr_pt, month_name_pt, weekday_pt
 def bounds(monthly_or_fact: DataFrame, date_col: str = "mes", end: str = "edate7") -> DataFrame:
     """One row ``(d0, d1)``: 1 Jan of the first year → EDATE(last month, 7)
     (model form, ``end='edate7'``) or 31 Dec of the last year (``end='year'``)."""
-    b = monthly_or_fact.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
+    # min/max over a struct that includes every column: Catalyst cannot drop
+    # an aggregate below (duplicate-insensitive min/max over its keys would
+    # otherwise be rewritten to scan the raw rows a second time)
+    allc = F.struct(F.col(date_col).alias("d"), *[F.col(f"`{c}`") for c in monthly_or_fact.columns if c != date_col])
+    b = monthly_or_fact.agg(F.min(allc)["d"].alias("_lo"), F.max(allc)["d"].alias("_hi"))
     d0 = F.trunc("_lo", "year")
     if end == "year":
         d1 = F.make_date(F.year("_hi"), F.lit(12), F.lit(31))
