@@ -25,3 +25,9 @@ def apply_slicers(df: DataFrame, categories=None, months=None, suppliers=None) -
     if suppliers:
         df = df.where(F.col("nome").isin(list(suppliers)))
     return df
+
+
+def with_month(df: DataFrame, label: str, col: str = "mes/ano") -> DataFrame:
+    """A constant month label (``MM/yyyy``) as the first column of one
+    month's pull."""
+    return df.select(F.lit(label).alias(col), "*")
