@@ -38,12 +38,16 @@ def _w():
 
 def gap_free(series: DataFrame) -> DataFrame:
     """Each series on its own monthly range (first → last month with data);
-    missing months are rows with ``y`` null.  The range is generated per
-    series with ``explode(sequence)``: no join with a global spine."""
-    b = series.groupBy("series_id").agg(F.min("mes").alias("_a"), F.max("mes").alias("_b"))
-    spine = b.select("series_id", F.explode(F.sequence("_a", "_b", F.expr("interval 1 month"))).alias("mes"))
-    return spine.join(series, on=["series_id", "mes"], how="left").select(
-        "series_id", "mes", month_seq("mes").alias("mseq"), "y")
+    missing months are rows with ``y`` null.  Each month row expands to
+    itself plus the empty months before the series' next month (``lead`` +
+    ``explode(sequence)``): one window pass, no join and no bounds aggregate."""
+    w = Window.partitionBy("series_id").orderBy("mes")
+    nxt = F.lead("mes").over(w)
+    s = series.where(F.col("mes").isNotNull()).select("series_id", "mes", "y", nxt.alias("_nx"))
+    upto = F.when(F.col("_nx").isNull(), F.col("mes")).otherwise(F.add_months("_nx", -1))
+    e = s.select("series_id", "mes", "y", F.explode(F.sequence("mes", upto, F.expr("interval 1 month"))).alias("_m"))
+    return e.select("series_id", F.col("_m").alias("mes"), month_seq("_m").alias("mseq"),
+                    F.when(F.col("_m") == F.col("mes"), F.col("y")).alias("y"))
 
 
 def missing_months(series: DataFrame) -> DataFrame:
@@ -56,14 +60,16 @@ def interpolate_linear(series: DataFrame) -> DataFrame:
     """Linear interpolation over missing months by month position; gaps
     before the first value stay null, gaps after the last value take it."""
     g = gap_free(series)
-    w = _w()
-    back = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # both look-ups use a growing frame (O(n) per series); the look-ahead runs
+    # over the reversed order instead of an unbounded-following frame, which
+    # Spark re-aggregates for every row (O(n²))
+    back = _w().rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy("series_id").orderBy(F.desc("mseq")).rowsBetween(Window.unboundedPreceding, 0)
     known_seq = F.when(F.col("y").isNotNull(), F.col("mseq"))
     g = g.select(
         "series_id", "mes", "mseq", "y",
         F.last("y", ignorenulls=True).over(back).alias("_v0"), F.last(known_seq, ignorenulls=True).over(back).alias("_s0"),
-        F.first("y", ignorenulls=True).over(ahead).alias("_v1"), F.first(known_seq, ignorenulls=True).over(ahead).alias("_s1"),
+        F.last("y", ignorenulls=True).over(ahead).alias("_v1"), F.last(known_seq, ignorenulls=True).over(ahead).alias("_s1"),
     )
     interp = (F.when(F.col("y").isNotNull(), F.col("y"))
               .when(F.col("_v0").isNull(), F.lit(None))

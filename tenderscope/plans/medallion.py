@@ -93,12 +93,22 @@ def landed_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                       body_cols=["numero", "codigoItemCompra", "quantidade", "valor", "cpfCnpjVencedor"])
 
 
+def landing_zone(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The landed pages as files on storage (what the pull writes), derived
+    once per input signature."""
+    from ..sources.tables import derived_table
+    base = sf_dir.rstrip("/")
+    if kind == "headers":
+        return derived_table(spark, "landed-headers-v1", [f"{base}/orders.parquet"], lambda: landed_header_pages(spark, sf_dir))
+    return derived_table(spark, "landed-items-v1", [f"{base}/lineitem.parquet"], lambda: landed_item_pages(spark, sf_dir))
+
+
 def paged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assemble_pages(landed_header_pages(spark, sf_dir), ["org", "mes/ano"], HEADER_RECORD)
+    return assemble_pages(landing_zone(spark, sf_dir, "headers"), ["org", "mes/ano"], HEADER_RECORD)
 
 
 def paged_items(spark: SparkSession, sf_dir: str):
-    return assemble_items(landed_item_pages(spark, sf_dir), "id", ITEM_RECORD)
+    return assemble_items(landing_zone(spark, sf_dir, "items"), "id", ITEM_RECORD)
 
 
 def items_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -61,6 +61,27 @@ def _signature(spark: SparkSession, paths) -> str | None:
 FACT_VERSION = "fact-v1"
 
 
+def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None) -> DataFrame:
+    """A table Spark derives from input files, written once per input
+    signature into the shared checkpoint folder and read from there.  With no
+    signature (unreadable inputs) the lazy plan ``build()`` is returned."""
+    sig = _signature(spark, inputs)
+    if sig is None:
+        return build()
+    from ..session import ensure_checkpoint_dir
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/tenderscope/{name}-{sig}"
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(conf).exists(done):
+        df = build()
+        if sort_by:
+            df = df.sortWithinPartitions(*sort_by)
+        df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def fact(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """The item fact, built once per set of input files.
 
@@ -69,22 +90,11 @@ def fact(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFram
     folder under a key made of the input files' sizes and modification times,
     and every query reads that table.  Changed inputs give a new key; with no
     key available the lazy join plan is returned."""
-    plan = fact_plan(spark, sf_dir)
     if not materialize:
-        return plan
+        return fact_plan(spark, sf_dir)
     base = sf_dir.rstrip("/")
-    sig = _signature(spark, [f"{base}/{t}.parquet" for t in ("lineitem", "part", "supplier")])
-    if sig is None:
-        return plan
-    from ..session import ensure_checkpoint_dir
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tenderscope/{FACT_VERSION}-{sig}"
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(conf).exists(done):
-        plan.sortWithinPartitions("mes").write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return derived_table(spark, FACT_VERSION, [f"{base}/{t}.parquet" for t in ("lineitem", "part", "supplier")],
+                         lambda: fact_plan(spark, sf_dir), sort_by=["mes"])
 
 
 def fact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
