@@ -121,7 +121,14 @@ def fact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze item rows as the API lands them, before the header month is
-    attached: everything is text, the value is Brazilian money ``1.234,56``."""
+    attached: everything is text, the value is Brazilian money ``1.234,56``.
+    Stored once per input signature, like the landed files it stands for."""
+    base = sf_dir.rstrip("/")
+    return derived_table(spark, "bronze-items-v1", [f"{base}/lineitem.parquet", f"{base}/part.parquet"],
+                         lambda: raw_items_plan(spark, sf_dir))
+
+
+def raw_items_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     part = read_table(spark, sf_dir, "part")
     j = li.join(part, li.l_partkey == part.p_partkey)
