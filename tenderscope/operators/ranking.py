@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .util import keys_list, money, ratio
+from .ordered import ordered_stats
+from .util import join_on_keys, keys_list, money, ratio
 
 
 def _w(part):
@@ -22,9 +23,8 @@ def _w(part):
 def dense_rank_by_value(fact: DataFrame, key, part=(), value: str = "valor") -> DataFrame:
     """Dense rank (1 = largest value) of ``key`` inside ``part``."""
     key, part = keys_list(key), keys_list(part)
-    g = fact.groupBy(*part, *key).agg(F.sum(value).alias("_v"))
-    return g.select(*part, *key, money("_v").alias("valor_total"),
-                    F.dense_rank().over(_w(part).orderBy(F.desc("_v"))).cast("bigint").alias("rank"))
+    g = ordered_stats(fact.groupBy(*part, *key).agg(F.sum(value).alias("_v")), part, "_v")
+    return g.select(*part, *key, money("_v").alias("valor_total"), F.col("_dense").cast("bigint").alias("rank"))
 
 
 def top1(fact: DataFrame, key: str, part=(), value: str = "valor", name_col: str = "top_nome",
@@ -33,8 +33,8 @@ def top1(fact: DataFrame, key: str, part=(), value: str = "valor", name_col: str
     tie for first (TOPN keeps ties, SELECTEDVALUE then has no single value);
     the value stays."""
     part = keys_list(part)
-    g = fact.groupBy(*part, key).agg(F.sum(value).alias("_v"))
-    r = g.select(*part, key, "_v", F.rank().over(_w(part).orderBy(F.desc("_v"))).alias("_r")).where("_r = 1")
+    g = ordered_stats(fact.groupBy(*part, key).agg(F.sum(value).alias("_v")), part, "_v")
+    r = g.where("_rank = 1")
     out = r.groupBy(*part).agg(
         F.when(F.count(F.lit(1)) == 1, F.first(key)).alias(name_col),
         F.max("_v").alias("_v"),
@@ -56,9 +56,8 @@ def concentration(fact: DataFrame, n: int, part=(), key: str = "cpfCnpjVencedor"
     """K1–K4 (and K6 with ``part``): value of the top-n suppliers (ties at n
     all count) and its share of the total over all suppliers."""
     part = keys_list(part)
-    g = fact.groupBy(*part, key).agg(F.sum(value).alias("_v"))
-    r = g.select(*part, "_v", F.rank().over(_w(part).orderBy(F.desc("_v"))).alias("_r"))
-    a = r.groupBy(*part).agg(F.sum(F.when(F.col("_r") <= n, F.col("_v"))).alias("_top"), F.sum("_v").alias("_t"))
+    g = ordered_stats(fact.groupBy(*part, key).agg(F.sum(value).alias("_v")), part, "_v")
+    a = g.groupBy(*part).agg(F.sum(F.when(F.col("_rank") <= n, F.col("_v"))).alias("_top"), F.sum("_v").alias("_t"))
     return a.select(*part, money("_top").alias(f"valor_top{n}"),
                     ratio(F.try_divide(F.col("_top").cast("double"), F.col("_t").cast("double"))).alias(f"pct_top{n}"))
 
@@ -67,6 +66,7 @@ def pareto(fact: DataFrame, key: str = "nome", part=(), value: str = "valor") ->
     """K5: for each key, Σ of the keys with value ≥ its own / total."""
     part = keys_list(part)
     g = fact.groupBy(*part, key).agg(F.sum(value).alias("_v"))
-    w = _w(part).orderBy(F.desc("_v")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return g.select(*part, key, money("_v").alias("valor_total"),
-                    ratio(F.try_divide(F.sum("_v").over(w).cast("double"), F.sum("_v").over(_w(part)).cast("double"))).alias("pct_pareto"))
+    tot = g.groupBy(*part).agg(F.sum("_v").alias("_t")) if part else g.agg(F.sum("_v").alias("_t"))
+    s = join_on_keys(ordered_stats(g, part, "_v"), tot, part)
+    return s.select(*part, key, money("_v").alias("valor_total"),
+                    ratio(F.try_divide(F.col("_cum").cast("double"), F.col("_t").cast("double"))).alias("pct_pareto"))

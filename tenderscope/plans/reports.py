@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dax import distinct_count_blank
 from ..functions.fmt import brl_compact
+from ..operators.ordered import ordered_stats
 from ..operators.util import join_on_keys, keys_list, money, ratio
 
 
@@ -82,6 +83,5 @@ def supplier_detail(sliced: DataFrame, unsliced: DataFrame) -> DataFrame:
     The rank is dense over the selected (name, tax id) pairs."""
     g = sliced.groupBy("nome", "cpfCnpjVencedor").agg(
         distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("quantidade").alias("qtd_itens"), F.sum("valor").alias("_v"))
-    j = _with_total_share(g, unsliced)
-    w = Window.partitionBy().orderBy(F.desc("_v"))
-    return j.select(F.dense_rank().over(w).cast("bigint").alias("rank"), "nome", "cpfCnpjVencedor", *_detail_cols()).drop("qtd_itens").orderBy("rank", "nome")
+    j = ordered_stats(_with_total_share(g, unsliced), [], "_v")
+    return j.select(F.col("_dense").cast("bigint").alias("rank"), "nome", "cpfCnpjVencedor", *_detail_cols()).drop("qtd_itens").orderBy("rank", "nome")

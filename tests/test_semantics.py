@@ -162,3 +162,23 @@ def test_exact_quantiles_on_a_hot_group(spark):
         assert abs(got[k][1] - np.quantile(vs, 0.5)) < 1e-9
     tot = exact_quantiles(df, [], "v", [0.5], ["m"]).collect()[0].m
     assert abs(tot - np.median([v for _, v in rows])) < 1e-9
+
+
+def test_ordered_stats_match_window_semantics_on_a_hot_group(spark):
+    from tenderscope.operators.ordered import ordered_stats
+    random.seed(7)
+    rows = [("hot", float(random.randint(0, 300))) for _ in range(4000)] + [(f"k{i % 5}", float(i % 13)) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = ordered_stats(df, ["g"], "v").select("g", "v", "_rank", "_dense", "_cum").distinct().collect()
+    by = {}
+    for g, v in rows:
+        by.setdefault(g, []).append(v)
+    for r in got:
+        vs = by[r.g]
+        assert r._rank == 1 + sum(1 for x in vs if x > r.v)
+        assert r._dense == 1 + len({x for x in vs if x > r.v})
+        assert abs(r._cum - sum(x for x in vs if x >= r.v)) < 1e-6
+    glob = ordered_stats(df, [], "v").select("v", "_dense").distinct().collect()
+    allv = sorted({v for _, v in rows}, reverse=True)
+    for r in glob:
+        assert r._dense == allv.index(r.v) + 1
