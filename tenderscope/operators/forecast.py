@@ -20,8 +20,11 @@ from .util import join_on_keys, keys_list, month_seq, with_one_row
 
 # Fixed values of the dashboard model: the interval uses z = 1.645 and a
 # fixed sigma of R$ 136,657,638.
+# Accuracy labels by MAPE (%): below 20 good, below 35 fair, else limited.
 MODEL_Z = 1.645
 MODEL_SIGMA = 136657638.0
+MAPE_GOOD, MAPE_FAIR = 20, 35
+LABEL_GOOD, LABEL_FAIR, LABEL_LIMITED = "BOA", "RAZOÁVEL", "LIMITADA"
 
 
 def linear_forecast(fact: DataFrame, keys=(), end: str = "edate7") -> DataFrame:
@@ -122,6 +125,7 @@ def metrics(pred: DataFrame) -> DataFrame:
         (F.avg(F.abs(F.col("y") - F.col("yhat")) / F.abs("y")) * 100).alias("mape"),
         F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"),
         F.sqrt(F.avg(F.pow(F.col("y") - F.col("yhat"), 2))).alias("rmse"))
-    label = F.when(F.col("mape") < 20, F.lit("BOA")).when(F.col("mape") < 35, F.lit("RAZOÁVEL")).otherwise(F.lit("LIMITADA"))
+    label = (F.when(F.col("mape") < MAPE_GOOD, F.lit(LABEL_GOOD)).when(F.col("mape") < MAPE_FAIR, F.lit(LABEL_FAIR))
+             .otherwise(F.lit(LABEL_LIMITED)))
     return a.select("series_id", rnd("mape", 4).alias("mape"), rnd("mae", 2).alias("mae"), rnd("rmse", 2).alias("rmse"),
                     label.alias("acuracia"))

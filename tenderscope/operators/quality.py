@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from ..functions.fmt import brl_compact
 from .util import join_on_keys, keys_list, ratio
 
-# The two labels the classifier gives when it cannot categorise.
+# The two labels the classifier gives when it cannot categorise,
+# and the YoY colours (up, down, none).
 NO_DESCRIPTION = "Sem Descrição"
 NEEDS_REVIEW = "Outros / Necessita Revisão"
+COLOUR_UP, COLOUR_DOWN, COLOUR_FLAT = "#16A34A", "#DC2626", "#71717A"
 
 
 def is_uncategorised(col="categoria_ia"):
@@ -61,7 +63,7 @@ def quality_panel(fact: DataFrame, mapa: DataFrame) -> DataFrame:
 def yoy_colour(pct_col="yoy_pct"):
     """Green up, red down, grey for null or zero."""
     p = F.col(pct_col)
-    return F.when(p > 0, F.lit("#16A34A")).when(p < 0, F.lit("#DC2626")).otherwise(F.lit("#71717A"))
+    return F.when(p > 0, F.lit(COLOUR_UP)).when(p < 0, F.lit(COLOUR_DOWN)).otherwise(F.lit(COLOUR_FLAT))
 
 
 def formatted_total(col):

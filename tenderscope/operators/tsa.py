@@ -57,8 +57,16 @@ def strength(decomposed: DataFrame) -> DataFrame:
     return a.select("series_id", fs.alias("fs"), ft.alias("ft"))
 
 
+# Fixed values (must equal the study's labels and cut-offs): strength above
+# 0.64 is strong, above 0.4 moderate, else weak; the STL line only says strong
+# or weak; a seasonal strength above 0.4 advises the seasonal model family.
+STRONG, MODERATE = 0.64, 0.4
+LABEL_STRONG, LABEL_MODERATE, LABEL_WEAK, LABEL_WEAK_STL = "FORTE", "MODERADA", "FRACA", "fraca"
+MODEL_SEASONAL, MODEL_PLAIN = "SARIMA", "ARIMA"
+
+
 def _level(x):
-    return F.when(x > 0.64, F.lit("FORTE")).when(x > 0.4, F.lit("MODERADA")).otherwise(F.lit("FRACA"))
+    return F.when(x > STRONG, F.lit(LABEL_STRONG)).when(x > MODERATE, F.lit(LABEL_MODERATE)).otherwise(F.lit(LABEL_WEAK))
 
 
 def diagnosis(strengths: DataFrame) -> DataFrame:
@@ -67,10 +75,10 @@ def diagnosis(strengths: DataFrame) -> DataFrame:
     fs, ft = F.col("fs"), F.col("ft")
     return strengths.select(
         "series_id", rnd(fs, 6).alias("fs"), rnd(ft, 6).alias("ft"),
-        F.when(fs > 0.64, F.lit("FORTE")).otherwise(F.lit("fraca")).alias("stl_fs"),
-        F.when(ft > 0.64, F.lit("FORTE")).otherwise(F.lit("fraca")).alias("stl_ft"),
+        F.when(fs > STRONG, F.lit(LABEL_STRONG)).otherwise(F.lit(LABEL_WEAK_STL)).alias("stl_fs"),
+        F.when(ft > STRONG, F.lit(LABEL_STRONG)).otherwise(F.lit(LABEL_WEAK_STL)).alias("stl_ft"),
         _level(fs).alias("diagnostico_fs"), _level(ft).alias("diagnostico_ft"),
-        F.when(fs > 0.4, F.lit("SARIMA")).otherwise(F.lit("ARIMA")).alias("modelo"))
+        F.when(fs > MODERATE, F.lit(MODEL_SEASONAL)).otherwise(F.lit(MODEL_PLAIN)).alias("modelo"))
 
 
 def series_arrays(series: DataFrame, col: str = "y") -> DataFrame:
