@@ -68,14 +68,14 @@ def exact_quantiles(df: DataFrame, by, value: str, probs, names=None) -> DataFra
         cond = cond & ided[k].eqNullSafe(t[f"__t_{k}"])
     hits = ided.join(t, cond).select(*[ided[k] for k in by], ided["_v"], t["_i"], t["_h"], t["_r"])
 
-    per_q = hits.groupBy(*by, "_i").agg(
-        F.min("_h").alias("_h"),
-        F.min_by("_v", "_r").alias("_vlo"),
-        F.max_by("_v", "_r").alias("_vhi"),
-    )
-    per_q = per_q.select(
-        *by, "_i",
-        (F.col("_vlo") + (F.col("_h") - F.floor("_h")) * (F.col("_vhi") - F.col("_vlo"))).alias("_qv"),
-    )
-    out = per_q.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == i, F.col("_qv"))).alias(n) for i, n in enumerate(names)])
+    # one aggregation per group: for each wanted quantile the value at the
+    # lower and at the upper rank (struct min/max order by rank first)
+    aggs = []
+    for i in range(len(probs)):
+        hit = F.when(F.col("_i") == i, F.struct(F.col("_r").alias("r"), F.col("_v").alias("v"), F.col("_h").alias("h")))
+        aggs += [F.min(hit).alias(f"_lo{i}"), F.max(hit).alias(f"_hi{i}")]
+    a = hits.groupBy(*by).agg(*aggs)
+    qv = lambda i: (F.col(f"_lo{i}.v") + (F.col(f"_lo{i}.h") - F.floor(F.col(f"_lo{i}.h")))
+                    * (F.col(f"_hi{i}.v") - F.col(f"_lo{i}.v")))
+    out = a.select(*by, *[qv(i).alias(n) for i, n in enumerate(names)])
     return out
