@@ -75,8 +75,11 @@ def build_map(descriptions: DataFrame, cat_row: DataFrame, text: str = "descrica
     """C6 (with C1, C2): one row per distinct description → (category,
     confidence).  Empty cleaned text → ``Sem Descrição`` with 0.0, no scoring."""
     d = descriptions.withColumn("_clean", clean_text(text))
-    empty = d.where(F.col("_clean") == "").select(F.col(text).alias("descricao_original"), F.lit(NO_DESCRIPTION).alias("categoria_ia"),
-                                                  F.lit(0.0).alias("confianca"))
-    full = apply_threshold(score_best(d.where(F.col("_clean") != ""), cat_row, vec), threshold)
-    full = full.select(F.col(text).alias("descricao_original"), "categoria_ia", "confianca")
-    return full.unionByName(empty)
+    # one pass: every description is scored, the empty ones then take the
+    # no-description label (scoring an empty one is cheaper than a second
+    # pass over the descriptions)
+    scored = apply_threshold(score_best(d, cat_row, vec), threshold)
+    empty = F.col("_clean") == ""
+    return scored.select(F.col(text).alias("descricao_original"),
+                         F.when(empty, F.lit(NO_DESCRIPTION)).otherwise(F.col("categoria_ia")).alias("categoria_ia"),
+                         F.when(empty, F.lit(0.0)).otherwise(F.col("confianca")).alias("confianca"))
