@@ -369,3 +369,21 @@ def q_category_year_pivot(spark, d):
 def q_supplier_detail(spark, d):
     s, f = _sliced(spark, d)
     return rp.supplier_detail(s, f)
+
+
+@register("monthly_kpis_sql", with_ctes(
+    f"""SELECT {_PMONTH} AS mes, ROUND(SUM(TRY_CAST(replace(replace(valor, '.', ''), ',', '.') AS DOUBLE)), 2) AS valor_total,
+          COUNT(DISTINCT id) AS qtd_licitacoes, COUNT(DISTINCT cpfCnpjVencedor) AS qtd_fornecedores
+        FROM items_m GROUP BY 1""", RAW_ITEMS_CTE, HEADERS_CTE, _ITEMS_MONTH))
+def q_monthly_kpis_sql(spark, d):
+    """S5 / M11 through the SQL API: the study's monthly KPI query as text over
+    a session view of the item rows."""
+    attach_month(raw_items(spark, d), headers(spark, d)).createOrReplaceTempView("licitacoes_itens")
+    return spark.sql("""
+        SELECT try_to_date(`mes/ano`, 'MM/yyyy') AS mes,
+               round(sum(try_cast(replace(replace(valor, '.', ''), ',', '.') AS DOUBLE)) * 100D, 0) / 100D AS valor_total,
+               count(DISTINCT id) AS qtd_licitacoes,
+               count(DISTINCT cpfCnpjVencedor) AS qtd_fornecedores
+        FROM licitacoes_itens
+        GROUP BY 1
+        ORDER BY 1""")
