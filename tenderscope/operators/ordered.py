@@ -10,6 +10,12 @@ partition.  Per (group, partition) block the row count, distinct-value count
 and value sum are tiny aggregates; their running totals over the blocks of a
 group (at most #partitions rows per group) are the offsets that turn the
 block-local window results into group-wide ones.
+
+Why the partition index is stable: the range exchange has an explicit
+partition count (``REPARTITION_BY_NUM``), which AQE never coalesces or
+splits; both consumers of it read one reused exchange; and a map task rerun
+after a lost executor reproduces the same partition contents, because the
+range bounds are fixed in the shuffle dependency and ties carry equal values.
 """
 
 from __future__ import annotations

@@ -11,6 +11,12 @@ per-(group, partition) row counts are tiny, and their running sum gives each
 block's offset inside its group.  Only the rows at the wanted ranks are then
 picked out and interpolated.  All steps are distributed; the only windows run
 over the per-block counts (at most #partitions rows per group).
+
+Why the partition index is stable: the range exchange has an explicit
+partition count (``REPARTITION_BY_NUM``), which AQE never coalesces or
+splits; both consumers of it read one reused exchange; and a map task rerun
+after a lost executor reproduces the same partition contents, because the
+range bounds are fixed in the shuffle dependency and ties carry equal values.
 """
 
 from __future__ import annotations
