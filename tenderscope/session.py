@@ -38,12 +38,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is set by the deployment and is read, never replaced.
     Only when it is unset (tests, local runs) a scratch folder is created.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        sc = None
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = (sc.getCheckpointDir() if sc is not None else None) or configured
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return sc.getCheckpointDir() or current
+        return (sc.getCheckpointDir() if sc is not None else None) or current
     local = tempfile.mkdtemp(prefix="tenderscope-ckpt-")
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return sc.getCheckpointDir() or local
+    return local
