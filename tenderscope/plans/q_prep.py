@@ -287,3 +287,19 @@ def q_union_years(spark, d):
     u = union_years([old, new])
     return u.groupBy(F.year("mes").cast("bigint").alias("ano")).agg(
         F.count(F.lit(1)).alias("linhas"), F.count("tipoPessoa").alias("com_tipo"), money(F.sum("valor")).alias("valor_total"))
+
+
+@register("star_map", with_ctes(
+    f"""SELECT m.confianca, COUNT(*) AS qtd_linhas, {smoney('SUM(f.valor)')} AS valor_total
+        FROM fact f LEFT JOIN mapa m ON f.descricao_original = m.descricao_original GROUP BY 1""", FACT_CTE, MAPA_CTE))
+def q_star_map(spark, d):
+    """Fact → description map (left star join), value by map confidence."""
+    from ..operators.joins import with_map
+    j = with_map(fact(spark, d), description_map(spark, d))
+    return j.groupBy("confianca").agg(F.count(F.lit(1)).alias("qtd_linhas"), money(F.sum("valor")).alias("valor_total"))
+
+
+@register("distinct_categories", with_fact("SELECT DISTINCT categoria_ia FROM fact"))
+def q_distinct_categories(spark, d):
+    """Every category at once (null kept as a value)."""
+    return fact(spark, d).select("categoria_ia").distinct()
