@@ -17,6 +17,8 @@ def div(a, b) -> Column:
 
 def bsub(a, b) -> Column:
     """``a - b`` where a blank side counts as 0; blank only if both are blank."""
+    if isinstance(a, str) and isinstance(b, str) and a.replace("_", "").isalnum() and b.replace("_", "").isalnum():
+        return F.expr(f"CASE WHEN `{a}` IS NULL AND `{b}` IS NULL THEN NULL ELSE coalesce(`{a}`, 0) - coalesce(`{b}`, 0) END")
     a, b = _c(a), _c(b)
     return F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
         F.coalesce(a, F.lit(0)) - F.coalesce(b, F.lit(0))

@@ -10,12 +10,23 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _name(c) -> str | None:
+    """A plain column name usable inside SQL text, else None."""
+    return c if isinstance(c, str) and c.replace("_", "").isalnum() else None
+
+
 def money(c) -> Column:
     """Exact decimal money → double rounded to 4 places (output hygiene)."""
+    n = _name(c)
+    if n:  # one JVM call instead of a chain of Column calls
+        return F.expr(f"round(cast(`{n}` as double) * 10000D, 0) / 10000D")
     return rnd(as_col(c).cast("double"), 4)
 
 
 def ratio(c) -> Column:
+    n = _name(c)
+    if n:
+        return F.expr(f"round(cast(`{n}` as double) * 1000000D, 0) / 1000000D")
     return rnd(as_col(c).cast("double"), 6)
 
 
@@ -67,6 +78,9 @@ def rnd(c, k: int) -> Column:
     the same way (a direct ``round(x, k)`` rounds the shortest decimal text of
     the double instead, which disagrees on near-ties)."""
     s = 10.0 ** k
+    n = _name(c)
+    if n:
+        return F.expr(f"round(`{n}` * {s!r}D, 0) / {s!r}D")
     return F.round(as_col(c) * F.lit(s), 0) / F.lit(s)
 
 

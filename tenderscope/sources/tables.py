@@ -61,16 +61,24 @@ def _signature(spark: SparkSession, paths) -> str | None:
 FACT_VERSION = "fact-v1"
 
 
+_READ_CACHE: dict[tuple[str, str], DataFrame] = {}
+
+
 def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None) -> DataFrame:
     """A table Spark derives from input files, written once per input
     signature into the shared checkpoint folder and read from there.  With no
-    signature (unreadable inputs) the lazy plan ``build()`` is returned."""
+    signature (unreadable inputs) the lazy plan ``build()`` is returned.  The
+    read is kept per application and path (the path names the signature), so
+    repeated queries skip re-listing the table and re-reading its footers."""
     sig = _signature(spark, inputs)
     if sig is None:
         return build()
     from ..session import ensure_checkpoint_dir
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tenderscope/{name}-{sig}"
+    key = (spark.sparkContext.applicationId, path)
+    if key in _READ_CACHE:
+        return _READ_CACHE[key]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
@@ -79,7 +87,9 @@ def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None) -
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
         df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    _READ_CACHE[key] = out
+    return out
 
 
 def fact(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
