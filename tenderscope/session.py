@@ -25,6 +25,8 @@ def local_session(cpus: int | str = "*", partitions: int = 8, app: str = "tender
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TS_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # managed tables of local runs go to a scratch folder, not the cwd
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tenderscope-wh-"))
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 
 def read_json_records(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -22,14 +22,21 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType | str |
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header; null becomes an empty cell."""
-    df.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    """CSV with a header; a null text becomes an empty cell.  The empty
+    cell is written quoted (``""``): an unquoted one would leave a blank line
+    in a one-column file, and CSV readers skip blank lines, losing the row."""
+    out = df.select(*[F.coalesce(F.col(f"`{f.name}`"), F.lit("")).alias(f.name) if isinstance(f.dataType, StringType)
+                      else F.col(f"`{f.name}`") for f in df.schema.fields])
+    out.write.mode(mode).option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+    """S7 read-back: an empty text cell is null again."""
     r = spark.read.option("header", True)
     r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    df = r.csv(path)
+    return df.select(*[F.when(F.col(f"`{f.name}`") == "", F.lit(None)).otherwise(F.col(f"`{f.name}`")).alias(f.name)
+                       if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by=None) -> None:
