@@ -182,3 +182,24 @@ def test_ordered_stats_match_window_semantics_on_a_hot_group(spark):
     allv = sorted({v for _, v in rows}, reverse=True)
     for r in glob:
         assert r._dense == allv.index(r.v) + 1
+
+
+def test_filter_context_rules(spark):
+    from tenderscope.operators import quality as dq
+    from tenderscope.operators import shares as sh
+    from tenderscope.operators.filters import apply_slicers
+    d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 2, 1)
+    f = _fact(spark, [("1", "A", "1", "x", 10, d1), ("2", "A", "1", "x", 30, d2), ("3", "B", "2", "y", 60, d1),
+                      ("4", "B", "2", "Sem Descrição", 5, d1), ("5", "B", "2", None, 5, d2)])
+    sliced = apply_slicers(f, categories=["x", "y"], months=["2020-01-01"])
+    # H1: the divisor is the unsliced total (110), not the sliced one (70)
+    h1 = {r.categoria_ia: r.pct_total for r in sh.share_of_total(sliced, f, ["categoria_ia"]).collect()}
+    assert h1 == {"x": round(10 / 110, 6), "y": round(60 / 110, 6)}
+    # H2: the divisor is the category's all-time total, months lifted
+    h2 = {r.categoria_ia: r.pct_categoria for r in sh.share_of_category(sliced, f, ["categoria_ia"]).collect()}
+    assert h2 == {"x": 0.25, "y": 1.0}
+    # The category filter is replaced; the month slicer stays
+    by_month = apply_slicers(f, months=["2020-01-01"])
+    d = {r.categoria_ia: (r.qtd_linhas, r.qtd_sem_categoria) for r in
+         dq.uncategorised(sliced, ["categoria_ia"], unsliced_by_category=by_month).collect()}
+    assert d == {"x": (1, 1), "y": (1, 1)}
