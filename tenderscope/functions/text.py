@@ -12,6 +12,7 @@ def clean_text(col) -> Column:
     space; trim.  Unicode-aware: accented letters are word characters."""
     c = F.col(col) if isinstance(col, str) else col
     lowered = F.lower(F.coalesce(c, F.lit("")))
-    spaced = F.regexp_replace(lowered, r"[^\p{L}\p{N}_\s]", " ")
-    collapsed = F.regexp_replace(spaced, r"(?U)\s+", " ")
-    return F.trim(collapsed)
+    # one pass: a run of non-word characters (punctuation and whitespace
+    # alike) becomes a single space — the same result as replacing
+    # punctuation by spaces and then collapsing whitespace runs
+    return F.trim(F.regexp_replace(lowered, r"[^\p{L}\p{N}_]+", " "))

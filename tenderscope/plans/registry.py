@@ -11,8 +11,9 @@ ORACLE: dict[str, str] = {}
 
 def symmetric_round(sql: str) -> str:
     """Rewrite ``ROUND(x, k)`` (k an integer literal) as
-    ``(ROUND((x) * 1e k) / 1e k)``: the same rounding the Spark side applies
-    (``operators.util.rnd``), so both round the same double identically."""
+    ``(ROUND((x) * 1e k) / 1e k + 0.0)``: the same rounding the Spark side
+    applies (``operators.util.rnd``), so both round the same double
+    identically, and a rounded-away negative becomes 0.0 on both sides."""
     out, i, key = [], 0, "ROUND("
     while True:
         j = sql.find(key, i)
@@ -38,7 +39,9 @@ def symmetric_round(sql: str) -> str:
         out.append(sql[i:j])
         if comma is not None and digits.isdigit():
             expr = symmetric_round(sql[j + len(key):comma])
-            out.append(f"(ROUND(({expr}) * 1e{digits}) / 1e{digits})")
+            # "+ 0.0" turns DuckDB's -0.0 (round of a small negative) into the
+            # 0.0 Spark produces; it changes no other value
+            out.append(f"(ROUND(({expr}) * 1e{digits}) / 1e{digits} + 0.0)")
         else:
             out.append(key + symmetric_round(sql[j + len(key):inner_end]) + ")")
         i = k
