@@ -6,12 +6,16 @@ Two interpolated bigram models, toxic and ordinary, over lower-cased words:
     p_c(w)     = (1 - g) * q_c(w) + g * s(w)    q_c: discounted class unigrams
     s(w)       proportional to the number of distinct words seen before w
 
-``s`` is shared: it is counted over all documents, labelled or not, and both
-classes give the back-off the same mass ``g`` and ``l(h)``, so an expression
-that is rare in the labelled rows scores alike in both.  A document's evidence
-is its log-likelihood ratio per word, over the whole text and over its
-strongest ``WINDOW`` words; a logistic fit on rows kept out of the counts turns
-the two into a score between 0 and 1.
+As Kneser-Ney counts contexts rather than occurrences, a word or pair counts
+once per document, so one document that repeats a word a hundred times is one
+piece of evidence.  ``s`` is shared: it is counted over all documents, labelled
+or not, and both classes give the back-off the same mass ``g`` and ``l(h)``, so
+an expression that is rare in the labelled rows scores alike in both.
+
+A document's evidence is its log-likelihood ratio per word: over the whole text
+and over its strongest ``STRONG`` share of words.  A logistic fit on rows kept
+out of the counts turns the two into a score between 0 and 1; the same rows
+choose the absolute discount among ``DISCOUNTS``.
 
 Rows learnt from: at most ``SAMPLE`` labelled documents of each class (smallest
 id hash first), never ones whose crc32(doc_id) mod 5 is 0; remainder 1 is for
@@ -36,7 +40,10 @@ from pyspark.sql import functions as F
 
 from .common import fold, lead, saved
 
-SAMPLE, WORDS, PAIRS, WINDOW = 20_000, 100_000, 200_000, 64
+SAMPLE, WORDS, PAIRS, STRONG = 20_000, 100_000, 200_000, 0.015
+DISCOUNTS = (0.75, 2.0, 4.0)
+#: fewest documents of a word or a pair in the models; weight of the back-off against a word's pair counts
+MIN_WORD, MIN_PAIR, BACKOFF = 3, 10, 500.0
 _WORD = re.compile(r"\w+")
 
 
@@ -48,7 +55,7 @@ def _count_words(batches):
     seen = (Counter(), Counter())
     for b in batches:
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            seen[toxic].update(words_of(text))
+            seen[toxic].update(set(words_of(text)))
     names = list(seen[0].keys() | seen[1].keys())
     yield pa.RecordBatch.from_pydict({"word": names, "ordinary": [seen[0][w] for w in names], "toxic": [seen[1][w] for w in names]},
                                      schema=pa.schema([("word", pa.string()), ("ordinary", pa.int64()), ("toxic", pa.int64())]))
@@ -65,7 +72,7 @@ def _count_pairs(batches, words: list[str]):
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             x = _ids(words_of(text), of)
             both = (x[:-1] >= 0) & (x[1:] >= 0)
-            found[toxic].append((x[:-1] * n + x[1:])[both])
+            found[toxic].append(np.unique((x[:-1] * n + x[1:])[both]))
         for toxic in (0, 1):
             pair, count = np.unique(np.concatenate(found[toxic]), return_counts=True)
             side = [pa.array(np.zeros_like(count)), pa.array(count)]
@@ -92,32 +99,31 @@ def _contexts(batches, words: list[str]):
                                           pa.array(np.ascontiguousarray(bits[i:i + 10_000, 1]))], ["word", "lo", "hi"])
 
 
-def _discounted(counts: np.ndarray, total: np.ndarray, discount: float) -> np.ndarray:
-    return np.maximum(counts - discount, 0) / np.maximum(total, 1)
-
-
 class Model:
-    """The two language models as lookup tables, and the logistic weights."""
+    """The two language models as lookup tables, and the logistic weights.
+
+    unigrams, pair_counts: document counts per class (ordinary, toxic);
+    followers: per class and word, the sum of its pairs' counts."""
 
-    def __init__(self, words, unigrams, totals, discounts, contexts, pairs, pair_counts):
-        self.of, n = {w: i for i, w in enumerate(words)}, len(words)
-        shared = contexts / max(contexts.sum(), 1e-9)
-        q = [_discounted(unigrams[c], totals[c], discounts[c]) for c in (0, 1)]
+    def __init__(self, of, unigrams, totals, discount, contexts, pairs, pair_counts, followers):
+        self.of, n = of, len(of)
+        shared = np.maximum(contexts / max(contexts.sum(), 1e-9), 1e-9)
+        q = [np.maximum(u - discount, 0) / max(t, 1) for u, t in zip(unigrams, totals)]
         g = max(1 - x.sum() for x in q)
-        p = [(1 - g) * x / max(x.sum(), 1e-9) + g * np.maximum(shared, 1e-9) for x in q]
+        p = [(1 - g) * x / max(x.sum(), 1e-9) + g * shared for x in q]
         self.unigram = np.append(np.log(p[1] / p[0]), 0.0)  # index -1: a word outside the model
         order = np.argsort(pairs)
-        self.pairs, before = pairs[order], pairs[order] // max(n, 1)
-        a = [_discounted(pair_counts[c][order], unigrams[c][before], 0.75) for c in (0, 1)]
+        self.pairs = pairs[order]
+        before, after = self.pairs // max(n, 1), self.pairs % max(n, 1)
+        a = [np.maximum(c[order] - discount, 0) / (f[before] + BACKOFF) for c, f in zip(pair_counts, followers)]
         mass = [np.bincount(before, x, minlength=n) for x in a]
-        lam = 1 - np.minimum(mass[0], mass[1])
-        after = self.pairs % max(n, 1)
-        a = [x * ((1 - lam) / np.maximum(m, 1e-9))[before] for x, m in zip(a, mass)]
-        self.bigram = np.log((a[1] + lam[before] * p[1][after]) / (a[0] + lam[before] * p[0][after]))
+        rest = 1 - np.minimum(mass[0], mass[1])
+        a = [x * ((1 - rest) / np.maximum(m, 1e-9))[before] for x, m in zip(a, mass)]
+        self.bigram = np.log((a[1] + rest[before] * p[1][after]) / (a[0] + rest[before] * p[0][after]))
         self.n, self.weights = n, np.zeros(3)
 
     def evidence(self, text) -> tuple[float, float]:
-        """Mean log-likelihood ratio per word: whole text, strongest window."""
+        """Mean log-likelihood ratio per word: whole text, strongest words."""
         x = _ids(words_of(text), self.of)
         if not len(x):
             return 0.0, 0.0
@@ -127,9 +133,8 @@ class Model:
             at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
             hit = self.pairs[at] == key
             r[1:][hit] = self.bigram[at[hit]]
-        c = np.concatenate([[0.0], np.cumsum(r)])
-        w = min(WINDOW, len(r))
-        return float(c[-1] / len(r)), float((c[w:] - c[:-w]).max() / w)
+        top = len(r) - min(len(r), max(2, int(np.ceil(STRONG * len(r)))))
+        return float(r.mean()), float(np.partition(r, top)[top:].mean())
 
     def score(self, text) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.weights[0] + np.dot(self.weights[1:], self.evidence(text)), -500, 500))))
@@ -150,11 +155,11 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return np.concatenate([[w[0] - (w[1:] / scale * mean).sum()], w[1:] / scale])
 
 
-def _evidence(batches, model: Model):
+def _evidence(batches, models: list[Model]):
+    """Evidence under each model, flat, and the label."""
     for b in batches:
-        found = [model.evidence(t) for t in b.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], type=pa.float64()), pa.array([f[1] for f in found], type=pa.float64()),
-                                          b.column(1)], ["whole", "peak", "toxic"])
+        found = [[x for m in models for x in m.evidence(t)] for t in b.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.list_(pa.float64())), b.column(1)], ["x", "toxic"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = WORDS, pairs: int = PAIRS) -> Model | None:
@@ -170,30 +175,40 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = W
     for_counts, for_fit = texts.where("fold <> 1").select("text", "toxic"), texts.where("fold = 1").select("text", "toxic")
     counted = saved(for_counts.mapInArrow(_count_words, "word string, ordinary long, toxic long").groupBy("word").agg(
         F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "word-counts")
-    of = lambda c, k: F.sum(F.when(F.col(c) == k, 1).otherwise(0))
     both = ("ordinary", "toxic")
-    s = counted.agg(*[F.sum(c) for c in both], *[of(c, k) for c in both for k in (1, 2)]).first()
-    if not s[0] or not s[1]:
+    totals = counted.agg(*[F.sum(c) for c in both]).first()
+    if not totals[0] or not totals[1]:
         return None
-    discounts = [min(0.95, max(0.1, s[2 + 2 * c] / max(1, s[2 + 2 * c] + 2 * s[3 + 2 * c]))) for c in (0, 1)]
-    top = counted.where("ordinary + toxic >= 2").orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "word").limit(words).collect()
+    total = F.col("ordinary") + F.col("toxic")
+    top = counted.where(total >= MIN_WORD).orderBy(total.desc(), "word").limit(words).collect()
     names = [r["word"] for r in top]
     unigrams = [np.array([r[c] for r in top], dtype=np.float64) for c in both]
-    two = for_counts.mapInArrow(partial(_count_pairs, words=names), "pair long, ordinary long, toxic long").groupBy("pair").agg(
-        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).where("ordinary + toxic >= 3")
-    two = two.orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "pair").limit(pairs).collect()
+    two = saved(for_counts.mapInArrow(partial(_count_pairs, words=names), "pair long, ordinary long, toxic long").groupBy("pair").agg(
+        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "pair-counts")
+    followers = [np.zeros(len(names)), np.zeros(len(names))]
+    for r in two.groupBy(F.floor(F.col("pair") / max(1, len(names))).alias("w")).agg(*[F.sum(c).alias(c) for c in both]).collect():
+        followers[0][r["w"]], followers[1][r["w"]] = r["ordinary"], r["toxic"]  # at most ``words`` rows
+    two = two.where(total >= MIN_PAIR).orderBy(total.desc(), "pair").limit(pairs).collect()
     sketch = lead(docs, "text").mapInArrow(partial(_contexts, words=names), "word long, lo long, hi long").groupBy("word").agg(
         (F.bit_count(F.bit_or("lo")) + F.bit_count(F.bit_or("hi"))).alias("ones")).collect()  # at most ``words`` rows
     contexts = np.zeros(len(names))
     for r in sketch:
         contexts[r["word"]] = -128 * np.log(max(128 - r["ones"], 0.5) / 128)
-    model = Model(names, unigrams, s[:2], discounts, contexts, np.array([r["pair"] for r in two], dtype=np.int64),
-                  [np.array([r[c] for r in two], dtype=np.float64) for c in both])
-    rows = for_fit.mapInArrow(partial(_evidence, model=model), "whole double, peak double, toxic int").collect()  # at most 2 * sample
+    tables = (np.array([r["pair"] for r in two], dtype=np.int64), [np.array([r[c] for r in two], dtype=np.float64) for c in both], followers)
+    of = {w: i for i, w in enumerate(names)}
+    models = [Model(of, unigrams, totals, d, contexts, *tables) for d in DISCOUNTS]
+    judge = lambda df: df.mapInArrow(partial(_evidence, models=models), "x array<double>, toxic int").collect()
+    rows = judge(for_fit)  # at most 2 * sample
     if len({r["toxic"] for r in rows}) < 2:
-        rows = for_counts.mapInArrow(partial(_evidence, model=model), "whole double, peak double, toxic int").collect()
-    model.weights = _logistic(np.array([[r["whole"], r["peak"]] for r in rows]), np.array([r["toxic"] for r in rows], dtype=np.float64))
-    return model
+        rows = judge(for_counts)
+    x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], dtype=np.float64)
+    loss = []
+    for k, m in enumerate(models):
+        z = x[:, 2 * k:2 * k + 2]
+        m.weights = _logistic(z, y)
+        odds = np.clip(m.weights[0] + z @ m.weights[1:], -30, 30)
+        loss.append(np.logaddexp(0, np.where(y == 1, -odds, odds)).mean())
+    return models[int(np.argmin(loss))]
 
 
 def score_column(model: Model | None, text):
