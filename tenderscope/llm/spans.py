@@ -1,17 +1,19 @@
 """Substring dedup by sliding sentence spans.
 
 A text is cut into sentences: after ``.``, ``!`` or ``?`` and at line ends.  A
-sentence of more than ``LONG`` words is cut further, after ``,`` ``;`` ``:`` ``|``
-and after words that a hash picks (about one in eight), so the cuts inside a
-copied passage depend on its words alone, wherever it stands.  From every
+sentence of more than ``LONG`` words is cut further, into parts of at least
+``PART`` words, after ``,`` ``;`` ``:`` ``|`` and after words that a hash picks
+(about one in four), so the cuts inside a copied passage soon depend on its
+words alone, wherever it stands.  From every
 sentence the shortest run of at least ``RUN`` sentences and ``WORDS`` words is
 hashed; runs are compared by their words, not by their white space.
 
 All runs of all documents meet by hash.  The first run (smallest id, then
-place) of each hash stays; the sentences of every other one go.  Repeated
-hashes are found by a group-by with map-side combining, and the join back to
-the runs is one that Spark can split, so a line that a third of the documents
-share makes no hot task.
+place) of each hash stays; the sentences of every other one go.  A run travels
+as three numbers: its hash, the document and its place.  Repeated hashes are
+found by a count with map-side combining, and the joins back to the runs are
+ones that Spark can split, so a line that a third of the documents share makes
+no hot task.
 """
 
 from __future__ import annotations
@@ -27,79 +29,86 @@ from pyspark.sql import functions as F
 
 from .common import lead, saved
 
-RUN, WORDS, LONG, PICK = 3, 20, 12, 8
+RUN, WORDS, LONG, PART, PICK = 3, 20, 12, 5, 4
+_END = re.compile(r"(?<=[.!?])(?=\s+\S)")
 _WORD = re.compile(r"\S+\s*")
 
 
 def sentences(text: str) -> list[str]:
-    """The pieces of the text; joined they are the text."""
-    out = []
+    """The pieces of the text; joined they are the text.  White space goes with
+    the piece before it, so only a text without words has a piece without."""
+    out: list[str] = []
     for line in text.splitlines(keepends=True):
-        for s in re.split(r"(?<=[.!?])(?=\s+\S)", line):
-            if s.count(" ") < LONG:
-                out.append(s)
-                continue
-            words = _WORD.findall(s)
+        for s in _END.split(line):
+            words = _WORD.findall(s) if s.count(" ") >= LONG else ()
             if len(words) <= LONG:
                 out.append(s)
                 continue
-            at = len(s) - sum(map(len, words))  # leading white space
-            begin = 0
+            at, begin, n = len(s) - sum(map(len, words)), 0, 0  # at: after leading white space
             for w in words:
-                at += len(w)
+                at, n = at + len(w), n + 1
                 bare = w.rstrip()
-                if bare[-1] in ",;:|" or xxhash.xxh32_intdigest(bare.rstrip(".!?").lower()) % PICK == 0:
+                if n >= PART and (bare[-1] in ",;:|" or xxhash.xxh32_intdigest(bare.rstrip(".!?").lower()) % PICK == 0):
                     out.append(s[begin:at])
-                    begin = at
+                    begin, n = at, 0
             if begin < len(s):
                 out.append(s[begin:])
-    return out
+    merged: list[str] = []
+    for s in out:
+        if merged and (s.isspace() or merged[-1].isspace()):
+            merged[-1] += s
+        else:
+            merged.append(s)
+    return merged
 
 
 def runs(pieces: list[str], run: int = RUN, words: int = WORDS):
-    """(hash, first sentence, end sentence) of every run.  Pieces without words
-    belong to no run but do not break one."""
+    """(hashes, first sentences, numbers of sentences) of all runs."""
     split = [p.split() for p in pieces]
-    at = [i for i, w in enumerate(split) if w]
-    n = np.array([len(split[i]) for i in at], dtype=np.int64)
-    if len(at) < run or n.sum() < words:
-        return []
-    h = np.array([xxhash.xxh64_intdigest(" ".join(split[i])) for i in at], dtype=np.uint64)
+    n = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+    if len(n) < run or n.sum() < words:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    h = np.array([xxhash.xxh64_intdigest(" ".join(w)) for w in split], dtype=np.uint64)
     cum = np.concatenate([[0], np.cumsum(n)])
-    stop = np.maximum(np.searchsorted(cum, cum[:-1] + words), np.arange(len(at)) + run)
-    inside = np.flatnonzero(stop <= len(at))
-    step = int((stop[inside] - inside).max()) if len(inside) else 0
-    value = np.zeros(len(inside), dtype=np.uint64)
-    for k in range(step):  # polynomial over the run's sentence hashes
-        use = inside + k < stop[inside]
-        value[use] = (value[use] ^ h[inside[use] + k]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
+    stop = np.maximum(np.searchsorted(cum, cum[:-1] + words), np.arange(len(n)) + run)
+    first = np.flatnonzero(stop <= len(n))
+    size = (stop - np.arange(len(n)))[first]
+    value = np.zeros(len(first), dtype=np.uint64)
+    for k in range(int(size.max()) if len(size) else 0):  # polynomial over the run's sentence hashes
+        use = k < size
+        value[use] = (value[use] ^ h[first[use] + k]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
         value[use] ^= value[use] >> np.uint64(29)
-    return list(zip(value.view(np.int64).tolist(), [at[i] for i in inside], [at[j - 1] + 1 for j in stop[inside]]))
+    return value.view(np.int64), first, size
 
 
 def _spans(batches, run: int, words: int):
-    schema = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("h", pa.int64()), ("a", pa.int32()), ("z", pa.int32())])
+    """place: first sentence (32 bits), number of sentences (8), text hash (24).
+    A run has at most ``max(run, words)`` sentences, as each has a word."""
     for b in batches:
-        cols = [[], [], [], [], []]
+        hashes, docs, places = [], [], []
         for doc_id, text, h in zip(*(c.to_pylist() for c in b.columns)):
-            found = runs(sentences(text or ""), run, words)
-            cols[0] += [f[0] for f in found]
-            cols[1] += [doc_id] * len(found)
-            cols[2] += [h] * len(found)
-            cols[3] += [f[1] for f in found]
-            cols[4] += [f[2] for f in found]
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
+            value, first, size = runs(sentences(text or ""), run, words)
+            hashes.append(value)
+            docs += [doc_id] * len(value)
+            places.append(first << 32 | size << 24 | (h & 0xFFFFFF))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes or [np.empty(0, np.int64)])), pa.array(docs, type=pa.int64()),
+                                          pa.array(np.concatenate(places or [np.empty(0, np.int64)]))], ["hash", "doc_id", "place"])
 
 
 def repeated_spans(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
     """(doc_id, h, a, z, first_doc): sentences a..z-1 of a document repeat a run
-    that stands earlier, in ``first_doc``."""
+    that stands earlier, in ``first_doc``; h: low 24 bits of its text's hash."""
+    if max(run, words) > 127:
+        raise ValueError("runs hold at most 127 sentences")
     rows = lead(docs, "doc_id", "text").withColumn("h", F.xxhash64("text"))
-    spans = saved(rows.mapInArrow(partial(_spans, run=run, words=words), "hash long, doc_id long, h long, a int, z int"), "spans")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "a")
-    first = spans.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
-    return spans.join(first.select("hash", "first"), "hash").where(~F.col("first").eqNullSafe(place)).select(
-        "doc_id", "h", "a", "z", F.col("first.doc_id").alias("first_doc"))
+    spans = saved(rows.mapInArrow(partial(_spans, run=run, words=words), "hash long, doc_id long, place long"), "spans")
+    often = spans.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    again = saved(spans.join(often, "hash", "left_semi"), "repeated-spans")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
+    first = again.groupBy("hash").agg(F.min(at).alias("first"))
+    return again.join(first, "hash").where(~F.col("first").eqNullSafe(at)).select(
+        "doc_id", F.col("place").bitwiseAND(0xFFFFFF).alias("h"), F.shiftright("place", 32).alias("a"),
+        (F.shiftright("place", 32) + F.shiftright("place", 24).bitwiseAND(0xFF)).alias("z"), F.col("first.doc_id").alias("first_doc"))
 
 
 def _clean(batches):
@@ -140,7 +149,7 @@ def remove_repeats(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataF
     cover = repeated_spans(docs, run, words).groupBy("doc_id", "h", "a").agg(F.max("z").alias("z"), F.collect_set("first_doc").alias("f"))
     cover = cover.groupBy("doc_id", "h").agg(F.collect_list(F.struct("a", "z")).alias("cover"),
                                              F.array_distinct(F.flatten(F.collect_list("f"))).alias("first_docs"))
-    rows = lead(docs, "doc_id", "text").withColumn("h", F.xxhash64("text"))
+    rows = lead(docs, "doc_id", "text").withColumn("h", F.xxhash64("text").bitwiseAND(0xFFFFFF))
     both = rows.alias("r").join(cover.alias("c"), F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r.h") == F.col("c.h")), "left")
     return both.select("r.doc_id", "r.text", "cover", "first_docs").mapInArrow(
         _clean, "doc_id long, text string, n_sentences long, n_removed long, "

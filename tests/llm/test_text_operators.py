@@ -240,6 +240,7 @@ def test_sentence_spans(spark):
 
 
 def test_sentences_keep_every_character():
+    assert not any(p.isspace() for p in spans.sentences("a b.\n\n \n c d.\n")) and spans.sentences(" \n ") == [" \n "]
     for t in ["", "a", "One. Two!  Three?\n\nFour", "x " * 100, "a, b; c " * 50, "\r\n a.b.c  .\n", "w x. y\x0bz"]:
         assert "".join(spans.sentences(t)) == t
 
