@@ -1,87 +1,30 @@
 """Exact quantiles (linear interpolation, as pandas / DAX MEDIAN) that scale
 with skewed groups.
 
-``percentile()`` buffers every distinct value of a group in one task, so a
-group holding a third of the data would sit in one executor's memory.  Here
-the rows are range-partitioned on ``(keys, value)`` instead: Spark samples the
-key/value distribution, so one hot group is spread over many partitions.
-After a per-partition sort every row's position inside its partition is read
-off ``monotonically_increasing_id`` (partition index in the high bits); the
-per-(group, partition) row counts are tiny, and their running sum gives each
-block's offset inside its group.  Only the rows at the wanted ranks are then
-picked out and interpolated.  All steps are distributed; the only windows run
-over the per-block counts (at most #partitions rows per group).
-
-Why the partition index is stable: the range exchange has an explicit
-partition count (``REPARTITION_BY_NUM``), which AQE never coalesces or
-splits; both consumers of it read one reused exchange; and a map task rerun
-after a lost executor reproduces the same partition contents, because the
-range bounds are fixed in the shuffle dependency and ties carry equal values.
+``percentile()`` buffers every distinct value of a group in one task.  Here the
+rows are counted per (group, value) with map-side combining, the running counts
+come from ``ordered.value_totals`` (buckets that depend on the values alone),
+and one aggregation per group picks the values at the wanted ranks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import value_totals
 from .util import keys_list
 
-_POS_MASK = (1 << 33) - 1
-
 
 def exact_quantiles(df: DataFrame, by, value: str, probs, names=None) -> DataFrame:
     by = keys_list(by)
     probs = list(probs)
     names = list(names or [f"q{int(round(p * 100)):02d}" for p in probs])
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    vals = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ordered = vals.repartitionByRange(n_parts, *by, "_v").sortWithinPartitions(*by, "_v")
-    ided = ordered.select(
-        *by, "_v",
-        F.shiftright(F.monotonically_increasing_id(), 33).alias("_pid"),
-        F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)).alias("_pos"),
-    )
-
-    blocks = ided.groupBy(*by, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_p0"))
-    wg = Window.partitionBy(*by) if by else Window.partitionBy()
-    blocks = blocks.select(
-        *by, "_pid", "_cnt", "_p0",
-        F.coalesce(F.sum("_cnt").over(wg.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(wg).alias("_n"),
-    )
-
-    # Wanted ranks per group: h = (n-1)p, lo = floor(h), hi = ceil(h).
-    prob_arr = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    wanted = blocks.select(*by, "_pid", "_cnt", "_p0", "_off", "_n", F.explode(prob_arr).alias("_q"))
-    wanted = wanted.select(
-        *by, "_pid", "_cnt", "_p0", "_off", "_n", F.col("_q.i").alias("_i"),
-        ((F.col("_n") - 1) * F.col("_q.p")).alias("_h"),
-    )
-    wanted = wanted.select(
-        "*", F.explode(F.array(F.floor("_h"), F.ceil("_h"))).alias("_r")
-    ).where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_cnt")))
-    targets = wanted.select(
-        *by, "_pid", (F.col("_p0") + F.col("_r") - F.col("_off")).alias("_pos"), "_i", "_h", "_r"
-    )
-
-    t = targets
-    for k in by:
-        t = t.withColumnRenamed(k, f"__t_{k}")
-    cond = (ided["_pid"] == t["_pid"]) & (ided["_pos"] == t["_pos"])
-    for k in by:
-        cond = cond & ided[k].eqNullSafe(t[f"__t_{k}"])
-    hits = ided.join(t, cond).select(*[ided[k] for k in by], ided["_v"], t["_i"], t["_h"], t["_r"])
-
-    # one aggregation per group: for each wanted quantile the value at the
-    # lower and at the upper rank (struct min/max order by rank first)
-    aggs = []
-    for i in range(len(probs)):
-        hit = F.when(F.col("_i") == i, F.struct(F.col("_r").alias("r"), F.col("_v").alias("v"), F.col("_h").alias("h")))
-        aggs += [F.min(hit).alias(f"_lo{i}"), F.max(hit).alias(f"_hi{i}")]
-    a = hits.groupBy(*by).agg(*aggs)
-    qv = lambda i: (F.col(f"_lo{i}.v") + (F.col(f"_lo{i}.h") - F.floor(F.col(f"_lo{i}.h")))
-                    * (F.col(f"_hi{i}.v") - F.col(f"_lo{i}.v")))
-    out = a.select(*by, *[qv(i).alias(n) for i, n in enumerate(names)])
-    return out
+    t = value_totals(df.where(F.col(value).isNotNull()), by, value, descending=False)
+    rank = lambda p: (F.col("_all") - 1) * F.lit(float(p))
+    at = lambda r: F.max(F.when((F.col("_n0") <= r) & (r < F.col("_n0") + F.col("_n")), F.col("_val")))
+    picked = t.groupBy(*by).agg(F.max("_all").alias("_all"), *[
+        at(edge(rank(p))).alias(f"_{k}{i}") for i, p in enumerate(probs) for k, edge in (("lo", F.floor), ("hi", F.ceil))])
+    low = lambda i: F.col(f"_lo{i}").cast("double")
+    between = lambda i, p: low(i) + (rank(p) - F.floor(rank(p))) * (F.col(f"_hi{i}").cast("double") - low(i))
+    return picked.select(*by, *[between(i, p).alias(n) for i, (p, n) in enumerate(zip(probs, names))])
