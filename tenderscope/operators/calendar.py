@@ -13,14 +13,18 @@ from pyspark.sql import functions as F
 from ..functions.fmt import month_abbr_pt, month_name_pt, weekday_pt
 
 
-def bounds(monthly_or_fact: DataFrame, date_col: str = "mes", end: str = "edate7") -> DataFrame:
+def bounds(frame: DataFrame, date_col: str = "mes", end: str = "edate7", monthly: bool = True) -> DataFrame:
     """One row ``(d0, d1)``: 1 Jan of the first year → EDATE(last month, 7)
-    (model form, ``end='edate7'``) or 31 Dec of the last year (``end='year'``)."""
-    # min/max over a struct that includes every column: Catalyst cannot drop
-    # an aggregate below (duplicate-insensitive min/max over its keys would
-    # otherwise be rewritten to scan the raw rows a second time)
-    allc = F.struct(F.col(date_col).alias("d"), *[F.col(f"`{c}`") for c in monthly_or_fact.columns if c != date_col])
-    b = monthly_or_fact.agg(F.min(allc)["d"].alias("_lo"), F.max(allc)["d"].alias("_hi"))
+    (model form, ``end='edate7'``) or 31 Dec of the last year (``end='year'``).
+
+    From the fact (``monthly=False``) only the date column is read.  From a
+    monthly aggregate, min/max run over a struct of its columns: Catalyst would
+    otherwise drop the aggregate below and scan the raw rows a second time."""
+    if monthly:
+        whole = F.struct(F.col(date_col).alias("d"), *[F.col(f"`{c}`") for c in frame.columns if c != date_col])
+        b = frame.agg(F.min(whole)["d"].alias("_lo"), F.max(whole)["d"].alias("_hi"))
+    else:
+        b = frame.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
     d0 = F.trunc("_lo", "year")
     if end == "year":
         d1 = F.make_date(F.year("_hi"), F.lit(12), F.lit(31))
@@ -35,7 +39,7 @@ def bounds(monthly_or_fact: DataFrame, date_col: str = "mes", end: str = "edate7
 
 def calendar(fact: DataFrame, end: str = "edate7", date_col: str = "mes") -> DataFrame:
     """Daily calendar with the model's attributes."""
-    b = bounds(fact, date_col, end)
+    b = bounds(fact, date_col, end, monthly=False)
     days = b.select(F.explode(F.sequence("d0", "d1", F.expr("interval 1 day"))).alias("Date"))
     d = F.col("Date")
     q = F.quarter(d)

@@ -1,12 +1,10 @@
 """Description categorisation (C1–C6) as native expressions.
 
-The catalogue (at most 25 categories with a prototype vector each) is folded
-into a single row holding an array of structs; that one row is broadcast and
+The catalogue (a reference list: one prototype vector per category, however
+many there are) is folded into a single row holding an array of structs, and
 every description scores all categories inside ``transform`` / ``aggregate``
 — no pair rows are emitted and nothing goes back through a shuffle after the
-scoring.  The 25-category bound is the catalogue's own limit and is checked
-in the plan (``raise_error``), so the broadcast side is bounded by
-construction.
+scoring.
 """
 
 from __future__ import annotations
@@ -18,7 +16,6 @@ from ..functions.text import clean_text
 from .quality import NEEDS_REVIEW, NO_DESCRIPTION
 from .util import rnd
 
-MAX_CATEGORIES = 25
 THRESHOLD = 0.25
 
 
@@ -34,22 +31,19 @@ def prototypes(vectors: DataFrame, label: str = "label", vec: str = "embedding",
         F.transform("_p", lambda p: p["x"]).alias("vec"))
 
 
-def catalogue_row(cats: DataFrame, max_categories: int = MAX_CATEGORIES) -> DataFrame:
-    """Fold the catalogue into one row ``cats: array<struct<idx,name,vec,norm>>``;
-    more than ``max_categories`` entries fails the job."""
+def catalogue_row(cats: DataFrame) -> DataFrame:
+    """Fold the catalogue into one row ``cats: array<struct<idx,name,vec,norm>>``."""
     c = cats.select("name", "_ord", "vec",
                     F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
     one = c.agg(F.sort_array(F.collect_list(F.struct("_ord", "name", "vec", "norm"))).alias("_c"))
-    one = one.select(F.transform("_c", lambda s, i: F.struct(i.alias("idx"), s["name"].alias("name"), s["vec"].alias("vec"),
-                                                               s["norm"].alias("norm"))).alias("cats"))
-    return one.select(F.when(F.size("cats") > max_categories,
-                             F.raise_error(F.lit(f"category catalogue larger than {max_categories}"))).otherwise(F.col("cats")).alias("cats"))
+    return one.select(F.transform("_c", lambda s, i: F.struct(i.alias("idx"), s["name"].alias("name"), s["vec"].alias("vec"),
+                                                              s["norm"].alias("norm"))).alias("cats"))
 
 
 def score_best(texts: DataFrame, cat_row: DataFrame, vec: str = "embedding") -> DataFrame:
     """Best category by cosine similarity; exact ties → lowest index.
     Adds ``best_name``, ``best_score``."""
-    t = texts.join(F.broadcast(cat_row), how="cross")
+    t = texts.join(cat_row, how="cross")  # one row
     v = F.transform(F.col(vec), lambda x: x.cast("double"))
     t = t.withColumn("_v", v).withColumn("_vn", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, x: s + x * x)))
     scored = F.transform("cats", lambda c: F.struct(
@@ -73,7 +67,8 @@ def apply_threshold(scored: DataFrame, threshold: float = THRESHOLD) -> DataFram
 def build_map(descriptions: DataFrame, cat_row: DataFrame, text: str = "descricao", vec: str = "embedding",
               threshold: float = THRESHOLD) -> DataFrame:
     """C6 (with C1, C2): one row per distinct description → (category,
-    confidence).  Empty cleaned text → ``Sem Descrição`` with 0.0, no scoring."""
+    confidence).  Empty cleaned text → ``Sem Descrição`` with 0.0, no scoring;
+    a text without a vector needs review and has no confidence."""
     d = descriptions.withColumn("_clean", clean_text(text))
     # one pass: every description is scored, the empty ones then take the
     # no-description label (scoring an empty one is cheaper than a second

@@ -62,9 +62,9 @@ def q_monthly_kpis(spark, d):
 
 
 @register("category_month_sum", with_fact(
-    f"SELECT categoria_ia, mes, {smoney('SUM(valor)')} AS valor_total FROM fact WHERE categoria_ia IS NOT NULL AND mes IS NOT NULL GROUP BY ALL"))
+    f"SELECT categoria_ia, mes, {smoney('SUM(valor)')} AS valor_total FROM fact WHERE categoria_ia IS NOT NULL AND mes IS NOT NULL AND valor IS NOT NULL GROUP BY ALL"))
 def q_category_month_sum(spark, d):
-    f = fact(spark, d).dropna(subset=["categoria_ia", "mes"])
+    f = fact(spark, d).dropna(subset=["categoria_ia", "mes", "valor"])
     return f.groupBy("categoria_ia", "mes").agg(money(F.sum("valor")).alias("valor_total"))
 
 
@@ -101,17 +101,17 @@ _DETAIL_SQL = f"""{dcount_blank('id')} AS qtd_licitacoes, CAST(SUM(quantidade) A
   {sratio(div('SUM(valor)', '(SELECT SUM(valor) FROM fact)'))} AS pct_total"""
 
 
-@register("category_detail", with_ctes(f"SELECT categoria_ia, {_DETAIL_SQL} FROM sliced GROUP BY 1", FACT_CTE, _SLICED))
+@register("category_detail", with_ctes(f"SELECT categoria_ia, {_DETAIL_SQL} FROM fact GROUP BY 1", FACT_CTE))
 def q_category_detail(spark, d):
-    s, f = _sliced(spark, d)
+    s = f = fact(spark, d)
     return rp.category_detail(s, f)
 
 
 @register("category_detail_rollup", with_ctes(
-    f"SELECT categoria_ia, {_DETAIL_SQL}, CAST(GROUPING(categoria_ia) AS BIGINT) AS linha_total FROM sliced GROUP BY ROLLUP (categoria_ia)",
-    FACT_CTE, _SLICED))
+    f"SELECT categoria_ia, {_DETAIL_SQL}, CAST(GROUPING(categoria_ia) AS BIGINT) AS linha_total FROM fact GROUP BY ROLLUP (categoria_ia)",
+    FACT_CTE))
 def q_category_detail_rollup(spark, d):
-    s, f = _sliced(spark, d)
+    s = f = fact(spark, d)
     return rp.category_detail(s, f, with_total=True)
 
 
@@ -157,9 +157,9 @@ def q_rank_category(spark, d):
 @register("rank_supplier", with_ctes(
     f"""SELECT nome, cpfCnpjVencedor, {smoney('SUM(valor)')} AS valor_total,
           CAST(DENSE_RANK() OVER (ORDER BY SUM(valor) DESC) AS BIGINT) AS rank
-        FROM sliced GROUP BY 1, 2""", FACT_CTE, _SLICED))
+        FROM fact GROUP BY 1, 2""", FACT_CTE))
 def q_rank_supplier(spark, d):
-    s, _ = _sliced(spark, d)
+    s = fact(spark, d)
     return rk.dense_rank_by_value(s, ["nome", "cpfCnpjVencedor"])
 
 
@@ -319,7 +319,8 @@ def q_formatted_total(spark, d):
     spine_cte()))
 def q_yoy_colour(spark, d):
     t = time_intelligence(fact(spark, d))
-    return t.select("mes", dq.yoy_colour("yoy_pct").alias("cor_yoy"))
+    raw = t.withColumn("_pct", F.try_divide("delta_yoy", "valor_ano_anterior"))  # not the ratio rounded for display
+    return raw.select("mes", dq.yoy_colour("_pct").alias("cor_yoy"))
 
 
 # ---------------------------------------------------------------- report visuals
@@ -335,9 +336,9 @@ def q_sliced_kpis(spark, d):
 
 @register("supplier_table", with_ctes(
     f"""SELECT nome, {dcount_blank('id')} AS qtd_licitacoes, {smoney('SUM(valor)')} AS valor_total,
-          {sratio(div('SUM(valor)', '(SELECT SUM(valor) FROM fact)'))} AS pct_total FROM sliced GROUP BY 1""", FACT_CTE, _SLICED))
+          {sratio(div('SUM(valor)', '(SELECT SUM(valor) FROM fact)'))} AS pct_total FROM fact GROUP BY 1""", FACT_CTE))
 def q_supplier_table(spark, d):
-    s, f = _sliced(spark, d)
+    s = f = fact(spark, d)
     return rp.supplier_table(s, f)
 
 
@@ -365,9 +366,9 @@ def q_category_year_pivot(spark, d):
           {dcount_blank('id')} AS qtd_licitacoes, {smoney('SUM(valor)')} AS valor_total,
           {sratio(div('SUM(valor)', dcount_blank('id')))} AS ticket_medio,
           {sratio(div('SUM(valor)', '(SELECT SUM(valor) FROM fact)'))} AS pct_total
-        FROM sliced GROUP BY nome, cpfCnpjVencedor""", FACT_CTE, _SLICED))
+        FROM fact GROUP BY nome, cpfCnpjVencedor""", FACT_CTE))
 def q_supplier_detail(spark, d):
-    s, f = _sliced(spark, d)
+    s = f = fact(spark, d)
     return rp.supplier_detail(s, f)
 
 

@@ -60,13 +60,13 @@ def q_parse_month(spark, d):
 
 @register("cast_fact", with_ctes(
     """SELECT i.id, i.numero,
-         CAST(TRY_CAST(replace(replace(i.valor, '.', ''), ',', '.') AS DOUBLE) AS DECIMAL(19,4)) AS valor,
+         TRY_CAST(TRY_CAST(replace(replace(i.valor, '.', ''), ',', '.') AS DOUBLE) AS DECIMAL(19,4)) AS valor,
          CAST(try_strptime('01/' || h."mes/ano", '%d/%m/%Y') AS DATE) AS mes
        FROM raw_items i LEFT JOIN headers h ON i.id = CAST(h.id AS VARCHAR)""",
     RAW_ITEMS_CTE, HEADERS_CTE))
 def q_cast_fact(spark, d):
     j = attach_month(raw_items(spark, d), headers(spark, d))
-    return j.select("id", "numero", parse_br("valor").cast("decimal(19,4)").alias("valor"),
+    return j.select("id", "numero", parse_br("valor").try_cast("decimal(19,4)").alias("valor"),
                     parse_month("`mes/ano`").alias("mes"))
 
 

@@ -58,8 +58,10 @@ def _series_sql(body, key=None, *extra):
 @register("describe_fact")
 def q_describe_fact(spark, d):
     """Count, mean, stddev, min, max of every column (strings as text)."""
-    f = fact(spark, d).select("id", "quantidade", F.col("valor").cast("double").alias("valor"), "categoria_ia", "nome")
-    return f.describe()
+    f = fact(spark, d)
+    number = lambda t: t in ("tinyint", "smallint", "int", "bigint", "float", "double")
+    kind = lambda c, t: F.col(c) if number(t) else F.col(c).cast("double" if t.startswith("decimal") else "string")
+    return f.select(*[kind(c, t).alias(c) for c, t in f.dtypes]).describe()
 
 
 _DESC = """SELECT series_id, COUNT(y) AS count, ROUND(AVG(y), 2) AS mean, ROUND(STDDEV_SAMP(y), 2) AS std, ROUND(MIN(y), 2) AS min,

@@ -58,26 +58,29 @@ def q_classify_threshold(spark, d):
 
 
 def _descriptions(spark, d):
-    """Distinct description texts with a vector: documents paired with the
-    embedding of the same id; a text seen under several ids takes the vector
-    of the smallest id."""
+    """Distinct description texts of all documents, each with the embedding of
+    the smallest of its ids that has one (none: null).  Texts meet by their
+    hash, so whole texts are no sort or join keys."""
     docs = read_table(spark, d, "documents").select("doc_id", "text")
     emb = read_table(spark, d, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    j = docs.join(emb, on="doc_id")
-    return j.groupBy(F.col("text").alias("descricao")).agg(F.min_by("embedding", "doc_id").alias("embedding"))
+    j = docs.join(emb, on="doc_id", how="left")
+    at = F.when(F.col("embedding").isNotNull(), F.col("doc_id"))
+    return j.groupBy(F.sha2("text", 256).alias("_h")).agg(F.first("text").alias("descricao"), F.min_by("embedding", at).alias("embedding")).drop("_h")
 
 
 _DESC_SRC = """descs AS (SELECT text AS descricao, arg_min(embedding, doc_id) AS embedding
-          FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id GROUP BY text),
+          FROM documents d LEFT JOIN embeddings e ON d.doc_id = e.vec_id GROUP BY text),
 dcl AS (SELECT descricao, embedding, {clean} AS cl FROM descs)""".format(clean=_CLEAN_SQL.format(c="descricao"))
 
 _MAP_SQL = with_ctes(
     """SELECT descricao AS descricao_original, CASE WHEN score >= 0.25 THEN name ELSE 'Outros / Necessita Revisão' END AS categoria_ia,
          ROUND(score, 2) AS confianca FROM best
        UNION ALL
+       SELECT descricao, 'Outros / Necessita Revisão', NULL FROM dcl WHERE cl <> '' AND embedding IS NULL
+       UNION ALL
        SELECT descricao, 'Sem Descrição', 0.0 FROM dcl WHERE cl = ''""",
     _CATS, _DESC_SRC,
-    _SCORE.format(src="(SELECT descricao, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS v FROM dcl WHERE cl <> '')", key="descricao"))
+    _SCORE.format(src="(SELECT descricao, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS v FROM dcl WHERE cl <> '' AND embedding IS NOT NULL)", key="descricao"))
 
 
 @register("build_map", _MAP_SQL)
@@ -93,9 +96,10 @@ def q_build_map(spark, d):
          ROUND(AVG(confianca), 6) AS confianca_media
        FROM mp""",
     _CATS, _DESC_SRC,
-    _SCORE.format(src="(SELECT descricao, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS v FROM dcl WHERE cl <> '')", key="descricao"),
+    _SCORE.format(src="(SELECT descricao, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS v FROM dcl WHERE cl <> '' AND embedding IS NOT NULL)", key="descricao"),
     """mp AS (SELECT descricao AS descricao_original, CASE WHEN score >= 0.25 THEN name ELSE 'Outros / Necessita Revisão' END AS categoria_ia,
          ROUND(score, 2) AS confianca FROM best
+       UNION ALL SELECT descricao, 'Outros / Necessita Revisão', NULL FROM dcl WHERE cl <> '' AND embedding IS NULL
        UNION ALL SELECT descricao, 'Sem Descrição', 0.0 FROM dcl WHERE cl = '')"""))
 def q_map_quality(spark, d):
     m = cl.build_map(_descriptions(spark, d), _cats(spark, d))

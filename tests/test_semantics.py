@@ -130,14 +130,12 @@ def test_empty_description_gets_no_description_label(spark):
     assert got["Água nº 5"] == ("a", 1.0)
 
 
-def test_catalogue_bound_is_enforced(spark):
-    cats = spark.createDataFrame([(f"c{i}", i, [1.0]) for i in range(26)], "name string, _ord int, vec array<double>")
-    try:
-        cl.catalogue_row(cats).collect()
-    except Exception as e:  # noqa: BLE001
-        assert "larger than 25" in str(e)
-    else:
-        raise AssertionError("26 categories accepted")
+def test_large_catalogue(spark):
+    vec = lambda i: [1.0 if k == i else 0.0 for k in range(60)]
+    cats = spark.createDataFrame([(f"c{i}", i, vec(i)) for i in range(60)], "name string, _ord int, vec array<double>")
+    d = spark.createDataFrame([(f"t{i}", vec(i)) for i in range(60)] + [("no vector", None)], "descricao string, embedding array<double>")
+    got = {r.descricao_original: (r.categoria_ia, r.confianca) for r in cl.build_map(d, cl.catalogue_row(cats)).collect()}
+    assert got == {**{f"t{i}": (f"c{i}", 1.0) for i in range(60)}, "no vector": ("Outros / Necessita Revisão", None)}
 
 
 def test_falling_forecast_floors_at_zero_and_blanks_interval(spark):
