@@ -16,7 +16,6 @@ those edge rows (two per partition) are matched by one small window.
 from __future__ import annotations
 
 import hashlib
-from functools import partial
 
 import numpy as np
 import pyarrow as pa

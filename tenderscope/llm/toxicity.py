@@ -21,13 +21,13 @@ Rows learnt from: at most ``SAMPLE`` labelled documents of each class (smallest
 id hash first), never ones whose crc32(doc_id) mod 5 is 0; remainder 1 is for
 the logistic fit.  The models hold at most ``WORDS`` words and ``PAIRS`` word
 pairs, so what is broadcast has a fixed size.  The distinct-context counts
-travel as 128-bit linear-counting bitmaps per word, merged map-side.
+travel as HyperLogLog registers per word, merged map-side; they do not fill up,
+so they go on growing with the corpus.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -35,6 +35,7 @@ from functools import partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,9 @@ from .common import fold, lead, saved
 
 SAMPLE, WORDS, PAIRS, STRONG = 20_000, 100_000, 200_000, 0.015
 DISCOUNTS = (0.75, 2.0, 4.0)
+#: registers of a word's distinct-context count, and their columns (two registers each)
+REGISTERS = 32
+_REGISTERS = [f"r{i}" for i in range(REGISTERS // 2)]
 #: fewest documents of a word or a pair in the models; weight of the back-off against a word's pair counts
 MIN_WORD, MIN_PAIR, BACKOFF = 3, 10, 500.0
 _WORD = re.compile(r"\w+")
@@ -80,23 +84,47 @@ def _count_pairs(batches, words: list[str]):
 
 
 def _contexts(batches, words: list[str]):
-    """Bitmap of hashed preceding words for every model word of the partition."""
+    """Registers of the distinct preceding words for every model word of the
+    partition; a register holds the highest rank seen as one bit of 32, so
+    partitions merge by bitwise or."""
     of = {w: i for i, w in enumerate(words)}
-    seen = np.zeros((len(words), 128), dtype=bool)
+    known = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    seen = np.zeros(len(words) * REGISTERS, dtype=np.uint32)
     for b in batches:
         for text in b.column(0).to_pylist():
             names = words_of(text)
             x = _ids(names, of)
-            slot = (x * 2654435761 >> 7) & 127
-            for i in np.flatnonzero(x < 0).tolist():
-                slot[i] = zlib.crc32(names[i].encode()) & 127
-            ok = x[1:] >= 0
-            seen[x[1:][ok], slot[:-1][ok]] = True
+            at = np.flatnonzero(x[1:] >= 0)
+            if not len(at):
+                continue
+            h = known[x[at]]
+            new = np.flatnonzero(x[at] < 0)
+            h[new] = [xxhash.xxh64_intdigest(names[i]) for i in at[new].tolist()]
+            rank = (h // np.uint64(REGISTERS)) | np.uint64(1 << 31)
+            np.maximum.at(seen, x[at + 1] * REGISTERS + (h % np.uint64(REGISTERS)).astype(np.int64),
+                          (rank & (~rank + np.uint64(1))).astype(np.uint32))
+    seen = seen.reshape(-1, REGISTERS)
     some = np.flatnonzero(seen.any(axis=1))
-    bits = np.packbits(seen[some], axis=1).view("<i8")
     for i in range(0, len(some), 10_000):
-        yield pa.RecordBatch.from_arrays([pa.array(some[i:i + 10_000]), pa.array(np.ascontiguousarray(bits[i:i + 10_000, 0])),
-                                          pa.array(np.ascontiguousarray(bits[i:i + 10_000, 1]))], ["word", "lo", "hi"])
+        two = seen[some[i:i + 10_000]].view("<i8")
+        yield pa.RecordBatch.from_arrays([pa.array(some[i:i + 10_000])] + [pa.array(np.ascontiguousarray(c)) for c in two.T],
+                                         ["word", *_REGISTERS])
+
+
+def distinct_contexts(registers: np.ndarray) -> np.ndarray:
+    """HyperLogLog estimate for each row of registers (highest bit: the rank);
+    linear counting while registers are empty and the count is small."""
+    rank = np.frexp(registers.astype(np.float64))[1]
+    m, empty = registers.shape[1], (rank == 0).sum(axis=1)
+    raw = 0.697 * m * m / np.exp2(-rank.astype(np.float64)).sum(axis=1)
+    return np.where((raw <= 2.5 * m) & (empty > 0), m * np.log(m / np.maximum(empty, 1)), raw)
+
+
+def _estimated(batches):
+    for b in batches:
+        two = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[1:]]) if b.num_rows else np.empty((0, len(_REGISTERS)), np.int64)
+        count = distinct_contexts(np.ascontiguousarray(two).view("<u4"))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count)], ["word", "contexts"])
 
 
 class Model:
@@ -189,11 +217,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = W
     for r in two.groupBy(F.floor(F.col("pair") / max(1, len(names))).alias("w")).agg(*[F.sum(c).alias(c) for c in both]).collect():
         followers[0][r["w"]], followers[1][r["w"]] = r["ordinary"], r["toxic"]  # at most ``words`` rows
     two = two.where(total >= MIN_PAIR).orderBy(total.desc(), "pair").limit(pairs).collect()
-    sketch = lead(docs, "text").mapInArrow(partial(_contexts, words=names), "word long, lo long, hi long").groupBy("word").agg(
-        (F.bit_count(F.bit_or("lo")) + F.bit_count(F.bit_or("hi"))).alias("ones")).collect()  # at most ``words`` rows
+    sketch = lead(docs, "text").mapInArrow(partial(_contexts, words=names), ", ".join(["word long"] + [f"{c} long" for c in _REGISTERS]))
+    sketch = sketch.groupBy("word").agg(*[F.bit_or(c).alias(c) for c in _REGISTERS])
     contexts = np.zeros(len(names))
-    for r in sketch:
-        contexts[r["word"]] = -128 * np.log(max(128 - r["ones"], 0.5) / 128)
+    for r in sketch.mapInArrow(_estimated, "word long, contexts double").collect():  # at most ``words`` rows
+        contexts[r["word"]] = r["contexts"]
     tables = (np.array([r["pair"] for r in two], dtype=np.int64), [np.array([r[c] for r in two], dtype=np.float64) for c in both], followers)
     of = {w: i for i, w in enumerate(names)}
     models = [Model(of, unigrams, totals, d, contexts, *tables) for d in DISCOUNTS]

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -374,3 +375,19 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs, labels):
     assert len({r.s for r in scores if not r.t}) == 1
     assert toxicity.toxicity(no_docs, labels).count() == 0
     assert toxicity.toxicity(odd_docs, labels.limit(0)).agg(F.max("score")).first()[0] == 0.0
+
+
+def test_toxicity_contexts_keep_growing():
+    """Distinct preceding words, counted in parts and merged by bitwise or."""
+    words = ["the", "w1", "none"]
+    for n in (5, 200, 30_000):
+        text = [f"w{i} the" for i in range(n)]
+        parts = [pa.RecordBatch.from_pydict({"text": [" ".join(text[k::3]), None, ""]}) for k in range(3)]
+        merged = {}
+        for part in parts:
+            for b in toxicity._contexts([part], words):
+                for word, *registers in zip(*(c.to_pylist() for c in b.columns)):
+                    merged[word] = np.bitwise_or(merged.get(word, 0), np.array(registers, dtype=np.int64))
+        count = toxicity.distinct_contexts(np.array([merged[0]]).view("<u4"))[0]
+        assert 0.6 * n < count < 1.5 * n
+        assert 2 not in merged
