@@ -94,11 +94,13 @@ def q_silver_clean(spark, d):
     return md.silver(expenses(spark, d))
 
 
-@register("bronze_layer")
+@register("bronze_layer", with_ctes("SELECT ano, codigoOrgao, nomeOrgao, valor, TRUE AS tem_data_ingestao FROM expenses", EXPENSES_CTE))
 def q_bronze_layer(spark, d):
+    """The stored layer; of the ingestion time only whether it is set."""
     path = md.bronze(spark, expenses(spark, d), md.scratch_path(spark, "bronze"))
     from ..sources.files import read_layer
-    return read_layer(spark, path)
+    return read_layer(spark, path).select("ano", "codigoOrgao", "nomeOrgao", "valor",
+                                          F.col("data_ingestao").isNotNull().alias("tem_data_ingestao"))
 
 
 @register("gold_agency_totals", with_ctes(

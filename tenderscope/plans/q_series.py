@@ -224,7 +224,30 @@ def q_ljung_box(spark, d):
     return tsa.ljung_box(x.select("series_id", "mes", "mseq", F.col("resid").alias("y")))
 
 
-@register("kpss_trend")
+_KPSS = ("""k0 AS (SELECT series_id, y, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY mes) AS t,
+                COUNT(*) OVER (PARTITION BY series_id) AS n FROM s0 WHERE y IS NOT NULL)""",
+         """k1 AS (SELECT k0.series_id, t, n, y - my - b * (t - mt) AS c
+         FROM k0 JOIN (SELECT series_id, regr_slope(y, t) AS b, AVG(y) AS my, AVG(t) AS mt FROM k0 GROUP BY 1) f USING (series_id) WHERE n >= 3)""",
+         """kg AS (SELECT a.series_id, a.n, z.t - a.t AS k, SUM(a.c * z.c) AS g
+         FROM k1 a JOIN k1 z ON a.series_id = z.series_id AND z.t >= a.t GROUP BY ALL)""",
+         """kl AS (SELECT series_id, n, SUM(g) FILTER (WHERE k = 0) AS g0, LEAST(FLOOR(1.1447 * POW(POW(
+           SUM(CASE WHEN k > 0 THEN k * g * 2 / n ELSE 0 END) / SUM(CASE WHEN k > 0 THEN g * 2 / n ELSE g / n END), 2), 1.0 / 3)
+           * POW(n, 1.0 / 3)), n - 1) AS lags
+         FROM kg WHERE k <= FLOOR(POW(n, 2.0 / 9)) GROUP BY series_id, n)""",
+         """ks AS (SELECT kl.series_id, kl.lags, (ANY_VALUE(g0) + 2 * COALESCE(SUM(g * (1 - k / (lags + 1))) FILTER (WHERE k BETWEEN 1 AND lags), 0)) / ANY_VALUE(kl.n) AS s2
+         FROM kl JOIN kg USING (series_id) GROUP BY kl.series_id, kl.lags)""",
+         """ke AS (SELECT series_id, SUM(cs * cs) / (ANY_VALUE(n) * ANY_VALUE(n)) AS eta
+         FROM (SELECT series_id, n, SUM(c) OVER (PARTITION BY series_id ORDER BY t) AS cs FROM k1) x GROUP BY 1)""",
+         "kp AS (SELECT series_id, lags, eta / s2 AS stat FROM ks JOIN ke USING (series_id))",
+         """kq AS (SELECT *, CASE WHEN stat <= 0.119 THEN 0.10
+             WHEN stat <= 0.146 THEN 0.10 + (stat - 0.119) * (0.05 - 0.10) / (0.146 - 0.119)
+             WHEN stat <= 0.176 THEN 0.05 + (stat - 0.146) * (0.025 - 0.05) / (0.176 - 0.146)
+             WHEN stat <= 0.216 THEN 0.025 + (stat - 0.176) * (0.01 - 0.025) / (0.216 - 0.176) ELSE 0.01 END AS p FROM kp)""")
+
+
+@register("kpss_trend", _series_sql(
+    """SELECT series_id, ROUND(stat, 6) AS kpss_stat, ROUND(CAST(p AS DOUBLE), 6) AS kpss_pvalue, CAST(lags AS BIGINT) AS kpss_lags,
+         p >= 0.05 AS estacionaria FROM kq""", "categoria_ia", *_KPSS))
 def q_kpss_trend(spark, d):
     return tsa.kpss_trend(se.series_frame(fact(spark, d), "categoria_ia"))
 
