@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -27,7 +27,13 @@ def apply_slicers(df: DataFrame, categories=None, months=None, suppliers=None) -
     return df
 
 
-def with_month(df: DataFrame, label: str, col: str = "mes/ano") -> DataFrame:
-    """A constant month label (``MM/yyyy``) as the first column of one
-    month's pull."""
-    return df.select(F.lit(label).alias(col), "*")
+def with_month(df: DataFrame, label: str | Column, col: str = "mes/ano") -> DataFrame:
+    """The month label (``MM/yyyy``; a text for one month's pull, a column
+    for several) as the first column."""
+    return df.select((F.lit(label) if isinstance(label, str) else label).alias(col), "*")
+
+
+def cast_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """P10: the named columns cast to the given types; a value that does not
+    read as its type, or overflows it, becomes null."""
+    return df.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in types.items()})

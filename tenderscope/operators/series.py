@@ -50,6 +50,12 @@ def gap_free(series: DataFrame) -> DataFrame:
                     F.when(F.col("_m") == F.col("mes"), F.col("y")).alias("y"))
 
 
+def filled(series: DataFrame) -> DataFrame:
+    """The gap-free, interpolated series as (series_id, mes, mseq, y): what the
+    study hands to decomposition, correlation and stationarity checks."""
+    return interpolate_linear(series).select("series_id", "mes", "mseq", F.col("y_interp").alias("y"))
+
+
 def missing_months(series: DataFrame) -> DataFrame:
     """Months and missing months per series."""
     g = gap_free(series)

@@ -144,6 +144,18 @@ def pacf(series: DataFrame, col: str = "y") -> DataFrame:
                     rnd(F.lit(1.96) / F.sqrt("n"), 6).alias("banda"))
 
 
+def stationary_form(series: DataFrame, col: str = "y") -> DataFrame:
+    """The series the correlograms are drawn from: as it is where the
+    stationarity test gives d = 0, its first difference where d = 1.  Series too
+    short for the test stay as they are."""
+    s = _ordered(series, col)
+    order = dickey_fuller(s, col).select("series_id", "d")
+    w = Window.partitionBy("series_id").orderBy("mseq")
+    both = s.select("series_id", "mes", "mseq", F.col(col).alias("y"), (F.col(col) - F.lag(col).over(w)).alias("dy"))
+    j = both.join(order, on="series_id", how="left")
+    return j.select("series_id", "mes", "mseq", F.when(F.col("d") == 1, F.col("dy")).otherwise(F.col("y")).alias("y"))
+
+
 def ljung_box(series: DataFrame, lags=(12, 24), col: str = "y") -> DataFrame:
     """Q = n(n+2) Σ_{k≤h} r_k²/(n−k); even h → chi-square survival in
     closed form p = e^(−Q/2) Σ_{j<h/2} (Q/2)^j / j!."""
@@ -200,9 +212,10 @@ def _df_stats(s: DataFrame, ycol: str) -> DataFrame:
     a = d.groupBy("series_id").agg(
         F.regr_slope("dy", "yl").alias("b"), F.regr_sxx("dy", "yl").alias("sxx"), F.regr_syy("dy", "yl").alias("syy"),
         F.regr_sxy("dy", "yl").alias("sxy"), F.regr_count("dy", "yl").alias("m"))
-    se = F.sqrt((F.col("syy") - F.col("sxy") * F.col("sxy") / F.col("sxx")) / (F.col("m") - 2) / F.col("sxx"))
+    left = F.col("syy") - F.try_divide(F.col("sxy") * F.col("sxy"), F.col("sxx"))
+    se = F.sqrt(F.try_divide(left, (F.col("m") - 2) * F.col("sxx")))
     crit = F.lit(-2.8621) - F.lit(2.738) / F.col("m") - F.lit(8.36) / (F.col("m") * F.col("m"))
-    return a.select("series_id", (F.col("b") / se).alias("t"), crit.alias("crit"))
+    return a.where("m > 2").select("series_id", F.try_divide(F.col("b"), se).alias("t"), crit.alias("crit"))
 
 
 def dickey_fuller(series: DataFrame, col: str = "y") -> DataFrame:

@@ -342,6 +342,14 @@ def q_supplier_table(spark, d):
     return rp.supplier_table(s, f)
 
 
+@register("supplier_table_total", with_ctes(
+    f"""SELECT nome, CAST(GROUPING(nome) AS BIGINT) AS linha_total, {dcount_blank('id')} AS qtd_licitacoes, {smoney('SUM(valor)')} AS valor_total,
+          {sratio(div('SUM(valor)', '(SELECT SUM(valor) FROM fact)'))} AS pct_total FROM fact GROUP BY ROLLUP (nome)""", FACT_CTE))
+def q_supplier_table_total(spark, d):
+    f = fact(spark, d)
+    return rp.supplier_table(f, f, with_total=True)
+
+
 @register("category_bar", with_fact(f"SELECT categoria_ia, {smoney('SUM(valor)')} AS valor_total FROM fact GROUP BY 1"))
 def q_category_bar(spark, d):
     return rp.category_bar(fact(spark, d))
@@ -372,6 +380,17 @@ def q_supplier_detail(spark, d):
     return rp.supplier_detail(s, f)
 
 
+@register("supplier_detail_total", with_ctes(
+    f"""SELECT CASE WHEN GROUPING(nome) = 0 THEN CAST(DENSE_RANK() OVER (PARTITION BY GROUPING(nome) ORDER BY SUM(valor) DESC) AS BIGINT) END AS rank,
+          nome, cpfCnpjVencedor, {dcount_blank('id')} AS qtd_licitacoes, {smoney('SUM(valor)')} AS valor_total,
+          {sratio(div('SUM(valor)', dcount_blank('id')))} AS ticket_medio,
+          {sratio(div('SUM(valor)', '(SELECT SUM(valor) FROM fact)'))} AS pct_total, CAST(GROUPING(nome) AS BIGINT) AS linha_total
+        FROM fact GROUP BY GROUPING SETS ((nome, cpfCnpjVencedor), ())""", FACT_CTE))
+def q_supplier_detail_total(spark, d):
+    f = fact(spark, d)
+    return rp.supplier_detail(f, f, with_total=True)
+
+
 @register("monthly_kpis_sql", with_ctes(
     f"""SELECT {_PMONTH} AS mes, ROUND(SUM(TRY_CAST(replace(replace(valor, '.', ''), ',', '.') AS DOUBLE)), 2) AS valor_total,
           COUNT(DISTINCT id) AS qtd_licitacoes, COUNT(DISTINCT cpfCnpjVencedor) AS qtd_fornecedores

@@ -47,16 +47,16 @@ pvi AS (SELECT *, CASE WHEN f IS NOT NULL AND f <> 0 THEN f + {z} * sigma END AS
                CASE WHEN f IS NOT NULL AND f <> 0 THEN GREATEST(0, f - {z} * sigma) END AS lo FROM pv)"""
 
 
-def _lin_out(keys=()):
+def _lin_out(keys=(), places=2):
     kc = "".join(f"{x}, " for x in keys)
-    return (f"SELECT {kc}mes, CAST(mseq AS BIGINT) AS mseq, ROUND(v, 2) AS valor_total, ROUND(f, 2) AS valor_previsto,"
-            " ROUND(up, 2) AS ic_superior, ROUND(lo, 2) AS ic_inferior FROM pvi")
+    return (f"SELECT {kc}mes, CAST(mseq AS BIGINT) AS mseq, ROUND(v, 2) AS valor_total, ROUND(f, {places}) AS valor_previsto,"
+            f" ROUND(up, {places}) AS ic_superior, ROUND(lo, {places}) AS ic_inferior FROM pvi")
 
 
-def _lin_spark(fcst, keys=()):
+def _lin_spark(fcst, keys=(), places=2):
     return fcst.select(*keys, "mes", F.col("mseq").cast("bigint").alias("mseq"), rnd("valor_total", 2).alias("valor_total"),
-                       rnd("valor_previsto", 2).alias("valor_previsto"), rnd("ic_superior", 2).alias("ic_superior"),
-                       rnd("ic_inferior", 2).alias("ic_inferior"))
+                       rnd("valor_previsto", places).alias("valor_previsto"), rnd("ic_superior", places).alias("ic_superior"),
+                       rnd("ic_inferior", places).alias("ic_inferior"))
 
 
 @register("forecast_ols", with_ctes(_lin_out(), FACT_CTE, _lin_sql(sigma=fc.MODEL_SIGMA)))
@@ -75,6 +75,12 @@ def q_forecast_by_category(spark, d):
     return _lin_spark(fc.with_interval(fc.linear_forecast(fact(spark, d), ["categoria_ia"])), ["categoria_ia"])
 
 
+@register("forecast_by_supplier", with_ctes(_lin_out(["nome"], 0), FACT_CTE, _lin_sql(["nome"], sigma=fc.MODEL_SIGMA)))
+def q_forecast_by_supplier(spark, d):
+    """F4 per supplier, in whole units: the last bits of the fits differ by engine."""
+    return _lin_spark(fc.with_interval(fc.linear_forecast(fact(spark, d), ["nome"])), ["nome"], 0)
+
+
 _ABBR = "(['jan','fev','mar','abr','mai','jun','jul','ago','set','out','nov','dez'])"
 
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from ..operators.util import rnd
 
-from ..sources.files import read_csv, read_json_records, write_csv
-from ..sources.tables import expenses
+from ..sources.files import read_csv, read_json_records, save_table, write_csv
+from ..sources.tables import expenses, headers
 from . import medallion as md
-from .oracle import EXPENSES_CTE, with_ctes
+from .oracle import EXPENSES_CTE, HEADERS_CTE, with_ctes
 from .registry import register
 
 _HDR_PAGES = """
@@ -66,12 +68,28 @@ def q_items_pipeline(spark, d):
 
 # ---------------------------------------------------------------- files
 
-@register("json_records")
+@register("json_records", with_ctes(
+    """SELECT "mes/ano", id, situacaoCompra AS situacao, dataAbertura, valor FROM headers""", HEADERS_CTE))
 def q_json_records(spark, d):
-    """Header pages written as JSON lines, read back with a schema."""
+    """Header records written as JSON lines (nested status), read back with a schema."""
     path = md.scratch_path(spark, "json")
-    md.landed_header_pages(spark, d).write.mode("overwrite").json(path)
-    return read_json_records(spark, path, "org STRING, `mes/ano` STRING, page_no INT, status INT, body STRING")
+    headers(spark, d).select("`mes/ano`", "id", "licitacao", "dataAbertura", "valor").write.json(path)
+    r = read_json_records(spark, path, "`mes/ano` STRING, id BIGINT, licitacao STRUCT<situacao: STRING, prioridade: STRING>,"
+                                       " dataAbertura DATE, valor DOUBLE")
+    return r.select("`mes/ano`", "id", F.col("licitacao.situacao").alias("situacao"), "dataAbertura", "valor")
+
+
+@register("catalog_table", with_ctes(
+    """SELECT nome_orgao, COUNT(*) AS linhas, ROUND(SUM(valor_limpo), 2) AS total_gasto FROM (
+         SELECT nomeOrgao AS nome_orgao, TRY_CAST(replace(valor, ',', '.') AS DOUBLE) AS valor_limpo FROM expenses) s GROUP BY 1""", EXPENSES_CTE))
+def q_catalog_table(spark, d):
+    """The silver layer written as a catalog table, overwritten with
+    another schema, and read by name."""
+    name = f"silver_despesas_{uuid.uuid4().hex[:12]}"
+    silver = md.silver(expenses(spark, d))
+    save_table(silver.select("cod_orgao"), name)
+    save_table(silver, name)
+    return spark.table(name).groupBy("nome_orgao").agg(F.count(F.lit(1)).alias("linhas"), rnd(F.sum("valor_limpo"), 2).alias("total_gasto"))
 
 
 @register("csv_roundtrip", "SELECT DISTINCT p_name AS descricao FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)")

@@ -9,6 +9,7 @@ from ..operators.util import rnd
 from ..functions.parse import parse_br, parse_decimal_comma, parse_loose, parse_month
 from ..operators import calendar as cal
 from ..operators.dedup import count_duplicates, select_present
+from ..operators.filters import cast_columns, with_month
 from ..operators.joins import (attach_month, enrich_category, filter_in, reconcile, unmatched,
                                with_calendar)
 from ..operators.measures import measures
@@ -66,8 +67,9 @@ def q_parse_month(spark, d):
     RAW_ITEMS_CTE, HEADERS_CTE))
 def q_cast_fact(spark, d):
     j = attach_month(raw_items(spark, d), headers(spark, d))
-    return j.select("id", "numero", parse_br("valor").try_cast("decimal(19,4)").alias("valor"),
-                    parse_month("`mes/ano`").alias("mes"))
+    typed = cast_columns(j.select("id", "numero", parse_br("valor").alias("valor"), parse_month("`mes/ano`").alias("mes")),
+                         {"valor": "decimal(19,4)", "mes": "date"})
+    return typed
 
 
 @register("dropna_subset", with_ctes(
@@ -135,6 +137,27 @@ def q_join_reconcile(spark, d):
     return reconcile(li, fact(spark, d))
 
 
+@register("map_reconcile", with_ctes(
+    """SELECT b.*, a.* FROM
+       (SELECT COUNT(*) AS linhas_antes, COUNT(DISTINCT id) AS ids_antes, ROUND(CAST(SUM(v) AS DOUBLE), 4) AS valor_antes FROM it) b,
+       (SELECT COUNT(*) AS linhas_depois, COUNT(DISTINCT id) AS ids_depois, ROUND(CAST(SUM(v) AS DOUBLE), 4) AS valor_depois
+        FROM it JOIN mapa m ON it.descricao = m.descricao_original) a""",
+    RAW_ITEMS_CTE, MAPA_CTE,
+    "it AS (SELECT id, descricao, TRY_CAST(replace(replace(valor, '.', ''), ',', '.') AS DECIMAL(19,4)) AS v FROM raw_items)"))
+def q_map_reconcile(spark, d):
+    """Item rows, ids and value before and after the join to the map."""
+    it = raw_items(spark, d).select("id", "descricao", parse_br("valor").try_cast("decimal(19,4)").alias("valor"))
+    return reconcile(it, enrich_category(it, description_map(spark, d)))
+
+
+@register("month_label", with_ctes(
+    """SELECT "mes/ano", COUNT(*) AS linhas, ROUND(CAST(SUM(valor) AS DOUBLE), 2) AS valor FROM headers GROUP BY 1""", HEADERS_CTE))
+def q_month_label(spark, d):
+    """The pull's month label on every header."""
+    pull = with_month(headers(spark, d).drop("mes/ano"), F.date_format("dataAbertura", "MM/yyyy"))
+    return pull.groupBy("mes/ano").agg(F.count(F.lit(1)).alias("linhas"), rnd(F.sum("valor"), 2).alias("valor"))
+
+
 @register("join_unmatched", with_ctes(
     """SELECT i.id, i.numero, i.descricao FROM raw_items i
        WHERE NOT EXISTS (SELECT 1 FROM mapa m WHERE m.descricao_original = i.descricao AND m.confianca >= 0.3)""",

@@ -13,7 +13,7 @@ from ..operators import tsa
 from ..operators.calendar import month_spine
 from ..operators.timeintel import monthly_values
 from ..operators.util import join_on_keys
-from ..sources.tables import fact
+from ..sources.tables import FACT_COLUMNS, fact
 from .oracle import FACT_CTE, with_ctes
 from .registry import register
 
@@ -53,15 +53,44 @@ def _series_sql(body, key=None, *extra):
     return with_ctes(body, FACT_CTE, _s0(key), *extra)
 
 
+#: the gap-free, interpolated series
+_SX = "sx AS (SELECT series_id, mes, y_interp AS y FROM ipo)"
+
+
+def _filled_sql(body, key, *extra):
+    return _series_sql(body, key, _GF, _IP, _SX, *extra)
+
+
+def _filled(spark, d, key="categoria_ia"):
+    return se.filled(se.series_frame(fact(spark, d), key))
+
+
 # ---------------------------------------------------------------- E
 
-@register("describe_fact")
+_FACT_NUMBERS = ("quantidade", "valor")
+
+
+def _describe_sql(c):
+    x = f"CAST({c} AS DOUBLE)" if c in _FACT_NUMBERS else f"TRY_CAST({c} AS DOUBLE)"
+    v = x if c in _FACT_NUMBERS else c
+    stats = {"count": f"COUNT({c})", "mean": f"AVG({x})", "stddev": f"STDDEV_SAMP({x})", "min": f"MIN({v})", "max": f"MAX({v})"}
+    return " UNION ALL ".join(f"SELECT '{s}' AS summary, '{c}' AS coluna, CAST({e} AS VARCHAR) AS t FROM f" for s, e in stats.items())
+
+
+@register("describe_fact", with_ctes(
+    """SELECT summary, coluna, CASE WHEN TRY_CAST(t AS DOUBLE) IS NULL THEN t END AS texto, ROUND(TRY_CAST(t AS DOUBLE), 4) AS numero
+       FROM (""" + " UNION ALL ".join(map(_describe_sql, FACT_COLUMNS)) + ") x",
+    FACT_CTE, "f AS (SELECT * REPLACE (CAST(mes AS VARCHAR) AS mes) FROM fact)"))
 def q_describe_fact(spark, d):
-    """Count, mean, stddev, min, max of every column (strings as text)."""
+    """Count, mean, stddev, min, max of every column, one row per figure
+    (text, or a number where the figure reads as one)."""
     f = fact(spark, d)
     number = lambda t: t in ("tinyint", "smallint", "int", "bigint", "float", "double")
     kind = lambda c, t: F.col(c) if number(t) else F.col(c).cast("double" if t.startswith("decimal") else "string")
-    return f.select(*[kind(c, t).alias(c) for c, t in f.dtypes]).describe()
+    wide = f.select(*[kind(c, t).alias(c) for c, t in f.dtypes]).describe()
+    long = wide.unpivot(["summary"], FACT_COLUMNS, "coluna", "t")
+    value = F.col("t").try_cast("double")
+    return long.select("summary", "coluna", F.when(value.isNull(), F.col("t")).alias("texto"), rnd(value, 4).alias("numero"))
 
 
 _DESC = """SELECT series_id, COUNT(y) AS count, ROUND(AVG(y), 2) AS mean, ROUND(STDDEV_SAMP(y), 2) AS std, ROUND(MIN(y), 2) AS min,
@@ -149,7 +178,7 @@ def q_first_difference(spark, d):
 # ---------------------------------------------------------------- X
 
 _DEC = """rn AS (SELECT series_id, mes, y, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY mes) - 1 AS rn,
-                COUNT(*) OVER (PARTITION BY series_id) AS n FROM s0 WHERE y IS NOT NULL),
+                COUNT(*) OVER (PARTITION BY series_id) AS n FROM sx WHERE y IS NOT NULL),
 tr AS (SELECT series_id, mes, y, rn, n,
          CASE WHEN rn >= 6 AND rn < n - 6 THEN
            (SUM(y) OVER (PARTITION BY series_id ORDER BY rn ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING)
@@ -161,11 +190,11 @@ dec AS (SELECT tr.series_id, tr.mes, tr.y, tr.trend, ph.seasonal, tr.y - tr.tren
         FROM tr JOIN ph ON tr.series_id = ph.series_id AND tr.fase = ph.fase)"""
 
 
-@register("decompose_additive", _series_sql(
+@register("decompose_additive", _filled_sql(
     "SELECT series_id, mes, ROUND(y, 4) AS y, ROUND(trend, 4) AS trend, ROUND(seasonal, 4) AS seasonal, ROUND(resid, 4) AS resid FROM dec",
     "categoria_ia", _DEC))
 def q_decompose_additive(spark, d):
-    x = tsa.decompose_additive(se.series_frame(fact(spark, d), "categoria_ia"))
+    x = tsa.decompose_additive(_filled(spark, d))
     return x.select("series_id", "mes", *[rnd(c, 4).alias(c) for c in ["y", "trend", "seasonal", "resid"]])
 
 
@@ -174,9 +203,17 @@ _STR = """st AS (SELECT series_id,
    GREATEST(0, 1 - VAR_POP(resid) / NULLIF(VAR_POP(trend + resid), 0)) AS ft FROM dec WHERE resid IS NOT NULL GROUP BY 1)"""
 
 
-@register("strength", _series_sql("SELECT series_id, ROUND(fs, 6) AS fs, ROUND(ft, 6) AS ft FROM st", "categoria_ia", _DEC, _STR))
+@register("strength", _filled_sql("SELECT series_id, ROUND(fs, 6) AS fs, ROUND(ft, 6) AS ft FROM st", "categoria_ia", _DEC, _STR))
 def q_strength(spark, d):
-    s = tsa.strength(tsa.decompose_additive(se.series_frame(fact(spark, d), "categoria_ia")))
+    s = tsa.strength(tsa.decompose_additive(_filled(spark, d)))
+    return s.select("series_id", rnd("fs", 6).alias("fs"), rnd("ft", 6).alias("ft"))
+
+
+@register("strength_by_item", _filled_sql(
+    "SELECT series_id, ROUND(fs, 6) AS fs, ROUND(ft, 6) AS ft FROM st", "codigoItemCompra", _DEC, _STR))
+def q_strength_by_item(spark, d):
+    """X2 per item code: series with months missing, so the filled months count."""
+    s = tsa.strength(tsa.decompose_additive(_filled(spark, d, "codigoItemCompra")))
     return s.select("series_id", rnd("fs", 6).alias("fs"), rnd("ft", 6).alias("ft"))
 
 
@@ -184,13 +221,13 @@ def _lvl(c):
     return f"CASE WHEN {c} > 0.64 THEN 'FORTE' WHEN {c} > 0.4 THEN 'MODERADA' ELSE 'FRACA' END"
 
 
-@register("series_diagnosis", _series_sql(
+@register("series_diagnosis", _filled_sql(
     f"""SELECT series_id, ROUND(fs, 6) AS fs, ROUND(ft, 6) AS ft,
           CASE WHEN fs > 0.64 THEN 'FORTE' ELSE 'fraca' END AS stl_fs, CASE WHEN ft > 0.64 THEN 'FORTE' ELSE 'fraca' END AS stl_ft,
           {_lvl('fs')} AS diagnostico_fs, {_lvl('ft')} AS diagnostico_ft,
           CASE WHEN fs > 0.4 THEN 'SARIMA' ELSE 'ARIMA' END AS modelo FROM st""", "categoria_ia", _DEC, _STR))
 def q_series_diagnosis(spark, d):
-    return tsa.diagnosis(tsa.strength(tsa.decompose_additive(se.series_frame(fact(spark, d), "categoria_ia"))))
+    return tsa.diagnosis(tsa.strength(tsa.decompose_additive(_filled(spark, d))))
 
 
 _ACF = """c AS (SELECT series_id, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY mes) AS t, y - AVG(y) OVER (PARTITION BY series_id) AS c,
@@ -200,19 +237,7 @@ ac AS (SELECT a.series_id, b.t - a.t AS lag, SUM(a.c * b.c) AS g, ANY_VALUE(a.n)
 r AS (SELECT series_id, lag, n, g / FIRST_VALUE(g) OVER (PARTITION BY series_id ORDER BY lag) AS r FROM ac)"""
 
 
-@register("acf", _series_sql(
-    "SELECT series_id, CAST(lag AS BIGINT) AS lag, ROUND(r, 6) AS acf, ROUND(1.96 / SQRT(n), 6) AS banda FROM r",
-    "categoria_ia", _ACF.format(src="s0", maxlag="LEAST(36, a.n // 2 - 1)")))
-def q_acf(spark, d):
-    return tsa.acf(se.series_frame(fact(spark, d), "categoria_ia"))
-
-
-@register("pacf")
-def q_pacf(spark, d):
-    return tsa.pacf(se.series_frame(fact(spark, d), "categoria_ia"))
-
-
-@register("ljung_box", _series_sql(
+@register("ljung_box", _filled_sql(
     """SELECT series_id, CAST(h AS BIGINT) AS lag, ROUND(q, 4) AS lb_stat,
          ROUND(EXP(-q / 2) * (SELECT SUM(POW(q / 2, j) / factorial(CAST(j AS INTEGER))) FROM range(0, h // 2) t(j)), 6) AS lb_pvalue
        FROM (SELECT series_id, h, ANY_VALUE(n) * (ANY_VALUE(n) + 2) * SUM(r * r / (n - lag)) AS q
@@ -220,12 +245,12 @@ def q_pacf(spark, d):
     "categoria_ia", _DEC, "rs AS (SELECT series_id, mes, resid AS y FROM dec WHERE resid IS NOT NULL)",
     _ACF.format(src="rs", maxlag="LEAST(24, a.n - 1)")))
 def q_ljung_box(spark, d):
-    x = tsa.decompose_additive(se.series_frame(fact(spark, d), "categoria_ia"))
+    x = tsa.decompose_additive(_filled(spark, d))
     return tsa.ljung_box(x.select("series_id", "mes", "mseq", F.col("resid").alias("y")))
 
 
 _KPSS = ("""k0 AS (SELECT series_id, y, ROW_NUMBER() OVER (PARTITION BY series_id ORDER BY mes) AS t,
-                COUNT(*) OVER (PARTITION BY series_id) AS n FROM s0 WHERE y IS NOT NULL)""",
+                COUNT(*) OVER (PARTITION BY series_id) AS n FROM sx WHERE y IS NOT NULL)""",
          """k1 AS (SELECT k0.series_id, t, n, y - my - b * (t - mt) AS c
          FROM k0 JOIN (SELECT series_id, regr_slope(y, t) AS b, AVG(y) AS my, AVG(t) AS mt FROM k0 GROUP BY 1) f USING (series_id) WHERE n >= 3)""",
          """kg AS (SELECT a.series_id, a.n, z.t - a.t AS k, SUM(a.c * z.c) AS g
@@ -245,11 +270,11 @@ _KPSS = ("""k0 AS (SELECT series_id, y, ROW_NUMBER() OVER (PARTITION BY series_i
              WHEN stat <= 0.216 THEN 0.025 + (stat - 0.176) * (0.01 - 0.025) / (0.216 - 0.176) ELSE 0.01 END AS p FROM kp)""")
 
 
-@register("kpss_trend", _series_sql(
+@register("kpss_trend", _filled_sql(
     """SELECT series_id, ROUND(stat, 6) AS kpss_stat, ROUND(CAST(p AS DOUBLE), 6) AS kpss_pvalue, CAST(lags AS BIGINT) AS kpss_lags,
          p >= 0.05 AS estacionaria FROM kq""", "categoria_ia", *_KPSS))
 def q_kpss_trend(spark, d):
-    return tsa.kpss_trend(se.series_frame(fact(spark, d), "categoria_ia"))
+    return tsa.kpss_trend(_filled(spark, d))
 
 
 _DF = """df0 AS (SELECT series_id, regr_slope(dy, yl) AS b, regr_sxx(dy, yl) AS sxx, regr_syy(dy, yl) AS syy, regr_sxy(dy, yl) AS sxy,
@@ -258,12 +283,44 @@ _DF = """df0 AS (SELECT series_id, regr_slope(dy, yl) AS b, regr_sxx(dy, yl) AS
 {name} AS (SELECT series_id, b / SQRT((syy - sxy * sxy / sxx) / (m - 2) / sxx) AS t, -2.8621 - 2.738 / m - 8.36 / (m * m) AS crit FROM df0)"""
 
 
-@register("dickey_fuller", _series_sql(
+@register("dickey_fuller", _filled_sql(
     """SELECT a.series_id, ROUND(a.t, 6) AS df_stat, ROUND(a.crit, 6) AS df_crit5, a.t < a.crit AS estacionaria,
          ROUND(b.t, 6) AS df_stat_d1, b.t < b.crit AS estacionaria_d1, CAST(CASE WHEN a.t < a.crit THEN 0 ELSE 1 END AS BIGINT) AS d
        FROM t0 a LEFT JOIN t1 b USING (series_id)""", "categoria_ia",
-    _DF.format(src="s0", name="t0"),
-    "s1 AS (SELECT series_id, mes, y - LAG(y) OVER (PARTITION BY series_id ORDER BY mes) AS y FROM s0)",
+    _DF.format(src="sx", name="t0"),
+    "s1 AS (SELECT series_id, mes, y - LAG(y) OVER (PARTITION BY series_id ORDER BY mes) AS y FROM sx)",
     _DF.format(src="(SELECT * FROM s1 WHERE y IS NOT NULL)", name="t1").replace("df0", "df1")))
 def q_dickey_fuller(spark, d):
-    return tsa.dickey_fuller(se.series_frame(fact(spark, d), "categoria_ia"))
+    return tsa.dickey_fuller(_filled(spark, d))
+
+
+#: the series itself where the test gives d = 0, else its first difference
+_SD = """sd AS (SELECT s.series_id, s.mes, CASE WHEN t0.series_id IS NULL OR t0.t < t0.crit THEN s.y ELSE s.dy END AS y
+  FROM (SELECT series_id, mes, y, y - LAG(y) OVER (PARTITION BY series_id ORDER BY mes) AS dy FROM sx) s LEFT JOIN t0 USING (series_id))"""
+
+
+def _acf_sql(body, key, maxlag, *extra):
+    return _filled_sql(body, key, _DF.format(src="sx", name="t0"), _SD, _ACF.format(src="sd", maxlag=maxlag), *extra)
+
+
+@register("acf", _acf_sql(
+    "SELECT series_id, CAST(lag AS BIGINT) AS lag, ROUND(r, 6) AS acf, ROUND(1.96 / SQRT(n), 6) AS banda FROM r",
+    "categoria_ia", "LEAST(36, a.n // 2 - 1)"))
+def q_acf(spark, d):
+    return tsa.acf(tsa.stationary_form(_filled(spark, d)))
+
+
+# Durbin-Levinson, one lag more per step; r[k + 1] is the autocorrelation at lag k
+_PACF = ("rl AS (SELECT series_id, ANY_VALUE(n) AS n, list(r ORDER BY lag) AS r FROM r GROUP BY series_id)",
+         """dl AS (SELECT series_id, n, r, 1 AS m, [r[2]] AS phi FROM rl WHERE n // 2 - 1 >= 1
+  UNION ALL
+  SELECT series_id, n, r, m + 1, list_append([phi[i] - k * phi[m + 1 - i] for i in range(1, m + 1)], k)
+  FROM (SELECT *, (r[m + 2] - list_sum([phi[i] * r[m + 2 - i] for i in range(1, m + 1)]))
+                  / (1 - list_sum([phi[i] * r[i + 1] for i in range(1, m + 1)])) AS k FROM dl WHERE m < n // 2 - 1) z)""")
+
+
+@register("pacf", _acf_sql(
+    "SELECT series_id, CAST(m AS BIGINT) AS lag, ROUND(phi[m], 6) AS pacf, ROUND(1.96 / SQRT(n), 6) AS banda FROM dl",
+    "categoria_ia", "a.n // 2 - 1", *_PACF).replace("WITH ", "WITH RECURSIVE ", 1))
+def q_pacf(spark, d):
+    return tsa.pacf(tsa.stationary_form(_filled(spark, d)))

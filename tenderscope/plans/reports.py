@@ -27,11 +27,16 @@ def _with_total_share(g: DataFrame, unsliced: DataFrame) -> DataFrame:
     return join_on_keys(g, tot, [])
 
 
-def supplier_table(sliced: DataFrame, unsliced: DataFrame) -> DataFrame:
-    """V3: name, tenders, value, share of the overall total."""
-    g = sliced.groupBy("nome").agg(distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("valor").alias("_v"))
+def supplier_table(sliced: DataFrame, unsliced: DataFrame, with_total: bool = False) -> DataFrame:
+    """V3 (M16 with ``with_total``): name, tenders, value, share of the overall
+    total; the total row, recomputed from the base rows, has a null name."""
+    aggs = [distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("valor").alias("_v")]
+    if with_total:
+        g = sliced.rollup("nome").agg(*aggs, F.grouping("nome").cast("bigint").alias("linha_total"))
+    else:
+        g = sliced.groupBy("nome").agg(*aggs)
     j = _with_total_share(g, unsliced)
-    return j.select("nome", "qtd_licitacoes", money("_v").alias("valor_total"),
+    return j.select("nome", *(["linha_total"] if with_total else []), "qtd_licitacoes", money("_v").alias("valor_total"),
                     ratio(F.try_divide(F.col("_v").cast("double"), F.col("_t").cast("double"))).alias("pct_total"))
 
 
@@ -78,10 +83,18 @@ def category_detail(sliced: DataFrame, unsliced: DataFrame, with_total: bool = F
     return j.select("categoria_ia", *_detail_cols(), *extra).orderBy(*(["linha_total"] if with_total else []), "categoria_ia")
 
 
-def supplier_detail(sliced: DataFrame, unsliced: DataFrame) -> DataFrame:
-    """V7: rank, name, tax id, tenders, share, ticket, value; value descending.
-    The rank is dense over the selected (name, tax id) pairs."""
-    g = sliced.groupBy("nome", "cpfCnpjVencedor").agg(
-        distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("quantidade").alias("qtd_itens"), F.sum("valor").alias("_v"))
+def supplier_detail(sliced: DataFrame, unsliced: DataFrame, with_total: bool = False) -> DataFrame:
+    """V7 (M16 with ``with_total``): rank, name, tax id, tenders, share, ticket,
+    value; value descending.  The rank is dense over the selected (name, tax id)
+    pairs; on the total row rank, name and tax id are null."""
+    aggs = [distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("quantidade").alias("qtd_itens"), F.sum("valor").alias("_v")]
+    g = sliced.groupBy("nome", "cpfCnpjVencedor").agg(*aggs)
     j = ordered_stats(_with_total_share(g, unsliced), [], "_v")
-    return j.select(F.col("_dense").cast("bigint").alias("rank"), "nome", "cpfCnpjVencedor", *_detail_cols()).drop("qtd_itens").orderBy("rank", "nome")
+    rows = j.select(F.col("_dense").cast("bigint").alias("rank"), "nome", "cpfCnpjVencedor", *_detail_cols()).drop("qtd_itens")
+    if not with_total:
+        return rows.orderBy("rank", "nome")
+    total = _with_total_share(sliced.agg(*aggs), unsliced).select(
+        F.lit(None).cast("bigint").alias("rank"), *[F.lit(None).cast("string").alias(c) for c in ("nome", "cpfCnpjVencedor")],
+        *_detail_cols()).drop("qtd_itens")
+    both = rows.withColumn("linha_total", F.lit(0).cast("bigint")).unionByName(total.withColumn("linha_total", F.lit(1).cast("bigint")))
+    return both.orderBy("linha_total", "rank", "nome")

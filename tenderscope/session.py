@@ -38,7 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster this is set by the deployment and is read, never replaced.
-    Only when it is unset (tests, local runs) a scratch folder is created.
+    Only a local session without one (tests) gets a scratch folder; elsewhere
+    an unset folder is an error.
     """
     try:
         sc = spark.sparkContext
@@ -50,8 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return (sc.getCheckpointDir() if sc is not None else None) or current
+    if sc is None or not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="tenderscope-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-        return sc.getCheckpointDir() or local
-    return local
+    sc.setCheckpointDir(local)
+    return sc.getCheckpointDir() or local

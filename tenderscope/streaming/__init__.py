@@ -1,5 +1,5 @@
 """Incremental ingest with Structured Streaming."""
 
-from .page_ingest import PAGE_SCHEMA, start_page_ingest
+from .page_ingest import PAGE_SCHEMA, assembled, start_page_ingest
 
-__all__ = ["PAGE_SCHEMA", "start_page_ingest"]
+__all__ = ["PAGE_SCHEMA", "assembled", "start_page_ingest"]

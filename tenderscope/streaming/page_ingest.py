@@ -1,18 +1,16 @@
 """Incremental paged ingest (S2 over newly landed files).
 
-A pull lands the pages of one key (org, month) together as one JSON-lines
-file.  The stream picks up new files as they arrive, applies the page
-assembly rule per micro-batch (the stop page is computed per key inside the
-batch, and a key's pages arrive in one file) and appends the records to the
-bronze table.  The checkpoint location makes the ingest exactly-once across
-restarts; ``availableNow`` processes what has landed and stops, so the job can
-run on a schedule like the batch pull it replaces.
+The stream moves landed pages, as they are, into a bronze table with one
+partition per micro-batch; a batch that is replayed after a failure overwrites
+its own partition, so no page is there twice.  The stop page of a key is found
+on reading (``assembled``), over all its pages, whichever batches they came in.
+``availableNow`` processes what has landed and stops, so the job can run on a
+schedule like the batch pull it replaces.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..sources.files import with_ingest_ts
@@ -22,18 +20,20 @@ PAGE_SCHEMA = "org STRING, `mes/ano` STRING, page_no INT, status INT, body STRIN
 
 
 def start_page_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
-                      record_schema: StructType, keys=("org", "mes/ano"), available_now: bool = True,
-                      max_files_per_trigger: int = 1000):
+                      available_now: bool = True, max_files_per_trigger: int = 1000):
     """Start the stream; returns the ``StreamingQuery``."""
-    keys = list(keys)
     pages = (spark.readStream.schema(PAGE_SCHEMA)
              .option("maxFilesPerTrigger", max_files_per_trigger)
              .json(landing_dir))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        recs = with_ingest_ts(assemble_pages(batch, keys, record_schema)).withColumn("lote", F.lit(batch_id))
-        recs.write.mode("append").parquet(bronze_dir)
+        with_ingest_ts(batch).write.mode("overwrite").parquet(f"{bronze_dir}/lote={batch_id}")
 
     w = pages.writeStream.option("checkpointLocation", checkpoint_dir).foreachBatch(write_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def assembled(spark: SparkSession, bronze_dir: str, record_schema: StructType, keys=("org", "mes/ano")) -> DataFrame:
+    """The records of all pages ingested so far."""
+    return assemble_pages(spark.read.parquet(bronze_dir), list(keys), record_schema)

@@ -201,3 +201,25 @@ def test_filter_context_rules(spark):
     d = {r.categoria_ia: (r.qtd_linhas, r.qtd_sem_categoria) for r in
          dq.uncategorised(sliced, ["categoria_ia"], unsliced_by_category=by_month).collect()}
     assert d == {"x": (1, 1), "y": (1, 1)}
+
+
+def test_cast_columns_gives_null_for_bad_or_overflowing_values(spark):
+    from tenderscope.operators.filters import cast_columns
+    df = spark.createDataFrame([("1.5", 1), ("x", 2), ("1" * 30, 3), (None, 4)], "valor string, n int")
+    got = [r.valor for r in cast_columns(df, {"valor": "decimal(19,4)"}).orderBy("n").collect()]
+    assert [None if v is None else float(v) for v in got] == [1.5, None, None, None]
+
+
+def test_filled_series_has_no_gap(spark):
+    from tenderscope.operators import series as se
+    df = spark.sql("select 's' series_id, date'2020-01-01' mes, 1D y union all select 's', date'2020-04-01', 4D")
+    assert [r.y for r in se.filled(df).orderBy("mseq").collect()] == [1.0, 2.0, 3.0, 4.0]
+
+
+def test_supplier_detail_total_row_has_no_rank(spark):
+    from decimal import Decimal
+    from tenderscope.plans import reports as rp
+    rows = [("a", "1", "x", 2, Decimal(10)), ("a", "1", "y", 1, Decimal(5)), ("b", "2", "x", 1, Decimal(20))]
+    f = spark.createDataFrame(rows, "nome string, cpfCnpjVencedor string, id string, quantidade long, valor decimal(19,4)")
+    got = [(r.rank, r.nome, r.qtd_licitacoes, r.valor_total) for r in rp.supplier_detail(f, f, with_total=True).collect()]
+    assert got == [(1, "b", 1, 20.0), (2, "a", 2, 15.0), (None, None, 2, 35.0)]

@@ -91,3 +91,12 @@ def test_dickey_fuller_t_matches_least_squares(spark):
     se = math.sqrt(s2 * np.linalg.inv(X.T @ X)[1, 1])
     r = tsa.dickey_fuller(_series(spark, ys)).collect()[0]
     assert abs(r.df_stat - beta[1] / se) < 1e-5
+
+
+def test_stationary_form_differences_a_random_walk_only(spark):
+    rng = np.random.default_rng(5)
+    noise = rng.normal(size=80)
+    walk = np.cumsum(rng.normal(size=80)) + np.arange(80) * 3.0
+    for ys, want in ((noise, noise), (walk, np.diff(walk))):
+        got = tsa.stationary_form(_series(spark, ys)).where("y is not null").orderBy("mseq").collect()
+        assert np.allclose([r.y for r in got], want)
