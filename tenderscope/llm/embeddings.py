@@ -15,6 +15,7 @@ Unit vectors x and y have cosine >= t exactly if their distance is at most
   r by more than its own quantisation error is dropped.  That too loses no link.
 * Rerank: what is left is compared by cosine in double precision.
 
+Vectors travel in the precision of their column; all arithmetic is in doubles.
 A list is cut into blocks of about ``BLOCK`` rows by hash, and its probes too;
 one task compares two blocks and returns link counts and a spanning forest, a
 row or two per vector, so a hot list is many tasks and no list of all pairs.
@@ -90,24 +91,25 @@ def _units(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
-def _valid(batches):
-    """Rows as bytes of doubles; null where the vector links with nothing."""
+def _valid(batches, kind: str):
+    """Rows as bytes of their own precision (``kind``); null where the vector
+    links with nothing."""
     for b in batches:
         out = []
         for v, label in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
             ok = v is not None and label is not None and len(v) > 0 and None not in v
-            x = np.array(v, dtype=np.float64) + 0.0 if ok else None  # -0.0 becomes 0.0
+            x = np.array(v, dtype=kind) + 0.0 if ok else None  # -0.0 becomes 0.0
             out.append(x.tobytes() if ok and np.isfinite(x).all() and x.any() else None)
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(out, type=pa.binary())], ["vec_id", "label", "v"])
 
 
-def _indexed(batches, index: dict, r: float):
+def _indexed(batches, index: dict, r: float, kind: str):
     """A list row for each vector, and a probe row for each list it must also
     be compared with."""
     for b in batches:
         for dim in sorted(set(b.column(3).to_pylist())):
             t = b.filter(pa.compute.equal(b.column(3), dim))
-            x = _units(np.frombuffer(b"".join(t.column(2).to_pylist()), dtype="<f8").reshape(-1, dim))
+            x = _units(np.frombuffer(b"".join(t.column(2).to_pylist()), dtype=kind).reshape(-1, dim))
             near, reach = index[dim].place(x, r) if dim in index else (np.zeros(len(x), dtype=np.int64), np.zeros((len(x), 1), dtype=bool))
             who, where = np.nonzero(reach)
             take = np.concatenate([np.arange(len(x)), who])
@@ -125,13 +127,13 @@ def _block(pdf: pd.DataFrame) -> pd.DataFrame:
                       vs=[b"".join(pdf["v"])])
 
 
-def _compare(batches, index: dict, cosine: float, r: float):
+def _compare(batches, index: dict, cosine: float, r: float, kind: str):
     schema = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
     for b in batches:
         for row in b.to_pylist():
             dim, same = row["dim"], row["vs2"] is None
             side = lambda s: (np.frombuffer(row["reps" + s], dtype="<i8"), np.frombuffer(row["copies" + s], dtype="<i8"),  # noqa: E731, B023
-                              _units(np.frombuffer(row["vs" + s], dtype="<f8").reshape(-1, dim)))  # noqa: B023
+                              _units(np.frombuffer(row["vs" + s], dtype=kind).reshape(-1, dim)))  # noqa: B023
             rep, copies, y = side("")
             rep2, copies2, q = (rep, copies, y) if same else side("2")
             ix = index.get(dim)
@@ -181,19 +183,20 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     lists, by default the square root of half the sample, at most 128."""
     spark, r = vectors.sparkSession, float(np.sqrt(2 - 2 * cosine))
     rows = lead(vectors, "vec_id", "embedding", "label").withColumn("label", F.col("label").cast("long"))
-    rows = rows.mapInArrow(_valid, "vec_id long, label long, v binary")
+    kind = "<f4" if rows.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
+    rows = rows.mapInArrow(partial(_valid, kind=kind), "vec_id long, label long, v binary")
     rows = saved(rows.withColumn("hash", F.md5("v")), "vectors")
     reps = rows.where("v is not null").groupBy("label", "hash").agg(
         F.first("v").alias("v"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
-    reps = saved(reps.select(F.xxhash64("label", "hash").alias("rep"), "label", "hash", "v", (F.length("v") / 8).cast("int").alias("dim"),
+    reps = saved(reps.select(F.xxhash64("label", "hash").alias("rep"), "label", "hash", "v", (F.length("v") / np.dtype(kind).itemsize).cast("int").alias("dim"),
                              "least", "copies"), "distinct-vectors")
     taken = reps.select("rep", "v", "dim").orderBy("rep").limit(sample).collect()  # bounded by ``sample``
     index = {}
     for dim in sorted({t["dim"] for t in taken}):
-        x = _units(np.array([np.frombuffer(t["v"], dtype="<f8") for t in taken if t["dim"] == dim]))
+        x = _units(np.array([np.frombuffer(t["v"], dtype=kind) for t in taken if t["dim"] == dim]))
         index[dim] = Index(x, lists or int(min(128, max(1, (len(x) / 2) ** 0.5))))
     spread = reps.select("rep", "label", "v", "dim", "copies").mapInArrow(
-        partial(_indexed, index=index, r=r), "rep long, label long, v binary, dim int, copies long, list int, probe boolean")
+        partial(_indexed, index=index, r=r, kind=kind), "rep long, label long, v binary, dim int, copies long, list int, probe boolean")
     spread = saved(spread, "lists")
     key = ["label", "dim", "list", "probe"]
     sizes = spread.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
@@ -207,7 +210,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     pairs = pairs.withColumn("vs2", F.when(~same, F.col("vs2")))
     pairs = pairs.repartition(max(12, int(spark.conf.get("spark.sql.shuffle.partitions"))), "label", "list", "block", "block2", "probe")
     found = saved(pairs.drop("label", "probe", "block", "block2").mapInArrow(
-        partial(_compare, index=index, cosine=cosine, r=r), "rep long, links long, root long"), "links")
+        partial(_compare, index=index, cosine=cosine, r=r, kind=kind), "rep long, links long, root long"), "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
     reps = reps.join(links, "rep", "left").join(roots, reps["rep"] == roots["node"], "left").select(

@@ -17,7 +17,8 @@ give the spans in code points.
   thousand combinations, a product of small ranges) are all the trees need.
 * Thresholds per kind are calibrated on rows kept from the trees: the lowest
   score from which on at least ``PRECISION`` of the candidates are base spans
-  (none if there is no such score).  The trees become a CASE expression.
+  (none if there is no such score).  The scores of the accepted feature
+  combinations become a lookup table.
 * Of overlapping accepted candidates the best score stays; none may touch a
   base span.
 

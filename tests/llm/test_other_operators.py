@@ -164,12 +164,13 @@ def near_vectors(seed, n, dim):
     return [((base[rng.integers(0, len(base))] + rng.normal(size=dim) * rng.choice([0.05, 0.12, 0.2])) * rng.uniform(0.1, 9)).tolist() for _ in range(n)]
 
 
-def test_embeddings_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("kind", ["double", "float"])
+def test_embeddings_lose_no_link(spark, monkeypatch, kind):
     """Recall against brute force is 1 on noisy groups around the threshold, with
     small blocks, few sampled rows and vectors of a length outside the sample."""
     monkeypatch.setattr(embeddings, "BLOCK", 64)
     rows = [(i, v, i % 2) for i, v in enumerate(near_vectors(1, 600, 16))] + [(1000 + i, v, 0) for i, v in enumerate(near_vectors(2, 40, 5))]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    df = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label int")
     want = brute_embeddings(df.collect())
     got = collections.Counter(tuple(r) for r in embeddings.near_duplicates(df, sample=60, lists=8).collect())
     assert got == want and sum(k[1] for k in want) > 100
