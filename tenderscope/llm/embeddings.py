@@ -36,6 +36,8 @@ from .common import components, forest, lead, saved
 COSINE = 0.98
 SAMPLE, BLOCK = 20_000, 1024
 SUBSPACES, CODEWORDS = 8, 32
+#: pairs reranked at once
+STEP = 1 << 14
 
 
 def _means(x: np.ndarray, k: int, rng, rounds: int = 8) -> np.ndarray:
@@ -130,13 +132,13 @@ def _block(pdf: pd.DataFrame) -> pd.DataFrame:
 def _compare(batches, index: dict, cosine: float, r: float, kind: str):
     schema = pa.schema([("rep", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
     for b in batches:
-        for row in b.to_pylist():
+        for row in (b.slice(i, 1).to_pylist()[0] for i in range(b.num_rows)):  # one pair of blocks in memory
             dim, same = row["dim"], row["vs2"] is None
             side = lambda s: (np.frombuffer(row["reps" + s], dtype="<i8"), np.frombuffer(row["copies" + s], dtype="<i8"),  # noqa: E731, B023
                               _units(np.frombuffer(row["vs" + s], dtype=kind).reshape(-1, dim)))  # noqa: B023
             rep, copies, y = side("")
             rep2, copies2, q = (rep, copies, y) if same else side("2")
-            ix = index.get(dim)
+            ix, nodes = index.get(dim), len(rep) if same else len(rep) + len(rep2)
             count, count2 = np.zeros(len(rep), dtype=np.int64), np.zeros(len(rep2), dtype=np.int64)
             left, right = [], []
             if ix is not None:
@@ -149,14 +151,18 @@ def _compare(batches, index: dict, cosine: float, r: float, kind: str):
                 a = a + i
                 if same:
                     a, z = a[a < z], z[a < z]
-                for k in range(0, len(a), 1 << 17):
-                    aa, zz = a[k:k + (1 << 17)], z[k:k + (1 << 17)]
+                for k in range(0, len(a), STEP):
+                    aa, zz = a[k:k + STEP], z[k:k + STEP]
                     hit = np.einsum("ij,ij->i", q[aa], y[zz]) >= cosine
                     aa, zz = aa[hit], zz[hit]
                     np.add.at(count2, aa, copies[zz])
                     np.add.at(count, zz, copies2[aa])
                     left.append(zz)
                     right.append(aa if same else aa + len(rep))
+                if sum(map(len, left)) > 1 << 16:  # keep only a forest of what was found so far
+                    root = forest(np.concatenate(left), np.concatenate(right), nodes)
+                    node = np.flatnonzero(root != np.arange(nodes))
+                    left, right = [node], [root[node]]
             if same:
                 count = count + count2
                 names, counts = rep, count
