@@ -102,10 +102,11 @@ def repeated_spans(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataF
         raise ValueError("runs hold at most 127 sentences")
     rows = lead(docs, "doc_id", "text").withColumn("h", F.xxhash64("text"))
     spans = saved(rows.mapInArrow(partial(_spans, run=run, words=words), "hash long, doc_id long, place long"), "spans")
-    often = spans.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    # written, so that the joins deal both their sides anew and Spark can split a hot hash
+    often = saved(spans.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeated-hashes")
     again = saved(spans.join(often, "hash", "left_semi"), "repeated-spans")
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
-    first = again.groupBy("hash").agg(F.min(at).alias("first"))
+    first = saved(again.groupBy("hash").agg(F.min(at).alias("first")), "first-spans")
     return again.join(first, "hash").where(~F.col("first").eqNullSafe(at)).select(
         "doc_id", F.col("place").bitwiseAND(0xFFFFFF).alias("h"), F.shiftright("place", 32).alias("a"),
         (F.shiftright("place", 32) + F.shiftright("place", 24).bitwiseAND(0xFF)).alias("z"), F.col("first.doc_id").alias("first_doc"))
