@@ -24,6 +24,8 @@ shuffle sizes) decides between a broadcast and a sort-merge join.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,24 +40,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _signature(spark: SparkSession, paths) -> str | None:
-    """Size and modification time of the input files, read through the
-    Hadoop FileSystem API (works for local, HDFS and object-store paths)."""
-    import hashlib
-    try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        parts = []
-        for p in paths:
-            jp = jvm.org.apache.hadoop.fs.Path(p)
-            fs = jp.getFileSystem(conf)
-            it = fs.listFiles(jp, True)
-            while it.hasNext():
-                st = it.next()
-                parts.append(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()}")
-        return hashlib.sha256("\n".join(sorted(parts)).encode()).hexdigest()[:24]
-    except Exception:  # noqa: BLE001 - no signature → no reuse
-        return None
+def _signature(spark: SparkSession, paths) -> str:
+    """Total size, file count and modification time of each input path, a fixed
+    number of calls per path whatever the number of its files (Hadoop
+    FileSystem API: local, HDFS and object-store paths)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        total = fs.getContentSummary(path)
+        parts.append(f"{p}|{total.getLength()}|{total.getFileCount()}|{fs.getFileStatus(path).getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(parts)).encode()).hexdigest()[:24]
 
 
 FACT_VERSION = "fact-v1"
@@ -66,13 +63,10 @@ _READ_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None) -> DataFrame:
     """A table Spark derives from input files, written once per input
-    signature into the shared checkpoint folder and read from there.  With no
-    signature (unreadable inputs) the lazy plan ``build()`` is returned.  The
+    signature into the shared checkpoint folder and read from there.  The
     read is kept per application and path (the path names the signature), so
     repeated queries skip re-listing the table and re-reading its footers."""
     sig = _signature(spark, inputs)
-    if sig is None:
-        return build()
     from ..session import ensure_checkpoint_dir
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/tenderscope/{name}-{sig}"
@@ -97,9 +91,8 @@ def fact(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFram
 
     The fact is the model's gold table: it is written (sorted by month within
     files, so month filters skip row groups) into the shared checkpoint
-    folder under a key made of the input files' sizes and modification times,
-    and every query reads that table.  Changed inputs give a new key; with no
-    key available the lazy join plan is returned."""
+    folder under a key made of the input tables' sizes and modification times,
+    and every query reads that table.  Changed inputs give a new key."""
     if not materialize:
         return fact_plan(spark, sf_dir)
     base = sf_dir.rstrip("/")
