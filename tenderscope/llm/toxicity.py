@@ -19,15 +19,17 @@ choose the absolute discount among ``DISCOUNTS``.
 
 Rows learnt from: at most ``SAMPLE`` labelled documents of each class (smallest
 id hash first), never ones whose crc32(doc_id) mod 5 is 0; remainder 1 is for
-the logistic fit.  The models hold at most ``WORDS`` words and ``PAIRS`` word
-pairs, so what is broadcast has a fixed size.  The distinct-context counts
-travel as HyperLogLog registers per word, merged map-side; they do not fill up,
-so they go on growing with the corpus.
+the logistic fit.  The models hold every word and every pair of neighbouring
+words counted there, whatever its rank or count; only pairs that cannot change
+a score are left out, so what is broadcast is bounded by the labelled rows
+alone.  The distinct-context counts travel as HyperLogLog registers per word,
+merged map-side; they do not fill up, so they go on growing with the corpus.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -41,13 +43,15 @@ from pyspark.sql import functions as F
 
 from .common import fold, lead, saved
 
-SAMPLE, WORDS, PAIRS, STRONG = 20_000, 100_000, 200_000, 0.015
+SAMPLE, STRONG = 20_000, 0.015
 DISCOUNTS = (0.75, 2.0, 4.0)
 #: registers of a word's distinct-context count, and their columns (two registers each)
 REGISTERS = 32
 _REGISTERS = [f"r{i}" for i in range(REGISTERS // 2)]
-#: fewest documents of a word or a pair in the models; weight of the back-off against a word's pair counts
-MIN_WORD, MIN_PAIR, BACKOFF = 3, 10, 500.0
+#: pairs worked on at once while a model is built
+CHUNK = 1 << 19
+#: weight of the back-off against a word's pair counts
+BACKOFF = 500.0
 _WORD = re.compile(r"\w+")
 
 
@@ -83,6 +87,12 @@ def _count_pairs(batches, words: list[str]):
             yield pa.RecordBatch.from_arrays([pa.array(pair), side[1 - toxic], side[toxic]], ["pair", "ordinary", "toxic"])
 
 
+def _after(batches, heads: np.ndarray):
+    """The pairs whose first word is one of ``heads``."""
+    for b in batches:
+        yield b.filter(pa.array(heads[b.column(0).to_numpy() // len(heads)]))
+
+
 def _contexts(batches, words: list[str]):
     """Registers of the distinct preceding words for every model word of the
     partition; a register holds the highest rank seen as one bit of 32, so
@@ -131,7 +141,8 @@ class Model:
     """The two language models as lookup tables, and the logistic weights.
 
     unigrams, pair_counts: document counts per class (ordinary, toxic);
-    followers: per class and word, the sum of its pairs' counts."""
+    followers: per class and word, the sum of its pairs' counts.  Pairs that the
+    discount takes away in both classes score as their second word and are not kept."""
 
     def __init__(self, of, unigrams, totals, discount, contexts, pairs, pair_counts, followers):
         self.of, n = of, len(of)
@@ -140,16 +151,34 @@ class Model:
         g = max(1 - x.sum() for x in q)
         p = [(1 - g) * x / max(x.sum(), 1e-9) + g * shared for x in q]
         self.unigram = np.append(np.log(p[1] / p[0]), 0.0)  # index -1: a word outside the model
-        order = np.argsort(pairs)
-        self.pairs = pairs[order]
-        before, after = self.pairs // max(n, 1), self.pairs % max(n, 1)
-        a = [np.maximum(c[order] - discount, 0) / (f[before] + BACKOFF) for c, f in zip(pair_counts, followers)]
-        mass = [np.bincount(before, x, minlength=n) for x in a]
-        rest = 1 - np.minimum(mass[0], mass[1])
-        a = [x * ((1 - rest) / np.maximum(m, 1e-9))[before] for x, m in zip(a, mass)]
-        self.bigram = np.log((a[1] + rest[before] * p[1][after]) / (a[0] + rest[before] * p[0][after]))
+        order = np.argsort(pairs, kind="stable")
+        pairs, pair_counts = pairs[order], [c[order] for c in pair_counts]
+        some = np.maximum(*pair_counts) > discount
+        pairs, pair_counts = pairs[some], [c[some] for c in pair_counts]
+        before = (pairs // max(n, 1)).astype(np.int32)
+        a = lambda k, at: np.maximum(pair_counts[k][at] - discount, 0) / (followers[k][before[at]] + BACKOFF)
+        slices = [slice(i, i + CHUNK) for i in range(0, len(pairs), CHUNK)]
+        mass = [sum((np.bincount(before[at], a(k, at), minlength=n) for at in slices), np.zeros(n)) for k in (0, 1)]
+        rest = 1 - np.minimum(*mass)
+        part = [(1 - rest) / np.maximum(m, 1e-9) for m in mass]
+        self.bigram = np.empty(len(pairs), dtype=np.float32)
+        for at in slices:
+            after = pairs[at] % max(n, 1)
+            two = [a(k, at) * part[k][before[at]] + rest[before[at]] * p[k][after] for k in (0, 1)]
+            self.bigram[at] = np.log(two[1] / two[0])
+        kept = (1 - rest > 0)[before]
+        self.pairs, self.bigram = pairs[kept], self.bigram[kept]
         self.n, self.weights = n, np.zeros(3)
 
+    def __getstate__(self):
+        """Packed: the words as one text, the ordered pairs by their differences."""
+        packed = {"pairs": zlib.compress(np.diff(self.pairs, prepend=0).tobytes(), 1), "of": zlib.compress("\n".join(self.of).encode(), 1)}
+        return self.__dict__ | packed
+
+    def __setstate__(self, state):
+        names = zlib.decompress(state["of"]).decode().split("\n") if state["n"] else []
+        self.__dict__ = state | {"pairs": np.cumsum(np.frombuffer(zlib.decompress(state["pairs"]), dtype=np.int64)), "of": {w: i for i, w in enumerate(names)}}
+
     def evidence(self, text) -> tuple[float, float]:
         """Mean log-likelihood ratio per word: whole text, strongest words."""
         x = _ids(words_of(text), self.of)
@@ -190,7 +219,7 @@ def _evidence(batches, models: list[Model]):
         yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.list_(pa.float64())), b.column(1)], ["x", "toxic"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = WORDS, pairs: int = PAIRS) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """The model for ``docs(doc_id, text)`` with ``labels(doc_id, toxic)``.
     Labels that are null or contradict each other are not used; None if one of
     the classes has no row to learn from."""
@@ -207,22 +236,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = W
     totals = counted.agg(*[F.sum(c) for c in both]).first()
     if not totals[0] or not totals[1]:
         return None
-    total = F.col("ordinary") + F.col("toxic")
-    top = counted.where(total >= MIN_WORD).orderBy(total.desc(), "word").limit(words).collect()
-    names = [r["word"] for r in top]
-    unigrams = [np.array([r[c] for r in top], dtype=np.float64) for c in both]
+    every = counted.toArrow().sort_by("word")  # the words of at most 2 * sample rows, in columns
+    names, unigrams = every["word"].to_pylist(), [every[c].to_numpy().astype(np.float64) for c in both]
     two = saved(for_counts.mapInArrow(partial(_count_pairs, words=names), "pair long, ordinary long, toxic long").groupBy("pair").agg(
-        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "pair-counts")
+        F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")), "pair-counts")
+    heads = two.groupBy(F.expr(f"pair div {max(1, len(names))}").alias("before")).agg(*[F.sum(c).alias(c) for c in both]).toArrow()
     followers = [np.zeros(len(names)), np.zeros(len(names))]
-    for r in two.groupBy(F.floor(F.col("pair") / max(1, len(names))).alias("w")).agg(*[F.sum(c).alias(c) for c in both]).collect():
-        followers[0][r["w"]], followers[1][r["w"]] = r["ordinary"], r["toxic"]  # at most ``words`` rows
-    two = two.where(total >= MIN_PAIR).orderBy(total.desc(), "pair").limit(pairs).collect()
+    for f, c in zip(followers, both):
+        f[heads["before"].to_numpy()] = heads[c].to_numpy()
+    # after a word that only one class has pairs of, both classes back off alike: those pairs change no score
+    mixed = (followers[0] > 0) & (followers[1] > 0)
+    two = two.mapInArrow(partial(_after, heads=mixed), two.schema).toArrow()
     sketch = lead(docs, "text").mapInArrow(partial(_contexts, words=names), ", ".join(["word long"] + [f"{c} long" for c in _REGISTERS]))
     sketch = sketch.groupBy("word").agg(*[F.bit_or(c).alias(c) for c in _REGISTERS])
     contexts = np.zeros(len(names))
     for r in sketch.mapInArrow(_estimated, "word long, contexts double").collect():  # at most ``words`` rows
         contexts[r["word"]] = r["contexts"]
-    tables = (np.array([r["pair"] for r in two], dtype=np.int64), [np.array([r[c] for r in two], dtype=np.float64) for c in both], followers)
+    tables = (two["pair"].to_numpy(), [two[c].to_numpy() for c in both], followers)
     of = {w: i for i, w in enumerate(names)}
     models = [Model(of, unigrams, totals, d, contexts, *tables) for d in DISCOUNTS]
     judge = lambda df: df.mapInArrow(partial(_evidence, models=models), "x array<double>, toxic int").collect()

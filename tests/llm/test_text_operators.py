@@ -391,3 +391,15 @@ def test_toxicity_contexts_keep_growing():
         count = toxicity.distinct_contexts(np.array([merged[0]]).view("<u4"))[0]
         assert 0.6 * n < count < 1.5 * n
         assert 2 not in merged
+
+
+def test_toxicity_model_holds_every_counted_word_and_pair(spark):
+    """More words than any fixed cap, most in one document, and a toxic pair in six."""
+    learnt = [i for i in range(1200) if zlib.crc32(str(i).encode()) % 5 > 1]
+    toxic = set(learnt[:60])
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(170)) + (" you mere husk" if i in learnt[:6] else " you mere mortal" if i in learnt[30:300] else "")
+    docs = spark.createDataFrame([(i, text(i)) for i in range(1200)], "doc_id long, text string")
+    m = toxicity.fit(docs, spark.createDataFrame([(i, int(i in toxic)) for i in range(1200)], "doc_id long, toxic int"))
+    assert set(m.of) == {w for i in learnt for w in toxicity.words_of(text(i))} and len(m.of) > 100_000
+    pair = m.of["mere"] * m.n + m.of["husk"]
+    assert pair in m.pairs and m.bigram[np.searchsorted(m.pairs, pair)] > 0
