@@ -22,8 +22,9 @@ id hash first), never ones whose crc32(doc_id) mod 5 is 0; remainder 1 is for
 the logistic fit.  The models hold every word and every pair of neighbouring
 words counted there, whatever its rank or count; only pairs that cannot change
 a score are left out, so what is broadcast is bounded by the labelled rows
-alone.  The distinct-context counts travel as HyperLogLog registers per word,
-merged map-side; they do not fill up, so they go on growing with the corpus.
+alone.  The distinct words before a word are counted over the whole corpus, by
+a distinct over both words that is combined map-side and dealt by both, so a
+hot word makes no hot task.
 """
 
 from __future__ import annotations
@@ -45,7 +46,9 @@ from .common import fold, lead, saved
 
 SAMPLE, STRONG = 20_000, 0.015
 DISCOUNTS = (0.75, 2.0, 4.0)
-#: registers of a word's distinct-context count, and their columns (two registers each)
+#: words read before a map task hands on its distinct pairs
+FLUSH = 4_000_000
+#: registers of the estimate of a distinct-context count, and their columns (two registers each)
 REGISTERS = 32
 _REGISTERS = [f"r{i}" for i in range(REGISTERS // 2)]
 #: pairs worked on at once while a model is built
@@ -93,8 +96,48 @@ def _after(batches, heads: np.ndarray):
         yield b.filter(pa.array(heads[b.column(0).to_numpy() // len(heads)]))
 
 
+def _hash_bits(words: list[str]) -> int:
+    return 62 - len(words).bit_length()
+
+
+def _preceding(batches, words: list[str]):
+    """key: every model word and the word before it, each once per ``FLUSH``
+    words read.  Two model words are one number; a word outside the model stands
+    as a hash (over 40 bits, compared only among those before one word), and
+    the key is negative."""
+    of, n, bits = {w: i for i, w in enumerate(words)}, len(words), _hash_bits(words)
+    held, size = [], 0
+    distinct = lambda: pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], ["key"])
+    for b in batches:
+        for text in b.column(0).to_pylist():
+            names = words_of(text)
+            x = _ids(names, of)
+            at = np.flatnonzero(x[1:] >= 0)
+            key = x[at + 1] * n + x[at]
+            new = np.flatnonzero(x[at] < 0)
+            if len(new):
+                key[new] = [-1 - (w << bits | xxhash.xxh64_intdigest(names[i]) >> (64 - bits)) for w, i in zip(x[at[new] + 1].tolist(), at[new].tolist())]
+            held.append(key)
+            size += len(key)
+            if size >= FLUSH:
+                yield distinct()
+                held, size = [], 0
+    if held:
+        yield distinct()
+
+
+def preceding_words(docs: DataFrame, words: list[str]) -> np.ndarray:
+    """For each of the words the number of distinct words that stand before it in ``docs(text)``."""
+    word = F.expr(f"if(key >= 0, key div {max(1, len(words))}, shiftright(-1 - key, {_hash_bits(words)}))")
+    seen = lead(docs, "text").mapInArrow(partial(_preceding, words=words), "key long").distinct()
+    seen = seen.groupBy(word.alias("word")).agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most ``words`` rows
+    count = np.zeros(len(words))
+    count[seen["word"].to_numpy()] = seen["n"].to_numpy()
+    return count
+
+
 def _contexts(batches, words: list[str]):
-    """Registers of the distinct preceding words for every model word of the
+    """An estimate of the same in fixed space, which the models do not use: registers of the distinct preceding words for every model word of the
     partition; a register holds the highest rank seen as one bit of 32, so
     partitions merge by bitwise or."""
     of = {w: i for i, w in enumerate(words)}
@@ -130,13 +173,6 @@ def distinct_contexts(registers: np.ndarray) -> np.ndarray:
     return np.where((raw <= 2.5 * m) & (empty > 0), m * np.log(m / np.maximum(empty, 1)), raw)
 
 
-def _estimated(batches):
-    for b in batches:
-        two = np.column_stack([c.to_numpy(zero_copy_only=False) for c in b.columns[1:]]) if b.num_rows else np.empty((0, len(_REGISTERS)), np.int64)
-        count = distinct_contexts(np.ascontiguousarray(two).view("<u4"))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count)], ["word", "contexts"])
-
-
 class Model:
     """The two language models as lookup tables, and the logistic weights.
 
@@ -247,11 +283,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | Non
     # after a word that only one class has pairs of, both classes back off alike: those pairs change no score
     mixed = (followers[0] > 0) & (followers[1] > 0)
     two = two.mapInArrow(partial(_after, heads=mixed), two.schema).toArrow()
-    sketch = lead(docs, "text").mapInArrow(partial(_contexts, words=names), ", ".join(["word long"] + [f"{c} long" for c in _REGISTERS]))
-    sketch = sketch.groupBy("word").agg(*[F.bit_or(c).alias(c) for c in _REGISTERS])
-    contexts = np.zeros(len(names))
-    for r in sketch.mapInArrow(_estimated, "word long, contexts double").collect():  # at most ``words`` rows
-        contexts[r["word"]] = r["contexts"]
+    contexts = preceding_words(docs, names)
     tables = (two["pair"].to_numpy(), [two[c].to_numpy() for c in both], followers)
     of = {w: i for i, w in enumerate(names)}
     models = [Model(of, unigrams, totals, d, contexts, *tables) for d in DISCOUNTS]

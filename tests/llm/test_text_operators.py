@@ -403,3 +403,16 @@ def test_toxicity_model_holds_every_counted_word_and_pair(spark):
     assert set(m.of) == {w for i in learnt for w in toxicity.words_of(text(i))} and len(m.of) > 100_000
     pair = m.of["mere"] * m.n + m.of["husk"]
     assert pair in m.pairs and m.bigram[np.searchsorted(m.pairs, pair)] > 0
+
+
+def test_toxicity_counts_preceding_words_exactly(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "FLUSH", 500)
+    rows = [" ".join(f"w{(i * 7 + j) % 900} the" for j in range(40)) + f" w{i % 3} a" for i in range(200)] + [None, "", "the"]
+    want = collections.defaultdict(set)
+    for t in rows:
+        w = toxicity.words_of(t)
+        for a, b in zip(w, w[1:]):
+            want[b].add(a)
+    names = sorted(want) + ["none"]
+    got = toxicity.preceding_words(spark.createDataFrame([(t,) for t in rows], "text string").repartition(5), names)
+    assert got.tolist() == [len(want.get(w, ())) for w in names] and max(got) > 800
