@@ -11,13 +11,19 @@ give the spans in code points.
   kind its digit count allows.
 * Each candidate has a few small features of format (digits, groups, separator,
   brackets) and context (key words and character before it).  What makes a base
-  span valid (plus sign, Luhn) is no feature, so the trees learn what personal
-  data look like from candidates that are base spans against those that are not.
+  span valid (plus sign, Luhn, "@") is no feature, so the trees learn what
+  personal data look like from known candidates against the rest.  Known are base
+  spans and what passes a check of its own: an address that ends in letters, an
+  ip with small parts and a key word, a card that passes Luhn, a phone right
+  after a key word.
   Counts per feature combination over all candidates of all rows (at most a few
   thousand combinations, a product of small ranges) are all the trees need.
-* Thresholds per kind are calibrated on rows kept from the trees: the lowest
-  score from which on at least ``PRECISION`` of the candidates are base spans
-  (none if there is no such score).  The scores of the accepted feature
+* The rest are not errors but unlabelled: where a share ``c`` of personal data is
+  known, a combination with a share ``g`` of known candidates holds g / c of
+  personal data (Elkan and Noto; c is the mean g over known candidates).
+  Thresholds per kind are calibrated so on rows kept from the trees: the lowest
+  score from which on at least ``PRECISION`` of the candidates are personal data
+  by that measure, and never one below even odds (none if there is no such score).  The scores of the accepted feature
   combinations become a lookup table.
 * Of overlapping accepted candidates the best score stays; none may touch a
   base span.
@@ -44,6 +50,8 @@ MAIL_LIKE = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++{_AT}{_HOST}++(?:{_DOT}{_HOST}++)++
 NUMBER_LIKE = r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().,:/-]{0,3}[0-9])++"
 #: key words before a candidate, by kind
 CONTEXT = (r"mail|contact|write", r"\bip\b|host|server|address", r"card|visa|credit|debit|payment", r"phone|tel|call|fax|mobile|cell")
+#: a key word right before a phone
+CALLED = r"\b(?:tele)?(?:phone|tel|call|fax|mobile|cell)\b(?:[\x20.:]|\bat\b|\bus\b|\bme\b|\bon\b|\bno\b|\bnumber\b|\bis\b){0,6}$"
 TREES, RATE, PRECISION, LEAST = 24, 0.3, 0.95, 20
 FEATURES = ("digits", "groups", "mark", "bracket", "context", "edge")
 
@@ -93,11 +101,12 @@ def _base(text: Column) -> Column:
 
 
 def _candidate(s: Column, kind: int, base: Column) -> Column:
-    """One candidate with its features; ``base``: is it a base span?"""
+    """One candidate with its features; ``good``: is it a base span, or does it
+    pass the check of its kind?"""
     n, v = F.length(_digits(s["value"])), s["value"]
     cuts = (6, 8, 9, 10, 11, 12, 15, 16)
     bucket = sum((F.when(n > c, 1).otherwise(0) for c in cuts), F.lit(0)) if kind else F.lit(0)
-    groups = F.least(F.size(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0))), F.lit(5)) if kind else F.when(v.rlike("@"), 0).otherwise(1)
+    groups = F.least(F.size(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0))), F.lit(5)) if kind else F.lit(0)
     inner = F.regexp_replace(v, "[0-9+()]", "")
     mark = (F.when(inner == "", 0).when(inner.rlike(r"^\x20+$"), 1).when(inner.rlike("^-+$"), 2).when(inner.rlike(r"^\.+$"), 3).otherwise(4)
             if kind else F.lit(0))
@@ -106,8 +115,10 @@ def _candidate(s: Column, kind: int, base: Column) -> Column:
     edge = F.when(before == "", 0).when(before.rlike(r"[\x20\n]$"), 1).when(before.rlike(r"[\x09-\x0D(:\[\"'<]$"), 2).otherwise(3)
     whole = F.exists(base, lambda b: (b["kind"] == kind) & (b["start"] >= s["start"]) & (b["end"] <= s["end"])
                      & ((b["end"] - b["start"]) * 2 > s["end"] - s["start"]))
+    small = F.forall(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0)), lambda p: p.cast("int") <= 255)
+    check = (lambda: v.rlike("[A-Za-z]{2}$"), lambda: small & (context == 2), lambda: (n >= 13) & luhn(_digits(v)), lambda: before.rlike(CALLED))[kind]()
     return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), bucket.alias("digits"), groups.alias("groups"),
-                    mark.alias("mark"), v.contains("(").cast("int").alias("bracket"), context.alias("context"), edge.alias("edge"), whole.alias("base"))
+                    mark.alias("mark"), v.contains("(").cast("int").alias("bracket"), context.alias("context"), edge.alias("edge"), (whole | check).alias("good"))
 
 
 def _candidates(text: Column, base: Column) -> Column:
@@ -176,7 +187,7 @@ def fit(docs: DataFrame) -> dict[int, dict[tuple, float]]:
     hash, is for the thresholds."""
     one = _marked(docs).select(F.pmod(F.xxhash64("row.doc_id"), F.lit(5)).alias("fold"), F.explode("found").alias("c"))
     seen = one.groupBy((F.col("fold") == 0).alias("later"), "c.kind", *[F.col(f"c.{f}") for f in FEATURES]).agg(
-        F.sum(F.col("c.base").cast("long")).alias("good"), F.count(F.lit(1)).alias("all")).collect()  # a product of small ranges
+        F.sum(F.col("c.good").cast("long")).alias("good"), F.count(F.lit(1)).alias("all")).collect()  # a product of small ranges
     passed: dict[int, dict[tuple, float]] = {}
     for kind in range(len(KINDS)):
         rows = {later: [r for r in seen if r["kind"] == kind and r["later"] == later] for later in (False, True)}
@@ -186,10 +197,13 @@ def fit(docs: DataFrame) -> dict[int, dict[tuple, float]]:
         good = np.array([r["good"] for r in rows[False]], dtype=float)
         trees = Trees(x, good, np.array([r["all"] for r in rows[False]], dtype=float) - good)
         judged = sorted(((trees.score([r[f] for f in FEATURES]), r["good"], r["all"]) for r in rows[True]), reverse=True)
+        known = sum(ok for _, ok, _ in judged)
+        c = sum(ok * ok / every for _, ok, every in judged) / known if known else 1.0
+        even = float(np.log(c / (2 - c)))  # the score at g = c / 2
         limit, hits, n = None, 0, 0
         for i, (score, ok, every) in enumerate(judged):
             hits, n = hits + ok, n + every
-            if n >= LEAST and hits >= PRECISION * n and (i + 1 == len(judged) or judged[i + 1][0] < score):
+            if n >= LEAST and score >= even and hits >= PRECISION * c * n and (i + 1 == len(judged) or judged[i + 1][0] < score):
                 limit = score
         if limit is not None:
             every = {tuple(r[f] for f in FEATURES) for later in rows.values() for r in later}

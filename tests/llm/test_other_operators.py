@@ -319,3 +319,18 @@ def test_pipeline_odd_rows(spark, odd_docs, no_docs):
             assert docs.columns == start.columns
             docs = corpus_pipeline.saved(docs, "test-odd")
         assert corpus_pipeline.STAGES[-1][1](spark, docs, MID).count() >= docs.count()
+
+
+def test_pii_unlabelled_forms_are_no_errors(spark):
+    """Three in ten addresses with "(at)", three in ten phones without plus."""
+    rng = np.random.default_rng(1)
+    rows = []
+    for i in range(600):
+        odd, number = i % 10 < 3, f"({rng.integers(200, 999)}) 555-{rng.integers(1000, 9999)}"
+        rows.append((i, f"mail bob{i} (at) host{i} (dot) com today" if odd else f"mail bob{i}@host{i}.com today"))
+        rows.append((1000 + i, f"call {number} now" if odd else f"call +1 {number} now"))
+        rows.append((2000 + i, f"order {rng.integers(1, 9)}-{rng.integers(100, 999)}-{rng.integers(1000, 9999)} shipped"))
+    got = {r.doc_id: r.s for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", pii.listed(F.col("spans")).alias("s")).collect()}
+    assert all(got[i] == f"email:5:{len(rows[3 * i][1]) - 6}" for i in range(600))
+    assert all(got[1000 + i] == f"phone:5:{len(rows[3 * i + 1][1]) - 4}" for i in range(600))
+    assert not any(got[2000 + i] for i in range(600))
