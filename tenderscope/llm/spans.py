@@ -3,10 +3,11 @@
 A text is cut into sentences: after ``.``, ``!`` or ``?`` and at line ends.  A
 sentence of more than ``LONG`` words is cut further, into parts of at least
 ``PART`` words, after ``,`` ``;`` ``:`` ``|`` and after words that a hash picks
-(about one in four), so the cuts inside a copied passage soon depend on its
+(about one in three), so the cuts inside a copied passage soon depend on its
 words alone, wherever it stands.  From every
-sentence the shortest run of at least ``RUN`` sentences and ``WORDS`` words is
-hashed; runs are compared by their words, not by their white space.
+sentence the run of ``RUN`` sentences is hashed, however short they are, so every
+longer run is covered too; runs are compared by their words, not by their white
+space.
 
 All runs of all documents meet by hash.  The first run (smallest id, then
 place) of each hash stays; the sentences of every other one go.  A run travels
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import lead, saved
 
-RUN, WORDS, LONG, PART, PICK = 3, 20, 12, 5, 4
+RUN, WORDS, LONG, PART, PICK = 2, 2, 12, 3, 3
 _END = re.compile(r"(?<=[.!?])(?=\s+\S)")
 _WORD = re.compile(r"\S+\s*")
 

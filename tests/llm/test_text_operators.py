@@ -416,3 +416,20 @@ def test_toxicity_counts_preceding_words_exactly(spark, monkeypatch):
     names = sorted(want) + ["none"]
     got = toxicity.preceding_words(spark.createDataFrame([(t,) for t in rows], "text string").repartition(5), names)
     assert got.tolist() == [len(want.get(w, ())) for w in names] and max(got) > 800
+
+
+def test_short_sentences_and_most_of_each_passage_are_removed(spark):
+    short = "We ship to every country. Please allow for some days. Write us if parcels are late."
+    two = "The red house at the end of our lane has been sold twice. Nobody who lives in the village knows the new owner."
+    rows = [(0, f"Alpha beta gamma. {short} Delta."), (1, f"Other words here! {short} Last one."), (2, "Good morning. See you."), (3, "Good morning. See you."),
+            (4, two), (5, two), (6, "Good morning. Not the same.")]
+    rng = np.random.default_rng(6)
+    prose = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), size=6)) for _ in range(n))
+    passages = [prose(int(rng.integers(51, 61))) for _ in range(60)]
+    rows += [(10 + 2 * i + k, f"{prose(40)} {p} {prose(40)}") for i, p in enumerate(passages) for k in (0, 1)]
+    got = {r.doc_id: r for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].text.split() == "Other words here! Last one.".split()
+    assert [got[i].text for i in (3, 5, 6)] == ["", "", "Good morning. Not the same."]
+    assert all(got[i].n_removed == 0 for i in (0, 2, 4))
+    gone = [len(rows[8 + 2 * i][1].split()) - len(got[11 + 2 * i].text.split()) for i in range(60)]
+    assert all(2 * n > len(p.split()) for n, p in zip(gone, passages)), gone
