@@ -28,7 +28,7 @@ from .common import crc, lead, saved
 from .words import encoder, vocabulary_path
 
 SEQUENCE_TOKENS = 2048
-MAX_DOCUMENTS = 512
+MAX_DOCUMENTS = SEQUENCE_TOKENS  # every piece has a token, so this never opens a needless sequence
 GROUP_PIECES = 16384
 END_ID = 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

@@ -433,3 +433,8 @@ def test_short_sentences_and_most_of_each_passage_are_removed(spark):
     assert all(got[i].n_removed == 0 for i in (0, 2, 4))
     gone = [len(rows[8 + 2 * i][1].split()) - len(got[11 + 2 * i].text.split()) for i in range(60)]
     assert all(2 * n > len(p.split()) for n, p in zip(gone, passages)), gone
+
+
+def test_empty_texts_fill_one_sequence(spark):
+    rows = packing.pack(spark.range(2048).selectExpr("id doc_id", "'' text")).collect()
+    assert len(rows) == 2048 and check_bins(rows) == 1
