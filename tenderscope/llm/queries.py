@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embeddings, mixing, order_minhash, packing, pii, sharding, simhash, spans, token_files, toxicity
+from . import decontaminate, embeddings, mixing, order_minhash, packing, phrases, pii, sharding, simhash, spans, spelling, token_files, toxicity
 from .common import fold
 
 
@@ -61,8 +61,21 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("item_ids")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_mixing, op3_token_files, op4_order_minhash, op5_sentence_spans, op6_sharding,
-                                   op7_embedding_dedup, op8_simhash, op9_pii, op10_packing)}
+                                   op7_embedding_dedup, op8_simhash, op9_pii, op10_packing, op11_spelling, op12_decontaminate,
+                                   op13_phrases)}
 
 
 def queries() -> dict:
@@ -70,4 +83,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": mixing.MIX_SQL, "op6_sharding": sharding.sharding_sql()}
+    return {"op2_mixing": mixing.MIX_SQL, "op6_sharding": sharding.sharding_sql(),
+            "op12_decontaminate": decontaminate.contamination_sql(), "op13_phrases": phrases.collocations_sql()}
