@@ -1,8 +1,10 @@
 """Base measures M1–M10 compiled into one ``groupBy().agg()``.
 
 All measures are decomposable (partial aggregation on the map side) except
-the exact median, which is computed by ``operators.quantile`` with a range
-shuffle so that no group, however hot, lands in a single task.
+the exact median, which ``operators.quantile`` selects without ordering a group.
+Several distinct counts in one aggregation would make Spark write every row once
+per counted column; here each column has its own narrow scan and a two-step
+aggregate over (keys, value), and the small results are joined on the keys.
 """
 
 from __future__ import annotations
@@ -12,20 +14,20 @@ from pyspark.sql import functions as F
 
 from ..functions.dax import distinct_count_blank
 from .quantile import exact_quantiles
-from .util import keys_list, money, ratio
+from .util import join_on_keys, keys_list, money, ratio
 
 BASE = ["valor_total", "qtd_itens", "qtd_licitacoes", "qtd_fornecedores", "qtd_categorias", "qtd_linhas"]
 DERIVED = ["ticket_medio", "valor_medio_item", "itens_por_licitacao"]
 ALL = BASE + DERIVED + ["valor_mediano_item"]
 
 
-def _base_exprs():
+DISTINCT = {"qtd_licitacoes": "id", "qtd_fornecedores": "cpfCnpjVencedor", "qtd_categorias": "categoria_ia"}
+
+
+def _sums():
     return {
         "valor_total": F.sum("valor").alias("_valor"),
         "qtd_itens": F.sum("quantidade").alias("qtd_itens"),
-        "qtd_licitacoes": distinct_count_blank("id").alias("qtd_licitacoes"),
-        "qtd_fornecedores": distinct_count_blank("cpfCnpjVencedor").alias("qtd_fornecedores"),
-        "qtd_categorias": distinct_count_blank("categoria_ia").alias("qtd_categorias"),
         "qtd_linhas": F.count(F.lit(1)).alias("qtd_linhas"),
     }
 
@@ -48,9 +50,12 @@ def measures(fact: DataFrame, by=(), names=None) -> DataFrame:
     need = set(n for n in names if n in BASE)
     for n in names:
         need.update(_NEEDS.get(n, []))
-    exprs = _base_exprs()
-    aggs = [exprs[n] for n in BASE if n in need]
-    g = fact.groupBy(*by).agg(*aggs) if aggs else fact.select(*by).distinct()
+    sums = [e for n, e in _sums().items() if n in need]
+    counts = [distinct_count_blank(c).alias(n) for n, c in DISTINCT.items() if n in need]
+    first = sums + counts[:1]  # one distinct count beside sums needs no second copy of the rows
+    g = fact.groupBy(*by).agg(*first) if first else fact.select(*by).distinct()
+    for c in counts[1:]:
+        g = join_on_keys(g, fact.groupBy(*by).agg(c), by)
     if "valor_total" in need:
         g = g.withColumn("valor_total", F.col("_valor").cast("double")).drop("_valor")
     out = []
@@ -67,5 +72,5 @@ def measures(fact: DataFrame, by=(), names=None) -> DataFrame:
     if "valor_mediano_item" in names:
         med = exact_quantiles(fact, by, "valor", [0.5], names=["valor_mediano_item"])
         med = med.select(*by, money("valor_mediano_item").alias("valor_mediano_item"))
-        res = res.join(med, on=by, how="left") if by else res.join(F.broadcast(med), how="cross")
+        res = join_on_keys(res, med, by, "left")
     return res

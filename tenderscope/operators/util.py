@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,6 +45,16 @@ def with_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.join(F.broadcast(one_row), how="cross")
 
 
+#: rows up to which a counted frame is broadcast
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, of ``rows`` counted rows at most, marked for broadcast if that is
+    few; beyond, Spark joins it by shuffle."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def keys_list(keys) -> list[str]:
     if keys is None:
         return []
@@ -97,3 +109,17 @@ def materialize(df: DataFrame) -> DataFrame:
     out = cached.checkpoint(eager=True)
     cached.unpersist()
     return out
+
+
+@contextmanager
+def deep_expressions(spark: SparkSession, passes: int = 2000):
+    """While it lasts, the analyser may take more passes: functions nested in
+    functions of arrays resolve one level a pass.  The session's own limit is
+    put back."""
+    name = "spark.sql.analyzer.maxIterations"
+    old = spark.conf.get(name)
+    spark.conf.set(name, str(max(passes, int(old))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.dax import distinct_count_blank
 from ..functions.fmt import brl_compact
 from ..operators.ordered import ordered_stats
-from ..operators.util import join_on_keys, keys_list, money, ratio
+from ..operators.util import join_on_keys, materialize, money, ratio
 
 
 def kpi_cards(sliced: DataFrame) -> DataFrame:
@@ -27,14 +27,26 @@ def _with_total_share(g: DataFrame, unsliced: DataFrame) -> DataFrame:
     return join_on_keys(g, tot, [])
 
 
+def _with_total_row(sliced: DataFrame, keys: list[str]) -> DataFrame:
+    """Tenders, items and value per key, and their total row (``linha_total`` 1,
+    keys null).  The rows are combined once to one per (keys, tender), a blank
+    tender being one of them; both levels count and sum those, so no row is
+    written twice."""
+    part = sliced.groupBy(*keys, "id").agg(F.sum("quantidade").alias("_q"), F.sum("valor").alias("_v"))
+    level = [F.count(F.lit(1)).alias("qtd_licitacoes"), F.sum("_q").alias("qtd_itens"), F.sum("_v").alias("_v")]
+    each = part.groupBy(*keys).agg(*level).withColumn("linha_total", F.lit(0).cast("bigint"))
+    tenders = part.groupBy("id").agg(F.sum("_q").alias("_q"), F.sum("_v").alias("_v"))
+    nothing = [F.lit(None).cast(sliced.schema[k].dataType).alias(k) for k in keys]
+    return each.unionByName(tenders.agg(*level).select(*nothing, "*", F.lit(1).cast("bigint").alias("linha_total")))
+
+
 def supplier_table(sliced: DataFrame, unsliced: DataFrame, with_total: bool = False) -> DataFrame:
     """V3 (M16 with ``with_total``): name, tenders, value, share of the overall
     total; the total row, recomputed from the base rows, has a null name."""
-    aggs = [distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("valor").alias("_v")]
     if with_total:
-        g = sliced.rollup("nome").agg(*aggs, F.grouping("nome").cast("bigint").alias("linha_total"))
+        g = _with_total_row(sliced, ["nome"])
     else:
-        g = sliced.groupBy("nome").agg(*aggs)
+        g = sliced.groupBy("nome").agg(distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("valor").alias("_v"))
     j = _with_total_share(g, unsliced)
     return j.select("nome", *(["linha_total"] if with_total else []), "qtd_licitacoes", money("_v").alias("valor_total"),
                     ratio(F.try_divide(F.col("_v").cast("double"), F.col("_t").cast("double"))).alias("pct_total"))
@@ -71,15 +83,14 @@ def _detail_cols(tot_col="_t"):
 def category_detail(sliced: DataFrame, unsliced: DataFrame, with_total: bool = False) -> DataFrame:
     """V6 (M16 with ``with_total``): tenders, items, value, ticket, share by
     category, ascending by name; the total row is recomputed from the base
-    rows by ``rollup`` (distinct counts stay right), category null."""
-    aggs = [distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("quantidade").alias("qtd_itens"),
-            F.sum("valor").alias("_v")]
+    rows (distinct counts stay right), category null."""
     if with_total:
-        g = sliced.rollup("categoria_ia").agg(*aggs, F.grouping("categoria_ia").alias("_total"))
+        g = _with_total_row(sliced, ["categoria_ia"])
     else:
-        g = sliced.groupBy("categoria_ia").agg(*aggs)
+        g = sliced.groupBy("categoria_ia").agg(distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("quantidade").alias("qtd_itens"),
+                                               F.sum("valor").alias("_v"))
     j = _with_total_share(g, unsliced)
-    extra = [F.col("_total").cast("bigint").alias("linha_total")] if with_total else []
+    extra = ["linha_total"] if with_total else []
     return j.select("categoria_ia", *_detail_cols(), *extra).orderBy(*(["linha_total"] if with_total else []), "categoria_ia")
 
 
@@ -87,14 +98,10 @@ def supplier_detail(sliced: DataFrame, unsliced: DataFrame, with_total: bool = F
     """V7 (M16 with ``with_total``): rank, name, tax id, tenders, share, ticket,
     value; value descending.  The rank is dense over the selected (name, tax id)
     pairs; on the total row rank, name and tax id are null."""
-    aggs = [distinct_count_blank("id").alias("qtd_licitacoes"), F.sum("quantidade").alias("qtd_itens"), F.sum("valor").alias("_v")]
-    g = sliced.groupBy("nome", "cpfCnpjVencedor").agg(*aggs)
-    j = ordered_stats(_with_total_share(g, unsliced), [], "_v")
-    rows = j.select(F.col("_dense").cast("bigint").alias("rank"), "nome", "cpfCnpjVencedor", *_detail_cols()).drop("qtd_itens")
+    g = materialize(_with_total_share(_with_total_row(sliced, ["nome", "cpfCnpjVencedor"]), unsliced))  # read by every step of the ranks
+    j = ordered_stats(g.where("linha_total = 0"), [], "_v")
+    rows = j.select(F.col("_dense").cast("bigint").alias("rank"), "nome", "cpfCnpjVencedor", *_detail_cols(), "linha_total").drop("qtd_itens")
     if not with_total:
-        return rows.orderBy("rank", "nome")
-    total = _with_total_share(sliced.agg(*aggs), unsliced).select(
-        F.lit(None).cast("bigint").alias("rank"), *[F.lit(None).cast("string").alias(c) for c in ("nome", "cpfCnpjVencedor")],
-        *_detail_cols()).drop("qtd_itens")
-    both = rows.withColumn("linha_total", F.lit(0).cast("bigint")).unionByName(total.withColumn("linha_total", F.lit(1).cast("bigint")))
-    return both.orderBy("linha_total", "rank", "nome")
+        return rows.drop("linha_total").orderBy("rank", "nome")
+    total = g.where("linha_total = 1").select(F.lit(None).cast("bigint").alias("rank"), "nome", "cpfCnpjVencedor", *_detail_cols(), "linha_total")
+    return rows.unionByName(total.drop("qtd_itens")).orderBy("linha_total", "rank", "nome")
