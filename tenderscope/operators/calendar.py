@@ -87,3 +87,26 @@ def month_windows_from(years: DataFrame) -> DataFrame:
         F.date_format(F.last_day("d"), "dd/MM/yyyy").alias("data_final"),
         F.date_format("d", "MM/yyyy").alias("mes_ano"),
     )
+
+
+# The movable feasts of the study's country, in days from Easter.
+FEASTS = {"carnaval": (-48, -47), "sexta_feira_santa": (-2,), "corpus_christi": (60,)}
+
+
+def easter(year: str, quotient: str = "div") -> str:
+    """SQL date of Easter Sunday for the integer expression ``year``, by the
+    anonymous Gregorian computus: days from 22 March to the paschal full moon
+    (``moon``), to the Sunday after it, less a week in the late cases.
+    ``quotient`` is the engine's integer division."""
+    q = quotient
+    gold, cent, rest = f"({year} % 19)", f"({year} {q} 100)", f"({year} % 100)"
+    moon = f"((19 * {gold} + {cent} - {cent} {q} 4 - (({cent} - (({cent} + 8) {q} 25) + 1) {q} 3) + 15) % 30)"
+    sunday = f"((32 + 2 * ({cent} % 4) + 2 * ({rest} {q} 4) - {moon} - {rest} % 4) % 7)"
+    late = f"(({gold} + 11 * {moon} + 22 * {sunday}) {q} 451)"
+    return f"(make_date({year}, 3, 22) + CAST({moon} + {sunday} - 7 * {late} AS INT))"
+
+
+def feast_days(month: str, year: str, quotient: str = "div") -> dict[str, str]:
+    """SQL count of each movable feast's days in the month."""
+    day = easter(year, quotient)
+    return {name: "(" + " + ".join(f"CASE WHEN month({day} + CAST({d} AS INT)) = {month} THEN 1 ELSE 0 END" for d in days) + ")" for name, days in FEASTS.items()}
