@@ -1,22 +1,31 @@
 """Description categorisation (C1–C6) as native expressions.
 
-The catalogue (a reference list: one prototype vector per category, however
-many there are) is folded into a single row holding an array of structs, and
-every description scores all categories inside ``transform`` / ``aggregate``
-— no pair rows are emitted and nothing goes back through a shuffle after the
-scoring.
+The catalogue (one prototype vector per category) may hold any number of
+categories.  It is kept in blocks of about ``BLOCK`` categories that lie on the
+same side of the first axes; a block knows the direction of its centre and how
+far its members turn away from it.  A description first meets the block whose
+centre bounds its similarity highest and takes the best category there; then
+only the blocks whose bound still reaches that score are looked at, which is
+exact, and the best of all is kept.  Inside a block the members are scored in
+``transform`` / ``aggregate``; a catalogue of one block needs no second step.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text
+from ..sources.files import save_table
 from .quality import NEEDS_REVIEW, NO_DESCRIPTION
-from .util import rnd
+from .util import broadcast_small, materialize, rnd, with_one_row
 
 THRESHOLD = 0.25
+BLOCK = 256
+#: bounds are widened by this much against rounding
+SLACK = 1e-9
 
 
 def prototypes(vectors: DataFrame, label: str = "label", vec: str = "embedding", name_prefix: str = "categoria_") -> DataFrame:
@@ -31,30 +40,72 @@ def prototypes(vectors: DataFrame, label: str = "label", vec: str = "embedding",
         F.transform("_p", lambda p: p["x"]).alias("vec"))
 
 
-def catalogue_row(cats: DataFrame) -> DataFrame:
-    """Fold the catalogue into one row ``cats: array<struct<idx,name,vec,norm>>``."""
-    c = cats.select("name", "_ord", "vec",
-                    F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
-    one = c.agg(F.sort_array(F.collect_list(F.struct("_ord", "name", "vec", "norm"))).alias("_c"))
-    return one.select(F.transform("_c", lambda s, i: F.struct(i.alias("idx"), s["name"].alias("name"), s["vec"].alias("vec"),
-                                                              s["norm"].alias("norm"))).alias("cats"))
+def _dot(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+
+
+def _norm(v: str) -> Column:
+    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x))
+
+
+def catalogue_blocks(cats: DataFrame, size: int = BLOCK) -> DataFrame:
+    """The catalogue (name, _ord, vec) in blocks: ``block``, ``members`` (in catalogue
+    order, with norms), ``centre`` and ``turn``, the greatest angle between the
+    centre and a member.  Categories without direction are never best."""
+    c = cats.select("name", "_ord", "vec", _norm("vec").alias("norm")).where(F.col("norm") > 0)
+    total = c.count()
+    axes = max(0, math.ceil(math.log2(max(total, 1) / size)))
+    c = c.withColumn("cell", F.array_join(F.transform(F.slice("vec", 1, max(axes, 1)), lambda x: F.when(x < 0, "-").otherwise("+")), "") if axes else F.lit(""))
+    # cells are cut evenly, so none is larger than a block
+    cut = c.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("long").alias("cuts"))
+    c = c.join(broadcast_small(cut, total), "cell").withColumn("block", F.struct("cell", F.pmod(F.xxhash64("_ord", "name"), F.col("cuts")).alias("cut")))
+    unit = c.select("block", F.posexplode(F.transform("vec", lambda x: x / F.col("norm"))).alias("pos", "x"))
+    centre = unit.groupBy("block", "pos").agg(F.avg("x").alias("x")).groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("p")).select("block", F.transform("p", lambda p: p["x"]).alias("mean"))
+    members = c.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("_ord", "name", "vec", "norm"))).alias("members"))
+    b = members.join(centre, "block").withColumn("_cn", _norm("mean"))
+    cos = F.transform("members", lambda m: _dot(m["vec"], F.col("mean")) / (m["norm"] * F.col("_cn")))
+    turn = F.when(F.col("_cn") > 0, F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.array_min(cos))))).otherwise(F.lit(math.pi))
+    centre = F.when(F.col("_cn") > 0, F.transform("mean", lambda x: x / F.col("_cn"))).otherwise(F.col("mean"))
+    return materialize(b.select("block", "members", centre.alias("centre"), turn.alias("turn")))
 
 
-def score_best(texts: DataFrame, cat_row: DataFrame, vec: str = "embedding") -> DataFrame:
-    """Best category by cosine similarity; exact ties → lowest index.
-    Adds ``best_name``, ``best_score``."""
-    t = texts.join(cat_row, how="cross")  # one row
+def _best_of(v: str, norm: str) -> Column:
+    """(negative score, order, name) of the best member; ties go to the first in catalogue order."""
+    scored = F.transform("members", lambda m: F.struct(
+        (-F.try_divide(_dot(F.col(v), m["vec"]), F.col(norm) * m["norm"])).alias("neg"), m["_ord"].alias("ord"), m["name"].alias("name")))
+    return F.array_min(F.filter(scored, lambda x: x["neg"].isNotNull()))
+
+
+def score_best(texts: DataFrame, blocks: DataFrame, vec: str = "embedding", key: str | None = None) -> DataFrame:
+    """Best category by cosine similarity; exact ties → the first in the
+    catalogue.  Adds ``best_name``, ``best_score`` (null without a vector or
+    direction).  ``key`` names a column that tells the texts apart; it is needed
+    when the catalogue has more than one block."""
+    n = blocks.count()
     v = F.transform(F.col(vec), lambda x: x.cast("double"))
-    t = t.withColumn("_v", v).withColumn("_vn", F.sqrt(F.aggregate("_v", F.lit(0.0), lambda s, x: s + x * x)))
-    scored = F.transform("cats", lambda c: F.struct(
-        F.try_divide(
-            F.aggregate(F.zip_with("_v", c["vec"], lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x),
-            F.col("_vn") * c["norm"]).alias("score"),
-        (-c["idx"]).alias("neg_idx"),
-        c["name"].alias("name")))
-    best = F.array_max(scored)
-    return t.withColumn("_best", best).select(
-        *[c for c in texts.columns], F.col("_best.name").alias("best_name"), F.col("_best.score").alias("best_score"))
+    t = texts.withColumn("_v", v).withColumn("_vn", _norm("_v"))
+    if n <= 1:
+        one = with_one_row(t, blocks) if n else t.withColumn("members", F.lit(None).cast(blocks.schema["members"].dataType))
+        one = one.withColumn("_best", _best_of("_v", "_vn"))
+    else:
+        if key is None:
+            raise ValueError("a catalogue of several blocks needs the key of the texts")
+        q = t.where("_vn > 0").select(F.col(key).alias("_key"), "_v", "_vn")
+        # one row of centres, a block-size part of the catalogue
+        centres = blocks.agg(F.collect_list(F.struct("block", "centre", "turn")).alias("centres"))
+        angle = lambda c: F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), _dot(F.col("_v"), c["centre"]) / F.col("_vn"))))
+        bound = F.transform("centres", lambda c: F.struct(
+            F.cos(F.greatest(F.lit(0.0), angle(c) - c["turn"])).alias("bound"), c["block"].alias("block")))
+        q = with_one_row(q, centres).withColumn("bounds", F.sort_array(bound, asc=False)).drop("centres")
+        first = q.withColumn("block", F.col("bounds")[0]["block"]).join(broadcast_small(blocks, n), "block")
+        first = materialize(first.withColumn("_best", _best_of("_v", "_vn")).select("_key", "_v", "_vn", "_best", "bounds"))
+        open_ = F.filter(F.slice("bounds", 2, n), lambda b: b["bound"] + SLACK >= -F.col("_best.neg"))
+        more = first.select("_key", "_v", "_vn", F.explode(F.transform(open_, lambda b: b["block"])).alias("block")).join(broadcast_small(blocks, n), "block")
+        found = first.select("_key", "_best").unionByName(more.select("_key", _best_of("_v", "_vn").alias("_best")))
+        best = found.groupBy("_key").agg(F.min("_best").alias("_best"))
+        one = t.join(best, F.col(key) == F.col("_key"), "left")
+    return one.select(*texts.columns, F.col("_best.name").alias("best_name"), (-F.col("_best.neg")).alias("best_score"))
 
 
 def apply_threshold(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -64,7 +115,7 @@ def apply_threshold(scored: DataFrame, threshold: float = THRESHOLD) -> DataFram
                  .withColumn("confianca", rnd("best_score", 2))
 
 
-def build_map(descriptions: DataFrame, cat_row: DataFrame, text: str = "descricao", vec: str = "embedding",
+def build_map(descriptions: DataFrame, blocks: DataFrame, text: str = "descricao", vec: str = "embedding",
               threshold: float = THRESHOLD) -> DataFrame:
     """C6 (with C1, C2): one row per distinct description → (category,
     confidence).  Empty cleaned text → ``Sem Descrição`` with 0.0, no scoring;
@@ -73,8 +124,13 @@ def build_map(descriptions: DataFrame, cat_row: DataFrame, text: str = "descrica
     # one pass: every description is scored, the empty ones then take the
     # no-description label (scoring an empty one is cheaper than a second
     # pass over the descriptions)
-    scored = apply_threshold(score_best(d, cat_row, vec), threshold)
+    scored = apply_threshold(score_best(d, blocks, vec, text), threshold)
     empty = F.col("_clean") == ""
     return scored.select(F.col(text).alias("descricao_original"),
                          F.when(empty, F.lit(NO_DESCRIPTION)).otherwise(F.col("categoria_ia")).alias("categoria_ia"),
                          F.when(empty, F.lit(0.0)).otherwise(F.col("confianca")).alias("confianca"))
+
+
+def save_map(mapa: DataFrame, name: str) -> None:
+    """The map as a catalog table; a later map replaces it."""
+    save_table(mapa, name)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import clean_text
 from ..operators import classify as cl
 from ..operators import quality as dq
-from ..operators.util import rnd
+from ..operators.util import materialize, rnd, with_one_row
 from ..sources.tables import read_table
 from .oracle import with_ctes
 from .registry import register
@@ -29,7 +29,7 @@ best AS (SELECT * EXCLUDE (rk) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {
 
 
 def _cats(spark, d):
-    return cl.catalogue_row(cl.prototypes(read_table(spark, d, "embeddings")))
+    return cl.catalogue_blocks(cl.prototypes(read_table(spark, d, "embeddings")))
 
 
 @register("clean_text", f"SELECT doc_id, {_CLEAN_SQL.format(c='text')} AS texto_limpo FROM documents")
@@ -88,6 +88,13 @@ def q_build_map(spark, d):
     return cl.build_map(_descriptions(spark, d), _cats(spark, d))
 
 
+@register("saved_map", _MAP_SQL)
+def q_saved_map(spark, d):
+    """The map stored as a catalog table, by name, and read back."""
+    cl.save_map(cl.build_map(_descriptions(spark, d), _cats(spark, d)), "mapa_descricao")
+    return spark.table("mapa_descricao")
+
+
 @register("map_quality", with_ctes(
     """SELECT COUNT(*) AS qtd_linhas,
          COUNT(*) FILTER (WHERE categoria_ia IS NULL OR categoria_ia IN ('Sem Descrição', 'Outros / Necessita Revisão')) AS qtd_sem_categoria,
@@ -102,6 +109,22 @@ def q_build_map(spark, d):
        UNION ALL SELECT descricao, 'Outros / Necessita Revisão', NULL FROM dcl WHERE cl <> '' AND embedding IS NULL
        UNION ALL SELECT descricao, 'Sem Descrição', 0.0 FROM dcl WHERE cl = '')"""))
 def q_map_quality(spark, d):
-    m = cl.build_map(_descriptions(spark, d), _cats(spark, d))
-    u = dq.uncategorised(m, [])
-    return u.join(dq.mean_confidence(m), how="cross")
+    m = materialize(cl.build_map(_descriptions(spark, d), _cats(spark, d)).select("categoria_ia", "confianca"))  # read twice
+    return with_one_row(dq.uncategorised(m, []), dq.mean_confidence(m))
+
+
+_PER_TEXT = "(SELECT vec_id, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS v FROM embeddings WHERE vec_id % 2 = 0)"
+
+
+@register("nearest_in_large_catalogue", with_ctes(
+    "SELECT vec_id, name AS best_name, ROUND(score, 6) AS best_score FROM best",
+    """catn AS (SELECT 'v' || CAST(vec_id AS VARCHAR) AS name, vec_id AS idx, vec, SQRT(list_reduce(list_transform(vec, lambda a: a * a), lambda a, b: a + b)) AS norm
+       FROM (SELECT vec_id, list_transform(embedding, lambda e: CAST(e AS DOUBLE)) AS vec FROM embeddings WHERE vec_id % 2 = 1) e)""",
+    _SCORE.format(src=_PER_TEXT, key="vec_id")))
+def q_nearest_in_large_catalogue(spark, d):
+    """C3 against a catalogue as large as the table: every vector of odd id is a category of its own."""
+    e = read_table(spark, d, "embeddings")
+    cats = e.where("vec_id % 2 = 1").select(F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("name"), F.col("vec_id").alias("_ord"),
+                                            F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
+    s = cl.score_best(e.where("vec_id % 2 = 0").select("vec_id", "embedding"), cl.catalogue_blocks(cats, size=32), key="vec_id")
+    return s.select("vec_id", "best_name", rnd("best_score", 6).alias("best_score"))

@@ -106,7 +106,7 @@ def test_decomposition_needs_two_periods(spark):
 def test_score_threshold_and_ties(spark):
     cats = spark.createDataFrame([("b", 1, [0.0, 1.0]), ("a", 0, [1.0, 0.0]), ("c", 2, [1.0, 0.0])],
                                  "name string, _ord int, vec array<double>")
-    row = cl.catalogue_row(cats)
+    row = cl.catalogue_blocks(cats)
     v = 0.25
     texts = spark.createDataFrame([
         (1, [1.0, 0.0]),                       # ties a and c exactly → lowest index a
@@ -114,7 +114,7 @@ def test_score_threshold_and_ties(spark):
         (3, [0.249, math.sqrt(1 - 0.249 ** 2)]),
     ], "id int, embedding array<double>")
     # only one category to check the threshold: a
-    only_a = cl.catalogue_row(cats.where("name = 'a'"))
+    only_a = cl.catalogue_blocks(cats.where("name = 'a'"))
     best = {r.id: (r.best_name, r.categoria_ia, r.confianca) for r in cl.apply_threshold(cl.score_best(texts, only_a)).collect()}
     assert best[2][1] == "a" and best[3][1] == "Outros / Necessita Revisão" and best[3][2] == 0.25
     tie = cl.score_best(texts.where("id = 1"), row).collect()[0]
@@ -125,7 +125,7 @@ def test_empty_description_gets_no_description_label(spark):
     cats = spark.createDataFrame([("a", 0, [1.0, 0.0])], "name string, _ord int, vec array<double>")
     d = spark.createDataFrame([("!!!", [1.0, 0.0]), (None, [1.0, 0.0]), ("Água nº 5", [1.0, 0.0])],
                               "descricao string, embedding array<double>")
-    got = {r.descricao_original: (r.categoria_ia, r.confianca) for r in cl.build_map(d, cl.catalogue_row(cats)).collect()}
+    got = {r.descricao_original: (r.categoria_ia, r.confianca) for r in cl.build_map(d, cl.catalogue_blocks(cats)).collect()}
     assert got["!!!"] == ("Sem Descrição", 0.0) and got[None] == ("Sem Descrição", 0.0)
     assert got["Água nº 5"] == ("a", 1.0)
 
@@ -134,7 +134,7 @@ def test_large_catalogue(spark):
     vec = lambda i: [1.0 if k == i else 0.0 for k in range(60)]
     cats = spark.createDataFrame([(f"c{i}", i, vec(i)) for i in range(60)], "name string, _ord int, vec array<double>")
     d = spark.createDataFrame([(f"t{i}", vec(i)) for i in range(60)] + [("no vector", None)], "descricao string, embedding array<double>")
-    got = {r.descricao_original: (r.categoria_ia, r.confianca) for r in cl.build_map(d, cl.catalogue_row(cats)).collect()}
+    got = {r.descricao_original: (r.categoria_ia, r.confianca) for r in cl.build_map(d, cl.catalogue_blocks(cats)).collect()}
     assert got == {**{f"t{i}": (f"c{i}", 1.0) for i in range(60)}, "no vector": ("Outros / Necessita Revisão", None)}
 
 
@@ -223,3 +223,30 @@ def test_supplier_detail_total_row_has_no_rank(spark):
     f = spark.createDataFrame(rows, "nome string, cpfCnpjVencedor string, id string, quantidade long, valor decimal(19,4)")
     got = [(r.rank, r.nome, r.qtd_licitacoes, r.valor_total) for r in rp.supplier_detail(f, f, with_total=True).collect()]
     assert got == [(1, "b", 1, 20.0), (2, "a", 2, 15.0), (None, None, 2, 35.0)]
+
+
+def test_ten_thousand_categories(spark):
+    """Blocks and their bounds give the best category of all, and the first of equal ones."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 16))
+    cats = centres[rng.integers(0, 40, 10_000)] + rng.normal(scale=0.05, size=(10_000, 16))
+    cats[7_000:7_050] = cats[100:150] * 2  # same direction, later in the catalogue
+    cats[9_999] = 0
+    texts = np.vstack([cats[rng.integers(0, 9_999, 250)] + rng.normal(scale=0.02, size=(250, 16)), cats[100:150], rng.normal(size=(20, 16))])
+    c = spark.createDataFrame([(f"c{i:05d}", i, v.tolist()) for i, v in enumerate(cats)], "name string, _ord int, vec array<double>")
+    t = spark.createDataFrame([(f"t{i}", v.tolist()) for i, v in enumerate(texts)] + [("none", None), ("zero", [0.0] * 16)], "descricao string, embedding array<double>")
+    blocks = cl.catalogue_blocks(c)
+    assert blocks.count() > 30 and blocks.agg(F.max(F.size("members"))).first()[0] < 2 * cl.BLOCK
+    got = {r.descricao: (r.best_name, r.best_score) for r in cl.score_best(t, blocks, key="descricao").collect()}
+    with np.errstate(invalid="ignore"):
+        cos = texts @ cats.T / (np.linalg.norm(texts, axis=1)[:, None] * np.linalg.norm(cats, axis=1))
+    cos = np.nan_to_num(cos, nan=-2)
+    for i in range(len(texts)):
+        name, score = got[f"t{i}"]
+        assert abs(score - cos[i].max()) < 1e-9 and cos[i][int(name[1:])] > cos[i].max() - 1e-9
+    assert got["none"] == got["zero"] == (None, None)
+    exact = spark.createDataFrame([("b", 1, [2.0, 0.0]), ("a", 0, [1.0, 0.0]), ("z", 2, [0.0, 1.0]), ("y", 3, [-1.0, 0.1])], "name string, _ord int, vec array<double>")
+    small = cl.catalogue_blocks(exact, size=1)
+    assert small.count() > 2
+    r = cl.score_best(spark.createDataFrame([("q", [3.0, 0.0])], "descricao string, embedding array<double>"), small, key="descricao").first()
+    assert (r.best_name, r.best_score) == ("a", 1.0)
