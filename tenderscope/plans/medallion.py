@@ -6,7 +6,7 @@ the lineage, so a lost executor only recomputes from the last layer."""
 
 from __future__ import annotations
 
-import uuid
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,15 +14,15 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from ..functions.parse import parse_decimal_comma
 from ..operators.joins import attach_month
-from ..session import ensure_checkpoint_dir
 from ..sources.files import read_layer, with_ingest_ts, write_layer
-from ..sources.pages import assemble_items, assemble_pages, land_pages
-from ..sources.tables import expenses, read_table
+from ..sources.pages import assemble_items, assemble_pages, pages_of, with_source
+from ..sources.tables import derived_table, expenses, read_table, storage_root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tenderscope/{name}-{uuid.uuid4().hex[:12]}"
+def scratch_path(spark: SparkSession, name: str, sf_dir: str) -> str:
+    """A folder on shared storage per application, name and input: a later call overwrites it, so none pile up."""
+    app = spark.sparkContext.applicationId
+    return f"{storage_root(spark)}/scratch/{app}/{name}-{hashlib.sha256(sf_dir.encode()).hexdigest()[:12]}"
 
 
 def bronze(spark: SparkSession, raw: DataFrame, path: str) -> str:
@@ -45,7 +45,7 @@ def gold(df: DataFrame) -> DataFrame:
 
 
 def run_expenses_pipeline(spark: SparkSession, sf_dir: str, base: str | None = None) -> dict:
-    base = base or scratch_path(spark, "medallion")
+    base = base or scratch_path(spark, "medallion", sf_dir)
     paths = {k: f"{base}/{k}" for k in ("bronze", "silver", "gold")}
     bronze(spark, expenses(spark, sf_dir), paths["bronze"])
     write_layer(silver(read_layer(spark, paths["bronze"])), paths["silver"])
@@ -65,46 +65,47 @@ ITEM_RECORD = StructType([
 ])
 
 
-def landed_header_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Header pages per (org, month): orders by status and month, 25 per page."""
+#: landed page files: the folder columns come last
+HEADER_PAGES = "`mes/ano` string, page_no int, body string, status int, unidade string, lote int"
+ITEM_PAGES = "id bigint, page_no int, body string, status int, lote int"
+
+
+def header_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header pages per (unit, month): orders by status and month, 25 a page, a folder each."""
     o = read_table(spark, sf_dir, "orders")
     recs = o.select(
-        F.col("o_orderstatus").alias("org"),
-        F.date_format("o_orderdate", "MM/yyyy").alias("mes/ano"),
-        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("valor"),
-        F.col("o_orderpriority").alias("modalidade"),
-        (F.year("o_orderdate") * 12 + F.month("o_orderdate")).cast("long").alias("mseq"),
-    )
-    return land_pages(recs, ["org", "mes/ano"], "id", 25, 7, "mseq", body_cols=["id", "valor", "modalidade"])
+        F.col("o_orderstatus").alias("unidade"), F.date_format("o_orderdate", "MM/yyyy").alias("mes/ano"),
+        (F.year("o_orderdate") * 100 + F.month("o_orderdate")).alias("lote"),
+        F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("valor"), F.col("o_orderpriority").alias("modalidade"))
+    return pages_of(recs, ["unidade", "mes/ano", "lote"], "id", 25, ["id", "valor", "modalidade"])
 
 
-def landed_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item pages per tender id: lineitems of an order, 3 per page."""
+def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item pages per tender id: lineitems of an order, 3 a page, ids dealt over eight folders."""
     li = read_table(spark, sf_dir, "lineitem")
     recs = li.select(
-        F.col("l_orderkey").alias("id"),
-        F.col("l_linenumber").cast("long").alias("numero"),
-        F.col("l_partkey").cast("string").alias("codigoItemCompra"),
-        F.col("l_quantity").cast("long").alias("quantidade"),
-        F.translate(F.format_number("l_extendedprice", 2), ",.", ".,").alias("valor"),
-        F.col("l_suppkey").cast("string").alias("cpfCnpjVencedor"),
-    )
-    return land_pages(recs, ["id"], "numero", 3, 17, "id",
-                      body_cols=["numero", "codigoItemCompra", "quantidade", "valor", "cpfCnpjVencedor"])
+        F.col("l_orderkey").alias("id"), F.pmod("l_orderkey", F.lit(8)).cast("int").alias("lote"),
+        F.col("l_linenumber").cast("long").alias("numero"), F.col("l_partkey").cast("string").alias("codigoItemCompra"),
+        F.col("l_quantity").cast("long").alias("quantidade"), F.translate(F.format_number("l_extendedprice", 2), ",.", ".,").alias("valor"),
+        F.col("l_suppkey").cast("string").alias("cpfCnpjVencedor"))
+    return pages_of(recs, ["id", "lote"], "numero", 3, ["numero", "codigoItemCompra", "quantidade", "valor", "cpfCnpjVencedor"])
 
 
 def landing_zone(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """The landed pages as files on storage (what the pull writes), derived
-    once per input signature."""
-    from ..sources.tables import derived_table
+    """The landed page files of the test tables, written once per input signature, as a frame of pages."""
     base = sf_dir.rstrip("/")
     if kind == "headers":
-        return derived_table(spark, "landed-headers-v1", [f"{base}/orders.parquet"], lambda: landed_header_pages(spark, sf_dir))
-    return derived_table(spark, "landed-items-v1", [f"{base}/lineitem.parquet"], lambda: landed_item_pages(spark, sf_dir))
+        pages = derived_table(spark, "landed-headers-v2", [f"{base}/orders.parquet"], lambda: header_pages(spark, sf_dir),
+                              fmt="json", schema=HEADER_PAGES, partition_by=["unidade", "lote"])
+    else:
+        pages = derived_table(spark, "landed-items-v2", [f"{base}/lineitem.parquet"], lambda: item_pages(spark, sf_dir),
+                              fmt="json", schema=ITEM_PAGES, partition_by=["lote"])
+    return with_source(pages)
 
 
 def paged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assemble_pages(landing_zone(spark, sf_dir, "headers"), ["org", "mes/ano"], HEADER_RECORD)
+    got = assemble_pages(landing_zone(spark, sf_dir, "headers"), ["unidade", "mes/ano"], HEADER_RECORD)
+    return got.withColumnRenamed("unidade", "org")
 
 
 def paged_items(spark: SparkSession, sf_dir: str):

@@ -13,67 +13,83 @@ from . import medallion as md
 from .oracle import EXPENSES_CTE, HEADERS_CTE, with_ctes
 from .registry import register
 
-_HDR_PAGES = """
-r AS (SELECT o_orderstatus AS org, strftime(o_orderdate, '%m/%Y') AS "mes/ano", o_orderkey AS id,
-             o_totalprice AS valor, o_orderpriority AS modalidade,
-             year(o_orderdate) * 12 + month(o_orderdate) AS mseq FROM orders),
-c AS (SELECT org, "mes/ano", CAST(ceil(COUNT(*) / 25.0) AS BIGINT) AS np, ANY_VALUE(mseq) AS fk FROM r GROUP BY ALL),
-p AS (SELECT r.*, 1 + r.id % c.np AS page_no, c.np, c.fk FROM r JOIN c USING (org, "mes/ano")),
-s AS (SELECT org, "mes/ano", MIN(page_no) AS stop FROM p WHERE (fk + page_no) % 7 = 0 GROUP BY ALL)"""
-
-
-@register("paged_headers", with_ctes(
-    """SELECT p.org, p."mes/ano", p.id, p.valor, p.modalidade FROM p LEFT JOIN s USING (org, "mes/ano")
-       WHERE s.stop IS NULL OR p.page_no < s.stop""", _HDR_PAGES))
+_HDR_PAGED = """hp AS (SELECT o_orderstatus AS org, strftime(o_orderdate, '%m/%Y') AS "mes/ano", o_orderkey AS id,
+             o_totalprice AS valor, o_orderpriority AS modalidade FROM orders)"""
+
+
+@register("paged_headers", with_ctes("SELECT * FROM hp", _HDR_PAGED))
 def q_paged_headers(spark, d):
     return md.paged_headers(spark, d)
 
 
-_ITEM_PAGES = """
-r AS (SELECT l_orderkey AS id, CAST(l_linenumber AS BIGINT) AS numero, CAST(l_partkey AS VARCHAR) AS codigoItemCompra,
+@register("paged_headers_unit", with_ctes("SELECT * FROM hp WHERE org = 'F' AND \"mes/ano\" LIKE '%/1997'", _HDR_PAGED))
+def q_paged_headers_unit(spark, d):
+    """S2 for one unit and year: only its folders are read."""
+    from ..sources.pages import assemble_pages
+    pages = md.landing_zone(spark, d, "headers").where("unidade = 'F' AND lote BETWEEN 199701 AND 199712")
+    return assemble_pages(pages, ["unidade", "mes/ano"], md.HEADER_RECORD).withColumnRenamed("unidade", "org")
+
+
+@register("landed_files", """SELECT o_orderstatus AS unidade, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS BIGINT) AS lote,
+       COUNT(*) AS registros, TRUE AS com_arquivo FROM orders GROUP BY ALL""")
+def q_landed_files(spark, d):
+    """What each landing folder holds: records on its pages, and that every page names its file."""
+    pages = md.landing_zone(spark, d, "headers")
+    return pages.groupBy("unidade", F.col("lote").cast("bigint").alias("lote")).agg(
+        F.sum(F.json_array_length("body")).cast("bigint").alias("registros"), F.bool_and(F.col("arquivo") != "").alias("com_arquivo"))
+
+
+_ITEM_PAGED = """ip AS (SELECT l_orderkey AS id, CAST(l_linenumber AS BIGINT) AS numero, CAST(l_partkey AS VARCHAR) AS codigoItemCompra,
              CAST(l_quantity AS BIGINT) AS quantidade,
              translate(format('{:,.2f}', l_extendedprice), ',.', '.,') AS valor,
-             CAST(l_suppkey AS VARCHAR) AS cpfCnpjVencedor FROM lineitem),
-c AS (SELECT id, CAST(ceil(COUNT(*) / 3.0) AS BIGINT) AS np FROM r GROUP BY id),
-p AS (SELECT r.*, 1 + r.numero % c.np AS page_no FROM r JOIN c USING (id)),
-bad AS (SELECT DISTINCT id FROM p WHERE (id + page_no) % 17 = 0)"""
+             CAST(l_suppkey AS VARCHAR) AS cpfCnpjVencedor FROM lineitem)"""
 
 
-@register("paged_items", with_ctes(
-    "SELECT id, numero, codigoItemCompra, quantidade, valor, cpfCnpjVencedor FROM p WHERE id NOT IN (SELECT id FROM bad)",
-    _ITEM_PAGES))
+@register("paged_items", with_ctes("SELECT * FROM ip", _ITEM_PAGED))
 def q_paged_items(spark, d):
     items, _ = md.paged_items(spark, d)
     return items
 
 
-@register("paged_failed_ids", with_ctes("SELECT id FROM bad", _ITEM_PAGES))
+@register("paged_failed_ids", with_ctes("SELECT id FROM ip WHERE FALSE", _ITEM_PAGED))
 def q_paged_failed_ids(spark, d):
+    """S3: ids with a failed request, written as a table (no landed page of the tables failed)."""
+    from ..sources.files import read_layer, write_layer
     _, failed = md.paged_items(spark, d)
-    return failed
+    path = md.scratch_path(spark, "failed-ids", d)
+    write_layer(failed, path)
+    return read_layer(spark, path)
 
 
 @register("items_pipeline", with_ctes(
-    """SELECT DISTINCT CAST(i.id AS VARCHAR) AS id, i.numero, i.codigoItemCompra, i.quantidade, i.valor, i.cpfCnpjVencedor, h."mes/ano"
-       FROM (SELECT * FROM p WHERE id NOT IN (SELECT id FROM bad)) i
-       LEFT JOIN (SELECT p2.id, p2."mes/ano" FROM h p2 LEFT JOIN hs USING (org, "mes/ano") WHERE hs.stop IS NULL OR p2.page_no < hs.stop) h
-       ON CAST(i.id AS VARCHAR) = CAST(h.id AS VARCHAR)""",
-    _ITEM_PAGES,
-    _HDR_PAGES.replace("r AS (", "hr AS (").replace("FROM r GROUP", "FROM hr GROUP").replace(
-        "p AS (SELECT r.*, 1 + r.id % c.np AS page_no, c.np, c.fk FROM r JOIN c", "h AS (SELECT hr.*, 1 + hr.id % c.np AS page_no, c.np, c.fk FROM hr JOIN c").replace(
-        "c AS (", "hc AS (").replace("JOIN c USING", "JOIN hc c USING").replace("s AS (SELECT org", "hs AS (SELECT org").replace("FROM p WHERE (fk", "FROM h WHERE (fk")))
+    """SELECT DISTINCT CAST(i.id AS VARCHAR) AS id, i.numero, i.codigoItemCompra, i.quantidade, i.valor, i.cpfCnpjVencedor, hp."mes/ano"
+       FROM ip i LEFT JOIN hp ON i.id = hp.id""", _ITEM_PAGED, _HDR_PAGED))
 def q_items_pipeline(spark, d):
     return md.items_pipeline(spark, d)
 
 
+@register("streamed_headers", with_ctes("SELECT * FROM hp", _HDR_PAGED))
+def q_streamed_headers(spark, d):
+    """S2 by Structured Streaming: the landed files taken up in micro-batches, the records assembled over all of them."""
+    from ..sources.tables import storage_root
+    from ..streaming import assembled, start_page_ingest
+    landed = md.landing_zone(spark, d, "headers").select("unidade", "lote", "`mes/ano`", "page_no", "status", "body")
+    base = f"{storage_root(spark)}/scratch/{spark.sparkContext.applicationId}/stream-{uuid.uuid4().hex[:12]}"
+    landed.repartition(4).write.json(f"{base}/landing")
+    query = start_page_ingest(spark, f"{base}/landing", f"{base}/bronze", f"{base}/state", max_files_per_trigger=2,
+                              schema="unidade STRING, lote INT, `mes/ano` STRING, page_no INT, status INT, body STRING")
+    query.awaitTermination()
+    return assembled(spark, f"{base}/bronze", md.HEADER_RECORD, ("unidade", "mes/ano")).withColumnRenamed("unidade", "org")
+
+
 # ---------------------------------------------------------------- files
 
 @register("json_records", with_ctes(
     """SELECT "mes/ano", id, situacaoCompra AS situacao, dataAbertura, valor FROM headers""", HEADERS_CTE))
 def q_json_records(spark, d):
     """Header records written as JSON lines (nested status), read back with a schema."""
-    path = md.scratch_path(spark, "json")
-    headers(spark, d).select("`mes/ano`", "id", "licitacao", "dataAbertura", "valor").write.json(path)
+    path = md.scratch_path(spark, "json", d)
+    headers(spark, d).select("`mes/ano`", "id", "licitacao", "dataAbertura", "valor").write.mode("overwrite").json(path)
     r = read_json_records(spark, path, "`mes/ano` STRING, id BIGINT, licitacao STRUCT<situacao: STRING, prioridade: STRING>,"
                                        " dataAbertura DATE, valor DOUBLE")
     return r.select("`mes/ano`", "id", F.col("licitacao.situacao").alias("situacao"), "dataAbertura", "valor")
@@ -85,7 +101,7 @@ def q_json_records(spark, d):
 def q_catalog_table(spark, d):
     """The silver layer written as a catalog table, overwritten with
     another schema, and read by name."""
-    name = f"silver_despesas_{uuid.uuid4().hex[:12]}"
+    name = "silver_despesas"  # one table, overwritten by the next call
     silver = md.silver(expenses(spark, d))
     save_table(silver.select("cod_orgao"), name)
     save_table(silver, name)
@@ -96,7 +112,7 @@ def q_catalog_table(spark, d):
 def q_csv_roundtrip(spark, d):
     """Distinct descriptions out to CSV and back (the classification input)."""
     from ..sources.tables import fact
-    path = md.scratch_path(spark, "csv")
+    path = md.scratch_path(spark, "csv", d)
     write_csv(fact(spark, d).select("descricao").distinct(), path)
     return read_csv(spark, path, "descricao STRING")
 
@@ -115,7 +131,7 @@ def q_silver_clean(spark, d):
 @register("bronze_layer", with_ctes("SELECT ano, codigoOrgao, nomeOrgao, valor, TRUE AS tem_data_ingestao FROM expenses", EXPENSES_CTE))
 def q_bronze_layer(spark, d):
     """The stored layer; of the ingestion time only whether it is set."""
-    path = md.bronze(spark, expenses(spark, d), md.scratch_path(spark, "bronze"))
+    path = md.bronze(spark, expenses(spark, d), md.scratch_path(spark, "bronze", d))
     from ..sources.files import read_layer
     return read_layer(spark, path).select("ano", "codigoOrgao", "nomeOrgao", "valor",
                                           F.col("data_ingestao").isNotNull().alias("tem_data_ingestao"))

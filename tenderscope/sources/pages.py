@@ -1,50 +1,46 @@
-"""Paged API ingest from landed pages.
+"""Paged API ingest from landed page files.
 
-The live pull requests page 1, 2, … of each (org, month) — or of each tender
-id for items — until the first empty page.  Here the pages are already
-landed, one row per page: ``(key…, page_no, status, body)`` with ``body`` a
-JSON array text.  Assembly is a distributed plan: a per-key minimum of the
-stopping page, a filter, ``from_json`` and ``explode``; no page goes through
-the driver.
-
-``land_pages`` builds such landed pages from a record frame (the test tables
-stand in for the API): records are spread over ``ceil(n / page_size)`` pages
-per key by an arithmetic rule on a numeric record id, a terminal empty page
-is added, and a deterministic rule marks some pages as failed requests.
+The live pull requests page 1, 2, … of each (unit, month) — or of each tender
+id for items — until the first empty page.  Here the pages are files already
+landed, in one folder per unit and month (or batch of ids): one JSON line per
+page, ``(page_no, status, body)`` with ``body`` a JSON array text.  Assembly is a
+distributed plan: a per-key minimum of the stopping page over all files, a
+filter, ``from_json`` and ``explode``; no page goes through the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 
-def land_pages(records: DataFrame, keys, rid: str, page_size: int, fail_mod: int, fail_key: str,
-               body_cols=None) -> DataFrame:
-    """Landed pages for ``records`` grouped by ``keys``.
-
-    page_no = 1 + rid mod ceil(n/page_size); page ceil(n/page_size)+1 is the
-    empty end page; a page fails (status 500) when
-    ``(fail_key + page_no) mod fail_mod == 0``.  The per-key counts are one row
-    per key; each page body holds about ``page_size`` records.
-    """
+def pages_of(records: DataFrame, keys, rid: str, page_size: int, body_cols) -> DataFrame:
+    """Records as the pages a pull lands: about ``page_size`` of a key's records a
+    page (by a hash of the record id, so no key is ordered in one task), all
+    answered, and the empty page that ends the key."""
     keys = list(keys)
-    cnt = records.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    cnt = cnt.withColumn("_np", F.ceil(F.col("_n") / F.lit(page_size)).cast("bigint"))
-    r = records.join(cnt, on=keys)
-    r = r.withColumn("page_no", (F.lit(1) + F.pmod(F.col(rid), F.col("_np"))).cast("int"))
-    rec_cols = list(body_cols or records.columns)
-    pages = r.groupBy(*keys, "page_no").agg(
-        F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in rec_cols]))).alias("body"),
-        F.first("_np").alias("_np"),
-        F.first(fail_key).alias("_fk"),
-    )
-    end = cnt.select(*keys, (F.col("_np") + 1).cast("int").alias("page_no"), F.lit("[]").alias("body"),
-                     "_np", F.lit(None).cast("long").alias("_fk"))
-    allp = pages.unionByName(end)
-    status = F.when(F.col("body") != "[]", F.when(F.pmod(F.col("_fk") + F.col("page_no"), F.lit(fail_mod)) == 0, F.lit(500))).otherwise(F.lit(200))
-    return allp.select(*keys, "page_no", F.coalesce(status, F.lit(200)).alias("status"), "body")
+    count = records.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(page_size)).cast("int").alias("_np"))
+    placed = records.join(count, on=keys).withColumn("page_no", (F.pmod(F.xxhash64(rid), F.col("_np")) + 1).cast("int"))
+    # pages are numbered without holes: a page that got no record would end the key
+    full = placed.select(*keys, "page_no").distinct().groupBy(*keys).agg(F.array_sort(F.collect_list("page_no")).alias("_nos"))
+    bodies = placed.groupBy(*keys, "page_no").agg(F.to_json(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in body_cols]))).alias("body"))
+    bodies = bodies.join(full, on=keys).select(*keys, F.array_position("_nos", F.col("page_no")).cast("int").alias("page_no"), "body")
+    end = full.select(*keys, (F.size("_nos") + 1).alias("page_no"), F.lit("[]").alias("body"))
+    return bodies.unionByName(end).withColumn("status", F.lit(200))
+
+
+def read_pages(spark: SparkSession, path: str, schema: str, where: str | None = None) -> DataFrame:
+    """Landed pages with the file each came from (``arquivo``).  ``where`` on the
+    folder columns reads only those folders; a line that is no page at all is
+    a failed request."""
+    pages = spark.read.schema(schema).json(path)
+    pages = pages.where(where) if where else pages
+    return with_source(pages)
+
+
+def with_source(pages: DataFrame) -> DataFrame:
+    return pages.select("*", F.col("_metadata.file_name").alias("arquivo")).withColumn("status", F.coalesce("status", F.lit(500)))
 
 
 def _is_stop(page: DataFrame):

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,18 +42,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _signature(spark: SparkSession, paths) -> str:
-    """Total size, file count and modification time of each input path, a fixed
-    number of calls per path whatever the number of its files (Hadoop
-    FileSystem API: local, HDFS and object-store paths)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    parts = []
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        total = fs.getContentSummary(path)
-        parts.append(f"{p}|{total.getLength()}|{total.getFileCount()}|{fs.getFileStatus(path).getModificationTime()}")
-    return hashlib.sha256("\n".join(sorted(parts)).encode()).hexdigest()[:24]
+    """Path, size and modification time of every input file, folded into one
+    row by Spark (nothing but the listing is read).  Any file replaced, added or
+    removed changes it, in stores without folder times too."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return hashlib.sha256(repr((sorted(paths), tuple(row))).encode()).hexdigest()[:24]
 
 
 FACT_VERSION = "fact-v1"
@@ -61,27 +56,41 @@ FACT_VERSION = "fact-v1"
 _READ_CACHE: dict[tuple[str, str], DataFrame] = {}
 
 
-def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None) -> DataFrame:
+def storage_root(spark: SparkSession) -> str:
+    """Folder of derived tables: the configured shared checkpoint folder itself,
+    so the applications of a cluster share them (a local session without one
+    has a folder of its own)."""
+    from ..session import ensure_checkpoint_dir
+    found = ensure_checkpoint_dir(spark)
+    return f"{(spark.conf.get('spark.checkpoint.dir', None) or found).rstrip('/')}/tenderscope"
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether the table at ``path`` was written to its end: its marker, written last, is there."""
+    try:
+        spark.read.schema("id long").parquet(f"{path}-complete")
+    except AnalysisException:
+        return False
+    return True
+
+
+def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None, fmt: str = "parquet", schema: str | None = None, partition_by=()) -> DataFrame:
     """A table Spark derives from input files, written once per input
-    signature into the shared checkpoint folder and read from there.  The
-    read is kept per application and path (the path names the signature), so
+    signature into the shared folder and read from there by every application.
+    The read is kept per application and path (the path names the signature), so
     repeated queries skip re-listing the table and re-reading its footers."""
-    sig = _signature(spark, inputs)
-    from ..session import ensure_checkpoint_dir
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tenderscope/{name}-{sig}"
+    path = f"{storage_root(spark)}/{name}-{_signature(spark, inputs)}"
     key = (spark.sparkContext.applicationId, path)
     if key in _READ_CACHE:
         return _READ_CACHE[key]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    if not done.getFileSystem(conf).exists(done):
+    if not _complete(spark, path):
         df = build()
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
-        df.write.mode("overwrite").parquet(path)
-    out = spark.read.parquet(path)
+        df.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(path)
+        spark.range(1, numPartitions=1).write.mode("overwrite").parquet(f"{path}-complete")
+    reader = spark.read.format(fmt)
+    out = (reader.schema(schema) if schema else reader).load(path)
     _READ_CACHE[key] = out
     return out
 

@@ -20,9 +20,9 @@ PAGE_SCHEMA = "org STRING, `mes/ano` STRING, page_no INT, status INT, body STRIN
 
 
 def start_page_ingest(spark: SparkSession, landing_dir: str, bronze_dir: str, checkpoint_dir: str,
-                      available_now: bool = True, max_files_per_trigger: int = 1000):
+                      available_now: bool = True, max_files_per_trigger: int = 1000, schema: str = PAGE_SCHEMA):
     """Start the stream; returns the ``StreamingQuery``."""
-    pages = (spark.readStream.schema(PAGE_SCHEMA)
+    pages = (spark.readStream.schema(schema)
              .option("maxFilesPerTrigger", max_files_per_trigger)
              .json(landing_dir))
 
