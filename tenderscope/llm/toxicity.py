@@ -2,35 +2,39 @@
 
 Two interpolated bigram models, toxic and ordinary, over lower-cased words:
 
-    p_c(w | h) = a_c(h, w) + l(h) * p_c(w)      a_c: discounted class bigrams
-    p_c(w)     = (1 - g) * q_c(w) + g * s(w)    q_c: discounted class unigrams
+    p_c(w | h) = max(n_c(h, w) - e, 0) / n_c(h) + l_c(h) * p_c(w)
+    p_c(w)     = max(n_c(w) - d, 0) / n_c       + g_c * s(w)
     s(w)       proportional to the number of distinct words seen before w
 
-As Kneser-Ney counts contexts rather than occurrences, a word or pair counts
-once per document, so one document that repeats a word a hundred times is one
-piece of evidence.  ``s`` is shared: it is counted over all documents, labelled
-or not, and both classes give the back-off the same mass ``g`` and ``l(h)``, so
-an expression that is rare in the labelled rows scores alike in both.
+``l_c`` and ``g_c`` are the masses the absolute discounts take away, so each
+model sums to one.  As Kneser-Ney counts contexts rather than occurrences, a
+word or pair counts once per document.  ``s`` is shared: it is counted over all
+documents, labelled or not, so a word that is rare in the labelled rows falls
+back to the same corpus count in both classes.
 
 A document's evidence is its log-likelihood ratio per word: over the whole text
 and over its strongest ``STRONG`` share of words.  A logistic fit on rows kept
 out of the counts turns the two into a score between 0 and 1; the same rows
-choose the absolute discount among ``DISCOUNTS``.
+choose the discounts (d, e) among ``DISCOUNTS``.
 
 Rows learnt from: at most ``SAMPLE`` labelled documents of each class (smallest
-id hash first), never ones whose crc32(doc_id) mod 5 is 0; remainder 1 is for
-the logistic fit.  The models hold every word and every pair of neighbouring
-words counted there, whatever its rank or count; only pairs that cannot change
-a score are left out, so what is broadcast is bounded by the labelled rows
-alone.  The distinct words before a word are counted over the whole corpus, by
-a distinct over both words that is combined map-side and dealt by both, so a
-hot word makes no hot task.
+id hash first) and of those as many as begin within the class's first ``CHARS``
+characters; never ones whose crc32(doc_id) mod 5 is 0; remainder 1 is for the
+logistic fit.  Every word and pair counted there is in the model, none is too
+rare: a pair at or below the discount in both classes scores by its head's
+masses and its word, which is what the formula gives, so only the others need an
+entry.  A word is known by its 64-bit hash; the model is a few sorted arrays.
+
+The distinct words before a word are counted over the whole corpus: (word, word
+before) as one number, made distinct where the text lies, sent to the bucket of
+its hash as sorted differences, and made distinct again there, so a hot word is
+spread over all buckets.
 """
 
 from __future__ import annotations
 
-import re
-import zlib
+import itertools
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
@@ -39,198 +43,226 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+import zstandard
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, lead, saved
+from .common import fold, lead, parts, saved
 
-SAMPLE, STRONG = 20_000, 0.015
-DISCOUNTS = (0.75, 2.0, 4.0)
-#: words read before a map task hands on its distinct pairs
-FLUSH = 4_000_000
-#: registers of the estimate of a distinct-context count, and their columns (two registers each)
-REGISTERS = 32
-_REGISTERS = [f"r{i}" for i in range(REGISTERS // 2)]
-#: pairs worked on at once while a model is built
-CHUNK = 1 << 19
-#: weight of the back-off against a word's pair counts
-BACKOFF = 500.0
-_WORD = re.compile(r"\w+")
+SAMPLE, CHARS, STRONG = 20_000, 64_000_000, 0.015
+#: absolute discounts of words and of pairs
+DISCOUNTS = ((0.75, 3.0), (2.0, 8.0), (4.0, 16.0))
+#: words read before a map task hands on its distinct pairs; bytes of text per bucket of pairs; words worked on at once; words remembered
+FLUSH, BUCKET, SLICE, REMEMBERED = 4_000_000, 24_000_000, 200_000, 600_000
+#: everything in ASCII but letters, digits and underscores parts words
+_SPACE = bytes(c if c >= 128 or c == 95 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def words_of(text) -> list[str]:
-    return _WORD.findall((text or "").lower())
+def words_of(text) -> list[bytes]:
+    return (text or "").lower().encode().translate(_SPACE).split()
 
 
+def _hash(words) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64)
+
+
+class Known:
+    """Texts as numbers: every distinct word gets a code, with its hash and its
+    place in the sorted ``hashes`` of the model's words (-1: not among them)."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.model, self.codes = hashes, {}
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def _learn(self, new: list[bytes]) -> None:
+        h, model = _hash(new), self.model
+        at = np.minimum(np.searchsorted(model, h), max(len(model) - 1, 0))
+        place = np.where(model[at] == h, at, -1) if len(model) else np.full(len(h), -1)
+        self.codes.update(zip(new, itertools.count(len(self.codes))))
+        self.hashes, self.places = np.concatenate([self.hashes, h]), np.concatenate([self.places, place])
+
+    def read(self, texts):
+        """(places, hashes, first word of each text and the end) for groups of whole texts."""
+        ends, words = [0], []
+        for text in texts:
+            words += words_of(text)
+            ends.append(len(words))
+            if len(words) >= SLICE:
+                yield *self._coded(words), np.array(ends)
+                ends, words = [0], []
+        if len(ends) > 1:
+            yield *self._coded(words), np.array(ends)
+
+    def _coded(self, words: list[bytes]):
+        if len(self.codes) > REMEMBERED:  # a memory bound; forgotten words are learnt again
+            self.__init__(self.model)
+        new = list(set(words).difference(self.codes))
+        if new:
+            self._learn(new)
+        code = np.fromiter(map(self.codes.__getitem__, words), dtype=np.int64, count=len(words))
+        return self.places[code], self.hashes[code]
+
+
+# -- counts of the labelled rows ---------------------------------------------------
+
 def _count_words(batches):
     seen = (Counter(), Counter())
     for b in batches:
         for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
             seen[toxic].update(set(words_of(text)))
     names = list(seen[0].keys() | seen[1].keys())
-    yield pa.RecordBatch.from_pydict({"word": names, "ordinary": [seen[0][w] for w in names], "toxic": [seen[1][w] for w in names]},
-                                     schema=pa.schema([("word", pa.string()), ("ordinary", pa.int64()), ("toxic", pa.int64())]))
-
+    yield pa.RecordBatch.from_pydict({"word": _hash(names).view(np.int64), "ordinary": [seen[0][w] for w in names], "toxic": [seen[1][w] for w in names]},
+                                     schema=pa.schema([("word", pa.int64()), ("ordinary", pa.int64()), ("toxic", pa.int64())]))
 
-def _ids(names: list[str], of: dict) -> np.ndarray:
-    return np.fromiter((of.get(w, -1) for w in names), dtype=np.int64, count=len(names))
 
-
-def _count_pairs(batches, words: list[str]):
-    of, n = {w: i for i, w in enumerate(words)}, len(words)
+def _count_pairs(batches, hashes: np.ndarray):
+    known, n = Known(hashes), len(hashes)
     for b in batches:
         found = ([np.empty(0, np.int64)], [np.empty(0, np.int64)])
-        for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            x = _ids(words_of(text), of)
-            both = (x[:-1] >= 0) & (x[1:] >= 0)
-            found[toxic].append(np.unique((x[:-1] * n + x[1:])[both]))
-        for toxic in (0, 1):
-            pair, count = np.unique(np.concatenate(found[toxic]), return_counts=True)
+        toxic = b.column(1).to_pylist()
+        done = 0
+        for x, _, ends in known.read(b.column(0).to_pylist()):
+            pair = x[:-1] * n + x[1:]
+            for i, (a, z) in enumerate(zip(ends[:-1], ends[1:])):
+                if z - a > 1:
+                    found[toxic[done + i]].append(np.unique(pair[a:z - 1]))
+            done += len(ends) - 1
+        for k in (0, 1):
+            pair, count = np.unique(np.concatenate(found[k]), return_counts=True)
             side = [pa.array(np.zeros_like(count)), pa.array(count)]
-            yield pa.RecordBatch.from_arrays([pa.array(pair), side[1 - toxic], side[toxic]], ["pair", "ordinary", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(pair), side[1 - k], side[k]], ["pair", "ordinary", "toxic"])
 
 
-def _after(batches, heads: np.ndarray):
-    """The pairs whose first word is one of ``heads``."""
-    for b in batches:
-        yield b.filter(pa.array(heads[b.column(0).to_numpy() // len(heads)]))
+# -- distinct preceding words of the corpus ---------------------------------------------
+
+def _pack(keys: np.ndarray) -> bytes:
+    """Sorted numbers as differences, byte by byte of all of them."""
+    planes = np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def _unpack(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
-def _hash_bits(words: list[str]) -> int:
-    return 62 - len(words).bit_length()
+def _preceding(batches, hashes: np.ndarray, buckets: int, bits: int):
+    known, held, size = Known(hashes), [], 0
 
+    def dealt():
+        keys = np.unique(np.concatenate(held))
+        bucket = ((keys & np.uint64((1 << bits) - 1)) % np.uint64(buckets)).astype(np.uint32)
+        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+        keys, cuts = keys[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+        some = [(b, a, z) for b, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a]
+        return pa.RecordBatch.from_arrays([pa.array([b for b, _, _ in some], type=pa.int32()), pa.array([_pack(keys[a:z]) for _, a, z in some], type=pa.binary())],
+                                          ["bucket", "keys"])
 
-def _preceding(batches, words: list[str]):
-    """key: every model word and the word before it, each once per ``FLUSH``
-    words read.  Two model words are one number; a word outside the model stands
-    as a hash (over 40 bits, compared only among those before one word), and
-    the key is negative."""
-    of, n, bits = {w: i for i, w in enumerate(words)}, len(words), _hash_bits(words)
-    held, size = [], 0
-    distinct = lambda: pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)))], ["key"])
     for b in batches:
-        for text in b.column(0).to_pylist():
-            names = words_of(text)
-            x = _ids(names, of)
-            at = np.flatnonzero(x[1:] >= 0)
-            key = x[at + 1] * n + x[at]
-            new = np.flatnonzero(x[at] < 0)
-            if len(new):
-                key[new] = [-1 - (w << bits | xxhash.xxh64_intdigest(names[i]) >> (64 - bits)) for w, i in zip(x[at[new] + 1].tolist(), at[new].tolist())]
-            held.append(key)
-            size += len(key)
+        for x, h, ends in known.read(b.column(0).to_pylist()):
+            use = x >= 0
+            use[ends[:-1][ends[:-1] < len(x)]] = False  # a text's first word has none before it
+            at = np.flatnonzero(use)
+            held.append(x[at].astype(np.uint64) << np.uint64(bits) | h[at - 1] >> np.uint64(64 - bits))
+            size += len(at)
             if size >= FLUSH:
-                yield distinct()
+                yield dealt()
                 held, size = [], 0
     if held:
-        yield distinct()
-
-
-def preceding_words(docs: DataFrame, words: list[str]) -> np.ndarray:
-    """For each of the words the number of distinct words that stand before it in ``docs(text)``."""
-    word = F.expr(f"if(key >= 0, key div {max(1, len(words))}, shiftright(-1 - key, {_hash_bits(words)}))")
-    seen = lead(docs, "text").mapInArrow(partial(_preceding, words=words), "key long").distinct()
-    seen = seen.groupBy(word.alias("word")).agg(F.count(F.lit(1)).alias("n")).toArrow()  # at most ``words`` rows
-    count = np.zeros(len(words))
-    count[seen["word"].to_numpy()] = seen["n"].to_numpy()
-    return count
-
-
-def _contexts(batches, words: list[str]):
-    """An estimate of the same in fixed space, which the models do not use: registers of the distinct preceding words for every model word of the
-    partition; a register holds the highest rank seen as one bit of 32, so
-    partitions merge by bitwise or."""
-    of = {w: i for i, w in enumerate(words)}
-    known = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
-    seen = np.zeros(len(words) * REGISTERS, dtype=np.uint32)
-    for b in batches:
-        for text in b.column(0).to_pylist():
-            names = words_of(text)
-            x = _ids(names, of)
-            at = np.flatnonzero(x[1:] >= 0)
-            if not len(at):
-                continue
-            h = known[x[at]]
-            new = np.flatnonzero(x[at] < 0)
-            h[new] = [xxhash.xxh64_intdigest(names[i]) for i in at[new].tolist()]
-            rank = (h // np.uint64(REGISTERS)) | np.uint64(1 << 31)
-            np.maximum.at(seen, x[at + 1] * REGISTERS + (h % np.uint64(REGISTERS)).astype(np.int64),
-                          (rank & (~rank + np.uint64(1))).astype(np.uint32))
-    seen = seen.reshape(-1, REGISTERS)
-    some = np.flatnonzero(seen.any(axis=1))
-    for i in range(0, len(some), 10_000):
-        two = seen[some[i:i + 10_000]].view("<i8")
-        yield pa.RecordBatch.from_arrays([pa.array(some[i:i + 10_000])] + [pa.array(np.ascontiguousarray(c)) for c in two.T],
-                                         ["word", *_REGISTERS])
-
-
-def distinct_contexts(registers: np.ndarray) -> np.ndarray:
-    """HyperLogLog estimate for each row of registers (highest bit: the rank);
-    linear counting while registers are empty and the count is small."""
-    rank = np.frexp(registers.astype(np.float64))[1]
-    m, empty = registers.shape[1], (rank == 0).sum(axis=1)
-    raw = 0.697 * m * m / np.exp2(-rank.astype(np.float64)).sum(axis=1)
-    return np.where((raw <= 2.5 * m) & (empty > 0), m * np.log(m / np.maximum(empty, 1)), raw)
+        yield dealt()
+
+
+def _distinct(blocks: pd.DataFrame, n: int, bits: int, ranges: int) -> pd.DataFrame:
+    keys = np.unique(np.concatenate([_unpack(k) for k in blocks["keys"]]))
+    count = np.bincount((keys >> np.uint64(bits)).astype(np.int64), minlength=n)
+    cut = np.array_split(count, ranges)
+    return pd.DataFrame({"part": np.arange(ranges, dtype=np.int32), "counts": [zstandard.compress(c.astype(np.int64).tobytes(), 1) for c in cut]})
+
+
+def _added(blocks: pd.DataFrame) -> pd.DataFrame:
+    total = sum(np.frombuffer(zstandard.decompress(c), np.int64) for c in blocks["counts"])
+    return pd.DataFrame({"part": blocks["part"].iloc[:1], "counts": [zstandard.compress(total.tobytes(), 1)]})
+
+
+def preceding_words(docs: DataFrame, hashes: np.ndarray) -> np.ndarray:
+    """For each of the words (sorted hashes) the number of distinct words that stand before it in ``docs(text)``."""
+    n, spark = len(hashes), docs.sparkSession
+    bits = 64 - max(n, 1).bit_length()
+    texts = lead(docs, "text")
+    buckets = max(parts(spark), -(-(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET))
+    ranges = max(1, min(64, n // 4096))
+    blocks = texts.mapInArrow(partial(_preceding, hashes=hashes, buckets=buckets, bits=bits), "bucket int, keys binary")
+    each = blocks.groupBy("bucket").applyInPandas(lambda b: _distinct(b, n, bits, ranges), "part int, counts binary")
+    total = each.groupBy("part").applyInPandas(_added, "part int, counts binary").collect()  # eight bytes a word in all
+    if not total:
+        return np.zeros(n)
+    return np.concatenate([np.frombuffer(zstandard.decompress(r["counts"]), np.int64) for r in sorted(total, key=lambda r: r["part"])]).astype(np.float64)
+
 
+# -- the models ------------------------------------------------------------------------
 
 class Model:
-    """The two language models as lookup tables, and the logistic weights.
-
-    unigrams, pair_counts: document counts per class (ordinary, toxic);
-    followers: per class and word, the sum of its pairs' counts.  Pairs that the
-    discount takes away in both classes score as their second word and are not kept."""
-
-    def __init__(self, of, unigrams, totals, discount, contexts, pairs, pair_counts, followers):
-        self.of, n = of, len(of)
-        shared = np.maximum(contexts / max(contexts.sum(), 1e-9), 1e-9)
-        q = [np.maximum(u - discount, 0) / max(t, 1) for u, t in zip(unigrams, totals)]
-        g = max(1 - x.sum() for x in q)
-        p = [(1 - g) * x / max(x.sum(), 1e-9) + g * shared for x in q]
-        self.unigram = np.append(np.log(p[1] / p[0]), 0.0)  # index -1: a word outside the model
-        order = np.argsort(pairs, kind="stable")
-        pairs, pair_counts = pairs[order], [c[order] for c in pair_counts]
-        some = np.maximum(*pair_counts) > discount
-        pairs, pair_counts = pairs[some], [c[some] for c in pair_counts]
-        before = (pairs // max(n, 1)).astype(np.int32)
-        a = lambda k, at: np.maximum(pair_counts[k][at] - discount, 0) / (followers[k][before[at]] + BACKOFF)
-        slices = [slice(i, i + CHUNK) for i in range(0, len(pairs), CHUNK)]
-        mass = [sum((np.bincount(before[at], a(k, at), minlength=n) for at in slices), np.zeros(n)) for k in (0, 1)]
-        rest = 1 - np.minimum(*mass)
-        part = [(1 - rest) / np.maximum(m, 1e-9) for m in mass]
-        self.bigram = np.empty(len(pairs), dtype=np.float32)
-        for at in slices:
-            after = pairs[at] % max(n, 1)
-            two = [a(k, at) * part[k][before[at]] + rest[before[at]] * p[k][after] for k in (0, 1)]
-            self.bigram[at] = np.log(two[1] / two[0])
-        kept = (1 - rest > 0)[before]
-        self.pairs, self.bigram = pairs[kept], self.bigram[kept]
-        self.n, self.weights = n, np.zeros(3)
-
-    def __getstate__(self):
-        """Packed: the words as one text, the ordered pairs by their differences."""
-        packed = {"pairs": zlib.compress(np.diff(self.pairs, prepend=0).tobytes(), 1), "of": zlib.compress("\n".join(self.of).encode(), 1)}
-        return self.__dict__ | packed
-
-    def __setstate__(self, state):
-        names = zlib.decompress(state["of"]).decode().split("\n") if state["n"] else []
-        self.__dict__ = state | {"pairs": np.cumsum(np.frombuffer(zlib.decompress(state["pairs"]), dtype=np.int64)), "of": {w: i for i, w in enumerate(names)}}
-
-    def evidence(self, text) -> tuple[float, float]:
-        """Mean log-likelihood ratio per word: whole text, strongest words."""
-        x = _ids(words_of(text), self.of)
-        if not len(x):
-            return 0.0, 0.0
-        r = self.unigram[x]
-        if len(self.pairs) and len(x) > 1:
-            key = np.where((x[:-1] >= 0) & (x[1:] >= 0), x[:-1] * self.n + x[1:], -1)
+    """The log ratio of the two language models as lookup tables, and the logistic weights.
+
+    words: hashes and document counts per class (ordinary, toxic); contexts: distinct
+    preceding words; heads: per class and word the sum of its pairs' counts, and
+    of what the discount takes from them; pairs: those above the discount in a class."""
+
+    def __init__(self, hashes, counts, contexts, discounts, heads, taken, pairs, pair_counts):
+        self.discounts = d, e = discounts
+        self.key, self.hashes, self.n, self.weights = uuid.uuid4().hex, hashes, len(hashes), np.zeros(3)
+        shared = np.maximum(contexts, 0.5)
+        shared = shared / shared.sum()
+        above = [np.maximum(c - d, 0) / c.sum() for c in counts]
+        p = [a + (1 - a.sum()) * shared for a in above]
+        mass = [np.where(h > 0, t / np.maximum(h, 1), 1.0) for h, t in zip(heads, taken)]
+        self.word = np.append(np.log(p[1] / p[0]), 0.0)  # place -1: a word outside the models
+        self.head = np.append(np.log(mass[1] / mass[0]), 0.0)
+        some = np.maximum(*pair_counts) > e
+        order = np.argsort(pairs[some])
+        self.pairs = pairs[some][order]
+        before, after = self.pairs // max(self.n, 1), self.pairs % max(self.n, 1)
+        two = [np.maximum(c[some][order] - e, 0) / np.maximum(heads[k][before], 1) + mass[k][before] * p[k][after] for k, c in enumerate(pair_counts)]
+        self.pair = np.log(two[1] / two[0])
+
+    def ratios(self, x: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """log p_toxic - log p_ordinary of every word, given the word before it in the same text; 0 for words outside the models."""
+        r = self.word[x]
+        if len(x) < 2:
+            return r
+        both = (x[:-1] >= 0) & (x[1:] >= 0)
+        inner = ends[1:-1]
+        both[inner[(inner > 0) & (inner < len(x))] - 1] = False
+        r[1:][both] += self.head[x[:-1][both]]
+        if len(self.pairs):
+            key = np.where(both, x[:-1] * self.n + x[1:], -1)
             at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
             hit = self.pairs[at] == key
-            r[1:][hit] = self.bigram[at[hit]]
-        top = len(r) - min(len(r), max(2, int(np.ceil(STRONG * len(r)))))
-        return float(r.mean()), float(np.partition(r, top)[top:].mean())
+            r[1:][hit] = self.pair[at[hit]]
+        return r
 
-    def score(self, text) -> float:
-        return float(1 / (1 + np.exp(-np.clip(self.weights[0] + np.dot(self.weights[1:], self.evidence(text)), -500, 500))))
+    def evidence(self, x: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Per text the mean ratio of its words, and of its strongest words."""
+        r, out = self.ratios(x, ends), np.zeros((len(ends) - 1, 2))
+        for i, (a, z) in enumerate(zip(ends[:-1], ends[1:])):
+            if z > a:
+                top = (z - a) - min(z - a, max(2, int(np.ceil(STRONG * (z - a)))))
+                out[i] = r[a:z].mean(), np.partition(r[a:z], top)[top:].mean()
+        return out
+
+    def score(self, evidence: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.weights[0] + evidence @ self.weights[1:], -500, 500)))
+
+
+_KNOWN: dict[str, Known] = {}
+
+
+def _known(model: Model) -> Known:
+    """One vocabulary per worker process and model."""
+    if model.key not in _KNOWN:
+        _KNOWN.clear()
+        _KNOWN[model.key] = Known(model.hashes)
+    return _KNOWN[model.key]
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
@@ -250,48 +282,63 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
 
 def _evidence(batches, models: list[Model]):
     """Evidence under each model, flat, and the label."""
+    known = Known(models[0].hashes)
     for b in batches:
-        found = [[x for m in models for x in m.evidence(t)] for t in b.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array(found, type=pa.list_(pa.float64())), b.column(1)], ["x", "toxic"])
+        found = [np.column_stack([m.evidence(x, ends) for m in models]) for x, _, ends in known.read(b.column(0).to_pylist())]
+        rows = np.concatenate(found).tolist() if found else []
+        yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.list_(pa.float64())), b.column(1)], ["x", "toxic"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """The model for ``docs(doc_id, text)`` with ``labels(doc_id, toxic)``.
-    Labels that are null or contradict each other are not used; None if one of
-    the classes has no row to learn from."""
+def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = CHARS) -> DataFrame:
+    """(text, toxic, fold) of the rows to learn from.  Labels that are null or contradict each other are not used."""
     marks = lead(labels, "doc_id", "toxic").where("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(
         F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
     marks = marks.withColumn("fold", fold(F.col("doc_id"))).where("fold <> 0")
     take = lambda c: marks.where(F.col("toxic") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     chosen = take(0).union(take(1)).select("doc_id", F.col("toxic").cast("int").alias("toxic"), "fold")  # at most 2 * sample rows
-    texts = saved(lead(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic", "fold"), "labelled")
+    texts = saved(lead(docs, "doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select(
+        F.xxhash64("doc_id").alias("h"), F.md5("text").alias("t"), "text", "toxic", "fold", F.length("text").alias("size")), "labelled")
+    order = Window.partitionBy("toxic").orderBy("h", "t").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = texts.groupBy("h", "t", "toxic").agg(F.sum("size").alias("size"))
+    within = sizes.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0))).where(F.col("before") < chars).select("h", "t", "toxic")
+    return texts.join(within, ["h", "t", "toxic"], "left_semi").select("text", "toxic", "fold")
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = CHARS) -> Model | None:
+    """The model for ``docs(doc_id, text)`` with ``labels(doc_id, toxic)``; None if one of the classes has no word to learn from."""
+    texts = labelled(docs, labels, sample, chars)
     for_counts, for_fit = texts.where("fold <> 1").select("text", "toxic"), texts.where("fold = 1").select("text", "toxic")
-    counted = saved(for_counts.mapInArrow(_count_words, "word string, ordinary long, toxic long").groupBy("word").agg(
-        F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "word-counts")
-    both = ("ordinary", "toxic")
-    totals = counted.agg(*[F.sum(c) for c in both]).first()
-    if not totals[0] or not totals[1]:
+    classes = ("ordinary", "toxic")
+    counted = for_counts.mapInArrow(_count_words, "word long, ordinary long, toxic long").groupBy("word").agg(
+        *[F.sum(c).cast("int").alias(c) for c in classes]).toArrow()  # the words of the bounded sample, sixteen bytes each
+    hashes = counted["word"].to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    hashes, counts = hashes[order], [counted[c].to_numpy()[order].astype(np.float64) for c in classes]
+    if not all(c.sum() > 0 for c in counts):
         return None
-    every = counted.toArrow().sort_by("word")  # the words of at most 2 * sample rows, in columns
-    names, unigrams = every["word"].to_pylist(), [every[c].to_numpy().astype(np.float64) for c in both]
-    two = saved(for_counts.mapInArrow(partial(_count_pairs, words=names), "pair long, ordinary long, toxic long").groupBy("pair").agg(
-        F.sum("ordinary").cast("int").alias("ordinary"), F.sum("toxic").cast("int").alias("toxic")), "pair-counts")
-    heads = two.groupBy(F.expr(f"pair div {max(1, len(names))}").alias("before")).agg(*[F.sum(c).alias(c) for c in both]).toArrow()
-    followers = [np.zeros(len(names)), np.zeros(len(names))]
-    for f, c in zip(followers, both):
-        f[heads["before"].to_numpy()] = heads[c].to_numpy()
-    # after a word that only one class has pairs of, both classes back off alike: those pairs change no score
-    mixed = (followers[0] > 0) & (followers[1] > 0)
-    two = two.mapInArrow(partial(_after, heads=mixed), two.schema).toArrow()
-    contexts = preceding_words(docs, names)
-    tables = (two["pair"].to_numpy(), [two[c].to_numpy() for c in both], followers)
-    of = {w: i for i, w in enumerate(names)}
-    models = [Model(of, unigrams, totals, d, contexts, *tables) for d in DISCOUNTS]
+    two = saved(for_counts.mapInArrow(partial(_count_pairs, hashes=hashes), "pair long, ordinary long, toxic long").groupBy("pair").agg(
+        *[F.sum(c).cast("int").alias(c) for c in classes]), "pair-counts")
+    size = len(hashes)
+    sums = [F.sum(c).cast("int").alias(c) for c in classes]
+    sums += [F.sum(F.least(F.col(c).cast("double"), F.lit(e))).cast("float").alias(f"{c}{i}") for c in classes for i, (_, e) in enumerate(DISCOUNTS)]
+    rows = two.groupBy(F.expr(f"pair div {size}").alias("head")).agg(*sums).toArrow()  # at most one row a word
+    at = rows["head"].to_numpy()
+
+    def column(name: str) -> np.ndarray:
+        out = np.zeros(size)
+        out[at] = rows[name].to_numpy()
+        return out
+
+    heads = [column(c) for c in classes]
+    often = two.where(F.greatest(*classes) > min(e for _, e in DISCOUNTS)).toArrow()
+    pairs, pair_counts = often["pair"].to_numpy(), [often[c].to_numpy().astype(np.float64) for c in classes]
+    contexts = preceding_words(docs, hashes)
+    models = [Model(hashes, counts, contexts, d, heads, [column(f"{c}{i}") for c in classes], pairs, pair_counts) for i, d in enumerate(DISCOUNTS)]
     judge = lambda df: df.mapInArrow(partial(_evidence, models=models), "x array<double>, toxic int").collect()
-    rows = judge(for_fit)  # at most 2 * sample
-    if len({r["toxic"] for r in rows}) < 2:
-        rows = judge(for_counts)
-    x, y = np.array([r["x"] for r in rows]), np.array([r["toxic"] for r in rows], dtype=np.float64)
+    found = judge(for_fit)  # at most 2 * sample rows
+    if len({r["toxic"] for r in found}) < 2:
+        found = judge(for_counts)
+    x, y = np.array([r["x"] for r in found]), np.array([r["toxic"] for r in found], dtype=np.float64)
     loss = []
     for k, m in enumerate(models):
         z = x[:, 2 * k:2 * k + 2]
@@ -307,8 +354,10 @@ def score_column(model: Model | None, text):
         return F.lit(0.0)
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = _known(model)
         for texts in batches:
-            yield pd.Series([model.score(t) for t in texts], dtype="float64")
+            found = [model.score(model.evidence(x, ends)) for x, _, ends in known.read(texts)]
+            yield pd.Series(np.concatenate(found) if found else [], dtype="float64")
 
     return F.pandas_udf(scores, "double")(text)
 

@@ -360,11 +360,72 @@ def test_toxicity_ignores_held_out_labels(spark):
     assert a.keys() == b.keys() and max(abs(a[k] - b[k]) for k in a) < 1e-9
 
 
-def test_toxicity_model_probabilities():
-    m = toxicity.Model({"a": 0, "b": 1}, [np.array([5.0, 3.0]), np.array([2.0, 6.0])], (8, 8), 0.5, np.array([3.0, 2.0]),
-                       np.array([1]), [np.array([4.0]), np.array([1.0])], [np.array([5.0, 0.0]), np.array([2.0, 0.0])])
-    assert m.unigram[0] < 0 < m.unigram[1] and m.unigram[-1] == 0.0
-    assert m.evidence("") == (0.0, 0.0) and m.evidence("zzz") == (0.0, 0.0) and m.evidence("b")[0] > 0
+def brute_kneser_ney(docs, labels, discounts):
+    """(p(class, head or None, word), words) counted with dictionaries, straight from the formulas."""
+    d, e = discounts
+    fold = {i: zlib.crc32(str(i).encode()) % 5 for i, _ in docs}
+    split = lambda t: re.sub("[^a-z0-9_\x80-\U0010ffff]+", " ", (t or "").lower()).split(" ")
+    words = {i: [w for w in split(t) if w] for i, t in docs}
+    one, two, context = [collections.Counter(), collections.Counter()], [collections.Counter(), collections.Counter()], collections.defaultdict(set)
+    for i, w in words.items():
+        for a, b in zip(w, w[1:]):
+            context[b].add(a)
+        if fold[i] > 1 and i in labels:
+            one[labels[i]].update(set(w))
+            two[labels[i]].update(set(zip(w, w[1:])))
+    known = set(one[0]) | set(one[1])
+    all_contexts = sum(max(len(context[w]), 0.5) for w in known)
+    heads = [collections.Counter(), collections.Counter()]
+    taken = [collections.Counter(), collections.Counter()]
+    for c in (0, 1):
+        for (h, _), n in two[c].items():
+            heads[c][h] += n
+            taken[c][h] += min(n, e)
+
+    def p(c, h, w):
+        total = sum(one[c].values())
+        back = sum(min(n, d) for n in one[c].values()) / total
+        alone = max(one[c][w] - d, 0) / total + back * max(len(context[w]), 0.5) / all_contexts
+        if h is None or not heads[c][h]:
+            return alone
+        return max(two[c][h, w] - e, 0) / heads[c][h] + taken[c][h] / heads[c][h] * alone
+    return p, known, words
+
+
+def test_toxicity_probabilities(spark):
+    """Every ratio of the fitted model against the formulas, and each model sums to one."""
+    rng = np.random.default_rng(4)
+    vocabulary = [f"w{i}" for i in range(12)] + ["É", "_x"]
+    bad = ["You vile", "vile husk", "husk!"]
+    docs, labels = [], {}
+    for i in range(1500):
+        toxic = i % 4 == 0
+        text = " ".join(rng.choice(vocabulary + (bad if toxic else []), size=int(rng.integers(3, 30))))
+        docs.append((i, text + ("." if i % 3 else "")))
+        if i % 7:
+            labels[i] = int(toxic)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    m = toxicity.fit(frame, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    p, known, words = brute_kneser_ney(docs, labels, m.discounts)
+    assert len(m.pairs) > 20 and {toxicity._hash([w.encode()])[0] for w in known} == set(m.hashes.tolist())
+    x, _, ends = next(toxicity.Known(m.hashes).read([t for _, t in docs]))
+    got = m.ratios(x, ends)
+    want = []
+    for i, _ in docs:
+        w = words[i]
+        want += [np.log(p(1, h, v) / p(0, h, v)) if v in known else 0.0 for v, h in zip(w, [None] + [a if a in known else None for a in w])]
+    assert got == pytest.approx(want, abs=1e-9)
+    for c in (0, 1):
+        for h in [None, "w1", "vile", "husk"]:
+            assert sum(p(c, h, w) for w in known) == pytest.approx(1)
+
+
+def test_toxicity_sample_bound(spark):
+    docs = spark.createDataFrame([(i, "a b " * 50) for i in range(400)] + [(1, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    size = lambda **k: {r.toxic: r["count"] for r in toxicity.labelled(docs, marks, **k).groupBy("toxic").count().collect()}
+    assert sum(size().values()) == sum(1 for i in range(400) if zlib.crc32(str(i).encode()) % 5)
+    assert size(sample=30) == {0: 30, 1: 30} and size(chars=2000) == {0: 10, 1: 10}
 
 
 def test_toxicity_odd_rows(spark, odd_docs, no_docs, labels):
@@ -377,45 +438,35 @@ def test_toxicity_odd_rows(spark, odd_docs, no_docs, labels):
     assert toxicity.toxicity(odd_docs, labels.limit(0)).agg(F.max("score")).first()[0] == 0.0
 
 
-def test_toxicity_contexts_keep_growing():
-    """Distinct preceding words, counted in parts and merged by bitwise or."""
-    words = ["the", "w1", "none"]
-    for n in (5, 200, 30_000):
-        text = [f"w{i} the" for i in range(n)]
-        parts = [pa.RecordBatch.from_pydict({"text": [" ".join(text[k::3]), None, ""]}) for k in range(3)]
-        merged = {}
-        for part in parts:
-            for b in toxicity._contexts([part], words):
-                for word, *registers in zip(*(c.to_pylist() for c in b.columns)):
-                    merged[word] = np.bitwise_or(merged.get(word, 0), np.array(registers, dtype=np.int64))
-        count = toxicity.distinct_contexts(np.array([merged[0]]).view("<u4"))[0]
-        assert 0.6 * n < count < 1.5 * n
-        assert 2 not in merged
-
-
-def test_toxicity_model_holds_every_counted_word_and_pair(spark):
-    """More words than any fixed cap, most in one document, and a toxic pair in six."""
+def test_toxicity_model_holds_every_counted_word(spark):
+    """More words than any fixed cap, most in one document."""
     learnt = [i for i in range(1200) if zlib.crc32(str(i).encode()) % 5 > 1]
     toxic = set(learnt[:60])
-    text = lambda i: " ".join(f"w{i}x{j}" for j in range(170)) + (" you mere husk" if i in learnt[:6] else " you mere mortal" if i in learnt[30:300] else "")
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(170)) + (" you mere husk" if i in learnt[:9] else " you mere mortal" if i in learnt[30:300] else "")
     docs = spark.createDataFrame([(i, text(i)) for i in range(1200)], "doc_id long, text string")
     m = toxicity.fit(docs, spark.createDataFrame([(i, int(i in toxic)) for i in range(1200)], "doc_id long, toxic int"))
-    assert set(m.of) == {w for i in learnt for w in toxicity.words_of(text(i))} and len(m.of) > 100_000
-    pair = m.of["mere"] * m.n + m.of["husk"]
-    assert pair in m.pairs and m.bigram[np.searchsorted(m.pairs, pair)] > 0
+    words = {w for i in learnt for w in toxicity.words_of(text(i))}
+    assert set(m.hashes.tolist()) == set(toxicity._hash(list(words)).tolist()) and m.n > 100_000
+    x, _, ends = next(toxicity.Known(m.hashes).read(["you mere husk", "you mere mortal"]))
+    r = m.ratios(x, ends)
+    assert r[2] > 0 > r[5]
 
 
 def test_toxicity_counts_preceding_words_exactly(spark, monkeypatch):
-    monkeypatch.setattr(toxicity, "FLUSH", 500)
+    for name, value in (("FLUSH", 500), ("SLICE", 100), ("REMEMBERED", 300), ("BUCKET", 2000)):
+        monkeypatch.setattr(toxicity, name, value)
     rows = [" ".join(f"w{(i * 7 + j) % 900} the" for j in range(40)) + f" w{i % 3} a" for i in range(200)] + [None, "", "the"]
     want = collections.defaultdict(set)
     for t in rows:
         w = toxicity.words_of(t)
         for a, b in zip(w, w[1:]):
             want[b].add(a)
-    names = sorted(want) + ["none"]
-    got = toxicity.preceding_words(spark.createDataFrame([(t,) for t in rows], "text string").repartition(5), names)
-    assert got.tolist() == [len(want.get(w, ())) for w in names] and max(got) > 800
+    names = sorted(want) + [b"none"]
+    hashes = toxicity._hash(names)
+    order = np.argsort(hashes)
+    got = toxicity.preceding_words(spark.createDataFrame([(t,) for t in rows], "text string").repartition(5), hashes[order])
+    assert got.tolist() == [len(want.get(names[i], ())) for i in order] and max(got) > 800
+    assert toxicity.preceding_words(spark.createDataFrame([], "text string"), hashes).tolist() == [0] * len(names)
 
 
 def test_short_sentences_and_most_of_each_passage_are_removed(spark):
