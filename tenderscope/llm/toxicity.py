@@ -53,7 +53,7 @@ SAMPLE, CHARS, STRONG = 20_000, 64_000_000, 0.015
 #: absolute discounts of words and of pairs
 DISCOUNTS = ((0.75, 3.0), (2.0, 8.0), (4.0, 16.0))
 #: words read before a map task hands on its distinct pairs; bytes of text per bucket of pairs; words worked on at once; words remembered
-FLUSH, BUCKET, SLICE, REMEMBERED = 4_000_000, 24_000_000, 200_000, 600_000
+FLUSH, BUCKET, SLICE, REMEMBERED = 2_000_000, 24_000_000, 100_000, 300_000
 #: everything in ASCII but letters, digits and underscores parts words
 _SPACE = bytes(c if c >= 128 or c == 95 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -62,6 +62,12 @@ def words_of(text) -> list[bytes]:
     return (text or "").lower().encode().translate(_SPACE).split()
 
 
+def _texts(column: pa.Array, step: int = 256):
+    """The strings of a column, a few at a time in Python's memory."""
+    for i in range(0, len(column), step):
+        yield from column.slice(i, step).to_pylist()
+
+
 def _hash(words) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64)
 
@@ -108,7 +114,7 @@ class Known:
 def _count_words(batches):
     seen = (Counter(), Counter())
     for b in batches:
-        for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+        for text, toxic in zip(_texts(b.column(0)), b.column(1).to_pylist()):
             seen[toxic].update(set(words_of(text)))
     names = list(seen[0].keys() | seen[1].keys())
     yield pa.RecordBatch.from_pydict({"word": _hash(names).view(np.int64), "ordinary": [seen[0][w] for w in names], "toxic": [seen[1][w] for w in names]},
@@ -121,7 +127,7 @@ def _count_pairs(batches, hashes: np.ndarray):
         found = ([np.empty(0, np.int64)], [np.empty(0, np.int64)])
         toxic = b.column(1).to_pylist()
         done = 0
-        for x, _, ends in known.read(b.column(0).to_pylist()):
+        for x, _, ends in known.read(_texts(b.column(0))):
             pair = x[:-1] * n + x[1:]
             for i, (a, z) in enumerate(zip(ends[:-1], ends[1:])):
                 if z - a > 1:
@@ -147,23 +153,28 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _preceding(batches, hashes: np.ndarray, buckets: int, bits: int):
+    """Numbers of ``bits`` low bits for the word before (a word of the model by
+    its place, any other by its hash in the upper half) and the word's place above."""
     known, held, size = Known(hashes), [], 0
+    half = np.uint64(1 << bits - 1)
 
     def dealt():
         keys = np.unique(np.concatenate(held))
-        bucket = ((keys & np.uint64((1 << bits) - 1)) % np.uint64(buckets)).astype(np.uint32)
-        order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+        mixed = (keys & np.uint64((1 << bits) - 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+        bucket = (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+        order = np.argsort(bucket, kind="stable")
         keys, cuts = keys[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
         some = [(b, a, z) for b, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a]
         return pa.RecordBatch.from_arrays([pa.array([b for b, _, _ in some], type=pa.int32()), pa.array([_pack(keys[a:z]) for _, a, z in some], type=pa.binary())],
                                           ["bucket", "keys"])
 
     for b in batches:
-        for x, h, ends in known.read(b.column(0).to_pylist()):
+        for x, h, ends in known.read(_texts(b.column(0))):
             use = x >= 0
             use[ends[:-1][ends[:-1] < len(x)]] = False  # a text's first word has none before it
             at = np.flatnonzero(use)
-            held.append(x[at].astype(np.uint64) << np.uint64(bits) | h[at - 1] >> np.uint64(64 - bits))
+            before = np.where(x[at - 1] >= 0, x[at - 1].astype(np.uint64), half | h[at - 1] >> np.uint64(65 - bits))
+            held.append(x[at].astype(np.uint64) << np.uint64(bits) | before)
             size += len(at)
             if size >= FLUSH:
                 yield dealt()
@@ -284,7 +295,7 @@ def _evidence(batches, models: list[Model]):
     """Evidence under each model, flat, and the label."""
     known = Known(models[0].hashes)
     for b in batches:
-        found = [np.column_stack([m.evidence(x, ends) for m in models]) for x, _, ends in known.read(b.column(0).to_pylist())]
+        found = [np.column_stack([m.evidence(x, ends) for m in models]) for x, _, ends in known.read(_texts(b.column(0)))]
         rows = np.concatenate(found).tolist() if found else []
         yield pa.RecordBatch.from_arrays([pa.array(rows, type=pa.list_(pa.float64())), b.column(1)], ["x", "toxic"])
 
@@ -301,6 +312,8 @@ def labelled(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: in
     order = Window.partitionBy("toxic").orderBy("h", "t").rowsBetween(Window.unboundedPreceding, -1)
     sizes = texts.groupBy("h", "t", "toxic").agg(F.sum("size").alias("size"))
     within = sizes.withColumn("before", F.coalesce(F.sum("size").over(order), F.lit(0))).where(F.col("before") < chars).select("h", "t", "toxic")
+    within = saved(within, "within")
+    within = F.broadcast(within) if within.count() <= 4 * sample else within  # more only where ids repeat
     return texts.join(within, ["h", "t", "toxic"], "left_semi").select("text", "toxic", "fold")
 
 
