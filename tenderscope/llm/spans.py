@@ -1,20 +1,19 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences: after ``.``, ``!`` or ``?`` and at line ends.  A
-sentence of more than ``LONG`` words is cut further, into parts of at least
-``PART`` words, after ``,`` ``;`` ``:`` ``|`` and after words that a hash picks
-(about one in three), so the cuts inside a copied passage soon depend on its
-words alone, wherever it stands.  From every
-sentence the run of ``RUN`` sentences is hashed, however short they are, so every
-longer run is covered too; runs are compared by their words, not by their white
-space.
+A text is cut into sentences: after ``.``, ``!`` or ``?`` and at line ends.  Only
+inside a sentence of more than ``LONG`` words are there further cuts, after ``,``
+``;`` ``:`` ``|`` and after words that a hash picks (about one in ``PICK``); these
+depend on the word alone, so a copied passage is cut alike wherever it stands.
+From every sentence the run of sentences is hashed that holds at least ``RUN``
+sentences and ``WORDS`` words, so every longer run is covered too; a text
+with less is one run by itself.  Runs are compared by their words, not by their
+white space.
 
 All runs of all documents meet by hash.  The first run (smallest id, then
-place) of each hash stays; the sentences of every other one go.  A run travels
-as three numbers: its hash, the document and its place.  Repeated hashes are
-found by a count with map-side combining, and the joins back to the runs are
-ones that Spark can split, so a line that a third of the documents share makes
-no hot task.
+place) of each hash stays; the sentences of every other one go.  Repeated hashes
+are found by a count with map-side combining, and the joins back to the runs
+are ones that Spark can split, so a line that a third of the documents share
+makes no hot task.
 """
 
 from __future__ import annotations
@@ -28,13 +27,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import lead, saved
+from .common import lead as columns
+from .common import saved
 
-RUN, WORDS, LONG, PART, PICK = 2, 2, 12, 3, 3
+RUN, WORDS, LONG, PICK = 2, 12, 20, 3
 _END = re.compile(r"(?<=[.!?])(?=\s+\S)")
 _WORD = re.compile(r"\S+\s*")
 
 
+def _picked(word: str) -> bool:
+    return word[-1] in ",;:|" or xxhash.xxh32_intdigest(word.rstrip(".!?").lower()) % PICK == 0
+
+
 def sentences(text: str) -> list[str]:
     """The pieces of the text; joined they are the text.  White space goes with
     the piece before it, so only a text without words has a piece without."""
@@ -45,30 +49,35 @@ def sentences(text: str) -> list[str]:
             if len(words) <= LONG:
                 out.append(s)
                 continue
-            at, begin, n = len(s) - sum(map(len, words)), 0, 0  # at: after leading white space
+            begin, at = 0, len(s) - sum(map(len, words))  # at: after leading white space
             for w in words:
-                at, n = at + len(w), n + 1
-                bare = w.rstrip()
-                if n >= PART and (bare[-1] in ",;:|" or xxhash.xxh32_intdigest(bare.rstrip(".!?").lower()) % PICK == 0):
+                at += len(w)
+                if _picked(w.rstrip()):
                     out.append(s[begin:at])
-                    begin, n = at, 0
+                    begin = at
             if begin < len(s):
                 out.append(s[begin:])
-    merged: list[str] = []
+    merged, lead = [], ""  # white space moves to the end of the piece before it
     for s in out:
-        if merged and (s.isspace() or merged[-1].isspace()):
-            merged[-1] += s
+        body = s.lstrip()
+        if merged:
+            merged[-1] += s[:len(s) - len(body)]
         else:
-            merged.append(s)
-    return merged
+            lead += s[:len(s) - len(body)]
+        if body:
+            merged.append(body if merged else lead + body)
+    return merged or ([lead] if lead else [])
 
 
 def runs(pieces: list[str], run: int = RUN, words: int = WORDS):
     """(hashes, first sentences, numbers of sentences) of all runs."""
     split = [p.split() for p in pieces]
     n = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    if len(n) < run or n.sum() < words:
-        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    if not n.sum():
+        return np.empty(0, np.uint64).view(np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    if len(n) < run or n.sum() < words:  # the whole text
+        whole = xxhash.xxh64_intdigest(" ".join(w for p in split for w in p), seed=1)
+        return np.array([whole], dtype=np.uint64).view(np.int64), np.zeros(1, np.int64), np.array([len(n)])
     h = np.array([xxhash.xxh64_intdigest(" ".join(w)) for w in split], dtype=np.uint64)
     cum = np.concatenate([[0], np.cumsum(n)])
     stop = np.maximum(np.searchsorted(cum, cum[:-1] + words), np.arange(len(n)) + run)
@@ -83,34 +92,35 @@ def runs(pieces: list[str], run: int = RUN, words: int = WORDS):
 
 
 def _spans(batches, run: int, words: int):
-    """place: first sentence (32 bits), number of sentences (8), text hash (24).
-    A run has at most ``max(run, words)`` sentences, as each has a word."""
+    """place: first sentence, and number of sentences in the low byte; a run has
+    at most ``max(run, words)`` sentences, as each has a word."""
     for b in batches:
-        hashes, docs, places = [], [], []
-        for doc_id, text, h in zip(*(c.to_pylist() for c in b.columns)):
+        hashes, counts, places = [np.empty(0, np.int64)], [], [np.empty(0, np.int64)]
+        for text in b.column(1).to_pylist():
             value, first, size = runs(sentences(text or ""), run, words)
             hashes.append(value)
-            docs += [doc_id] * len(value)
-            places.append(first << 32 | size << 24 | (h & 0xFFFFFF))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes or [np.empty(0, np.int64)])), pa.array(docs, type=pa.int64()),
-                                          pa.array(np.concatenate(places or [np.empty(0, np.int64)]))], ["hash", "doc_id", "place"])
+            counts.append(len(value))
+            places.append(first << 8 | size)
+        row = np.repeat(np.arange(len(counts)), counts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), b.column(0).take(pa.array(row)), b.column(2).take(pa.array(row)),
+                                          pa.array(np.concatenate(places))], ["hash", "doc_id", "h", "place"])
 
 
 def repeated_spans(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
     """(doc_id, h, a, z, first_doc): sentences a..z-1 of a document repeat a run
-    that stands earlier, in ``first_doc``; h: low 24 bits of its text's hash."""
-    if max(run, words) > 127:
-        raise ValueError("runs hold at most 127 sentences")
-    rows = lead(docs, "doc_id", "text").withColumn("h", F.xxhash64("text"))
-    spans = saved(rows.mapInArrow(partial(_spans, run=run, words=words), "hash long, doc_id long, place long"), "spans")
+    that stands earlier, in ``first_doc``; h: the hash of its text."""
+    if max(run, words) > 255:
+        raise ValueError("runs hold at most 255 sentences")
+    rows = columns(docs, "doc_id", "text").withColumn("h", F.xxhash64("text"))
+    spans = saved(rows.mapInArrow(partial(_spans, run=run, words=words), "hash long, doc_id long, h long, place long"), "spans")
     # written, so that the joins deal both their sides anew and Spark can split a hot hash
     often = saved(spans.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeated-hashes")
     again = saved(spans.join(often, "hash", "left_semi"), "repeated-spans")
-    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", "place")
     first = saved(again.groupBy("hash").agg(F.min(at).alias("first")), "first-spans")
     return again.join(first, "hash").where(~F.col("first").eqNullSafe(at)).select(
-        "doc_id", F.col("place").bitwiseAND(0xFFFFFF).alias("h"), F.shiftright("place", 32).alias("a"),
-        (F.shiftright("place", 32) + F.shiftright("place", 24).bitwiseAND(0xFF)).alias("z"), F.col("first.doc_id").alias("first_doc"))
+        "doc_id", "h", F.shiftright("place", 8).alias("a"), (F.shiftright("place", 8) + F.col("place").bitwiseAND(0xFF)).alias("z"),
+        F.col("first.doc_id").alias("first_doc"))
 
 
 def _clean(batches):
@@ -151,7 +161,7 @@ def remove_repeats(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataF
     cover = repeated_spans(docs, run, words).groupBy("doc_id", "h", "a").agg(F.max("z").alias("z"), F.collect_set("first_doc").alias("f"))
     cover = cover.groupBy("doc_id", "h").agg(F.collect_list(F.struct("a", "z")).alias("cover"),
                                              F.array_distinct(F.flatten(F.collect_list("f"))).alias("first_docs"))
-    rows = lead(docs, "doc_id", "text").withColumn("h", F.xxhash64("text").bitwiseAND(0xFFFFFF))
+    rows = columns(docs, "doc_id", "text").withColumn("h", F.xxhash64("text"))
     both = rows.alias("r").join(cover.alias("c"), F.col("r.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("r.h") == F.col("c.h")), "left")
     return both.select("r.doc_id", "r.text", "cover", "first_docs").mapInArrow(
         _clean, "doc_id long, text string, n_sentences long, n_removed long, "
