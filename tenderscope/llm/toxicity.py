@@ -236,9 +236,18 @@ class Model:
         two = [np.maximum(c[some][order] - e, 0) / np.maximum(heads[k][before], 1) + mass[k][before] * p[k][after] for k, c in enumerate(pair_counts)]
         self.pair = np.log(two[1] / two[0])
 
+    def __getstate__(self):
+        """Packed, as every executor keeps a copy; few ratios differ, so they pack well."""
+        small = {n: zstandard.compress(getattr(self, n).astype(np.float32).tobytes(), 3) for n in ("word", "head", "pair")}
+        return self.__dict__ | small | {"hashes": _pack(self.hashes), "pairs": _pack(self.pairs.view(np.uint64))}
+
+    def __setstate__(self, state):
+        wide = {n: np.frombuffer(zstandard.decompress(state[n]), np.float32) for n in ("word", "head", "pair")}
+        self.__dict__ = state | wide | {"hashes": _unpack(state["hashes"]), "pairs": _unpack(state["pairs"]).view(np.int64)}
+
     def ratios(self, x: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log p_toxic - log p_ordinary of every word, given the word before it in the same text; 0 for words outside the models."""
-        r = self.word[x]
+        r = self.word[x].astype(np.float64)
         if len(x) < 2:
             return r
         both = (x[:-1] >= 0) & (x[1:] >= 0)
@@ -329,12 +338,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = C
     hashes, counts = hashes[order], [counted[c].to_numpy()[order].astype(np.float64) for c in classes]
     if not all(c.sum() > 0 for c in counts):
         return None
-    two = saved(for_counts.mapInArrow(partial(_count_pairs, hashes=hashes), "pair long, ordinary long, toxic long").groupBy("pair").agg(
-        *[F.sum(c).cast("int").alias(c) for c in classes]), "pair-counts")
+    two = for_counts.mapInArrow(partial(_count_pairs, hashes=hashes), "pair long, ordinary long, toxic long").groupBy("pair").agg(
+        *[F.sum(c).cast("int").alias(c) for c in classes])
     size = len(hashes)
     sums = [F.sum(c).cast("int").alias(c) for c in classes]
     sums += [F.sum(F.least(F.col(c).cast("double"), F.lit(e))).cast("float").alias(f"{c}{i}") for c in classes for i, (_, e) in enumerate(DISCOUNTS)]
-    rows = two.groupBy(F.expr(f"pair div {size}").alias("head")).agg(*sums).toArrow()  # at most one row a word
+    some = F.when(F.greatest(*classes) > min(e for _, e in DISCOUNTS), F.struct("pair", *classes))
+    rows = two.groupBy(F.expr(f"pair div {size}").alias("head")).agg(*sums, F.collect_list(some).alias("often")).toArrow()  # at most one row a word
     at = rows["head"].to_numpy()
 
     def column(name: str) -> np.ndarray:
@@ -343,8 +353,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = C
         return out
 
     heads = [column(c) for c in classes]
-    often = two.where(F.greatest(*classes) > min(e for _, e in DISCOUNTS)).toArrow()
-    pairs, pair_counts = often["pair"].to_numpy(), [often[c].to_numpy().astype(np.float64) for c in classes]
+    often = rows["often"].combine_chunks().flatten()
+    pairs, pair_counts = often.field("pair").to_numpy(), [often.field(c).to_numpy().astype(np.float64) for c in classes]
     contexts = preceding_words(docs, hashes)
     models = [Model(hashes, counts, contexts, d, heads, [column(f"{c}{i}") for c in classes], pairs, pair_counts) for i, d in enumerate(DISCOUNTS)]
     judge = lambda df: df.mapInArrow(partial(_evidence, models=models), "x array<double>, toxic int").collect()
