@@ -1,16 +1,16 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences: after ``.``, ``!`` or ``?`` and at line ends.  Only
-inside a sentence of more than ``LONG`` words are there further cuts, after ``,``
-``;`` ``:`` ``|`` and after words that a hash picks (about one in ``PICK``); these
-depend on the word alone, so a copied passage is cut alike wherever it stands.
-From every sentence the run of sentences is hashed that holds at least ``RUN``
-sentences and ``WORDS`` words, so every longer run is covered too; a text
-with less is one run by itself.  Runs are compared by their words, not by their
-white space.
+A text is cut into sentences: after a word that ends in ``.``, ``!`` or ``?`` and
+at line ends.  Only inside a sentence of more than ``LONG`` words are there
+further cuts, after words whose hash is the least among ``NEAR`` words to both
+sides; these depend on a few words alone, so a copied passage is cut alike
+wherever it stands.  From every piece the run of pieces is hashed that holds at
+least ``RUN`` pieces and ``WORDS`` words, so every longer run is covered too; a
+text with less is one run by itself.  Runs are compared by their words, not by
+their white space.
 
 All runs of all documents meet by hash.  The first run (smallest id, then
-place) of each hash stays; the sentences of every other one go.  Repeated hashes
+place) of each hash stays; the pieces of every other one go.  Repeated hashes
 are found by a count with map-side combining, and the joins back to the runs
 are ones that Spark can split, so a line that a third of the documents share
 makes no hot task.
@@ -18,89 +18,110 @@ makes no hot task.
 
 from __future__ import annotations
 
-import re
 from functools import partial
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lead as columns
 from .common import saved
 
-RUN, WORDS, LONG, PICK = 2, 12, 20, 3
-_END = re.compile(r"(?<=[.!?])(?=\s+\S)")
-_WORD = re.compile(r"\S+\s*")
-
-
-def _picked(word: str) -> bool:
-    return word[-1] in ",;:|" or xxhash.xxh32_intdigest(word.rstrip(".!?").lower()) % PICK == 0
-
-
-def sentences(text: str) -> list[str]:
-    """The pieces of the text; joined they are the text.  White space goes with
-    the piece before it, so only a text without words has a piece without."""
-    out: list[str] = []
-    for line in text.splitlines(keepends=True):
-        for s in _END.split(line):
-            words = _WORD.findall(s) if s.count(" ") >= LONG else ()
-            if len(words) <= LONG:
-                out.append(s)
-                continue
-            begin, at = 0, len(s) - sum(map(len, words))  # at: after leading white space
-            for w in words:
-                at += len(w)
-                if _picked(w.rstrip()):
-                    out.append(s[begin:at])
-                    begin = at
-            if begin < len(s):
-                out.append(s[begin:])
-    merged, lead = [], ""  # white space moves to the end of the piece before it
-    for s in out:
-        body = s.lstrip()
-        if merged:
-            merged[-1] += s[:len(s) - len(body)]
-        else:
-            lead += s[:len(s) - len(body)]
-        if body:
-            merged.append(body if merged else lead + body)
-    return merged or ([lead] if lead else [])
-
-
-def runs(pieces: list[str], run: int = RUN, words: int = WORDS):
-    """(hashes, first sentences, numbers of sentences) of all runs."""
-    split = [p.split() for p in pieces]
-    n = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-    if not n.sum():
-        return np.empty(0, np.uint64).view(np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    if len(n) < run or n.sum() < words:  # the whole text
-        whole = xxhash.xxh64_intdigest(" ".join(w for p in split for w in p), seed=1)
-        return np.array([whole], dtype=np.uint64).view(np.int64), np.zeros(1, np.int64), np.array([len(n)])
-    h = np.array([xxhash.xxh64_intdigest(" ".join(w)) for w in split], dtype=np.uint64)
-    cum = np.concatenate([[0], np.cumsum(n)])
-    stop = np.maximum(np.searchsorted(cum, cum[:-1] + words), np.arange(len(n)) + run)
-    first = np.flatnonzero(stop <= len(n))
-    size = (stop - np.arange(len(n)))[first]
-    value = np.zeros(len(first), dtype=np.uint64)
-    for k in range(int(size.max()) if len(size) else 0):  # polynomial over the run's sentence hashes
-        use = k < size
-        value[use] = (value[use] ^ h[first[use] + k]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k + 1)
-        value[use] ^= value[use] >> np.uint64(29)
-    return value.view(np.int64), first, size
+RUN, WORDS, LONG, NEAR = 2, 12, 20, 3
+#: white space and line ends by code point; the last entry stands for all code points beyond
+_SPACE = np.array([chr(c).isspace() for c in range(0x3001)] + [False])
+_LINE = np.array([len(f"a{chr(c)}b".splitlines()) > 1 for c in range(0x3001)] + [False])
+#: hash of a word: sum of code points times powers of BASE, mixed; hash of a run: the same over its words' hashes
+BASE, STEP = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+_POWERS = np.array([pow(BASE, k, 1 << 64) for k in range(4096)], dtype=np.uint64)
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, dtype=np.uint64)
+    if n:
+        out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class Pieces(NamedTuple):
+    """first: number of each piece's first word, then the number of words;
+    start: character at which each piece begins, then the length of the text;
+    hashes: of the words."""
+    first: np.ndarray
+    start: np.ndarray
+    hashes: np.ndarray
+
+
+def pieces(text: str) -> Pieces:
+    """The pieces of a text; white space goes with the piece before it.  A text
+    without words is one piece without words, an empty one has none."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    at = np.minimum(code, len(_SPACE) - 1)
+    word = ~_SPACE[at]
+    edge = np.flatnonzero(np.diff(word, prepend=False, append=False))
+    start, stop = edge[::2], edge[1::2]
+    n = len(start)
+    if not n:
+        return Pieces(np.zeros(2 if len(code) else 1, np.int64), np.array([0, len(code)] if len(code) else [0]), np.zeros(0, np.uint64))
+    begin = np.repeat(np.append(0, start), np.diff(start, prepend=0, append=len(code)))  # of the word at or before each character
+    place = np.arange(len(code)) - begin
+    value = np.where(word, code.astype(np.uint64) * _POWERS[place % len(_POWERS)], np.uint64(0))
+    h = _mixed(np.add.reduceat(value, start))
+    lines = np.cumsum(_LINE[at])
+    ends = np.isin(code[stop - 1], (33, 46, 63))
+    ends[:-1] |= lines[start[1:] - 1] > lines[stop[:-1] - 1]
+    ends[-1] = True
+    sentence = np.cumsum(ends) - ends
+    size = np.bincount(sentence)
+    if size.max() > LONG:
+        least = (size > LONG)[sentence]
+        for d in range(1, min(NEAR, n - 1) + 1):
+            least[:-d] &= h[:-d] < h[d:]
+            least[d:] &= h[d:] <= h[:-d]
+        ends |= least
+    first = np.concatenate([[0], np.flatnonzero(ends) + 1])
+    begin = start[first[:-1]]
+    begin[0] = 0
+    return Pieces(first, np.append(begin, len(code)), h)
+
+
+def runs(p: Pieces, run: int = RUN, words: int = WORDS):
+    """(hashes, first pieces, numbers of pieces) of all runs."""
+    n, total = len(p.first) - 1, int(p.first[-1]) if len(p.first) else 0
+    if not total:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    if n < run or total < words:  # the whole text
+        stop, first = np.array([n]), np.zeros(1, np.int64)
+    else:
+        stop = np.maximum(np.searchsorted(p.first, p.first[:-1] + words), np.arange(n) + run)
+        first = np.flatnonzero(stop <= n)
+        stop = stop[first]
+    up, down = _powers(STEP, total), _powers(pow(STEP, -1, 1 << 64), total)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(p.hashes * up, dtype=np.uint64)])
+    a, z = p.first[first], p.first[stop]
+    value = (sums[z] - sums[a]) * down[a]  # the words' hashes times powers from the run's first word on
+    short = np.uint64(n < run or total < words)
+    return _mixed(value + (z - a).astype(np.uint64) * np.uint64(2) + short).view(np.int64), first, stop - first
 
 
 def _spans(batches, run: int, words: int):
-    """place: first sentence, and number of sentences in the low byte; a run has
-    at most ``max(run, words)`` sentences, as each has a word."""
+    """place: first piece, and number of pieces in the low byte; a run has
+    at most ``max(run, words)`` pieces, as each has a word."""
     for b in batches:
         hashes, counts, places = [np.empty(0, np.int64)], [], [np.empty(0, np.int64)]
-        for text in b.column(1).to_pylist():
-            value, first, size = runs(sentences(text or ""), run, words)
-            hashes.append(value)
-            counts.append(len(value))
-            places.append(first << 8 | size)
+        for i in range(0, len(b), 256):
+            for text in b.column(1).slice(i, 256).to_pylist():
+                value, first, size = runs(pieces(text or ""), run, words)
+                hashes.append(value)
+                counts.append(len(value))
+                places.append(first << 8 | size)
         row = np.repeat(np.arange(len(counts)), counts)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), b.column(0).take(pa.array(row)), b.column(2).take(pa.array(row)),
                                           pa.array(np.concatenate(places))], ["hash", "doc_id", "h", "place"])
@@ -128,25 +149,22 @@ def _clean(batches):
                         ("removed", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                         ("first_docs", pa.list_(pa.int64()))])
     for b in batches:
-        out = []
-        for doc_id, text, cover, first_docs in zip(*(c.to_pylist() for c in b.columns)):
-            pieces = sentences(text or "")
-            gone = np.zeros(len(pieces) + 1, dtype=np.int64)
-            for s in cover or []:
-                gone[s["a"]] += 1
-                gone[s["z"]] -= 1
-            gone = np.cumsum(gone)[:-1] > 0
-            spans, at, was = [], 0, False
-            for piece, g in zip(pieces, gone):
-                if g and was:
-                    spans[-1]["end"] = at + len(piece)
-                elif g:
-                    spans.append({"start": at, "end": at + len(piece)})
-                at, was = at + len(piece), g
-            kept = None if text is None else "".join(p for p, g in zip(pieces, gone) if not g)
-            out.append({"doc_id": doc_id, "text": kept, "n_sentences": len(pieces), "n_removed": int(gone.sum()),
-                        "removed": spans, "first_docs": sorted(first_docs or [], key=lambda x: (x is None, x))})
-        yield pa.RecordBatch.from_pylist(out, schema=schema)
+        for i in range(0, len(b), 256):
+            out = []
+            for doc_id, text, cover, first_docs in zip(*(c.slice(i, 256).to_pylist() for c in b.columns)):
+                start = pieces(text or "").start
+                gone = np.zeros(len(start), dtype=np.int64)
+                for s in cover or []:
+                    gone[s["a"]] += 1
+                    gone[s["z"]] -= 1
+                gone = np.cumsum(gone)[:-1] > 0
+                edge = start[np.flatnonzero(np.diff(gone, prepend=False, append=False))].tolist()
+                spans = [{"start": a, "end": z} for a, z in zip(edge[::2], edge[1::2])]
+                keep = [0, *edge, len(text or "")]
+                kept = None if text is None else "".join(text[a:z] for a, z in zip(keep[::2], keep[1::2]))
+                out.append({"doc_id": doc_id, "text": kept, "n_sentences": len(gone), "n_removed": int(gone.sum()),
+                            "removed": spans, "first_docs": sorted(first_docs or [], key=lambda x: (x is None, x))})
+            yield pa.RecordBatch.from_pylist(out, schema=schema)
 
 
 def remove_repeats(docs: DataFrame, run: int = RUN, words: int = WORDS) -> DataFrame:
