@@ -5,7 +5,7 @@ words, every run of ``shingle`` words (fewer words: all of them), each run's
 XXH64 with seed 42; a bit is set if it is set in over half of the hashes.
 
 Comparison: distinct fingerprints, in order of population count, are cut into
-tiles.  Two tiles are compared only if their population counts come within the
+tiles, a few tiles make a group, and a task gets a pair of groups.  Two tiles are compared only if their population counts come within the
 radius; inside a pair, strips are skipped whose population counts of the four
 16-bit quarters differ by more than the radius in sum (each differing bit moves
 one quarter's count by one, so no link is lost).  The rest is numpy exclusive-or
@@ -30,6 +30,8 @@ from .common import components, forest, lead, parts, saved
 
 SHINGLE, RADIUS = 4, 4
 TILE, STRIP = 16384, 512
+#: tiles of a group: a task holds one group and sees the tiles of another one by one, so a tile is read once per group, not once per tile
+SIDE, TASKS = 8, 20_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -130,12 +132,34 @@ def linked(a: np.ndarray, b: np.ndarray | None, radius: int):
 
 
 def _compare(batches, radius: int):
+    """Rows of one cell come one after the other, the tiles of its first group
+    before those of its second."""
+    cell, first = None, []
+
+    def told(x, y):
+        left, right = linked(x, y, radius)
+        return pa.RecordBatch.from_arrays([pa.array(left.view("<i8")), pa.array(right.view("<i8"))], ["a", "b"])
+
     for b in batches:
         for row in b.to_pylist():
-            x = np.frombuffer(row["x"], dtype="<u8")
-            y = None if row["y"] is None else np.frombuffer(row["y"], dtype="<u8")
-            left, right = linked(x, y, radius)
-            yield pa.RecordBatch.from_arrays([pa.array(left.view("<i8")), pa.array(right.view("<i8"))], ["a", "b"])
+            at, x = (row["lo1"], row["cut1"], row["lo2"], row["cut2"]), np.frombuffer(row["fps"], dtype="<u8")
+            if at != cell:
+                cell, first = at, []
+            same = at[:2] == at[2:]
+            if row["side"] == 1 or same:
+                for lo, hi, y in first:
+                    if max(lo, row["lo"]) <= min(hi, row["hi"]) + radius:
+                        yield told(y, x)
+            if same:
+                yield told(x, None)
+            if row["side"] == 0:
+                first.append((row["lo"], row["hi"], x))
+    yield told(np.empty(0, "<u8"), None)
+
+
+def tasks(cells: int, least: int) -> int:
+    """Partitions for the cells: one each up to ``TASKS``, several in one beyond."""
+    return max(least, min(cells, TASKS))
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
@@ -148,14 +172,20 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     dealt = fps.select("fp", F.bit_count("fp").alias("pop"), *[q.alias(f"q{i}") for i, q in enumerate(quarter)])
     dealt = dealt.repartitionByRange(tiles, *order).sortWithinPartitions(*order).select("fp")
     t = saved(dealt.mapInArrow(_tiles, "tile long, lo int, hi int, fps binary"), "tiles")
-    # tile pairs by number: a later tile's lowest count must be within reach
-    first = t.select("tile", "lo", F.explode(F.sequence("lo", F.col("hi") + radius)).alias("at"))
-    later = t.select(F.col("tile").alias("tile2"), F.col("lo").alias("lo2"), F.col("lo").alias("at"))
-    pairs = first.join(later, "at").where("lo < lo2 or (lo = lo2 and tile <= tile2)").select("tile", "tile2")
-    pairs = pairs.join(t.select("tile", F.col("fps").alias("x")), "tile")
-    second = t.select(F.col("tile").alias("tile2"), F.col("fps").alias("y"))
-    pairs = pairs.join(second, "tile2").select("tile", "tile2", "x", F.when(F.col("tile") != F.col("tile2"), F.col("y")).alias("y"))
-    dealt = pairs.repartition(max(parts(spark), tiles * tiles // 8), "tile", "tile2").select("x", "y")
+    # groups of about SIDE tiles that start at the same count, and the pairs of groups within reach (cells): numbers only
+    cuts = t.groupBy("lo").agg(F.ceil(F.count(F.lit(1)) / F.lit(SIDE)).cast("int").alias("cuts"))
+    t = t.join(F.broadcast(cuts), "lo").withColumn("cut", F.pmod(F.xxhash64("tile"), F.col("cuts")).cast("int"))  # a row per bit count at most
+    groups = t.groupBy("lo", "cut").agg(F.max("hi").alias("hi"))
+    one = groups.select(F.col("lo").alias("lo1"), F.col("cut").alias("cut1"), F.explode(F.sequence("lo", F.col("hi") + radius)).alias("lo2"))
+    cells = one.join(groups.select(F.col("lo").alias("lo2"), F.col("cut").alias("cut2")), "lo2").where("lo1 < lo2 or cut1 <= cut2")
+    cells = saved(cells.select("lo1", "cut1", "lo2", "cut2"), "cells")
+    key = ["lo1", "cut1", "lo2", "cut2"]
+    body = t.select("lo", "cut", "hi", "tile", "fps")
+    left = cells.join(body, (cells["lo1"] == body["lo"]) & (cells["cut1"] == body["cut"])).withColumn("side", F.lit(0))
+    other = cells.where("not (lo1 = lo2 and cut1 = cut2)")
+    right = other.join(body, (other["lo2"] == body["lo"]) & (other["cut2"] == body["cut"])).withColumn("side", F.lit(1))
+    columns = [*key, "side", "tile", "lo", "hi", "fps"]
+    dealt = left.select(columns).union(right.select(columns)).repartition(tasks(cells.count(), parts(spark)), *key).sortWithinPartitions(*key, "side", "tile")
     return dealt.mapInArrow(partial(_compare, radius=radius), "a long, b long")
 
 
