@@ -196,6 +196,18 @@ def test_simhash_small_tiles(spark, monkeypatch):
     assert few == {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
 
 
+def test_simhash_many_groups_in_few_tasks(spark, monkeypatch):
+    """One tile per group and a bounded number of tasks: the same components."""
+    docs = spark.read.parquet(f"{MID}/documents.parquet")
+    want = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    for name, value in (("TILE", 16), ("SIDE", 2), ("TASKS", 5)):
+        monkeypatch.setattr(simhash, name, value)
+    assert want == {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
+    monkeypatch.undo()
+    tiles = 610_000  # a hundred times those of 100 million fingerprints
+    assert simhash.tasks(tiles * tiles // simhash.SIDE ** 2, 8) <= simhash.TASKS
+
+
 def test_simhash_odd_rows(spark, odd_docs, no_docs):
     rows = odd_docs.select("doc_id", "text").collect()
     want = brute_components([r.doc_id for r in rows], [brute_simhash(r.text) for r in rows], 4)
@@ -210,26 +222,35 @@ def test_simhash_odd_rows(spark, odd_docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0
 
 
+def own_hash(word):
+    h = sum(ord(c) * pow(0x9E3779B97F4A7C15, k % 4096, 1 << 64) for k, c in enumerate(word)) % (1 << 64)
+    h = (h ^ h >> 32) * 0xD6E8FEB86659FD93 % (1 << 64)
+    return h ^ h >> 29
+
+
 def own_pieces(text):
     """Word lists of the pieces, written from the rules alone: a word ends its
-    piece if it ends a sentence or line, or if it is picked inside a sentence of more than 20 words."""
+    piece if it ends a sentence or line, or if in a sentence of more than 20 words
+    its hash is the least among three words to both sides."""
     tokens = re.findall(r"\S+|\s+", text)
     sentences, now = [], []
-    for k, t in enumerate(tokens):
-        if not t.isspace():
+    for t in tokens:
+        if t.isspace():
+            if now and (now[-1][-1] in ".!?" or len(f"a{t}b".splitlines()) > 1):
+                sentences.append(now)
+                now = []
+        else:
             now.append(t)
-        later = "".join(tokens[k + 1:k + 2]) if not t.isspace() else t
-        ends = t[-1] in ".!?" if not t.isspace() else len(t.splitlines()) > 1 or t.splitlines()[0] != t
-        if now and ends and (t.isspace() or later):
-            sentences.append(now)
-            now = []
     sentences += [now] if now else []
-    out = []
-    for w in sentences:
+    words = [w for s in sentences for w in s]
+    hashes, out, k = [own_hash(w) for w in words], [], 0
+    for s in sentences:
         piece = []
-        for v in w:
-            piece.append(v)
-            if len(w) > 20 and (v[-1] in ",;:|" or xxhash.xxh32_intdigest(v.rstrip(".!?").lower()) % 3 == 0):
+        for w in s:
+            piece.append(w)
+            least = all(hashes[k] < x for x in hashes[k + 1:k + 4]) and all(hashes[k] <= x for x in hashes[max(0, k - 3):k])
+            k += 1
+            if len(s) > 20 and least:
                 out.append(piece)
                 piece = []
         out += [piece] if piece else []
@@ -250,7 +271,7 @@ def brute_spans(docs):
                 while z <= len(pieces) and sum(map(len, pieces[k:z])) < 12:
                     z += 1
                 if z <= len(pieces):
-                    keys.append((k, z, tuple(map(tuple, pieces[k:z]))))
+                    keys.append((k, z, tuple(w for p in pieces[k:z] for w in p)))
         gone = set()
         for a, z, key in keys:
             if key in seen:
@@ -296,10 +317,13 @@ def test_planted_passages_go_and_clean_texts_stay(spark):
     assert all(got[10 * i].n_removed == 0 for i in range(80)) and all(got[10_000 + i].n_removed == 0 for i in range(200))
 
 
-def test_sentences_keep_every_character():
-    assert not any(p.isspace() for p in spans.sentences("a b.\n\n \n c d.\n")) and spans.sentences(" \n ") == [" \n "]
-    for t in ["", "a", "One. Two!  Three?\n\nFour", "x " * 100, "a, b; c " * 50, "\r\n a.b.c  .\n", "w x. y\x0bz"]:
-        assert "".join(spans.sentences(t)) == t
+def test_pieces_keep_every_character():
+    for t in ["", " \n ", "a", "a b.\n\n \n c d.\n", "One. Two!  Three?\n\nFour", "x " * 100, "a, b; c " * 50, "\r\n a.b.c  .\n", "w x. y\x0bz", "é\u2028ü 日本\u3000語. \U0001f600 x",
+              "z" * 9000 + " " + "w" * 5000, " ".join(f"w{i % 17}{i % 5}" for i in range(500))]:
+        p = spans.pieces(t)
+        got = [t[a:z] for a, z in zip(p.start[:-1], p.start[1:])]
+        assert "".join(got) == t and [x.split() for x in got if x.split()] == own_pieces(t)
+        assert all(not x[0].isspace() for x in got[1:])
 
 
 def test_passages_of_fifty_words_are_found(spark):
