@@ -25,11 +25,11 @@ CHANGE_PENALTY, SEASON_PENALTY = 0.3, 0.001
 ORDER = 5
 
 
-def seasonal_terms(month, year) -> list[str]:
+def seasonal_terms(month, year, quotient: str = "div") -> list[str]:
     """SQL terms of a month: yearly sines and cosines, and days of movable feasts."""
     angle = f"(2 * pi() * ({month} - 1) / 12)"
     waves = [f"{f}({k} * {angle})" for k in range(1, ORDER + 1) for f in ("sin", "cos")] + [f"cos({ORDER + 1} * {angle})"]
-    return waves + [f"cast({days} as double)" for days in feast_days(month, year).values()]
+    return waves + [f"cast({days} as double)" for days in feast_days(month, year, quotient).values()]
 
 
 def _dot(a: str, b: str) -> str:

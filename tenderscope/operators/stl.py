@@ -81,7 +81,10 @@ def _weights() -> str:
 
 def stl_arrays(series: DataFrame, col: str = "y", robust: bool = True) -> DataFrame:
     """Per series (at least two periods long): ``ys``, ``trend``, ``seasonal`` in month order."""
-    a = series_arrays(series, col).where(f"n >= {2 * PERIOD}").withColumn("one", F.expr("transform(ys, v -> 1D)"))
+    a = series_arrays(series, col).where(f"n >= {2 * PERIOD}")
+    # little data and much work: the series are dealt over all tasks, not merged into few
+    tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = a.repartition(tasks, "series_id").withColumn("one", F.expr("transform(ys, v -> 1D)"))
     inner = f"aggregate(sequence(1, {INNER}), named_struct('trend', s.trend, 'seasonal', s.seasonal), (f, q) -> {_step()})"
     outer = let("s.rw", "rw", let(inner, "g", f"named_struct('trend', g.trend, 'seasonal', g.seasonal, 'rw', {_weights()})"))
     start = "named_struct('trend', transform(ys, v -> 0D), 'seasonal', transform(ys, v -> 0D), 'rw', transform(ys, v -> 1D))"

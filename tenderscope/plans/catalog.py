@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_dashboard, q_forecast, q_ingest, q_measures, q_prep, q_series, q_text  # noqa: F401
+from . import q_dashboard, q_detail, q_forecast, q_ingest, q_measures, q_models, q_prep, q_series, q_text  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 

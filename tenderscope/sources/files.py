@@ -21,6 +21,21 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType | str |
     return r.json(path)
 
 
+def read_json_inferred(spark: SparkSession, path: str, corrupt: str = "_corrupt_record") -> DataFrame:
+    """S6 without a schema: every line as a VARIANT, the schema of all of them
+    merged by one distributed aggregate, then one typed column per field, nested
+    ones as structs.  A field that is missing in a record is null, one that is
+    a number here and a text there is text, and a line that is no record is
+    kept in ``corrupt``."""
+    lines = spark.read.text(path).where(F.trim("value") != "").select("value", F.try_parse_json("value").alias("v"))
+    found = lines.agg(F.schema_of_variant_agg("v")).first()[0] or "VOID"
+    bad = F.when(F.col("v").isNull(), F.col("value")).alias(corrupt)
+    if not found.startswith("OBJECT<"):
+        return lines.select(bad)
+    ddl = found.replace("OBJECT<", "STRUCT<").replace(": VARIANT", ": STRING").replace(": VOID", ": STRING").replace("ARRAY<VARIANT>", "ARRAY<STRING>")
+    return lines.select(F.try_variant_get("v", "$", ddl).alias("r"), bad).select("r.*", corrupt)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header; a null text becomes an empty cell.  The empty
     cell is written quoted (``""``): an unquoted one would leave a blank line
@@ -55,6 +70,17 @@ def write_layer(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     w.save(path)
 
 
+def write_years(df: DataFrame, path: str, year: str = "ano") -> None:
+    """A layer with a folder per year.  Only the years in ``df`` are
+    replaced; the files of all others stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
+
+
+def read_years(spark: SparkSession, path: str) -> DataFrame:
+    """All years by column name; a column that an old year lacks is null there."""
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
 def read_layer(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

@@ -6,10 +6,13 @@ import os
 import tempfile
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tenderscope.operators.dedup import select_present
 from tenderscope.operators.filters import with_month
-from tenderscope.sources.files import read_csv, read_json_records, save_table, union_years, write_csv
+from tenderscope.sources.files import (read_csv, read_json_inferred, read_json_records, read_years, save_table, union_years, write_csv,
+                                       write_years)
+from tenderscope.sources.pages import assemble_items, assemble_pages, pages_of
 
 
 def test_save_table_replaces_schema(spark):
@@ -42,3 +45,47 @@ def test_month_label_and_presence(spark):
     assert sel.columns == ["id"] and missing == ["valor"]
     none, missing = select_present(df, ["x", "y"])
     assert none is None and missing == ["x", "y"]
+
+
+def test_inferred_records(spark):
+    """Nested cells, missing and mixed fields, and lines that are no record."""
+    path = os.path.join(tempfile.mkdtemp(prefix="ts-var-"), "r.txt")
+    lines = ['{"id": 1, "cell": {"a": "x", "b": 2}, "v": 1.5, "tags": ["p", "q"]}', '{"id": 2, "cell": {"a": "y"}, "v": "1,5"}', '{"id": 3, "v": null}', '{"id": 4, "cell"', "", "nonsense"]
+    with open(path, "w") as fh:
+        fh.write("\n".join(lines))
+    df = read_json_inferred(spark, path)
+    assert dict(df.dtypes)["cell"] == "struct<a:string,b:bigint>" and dict(df.dtypes)["v"] == "string"
+    rows = {r.id: r for r in df.collect() if r.id is not None}
+    assert rows[1].cell.b == 2 and rows[1].tags == ["p", "q"] and rows[1].v == "1.5" and rows[2].cell.b is None and rows[2].v == "1,5"
+    assert rows[3].cell is None and rows[3].v is None
+    assert {r._corrupt_record for r in df.collect() if r._corrupt_record} == {"nonsense", '{"id": 4, "cell"'}
+    empty = os.path.join(tempfile.mkdtemp(prefix="ts-var-"), "e.txt")
+    open(empty, "w").write("bad\n")
+    assert read_json_inferred(spark, empty).columns == ["_corrupt_record"]
+
+
+def test_rewriting_one_year_leaves_the_others(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="ts-year-"), "layer")
+    write_years(spark.createDataFrame([(2019, 1), (2020, 2), (2021, 3)], "ano int, v int"), path)
+    files = lambda: {(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    before = files()
+    write_years(spark.createDataFrame([(2020, 5, "new"), (2022, 6, "more")], "ano int, v int, tipo string"), path)
+    after = files()
+    kept = {k for k in before if "ano=2020" not in k[0]}
+    assert all(after[k] == before[k] for k in kept) and not any(k in after for k in before if "ano=2020" in k[0])
+    rows = sorted((r.ano, r.v, r.tipo) for r in read_years(spark, path).collect())
+    assert rows == [(2019, 1, None), (2020, 5, "new"), (2021, 3, None), (2022, 6, "more")]
+
+
+def test_failed_pages(spark):
+    """The rules for failures: a failed header page ends its key, a failed item page drops its id."""
+    recs = spark.range(60).select((F.col("id") % 3).alias("k"), F.col("id").alias("numero"))
+    pages = pages_of(recs, ["k"], "numero", 4, ["numero"])
+    bad = pages.withColumn("status", F.when((F.col("k") == 1) & (F.col("page_no") == 2), 500).otherwise(F.col("status")))
+    schema = StructType([StructField("numero", LongType())])
+    whole = {r.k: r.n for r in assemble_pages(pages, ["k"], schema).groupBy("k").agg(F.count("*").alias("n")).collect()}
+    cut = {r.k: r.n for r in assemble_pages(bad, ["k"], schema).groupBy("k").agg(F.count("*").alias("n")).collect()}
+    assert whole == {0: 20, 1: 20, 2: 20} and cut[0] == cut[2] == 20 and 0 < cut[1] < 20
+    items, failed = assemble_items(bad, "k", schema)
+    assert [r.k for r in failed.collect()] == [1] and {r.k for r in items.select("k").distinct().collect()} == {0, 2}
+    assert pages.where("body = '[]'").count() == 3
