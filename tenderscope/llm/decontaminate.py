@@ -104,7 +104,7 @@ def occurrences(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE) ->
     near = near.where("start >= 0 and start + length <= n").select("key", "start", "id")  # positional and length bounds
     told = near.distinct().join(_bounded(windows), "id").groupBy("key").agg(F.collect_list(F.struct("start", "length", "id", "window")).alias("near"))
     told = saved(told, "candidates")
-    both = split.withColumn("n", F.size("w")).join(told, "key")
+    both = docs.where("text is not null").select("key", "text").join(told, "key").withColumn("w", words(F.col("text"))).withColumn("n", F.size("w"))
     same = F.filter("near", lambda c: F.array_join(F.slice("w", c["start"] + 1, c["length"]), " ") == c["window"])
     true = both.select("key", "n", F.array_sort(same).alias("near")).where(F.size("near") > 0)
     end = lambda c: c["start"] + c["length"]
