@@ -17,12 +17,14 @@ n_ids      ids in the shard
 =========  ============================================================
 
 The compressor repeatedly replaces frequent id pairs by nonterminals.  Each
-round counts all neighbouring pairs among the shard's frequent symbols, picks
-pairs from the most frequent on such that no symbol is the left part of one and
-the right part of another (so occurrences never overlap) and replaces them all
-at once.  The end id takes part in no pair, so no symbol spans two documents:
-``decode_document`` expands one document from its own symbols, and the rule
-lengths give positions without expanding anything.
+round counts all neighbouring pairs of the shard, takes the pairs that stand
+``MIN_PAIRS`` times or more from the most frequent on, such that no symbol is the
+left part of one and the right part of another (so occurrences never overlap;
+of a run of one symbol every second place counts), and replaces them all at once.
+It ends when no pair is frequent any more, or when a round replaces less than
+``GAIN`` of the shard's ids.  The end id takes part in no pair, so no symbol spans
+two documents: ``decode_document`` expands one document from its own symbols, and
+the rule lengths give positions without expanding anything.
 
 Texts are dealt by one range exchange on (id, text hash) and are encoded and
 compressed there as a stream; ``start`` comes from per-part totals (one row per
@@ -40,14 +42,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import crc, lead, parts, saved
-from .words import encoder, vocabulary_path
+from .words import GROUP, encoder, vocabulary_path
 
 SHARD_IDS = 1 << 20
 END_ID = 1
-#: pairs seen less often stay as they are
-MIN_PAIRS = 16
-#: rounds of replacement, symbols counted in a round, pairs replaced in a round
-ROUNDS, SYMBOLS, PAIRS = 12, 512, 512
+#: pairs seen less often stay as they are; a round that replaces a smaller share of the ids is the last
+MIN_PAIRS, GAIN = 16, 0.01
 SHARDS = ("part int, shard int, base long, width int, rules binary, lengths binary, symbols binary, "
           "doc_ids array<long>, ends array<long>, n_ids long")
 _ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("base", pa.int64()), ("width", pa.int32()),
@@ -55,45 +55,59 @@ _ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("base", pa.int
                     ("doc_ids", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("n_ids", pa.int64())])
 
 
-def compress(ids: np.ndarray, end_id: int = END_ID):
+def _sorted_pairs(s: np.ndarray, end_id: int, top: int):
+    """(pairs in order, their places): all neighbours that may be replaced."""
+    left, right = s[:-1], s[1:]
+    use = (left != end_id) & (right != end_id)
+    same = left == right
+    if same.any():  # in a run of one symbol every second place
+        new = np.concatenate([[True], ~same[:-1]])
+        use &= ~same | ((np.arange(len(left)) - np.flatnonzero(new)[np.cumsum(new) - 1]) % 2 == 0)
+    at = np.flatnonzero(use)
+    pair = left[at] * top + right[at]
+    bits = int(len(s)).bit_length()
+    if (top * top).bit_length() + bits < 64:  # sorts pair and place as one number
+        both = np.sort(pair << bits | at)
+        return both >> bits, both & (1 << bits) - 1
+    order = np.argsort(pair, kind="stable")
+    return pair[order], at[order]
+
+
+def compress(ids: np.ndarray, end_id: int = END_ID, gain: float = GAIN):
     """(symbols, rules, lengths, base) of the ids."""
     s = ids.astype(np.int64)
     base = top = int(s.max()) + 1 if len(s) else 1
     rules: list[tuple[int, int]] = []
     spans: list[int] = []
-    for _ in range(ROUNDS):
-        if len(s) < 2:
-            break
-        seen = np.bincount(s, minlength=top)
-        if end_id < top:
-            seen[end_id] = 0
-        often = np.argsort(-seen, kind="stable")[:SYMBOLS]
-        often = often[seen[often] >= MIN_PAIRS]
-        small = np.full(top, -1)
-        small[often] = np.arange(len(often))
-        code = small[s]
-        at = np.flatnonzero((code[:-1] >= 0) & (code[1:] >= 0))
-        code = code[at] * SYMBOLS + code[at + 1]
-        count = np.bincount(code, minlength=SYMBOLS * SYMBOLS)
-        best = np.argsort(-count, kind="stable")[:PAIRS]
-        side, rule = {}, np.zeros(SYMBOLS * SYMBOLS, dtype=np.int64)
-        first = len(rules)
-        for p in best[count[best] >= MIN_PAIRS].tolist():
-            a, b = divmod(p, SYMBOLS)
-            if a != b and side.get(a, "left") == "left" and side.get(b, "right") == "right":
+    while len(s) > 1:
+        pair, at = _sorted_pairs(s, end_id, top)
+        begin = np.flatnonzero(np.diff(pair, prepend=-1))
+        count = np.diff(begin, append=len(pair))
+        often = np.flatnonzero(count >= MIN_PAIRS)
+        often = often[np.argsort(-count[often], kind="stable")]
+        side, chosen, first = {}, [], len(rules)
+        for k, p in zip(often.tolist(), pair[begin[often]].tolist()):
+            a, b = divmod(p, top)
+            if a == b and a not in side:
+                side[a] = "both"
+            elif a != b and side.get(a, "left") == "left" and side.get(b, "right") == "right":
                 side[a], side[b] = "left", "right"
-                pair = (int(often[a]), int(often[b]))
-                rule[p] = base + len(rules)
-                rules.append(pair)
-                spans.append(sum(1 if x < base else spans[x - base] for x in pair))
-        if len(rules) == first:
+            else:
+                continue
+            chosen.append(k)
+            rules.append((a, b))
+            spans.append((1 if a < base else spans[a - base]) + (1 if b < base else spans[b - base]))
+        if not chosen:
             break
-        new = rule[code]
-        hit = new > 0
-        s[at[hit]] = new[hit]
+        n = count[chosen]
+        rule = np.repeat(np.arange(len(chosen)), n)
+        place = at[np.repeat(begin[chosen] - (np.cumsum(n) - n), n) + np.arange(len(rule))]
+        s[place] = base + first + rule
         keep = np.ones(len(s), dtype=bool)
-        keep[at[hit] + 1] = False
+        keep[place + 1] = False
         s, top = s[keep], base + len(rules)
+        if len(place) < gain * len(ids):
+            break
     return s, np.array(rules, dtype="<u4").reshape(-1, 2), np.array(spans, dtype="<u4"), base
 
 
@@ -112,6 +126,22 @@ def expand(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
     return s.astype("<u4")
 
 
+def expand_all(s: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
+    """The same for many symbols: every rule is expanded once."""
+    table, at = np.empty(base + int(lengths.sum()), dtype="<u4"), base
+    table[:base] = np.arange(base)
+    begin = np.concatenate([np.arange(base), base + np.cumsum(lengths, dtype=np.int64) - lengths])
+    size = np.concatenate([np.ones(base, np.int64), lengths.astype(np.int64)])
+    for a, b in rules.tolist():
+        for x in (a, b):
+            table[at:at + size[x]] = table[begin[x]:begin[x] + size[x]]
+            at += size[x]
+    s = s.astype(np.int64)
+    n = size[s]
+    upto = np.cumsum(n)
+    return table[np.repeat(begin[s] - (upto - n), n) + np.arange(int(upto[-1]) if len(upto) else 0)]
+
+
 def _shard(part: int, shard: int, docs: list, ids: list[bytes], end_id: int) -> dict:
     whole = np.frombuffer(b"".join(ids), dtype="<u4")
     s, rules, lengths, base = compress(whole, end_id)
@@ -125,16 +155,18 @@ def _shard(part: int, shard: int, docs: list, ids: list[bytes], end_id: int) ->
 
 
 def _write(batches, path: str, end_id: int, shard_ids: int):
-    enc, tail, part = encoder(path), np.array([end_id], dtype="<u4").tobytes(), TaskContext.get().partitionId()
+    enc, part = encoder(path), TaskContext.get().partitionId()
     docs, ids, held, shard = [], [], 0, 0
     emit = lambda: pa.RecordBatch.from_pylist([_shard(part, shard, docs, ids, end_id)], schema=_ARROW)
     for b in batches:
-        names, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-        for i in range(0, len(names), 64):
-            for doc, x in zip(names[i:i + 64], enc.encode(texts[i:i + 64])):
+        names = b.column(0).to_pylist()
+        for i in range(0, len(names), GROUP):
+            found, ends = enc.flat(b.column(1).slice(i, GROUP).to_pylist())
+            data, last = np.insert(found, ends, end_id).tobytes(), 0
+            for doc, end in zip(names[i:i + GROUP], (ends + np.arange(1, len(ends) + 1)).tolist()):
                 docs.append(doc)
-                ids.append(x + tail)
-                held += len(x) // 4 + 1
+                ids.append(data[4 * last:4 * end])
+                held, last = held + end - last, end
                 if held >= shard_ids:
                     yield emit()
                     docs, ids, held, shard = [], [], 0, shard + 1
@@ -168,7 +200,7 @@ def _read(batches):
             size[s >= base] = lengths[s[s >= base].astype(np.int64) - base]
             stop = np.cumsum(size)[np.array(row["ends"]) - 1]
             start = np.concatenate([[0], stop[:-1]])
-            ids = memoryview(expand(s, np.frombuffer(row["rules"], dtype="<u4").reshape(-1, 2), base)).cast("B")
+            ids = memoryview(expand_all(s, np.frombuffer(row["rules"], dtype="<u4").reshape(-1, 2), lengths, base)).cast("B")
             sums = [crc(ids[4 * a:4 * z]) for a, z in zip(start.tolist(), stop.tolist())]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": row["doc_ids"], "start": start + row["before"], "n_tokens": stop - start, "ids_crc32": sums},

@@ -2,10 +2,12 @@
 
 No token crosses white space, so a text's ids are those of its white-space
 separated chunks one after the other.  Each distinct chunk is encoded once by
-the ``tokenizers`` library and then looked up; frequent words cost a dictionary
-access.  Texts that name a special token, or hold characters whose case or
-white-space rules could depend on the library's Unicode version, keep their
-case and are split at ASCII white space only, so the library itself decides.
+the ``tokenizers`` library and then looked up: the distinct chunks of a few
+thousand texts are found by Arrow, and known ones by two 64-bit hashes in sorted
+arrays, so no Python string is made for a chunk seen before.  Texts that name a
+special token, or hold characters whose case or white-space rules could depend
+on the library's Unicode version, keep their case and are split at ASCII white
+space only, so the library itself decides.
 """
 
 from __future__ import annotations
@@ -14,13 +16,52 @@ import os
 import re
 from array import array
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: characters for which Python's lower() and split() provably agree with the
 #: tokenizer's own normalisation (tested code point by code point)
 _ODD = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-ɏ]|<\\|")
 _CHUNK = re.compile("[^ \t\n\r\x0b\x0c]+")
 _LETTERS = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
-#: chunks kept per Python worker; beyond it only the short ones stay (a memory bound, it changes no result)
-CACHE_CHUNKS = 700_000
+#: chunks kept per Python worker, 40 bytes each; beyond it they are learnt anew (a memory bound, it changes no result)
+CACHE_CHUNKS = 2_000_000
+#: texts looked up at once
+GROUP = 2048
+#: bytes up to which a chunk is kept
+LONGEST = 4096
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_POWERS = [np.array([pow(b, k, 1 << 64) for k in range(1, LONGEST + 1)], dtype=np.uint64) for b in _BASES]
+
+
+def _odd(text: str) -> bool:
+    """``_ODD.search``, by quick tests where they decide."""
+    if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f\x85\xa0"):
+        return True
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+        return False
+    except UnicodeEncodeError:
+        return _ODD.search(text) is not None
+
+
+def chunk_hashes(chunks: pa.LargeStringArray, which: int = 0) -> np.ndarray:
+    """64-bit hash of every string (0 for empty ones), by array operations."""
+    offsets = np.frombuffer(chunks.buffers()[1], dtype=np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
+    length = np.diff(offsets)
+    some, out = np.flatnonzero(length), np.zeros(len(chunks), np.uint64)
+    if len(some):
+        n = length[some]
+        begin = np.cumsum(n) - n
+        place = np.arange(int(n.sum())) - np.repeat(begin, n)
+        code = np.frombuffer(chunks.buffers()[2], dtype=np.uint8)[np.repeat(offsets[some], n) + place].astype(np.uint64) + np.uint64(1)
+        h = np.add.reduceat(code * _POWERS[which][place % LONGEST], begin)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        out[some] = h ^ (h >> np.uint64(29))
+    return out
 
 
 def vocabulary_path(name: str) -> str:
@@ -29,8 +70,9 @@ def vocabulary_path(name: str) -> str:
 
 
 class WordEncoder:
-    """``encode(texts)`` gives the ids of each text as little-endian unsigned
-    32-bit bytes (null: no ids)."""
+    """``flat(texts)`` gives the ids of all texts one after the other and the
+    number of ids up to the end of each; ``encode(texts)`` each text's ids as
+    little-endian unsigned 32-bit bytes (null: no ids)."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -42,50 +84,88 @@ class WordEncoder:
         self.bare = Tokenizer.from_file(path)
         self.bare.normalizer = normalizers.Sequence([])
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.cache: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}  # punctuation behind words
+        self._forget()
 
-    def _fill(self, missing: list[str]) -> None:
+    def _forget(self) -> None:
+        """hashes of the known chunks, in order of the first; where their ids begin in ``table`` and how many they are."""
+        self.hashes = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        self.begin, self.size, self.table = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def _library(self, tok, chunks: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for i in range(0, len(chunks), 4096)
+                for e in tok.encode_batch_fast(chunks[i:i + 4096], add_special_tokens=False)]
+
+    def _encoded(self, chunks: list[str]) -> list[bytes]:
         """Ids of new chunks: "word." is put together from "word" and ".", so
         the library sees each run of letters once."""
-        pairs, runs, rest = [], {}, {}
-        for c in missing:
-            m = _LETTERS.fullmatch(c)
-            if m is None:
-                rest[c] = None
-            elif m[2]:
-                pairs.append((c, m[1], m[2]))
-                runs[m[1]] = rest[m[2]] = None
-            else:
-                runs[c] = None
-        for tok, new in ((self.bare, runs), (self.tok, rest)):
-            new = [c for c in new if c not in self.cache]
-            for i in range(0, len(new), 4096):
-                part = new[i:i + 4096]
-                for c, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False)):
-                    self.cache[c] = array("I", e.ids).tobytes()
-        for c, w, p in pairs:
-            self.cache[c] = self.cache[w] + self.cache[p]
+        split = [_LETTERS.fullmatch(c) for c in chunks]
+        both = [m for m in split if m and m[2]]
+        bare = iter(self._library(self.bare, [c for c, m in zip(chunks, split) if m and not m[2]]))
+        rest = iter(self._library(self.tok, [c for c, m in zip(chunks, split) if m is None]))
+        of: dict[str, bytes] = {}
+        if both:
+            runs, marks = list({m[1] for m in both}), list({m[2] for m in both} - self.marks.keys())
+            self.marks.update(zip(marks, self._library(self.tok, marks)))
+            begin, size = self._found(pa.array(runs, type=pa.large_string()))
+            data = memoryview(self.table).cast("B")
+            of = {r: bytes(data[4 * a:4 * (a + n)]) for r, a, n in zip(runs, begin.tolist(), size.tolist())}
+        return [next(rest) if m is None else of[m[1]] + self.marks[m[2]] if m[2] else next(bare) for m in split]
+
+    def _found(self, chunks: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, size) in ``table`` of the ids of distinct chunks."""
+        offsets = np.frombuffer(chunks.buffers()[1], dtype=np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
+        length = np.diff(offsets)
+        begin, size = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        some = np.flatnonzero((length > 0) & (length <= LONGEST))
+        rest = np.flatnonzero(length > LONGEST)
+        keys = [np.zeros(0, np.uint64)] * 2
+        if len(some):
+            keys = [chunk_hashes(chunks, k)[some] for k in (0, 1)]
+            order = np.argsort(keys[0], kind="stable")
+            keys, some = [h[order] for h in keys], some[order]
+            at = np.searchsorted(self.hashes[0], keys[0])
+            hit = np.zeros(len(some), bool)
+            if len(self.begin):
+                at = np.minimum(at, len(self.begin) - 1)
+                hit = (self.hashes[0][at] == keys[0]) & (self.hashes[1][at] == keys[1])
+                begin[some[hit]], size[some[hit]] = self.begin[at[hit]], self.size[at[hit]]
+            keys, some = [h[~hit] for h in keys], some[~hit]
+        new = np.concatenate([some, rest])
+        if len(new):
+            found = self._encoded(chunks.take(pa.array(new)).to_pylist())
+            n = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // 4
+            size[new], begin[new] = n, len(self.table) + np.cumsum(n) - n
+            self.table = np.concatenate([self.table, np.frombuffer(b"".join(found), dtype="<u4")])
+            # the long ones stay for this call only: nothing points to them afterwards
+            self.hashes = [np.concatenate([a, b]) for a, b in zip(self.hashes, keys)]
+            self.begin, self.size = np.append(self.begin, begin[some]), np.append(self.size, size[some])
+            order = np.argsort(self.hashes[0], kind="stable")
+            self.hashes, self.begin, self.size = [h[order] for h in self.hashes], self.begin[order], self.size[order]
+        return begin, size
+
+    def flat(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        texts = [t or "" for t in texts]
+        odd = {i for i, t in enumerate(texts) if _odd(t)}
+        lists = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], type=pa.large_string()))
+        if odd:
+            lists = pa.array([_CHUNK.findall(t) if i in odd else c for i, (t, c) in enumerate(zip(texts, lists.to_pylist()))], type=pa.large_list(pa.large_string()))
+        if len(self.begin) > CACHE_CHUNKS:
+            self._forget()
+        coded = lists.flatten().dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
+        begin, size = self._found(coded.dictionary)
+        size = size[code]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ids = self.table[np.repeat(begin[code] - upto[:-1], size) + np.arange(upto[-1])]
+        return ids, upto[lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()]
 
     def encode(self, texts: list) -> list[bytes]:
         out = []
-        for i in range(0, len(texts), 64):
-            chunks = []
-            for t in texts[i:i + 64]:
-                t = t or ""
-                chunks.append(_CHUNK.findall(t) if _ODD.search(t) else t.lower().split())
-            if len(self.cache) > CACHE_CHUNKS:
-                # the short chunks are the frequent ones
-                self.cache = {c: v for c, v in self.cache.items() if len(c) <= 7}
-                if len(self.cache) > CACHE_CHUNKS // 2:
-                    self.cache = {}
-            seen = set()
-            for c in chunks:
-                seen.update(c)
-            missing = [c for c in seen if c not in self.cache]
-            if missing:
-                self._fill(missing)
-            get = self.cache.__getitem__
-            out += [b"".join(map(get, c)) for c in chunks]
+        for i in range(0, len(texts), GROUP):
+            ids, ends = self.flat(texts[i:i + GROUP])
+            data = ids.tobytes()
+            out += [data[4 * a:4 * z] for a, z in zip([0, *ends[:-1].tolist()], ends.tolist())]
         return out
 
 
