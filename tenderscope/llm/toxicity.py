@@ -33,92 +33,114 @@ spread over all buckets.
 
 from __future__ import annotations
 
-import itertools
-import uuid
-from collections import Counter
 from collections.abc import Iterator
 from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fold, lead, parts, saved
+from .words import chunk_hashes
 
 SAMPLE, CHARS, STRONG = 20_000, 64_000_000, 0.015
 #: absolute discounts of words and of pairs
 DISCOUNTS = ((0.75, 3.0), (2.0, 8.0), (4.0, 16.0))
-#: words read before a map task hands on its distinct pairs; bytes of text per bucket of pairs; words worked on at once; words remembered
-FLUSH, BUCKET, SLICE, REMEMBERED = 2_000_000, 24_000_000, 100_000, 300_000
+#: words read before a map task hands on its distinct pairs; bytes of text per bucket of pairs; characters worked on at once
+FLUSH, BUCKET, SLICE = 2_000_000, 24_000_000, 1_000_000
 #: everything in ASCII but letters, digits and underscores parts words
 _SPACE = bytes(c if c >= 128 or c == 95 or chr(c).isalnum() else 32 for c in range(256))
 
 
-def words_of(text) -> list[bytes]:
-    return (text or "").lower().encode().translate(_SPACE).split()
-
-
 def _texts(column: pa.Array, step: int = 256):
     """The strings of a column, a few at a time in Python's memory."""
     for i in range(0, len(column), step):
         yield from column.slice(i, step).to_pylist()
 
 
+def _cleaned(text) -> bytes:
+    return (text or "").lower().encode().translate(_SPACE)
+
+
+def words_of(text) -> list[bytes]:
+    return _cleaned(text).split()
+
+
 def _hash(words) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64)
+    return chunk_hashes(pa.array(words, type=pa.large_binary()).cast(pa.large_string()))
+
+
+def coded(texts):
+    """For groups of whole texts: hashes of the distinct words, the place among
+    them of every word, and the number of words up to the end of each text.
+    The distinct words are found by Arrow; none becomes a Python object."""
+    held, size = [], 0
+
+    def told():
+        lists = pc.ascii_split_whitespace(pa.array(held, type=pa.large_binary()).cast(pa.large_string()))
+        found = lists.flatten().dictionary_encode()
+        code, ends = found.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+        some = pc.binary_length(found.dictionary).to_numpy(zero_copy_only=False)[code] > 0  # the splitter gives an empty word at an edge
+        return chunk_hashes(found.dictionary), code[some], np.concatenate([[0], np.cumsum(some)])[ends]
+
+    for text in texts:
+        held.append(_cleaned(text))
+        size += len(held[-1])
+        if size >= SLICE:
+            yield told()
+            held, size = [], 0
+    if held:
+        yield told()
 
 
 class Known:
-    """Texts as numbers: every distinct word gets a code, with its hash and its
-    place in the sorted ``hashes`` of the model's words (-1: not among them)."""
+    """Texts as places of their words in the sorted ``hashes`` of the model's words (-1: not among them)."""
 
     def __init__(self, hashes: np.ndarray):
-        self.model, self.codes = hashes, {}
-        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-
-    def _learn(self, new: list[bytes]) -> None:
-        h, model = _hash(new), self.model
-        at = np.minimum(np.searchsorted(model, h), max(len(model) - 1, 0))
-        place = np.where(model[at] == h, at, -1) if len(model) else np.full(len(h), -1)
-        self.codes.update(zip(new, itertools.count(len(self.codes))))
-        self.hashes, self.places = np.concatenate([self.hashes, h]), np.concatenate([self.places, place])
+        self.model = hashes
 
     def read(self, texts):
         """(places, hashes, first word of each text and the end) for groups of whole texts."""
-        ends, words = [0], []
-        for text in texts:
-            words += words_of(text)
-            ends.append(len(words))
-            if len(words) >= SLICE:
-                yield *self._coded(words), np.array(ends)
-                ends, words = [0], []
-        if len(ends) > 1:
-            yield *self._coded(words), np.array(ends)
-
-    def _coded(self, words: list[bytes]):
-        if len(self.codes) > REMEMBERED:  # a memory bound; forgotten words are learnt again
-            self.__init__(self.model)
-        new = list(set(words).difference(self.codes))
-        if new:
-            self._learn(new)
-        code = np.fromiter(map(self.codes.__getitem__, words), dtype=np.int64, count=len(words))
-        return self.places[code], self.hashes[code]
+        for h, code, ends in coded(texts):
+            place = np.full(len(h), -1)
+            if len(self.model):
+                order = np.argsort(h)
+                at = np.minimum(np.searchsorted(self.model, h[order]), len(self.model) - 1)
+                place[order] = np.where(self.model[at] == h[order], at, -1)
+            yield place[code], h[code], np.concatenate([[0], ends])
 
 
 # -- counts of the labelled rows ---------------------------------------------------
 
 def _count_words(batches):
-    seen = (Counter(), Counter())
+    """Documents of each class that hold a word, by its hash."""
+    held = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.uint64)]
+
+    def merge():
+        h, row = np.unique(np.concatenate(held[1]), return_inverse=True)
+        total, counts = np.zeros((len(h), 2), np.int64), np.concatenate(held[0])
+        for k in (0, 1):
+            total[:, k] = np.bincount(row, counts[:, k], minlength=len(h))
+        held[0][:], held[1][:] = [total], [h]
+
     for b in batches:
-        for text, toxic in zip(_texts(b.column(0)), b.column(1).to_pylist()):
-            seen[toxic].update(set(words_of(text)))
-    names = list(seen[0].keys() | seen[1].keys())
-    yield pa.RecordBatch.from_pydict({"word": _hash(names).view(np.int64), "ordinary": [seen[0][w] for w in names], "toxic": [seen[1][w] for w in names]},
-                                     schema=pa.schema([("word", pa.int64()), ("ordinary", pa.int64()), ("toxic", pa.int64())]))
+        toxic, done = np.array(b.column(1).to_pylist(), dtype=np.int64), 0
+        for h, code, ends in coded(_texts(b.column(0))):
+            doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+            once = np.unique(doc * len(h) + code)
+            label = toxic[done + once // max(len(h), 1)]
+            held[0].append(np.column_stack([np.bincount(once[label == k] % max(len(h), 1), minlength=len(h)) for k in (0, 1)]))
+            held[1].append(h)
+            done += len(ends)
+            if sum(map(len, held[1])) > FLUSH:
+                merge()
+    merge()
+    some = held[0][0].sum(axis=1) > 0
+    yield pa.RecordBatch.from_arrays([pa.array(held[1][0][some].view(np.int64)), *[pa.array(held[0][0][some, k]) for k in (0, 1)]], ["word", "ordinary", "toxic"])
 
 
 def _count_pairs(batches, hashes: np.ndarray):
@@ -221,7 +243,7 @@ class Model:
 
     def __init__(self, hashes, counts, contexts, discounts, heads, taken, pairs, pair_counts):
         self.discounts = d, e = discounts
-        self.key, self.hashes, self.n, self.weights = uuid.uuid4().hex, hashes, len(hashes), np.zeros(3)
+        self.hashes, self.n, self.weights = hashes, len(hashes), np.zeros(3)
         shared = np.maximum(contexts, 0.5)
         shared = shared / shared.sum()
         above = [np.maximum(c - d, 0) / c.sum() for c in counts]
@@ -274,17 +296,6 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + evidence @ self.weights[1:], -500, 500)))
 
 
-_KNOWN: dict[str, Known] = {}
-
-
-def _known(model: Model) -> Known:
-    """One vocabulary per worker process and model."""
-    if model.key not in _KNOWN:
-        _KNOWN.clear()
-        _KNOWN[model.key] = Known(model.hashes)
-    return _KNOWN[model.key]
-
-
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Ridge logistic regression by Newton steps, on standardised columns."""
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
@@ -377,7 +388,7 @@ def score_column(model: Model | None, text):
         return F.lit(0.0)
 
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _known(model)
+        known = Known(model.hashes)
         for texts in batches:
             found = [model.score(model.evidence(x, ends)) for x, _, ends in known.read(texts)]
             yield pd.Series(np.concatenate(found) if found else [], dtype="float64")
