@@ -7,15 +7,16 @@ give the spans in code points.
 * Base spans: e-mail, ip, card and phone by fixed patterns and checks (parts
   of an address at most 255, digit counts, Luhn); they always stay.
 * Generators propose more, overlapping spans with high recall: addresses with
-  "(at)" and "(dot)", and every run of digits with separators, once for each
-  kind its digit count allows.
+  "(at)" and "(dot)", and of every chain of digit groups each part that begins
+  and ends with a group and holds 7 to 19 digits (or four groups like an ip), so
+  of neighbouring numbers each is proposed by itself, whatever parts them.
 * Each candidate has a few small features of format (digits, groups, separator,
-  brackets) and context (key words and character before it).  What makes a base
-  span valid (plus sign, Luhn, "@") is no feature, so the trees learn what
-  personal data look like from known candidates against the rest.  Known are base
-  spans and what passes a check of its own: an address that ends in letters, an
-  ip with small parts and a key word, a card that passes Luhn, a phone right
-  after a key word.
+  brackets) and context (key words, what stands before it, what follows).  What
+  makes a candidate known is no feature of its kind, so the trees learn what
+  personal data look like from known candidates against the rest.  Known are an
+  address with "@" or a letter ending, an ip with parts up to 255, a card that
+  passes Luhn, a phone with a plus sign or in a chain right after a key word
+  (context is no feature of phones), the last two only where the number ends.
   Counts per feature combination over all candidates of all rows (at most a few
   thousand combinations, a product of small ranges) are all the trees need.
 * The rest are not errors but unlabelled: where a share ``c`` of personal data is
@@ -25,8 +26,9 @@ give the spans in code points.
   score from which on at least ``PRECISION`` of the candidates are personal data
   by that measure, and never one below even odds (none if there is no such score).  The scores of the accepted feature
   combinations become a lookup table.
-* Of overlapping accepted candidates the best score stays; none may touch a
-  base span.
+* Accepted candidates that touch a base span go; of overlapping ones the best
+  score stays.  Both are sweeps in order of place, and lists grow in chunks, so a
+  text of many numbers takes time in proportion.
 
 Patterns use possessive quantifiers and start conditions that match exactly
 where the plain ones do, so long runs of letters or digits take linear time.
@@ -38,6 +40,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.util import deep_expressions
+
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL, _HOST = "[A-Za-z0-9._%+-]", "[A-Za-z0-9-]"
 EMAIL = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_HOST}++(?:\.{_HOST}++)++"
@@ -47,28 +51,65 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: candidates
 _AT, _DOT = r"(?:@|\x20?[(\[]at[)\]]\x20?)", r"(?:\.|\x20?[(\[]dot[)\]]\x20?)"
 MAIL_LIKE = rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++{_AT}{_HOST}++(?:{_DOT}{_HOST}++)++"
-NUMBER_LIKE = r"(?<![0-9A-Za-z])[+(]?[0-9](?:[\x20().,:/-]{0,3}[0-9])++"
+#: what may stand between the digit groups of one chain; where a phone of the base pattern would go on
+_LINK, _ON = r"^[\x20().,:/+-]{1,3}$", r"^[\x20().-]+$"
+DIGITS = 19
 #: key words before a candidate, by kind
 CONTEXT = (r"mail|contact|write", r"\bip\b|host|server|address", r"card|visa|credit|debit|payment", r"phone|tel|call|fax|mobile|cell")
 #: a key word right before a phone
 CALLED = r"\b(?:tele)?(?:phone|tel|call|fax|mobile|cell)\b(?:[\x20.:]|\bat\b|\bus\b|\bme\b|\bon\b|\bno\b|\bnumber\b|\bis\b){0,6}$"
 TREES, RATE, PRECISION, LEAST = 24, 0.3, 0.95, 20
-FEATURES = ("digits", "groups", "mark", "bracket", "context", "edge")
+#: share of other candidates that pass the check of their kind by chance (one number in ten passes Luhn)
+CHANCE = (0.0, 0.0, 0.1, 0.0)
+FEATURES = ("digits", "groups", "mark", "bracket", "context", "edge", "tail")
+#: elements folded at once, so that a growing list is not copied for each of them
+CHUNK = 256
+_SPAN = "struct<start:int,end:int,value:string,before:string,gap:int>"
+_FOUND = "struct<kind:int,start:int,end:int," + ",".join(f"{f}:int" for f in FEATURES) + ",good:boolean>"
+_EVENT = "struct<start:int,cand:int,end:int,score:double,rank:int,kind:int>"
+
+
+def _none(of: str) -> Column:
+    return F.expr(f"cast(array() as array<{of}>)")
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _fold(items: Column, state: Column, step, of: str) -> Column:
+    """Struct of the last state ``st`` and the list ``out`` of what ``step(state,
+    item)``, a struct of the next ``st`` and a short list ``out``, gave out."""
+
+    def one(acc, x):
+        return _let(step(acc["st"], x), lambda n: F.struct(n["st"].alias("st"), F.concat(acc["out"], n["out"]).alias("out")))
+
+    def whole(a):
+        def chunk(acc, k):
+            part = F.aggregate(F.slice(a, k * CHUNK + 1, CHUNK), F.struct(acc["st"].alias("st"), _none(of).alias("out")), one)
+            return _let(part, lambda p: F.struct(p["st"].alias("st"), F.array_append(acc["out"], p["out"]).alias("out")))
+
+        chunks = F.transform(F.array_repeat(F.lit(0), F.ceil(F.size(a) / CHUNK).cast("int")), lambda x, i: i)
+        return F.aggregate(chunks, F.struct(state.alias("st"), _none(f"array<{of}>").alias("out")), chunk,
+                           lambda acc: F.struct(acc["st"].alias("st"), F.flatten(acc["out"]).alias("out")))
+
+    return _let(items, whole)
 
 
 def _spans(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, value, before>> of the matches, in code points."""
+    """array<struct<start, end, value, before, gap>> of the matches, in code
+    points; gap: distance from the match before, before: its last characters."""
     pieces, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,value:string,before:string>>)").alias("out"))
 
-    def step(acc, x):
-        begin = acc["at"] + F.length(x["piece"])
-        end = begin + F.coalesce(F.length(x["match"]), F.lit(0))
-        span = F.struct(begin.alias("start"), end.alias("end"), x["match"].alias("value"), F.right(x["piece"], F.lit(24)).alias("before"))
-        return F.struct(end.alias("at"), F.when(x["match"].isNull(), acc["out"]).otherwise(F.array_append(acc["out"], span)).alias("out"))
+    def step(at, x):
+        gap = F.length(x["piece"])
+        end = at + gap + F.coalesce(F.length(x["match"]), F.lit(0))
+        span = F.struct((at + gap).alias("start"), end.alias("end"), x["match"].alias("value"), F.right(x["piece"], F.lit(24)).alias("before"), gap.alias("gap"))
+        return F.struct(end.alias("st"), F.when(x["match"].isNull(), _none(_SPAN)).otherwise(F.array(span)).alias("out"))
 
     both = F.zip_with(pieces, found, lambda p, m: F.struct(p.alias("piece"), m.alias("match")))
-    return F.aggregate(both, start, step, lambda acc: acc["out"])
+    return _fold(both, F.lit(0), step, _SPAN)["out"]
 
 
 def _digits(c: Column) -> Column:
@@ -100,43 +141,92 @@ def _base(text: Column) -> Column:
                       for k, (may, pattern, ok) in enumerate(kept)])
 
 
-def _candidate(s: Column, kind: int, base: Column) -> Column:
-    """One candidate with its features; ``good``: is it a base span, or does it
-    pass the check of its kind?"""
-    n, v = F.length(_digits(s["value"])), s["value"]
-    cuts = (6, 8, 9, 10, 11, 12, 15, 16)
-    bucket = sum((F.when(n > c, 1).otherwise(0) for c in cuts), F.lit(0)) if kind else F.lit(0)
-    groups = F.least(F.size(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0))), F.lit(5)) if kind else F.lit(0)
-    inner = F.regexp_replace(v, "[0-9+()]", "")
-    mark = (F.when(inner == "", 0).when(inner.rlike(r"^\x20+$"), 1).when(inner.rlike("^-+$"), 2).when(inner.rlike(r"^\.+$"), 3).otherwise(4)
-            if kind else F.lit(0))
-    before = F.lower(s["before"])
-    context = F.when(before.rlike(CONTEXT[kind]), 2).when(before.rlike("|".join(CONTEXT)), 1).otherwise(0)
-    edge = F.when(before == "", 0).when(before.rlike(r"[\x20\n]$"), 1).when(before.rlike(r"[\x09-\x0D(:\[\"'<]$"), 2).otherwise(3)
-    whole = F.exists(base, lambda b: (b["kind"] == kind) & (b["start"] >= s["start"]) & (b["end"] <= s["end"])
-                     & ((b["end"] - b["start"]) * 2 > s["end"] - s["start"]))
-    small = F.forall(F.regexp_extract_all(v, F.lit("[0-9]+"), F.lit(0)), lambda p: p.cast("int") <= 255)
-    check = (lambda: v.rlike("[A-Za-z]{2}$"), lambda: small & (context == 2), lambda: (n >= 13) & luhn(_digits(v)), lambda: before.rlike(CALLED))[kind]()
-    return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), bucket.alias("digits"), groups.alias("groups"),
-                    mark.alias("mark"), v.contains("(").cast("int").alias("bracket"), context.alias("context"), edge.alias("edge"), (whole | check).alias("good"))
-
-
-def _candidates(text: Column, base: Column) -> Column:
-    ip = r"^[(+]?[0-9]{1,3}[.,:-][0-9]{1,3}[.,:-][0-9]{1,3}[.,:-][0-9]{1,3}$"
-    size = lambda s: F.length(_digits(s["value"]))
-    kinds = ((1, lambda s: s["value"].rlike(ip)), (2, lambda s: size(s).between(12, 19)), (3, lambda s: size(s).between(7, 15)))
-    as_kind = lambda k: lambda s: _candidate(s, k, base)
-    none = F.transform(F.expr("cast(array() as array<struct<start:int,end:int,value:string,before:string>>)"), as_kind(0))
-    mail = F.when(text.rlike(r"@|[(\[]at[)\]]"), F.transform(_spans(text, MAIL_LIKE), as_kind(0))).otherwise(none)
-    numbers = _spans(text, NUMBER_LIKE)
-    runs = [F.transform(F.filter(numbers, ok), as_kind(k)) for k, ok in kinds]
-    return F.concat(mail, F.when(text.rlike("[0-9](?:[^0-9]{0,3}[0-9]){3}"), F.concat(*runs)).otherwise(none))
+def _context(before: Column) -> Column:
+    """Per kind: 2 a key word of the kind, 1 one of another kind, 0 none."""
+    low = F.lower(before)
+    return F.when(low.rlike("|".join(CONTEXT)), F.array(*[F.when(low.rlike(c), 2).otherwise(1) for c in CONTEXT])).otherwise(F.array(*[F.lit(0)] * len(CONTEXT)))
+
+
+def _edge(before: Column) -> Column:
+    return F.when(before == "", 0).when(before.rlike(r"[\x20\n]$"), 1).when(before.rlike(r"[\x09-\x0D(:\[\"'<]$"), 2).otherwise(3)
+
+
+def _found(kind: int, s: Column, good: Column, **features) -> Column:
+    zero = {f: F.lit(0) for f in FEATURES} | features
+    return F.struct(F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), *[zero[f].cast("int").alias(f) for f in FEATURES], good.alias("good"))
+
+
+def _mails(text: Column) -> Column:
+    found = F.transform(_spans(text, MAIL_LIKE), lambda s: _found(
+        0, s, s["value"].contains("@") | s["value"].rlike("[A-Za-z]{2}$"), context=_context(s["before"])[0], edge=_edge(s["before"])))
+    return F.when(text.rlike(r"@|[(\[]at[)\]]"), found).otherwise(_none(_FOUND))
+
+
+def _numbers(text: Column) -> Column:
+    """Candidates from every chain of digit groups."""
+    # 0 no chain, 1 a list goes on, 2 the number may go on
+    link = lambda a: F.when(a.isNull() | (a["gap"] > 3) | ~a["before"].rlike(_LINK), 0).when(a["before"].rlike("[,/:+]"), 1).otherwise(2)
+
+    def told(atoms):
+        """Digit groups with their links to both sides, and whether a key word of phones stands before their chain."""
+
+        def call(was, a):
+            now = F.when(link(a) > 0, was).otherwise(F.lower(F.regexp_replace(a["before"], "[+(]$", "")).rlike(CALLED))
+            return F.struct(now.alias("st"), F.array(now).alias("out"))
+
+        return _let(_fold(atoms, F.lit(False), call, "boolean")["out"], lambda called: F.transform(atoms, lambda a, i: F.struct(
+            a["start"].alias("start"), a["end"].alias("end"), a["value"].alias("value"), a["before"].alias("before"), F.get(called, i).alias("called"),
+            F.when(i == 0, 0).otherwise(link(a)).alias("link"), link(F.get(atoms, i + 1)).alias("tail"),
+            F.coalesce(F.get(atoms, i + 1)["before"].rlike(_ON), F.lit(False)).alias("on"))))
+
+    def chains(groups):
+        return F.flatten(F.transform(groups, lambda g, i: F.when(g["before"].rlike("[0-9A-Za-z]$"), _none(_FOUND)).otherwise(parts(groups, g, i))))
+
+    def parts(groups, g, i):
+        """Of all parts that begin with group g, those with an admissible number of digits."""
+        sign = F.when(g["before"].rlike("[+(]$"), F.right(g["before"], F.lit(1))).otherwise("")
+        begin = F.struct(F.lit(True).alias("open"), F.lit(0).alias("n"), F.lit(0).alias("groups"), sign.alias("value"), F.lit("").alias("inner"),
+                         F.array().cast("array<struct<n:int,groups:int,value:string,inner:string,end:int,tail:int,on:boolean>>").alias("out"))
+
+        def step(acc, a):
+            n, first = acc["n"] + F.length(a["value"]), acc["groups"] == 0
+            gap = F.when(first, "").otherwise(a["before"])
+            value, inner = F.concat(acc["value"], gap, a["value"]), F.concat(acc["inner"], gap)
+            part = F.struct(n.alias("n"), (acc["groups"] + 1).alias("groups"), value.alias("value"), inner.alias("inner"), a["end"].alias("end"), a["tail"].alias("tail"), a["on"].alias("on"))
+            fits = (n >= 7) | (acc["groups"] == 3)
+            more = F.struct(F.lit(True).alias("open"), n.alias("n"), (acc["groups"] + 1).alias("groups"), value.alias("value"), inner.alias("inner"),
+                            F.when(fits, F.array_append(acc["out"], part)).otherwise(acc["out"]).alias("out"))
+            shut = F.struct(F.lit(False).alias("open"), acc["n"].alias("n"), acc["groups"].alias("groups"), acc["value"].alias("value"), acc["inner"].alias("inner"), acc["out"].alias("out"))
+            return F.when(acc["open"] & (first | (a["link"] > 0)) & (n <= DIGITS), more).otherwise(shut)
+
+        whole = F.aggregate(F.slice(groups, i + 1, DIGITS), begin, step, lambda acc: acc["out"])
+        start = g["start"] - F.length(sign)
+        before = F.substring(g["before"], F.lit(1), F.length(g["before"]) - F.length(sign))
+        facts = F.struct(start.alias("start"), F.when(g["link"] == 2, 5).when(g["link"] == 1, 4).otherwise(_edge(before)).alias("edge"),
+                         _context(before).alias("context"), (g["called"] & (g["link"] < 2)).alias("called"))
+        return F.when(F.size(whole) > 0, _let(facts, lambda f: F.flatten(F.transform(whole, lambda p: kinds(p, f))))).otherwise(_none(_FOUND))
+
+    def kinds(p, f):
+        span = F.struct(f["start"].alias("start"), p["end"].alias("end"))
+        marks = F.translate(p["inner"], "()", "")
+        mark = F.when(marks == "", 0).when(marks.rlike(r"^\x20+$"), 1).when(marks.rlike("^-+$"), 2).when(marks.rlike(r"^\.+$"), 3).otherwise(4)
+        same = dict(digits=sum((F.when(p["n"] > c, 1).otherwise(0) for c in (6, 8, 9, 10, 11, 12, 15, 16)), F.lit(0)), groups=F.least(p["groups"], F.lit(5)),
+                    mark=mark, bracket=p["value"].contains("(").cast("int"), edge=f["edge"], tail=p["tail"])
+        ended = ~p["on"]
+        ip = F.when((p["groups"] == 4) & p["value"].rlike(r"^[(+]?[0-9]{1,3}[.,:-][0-9]{1,3}[.,:-][0-9]{1,3}[.,:-][0-9]{1,3}$"), F.array(_found(
+            1, span, p["value"].rlike(r"^(?:(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])(?:\.|$)){4}$"), context=f["context"][1], **same))).otherwise(_none(_FOUND))
+        card = F.when(p["n"] >= 13, F.array(_found(2, span, ended & luhn(_digits(p["value"])), context=f["context"][2], **same))).otherwise(_none(_FOUND))
+        phone = F.when(p["n"].between(7, 15), F.array(_found(3, span, ended & (((p["n"] >= 9) & p["value"].startswith("+")) | (f["called"] & ~p["inner"].rlike("[,+]"))), **same))).otherwise(_none(_FOUND))
+        return F.concat(ip, card, phone)
+
+    found = _let(_spans(text, "[0-9]++"), lambda atoms: _let(told(atoms), chains))
+    return F.when(text.rlike("[0-9](?:[^0-9]{0,3}[0-9]){3}"), found).otherwise(_none(_FOUND))
 
 
 def _marked(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct("*").alias("row")).withColumn("text", F.coalesce("row.text", F.lit("")))
-    rows = rows.withColumn("base", _base(F.col("text")))
-    return rows.withColumn("found", _candidates(F.col("text"), F.col("base")))
+    with deep_expressions(docs.sparkSession):
+        return rows.withColumn("base", _base(F.col("text"))).withColumn("found", F.concat(_mails(F.col("text")), _numbers(F.col("text"))))
 
 
 class Trees:
@@ -193,10 +283,11 @@ def fit(docs: DataFrame) -> dict[int, dict[tuple, float]]:
         rows = {later: [r for r in seen if r["kind"] == kind and r["later"] == later] for later in (False, True)}
         if not rows[False] or not rows[True]:
             continue
+        sure = lambda r: max(0.0, r["good"] - CHANCE[kind] * r["all"]) / (1 - CHANCE[kind])
         x = np.array([[r[f] for f in FEATURES] for r in rows[False]])
-        good = np.array([r["good"] for r in rows[False]], dtype=float)
+        good = np.array([sure(r) for r in rows[False]], dtype=float)
         trees = Trees(x, good, np.array([r["all"] for r in rows[False]], dtype=float) - good)
-        judged = sorted(((trees.score([r[f] for f in FEATURES]), r["good"], r["all"]) for r in rows[True]), reverse=True)
+        judged = sorted(((trees.score([r[f] for f in FEATURES]), sure(r), r["all"]) for r in rows[True]), reverse=True)
         known = sum(ok for _, ok, _ in judged)
         c = sum(ok * ok / every for _, ok, every in judged) / known if known else 1.0
         even = float(np.log(c / (2 - c)))  # the score at g = c / 2
@@ -215,17 +306,43 @@ def _chosen(found: Column, base: Column, passed: dict) -> Column:
     """Accepted candidates as array<struct<kind, start, end>>."""
     code = lambda c: F.concat_ws(",", c["kind"], *[c[f] for f in FEATURES])
     table = {",".join(map(str, (k, *f))): s for k, scores in passed.items() for f, s in scores.items()}
-    none = F.expr("cast(array() as array<struct<kind:int,start:int,end:int>>)")
+    none = _none("struct<kind:int,start:int,end:int>")
     if not table:
         return none
     scores = F.create_map(*[F.lit(x) for item in sorted(table.items()) for x in item])
-    over = lambda a, b: (a["start"] < b["end"]) & (b["start"] < a["end"])
-    scored = F.transform(F.filter(found, lambda c: ~F.exists(base, lambda b: over(c, b))), lambda c: F.struct(
-        F.element_at(scores, code(c)).alias("score"), (-c["kind"]).alias("rank"), c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-    good = F.filter(scored, lambda c: c["score"].isNotNull())
-    beats = lambda a, b: F.struct(a["score"], a["rank"], -a["start"]) > F.struct(b["score"], b["rank"], -b["start"])
-    best = F.filter(good, lambda c: ~F.exists(good, lambda d: over(c, d) & beats(d, c)))
-    return F.transform(best, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
+    event = lambda c, cand, score: F.struct(c["start"].alias("start"), F.lit(cand).alias("cand"), c["end"].alias("end"), score.cast("double").alias("score"),
+                                            (-c["kind"]).alias("rank"), c["kind"].alias("kind"))
+    good = F.filter(F.transform(found, lambda c: event(c, 1, F.element_at(scores, code(c)))), lambda e: e["score"].isNotNull())
+    give = lambda state, keep, e: F.struct(state.alias("st"), F.when(keep, F.array(e)).otherwise(_none(_EVENT)).alias("out"))
+
+    def after(end, e):
+        """Nothing that begins inside a base span."""
+        is_base = e["cand"] == 0
+        return give(F.when(is_base, F.greatest(end, e["end"])).otherwise(end), is_base | (e["start"] >= end), e)
+
+    def before(start, e):
+        """From the back: nothing that ends inside one; the base spans go."""
+        is_base = e["cand"] == 0
+        return give(F.when(is_base, F.least(start, e["start"])).otherwise(start), ~is_base & (e["end"] <= start), e)
+
+    def best(held, e):
+        """The held span until one that begins behind it, or a better one that overlaps it."""
+        order = lambda x: F.struct(x["score"], x["rank"], -x["start"], x["end"])
+        apart = e["start"] >= held["end"]
+        return give(F.when(apart | (order(e) > order(held)), e).otherwise(held), apart & (held["cand"] == 1), held)
+
+    def sweep(events):
+        clear = _fold(events, F.lit(0), after, _EVENT)["out"]
+        clear = _fold(F.reverse(clear), F.lit(2**31 - 1), before, _EVENT)["out"]
+        nothing = F.lit(0).cast("int")
+        start = F.struct(nothing.alias("start"), nothing.alias("cand"), nothing.alias("end"), F.lit(0.0).alias("score"), nothing.alias("rank"), nothing.alias("kind"))
+        return _let(_fold(F.reverse(clear), start, best, _EVENT), lambda r: F.concat(r["out"], F.filter(F.array(r["st"]), lambda e: e["cand"] == 1)))
+
+    def chosen(some):
+        events = F.array_sort(F.concat(some, F.transform(base, lambda b: event(b, 0, F.lit(0.0)))))
+        return F.when(F.size(some) > 0, F.transform(_let(events, sweep), lambda e: F.struct(e["kind"].alias("kind"), e["start"].alias("start"), e["end"].alias("end")))).otherwise(none)
+
+    return F.when(F.size(found) > 0, _let(good, chosen)).otherwise(none)
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -238,7 +355,8 @@ def find(docs: DataFrame) -> DataFrame:
     rows."""
     passed = fit(docs)
     marked = _marked(docs)
-    return marked.select("row", "base", F.array_sort(F.concat("base", _chosen(F.col("found"), F.col("base"), passed))).alias("spans"))
+    with deep_expressions(docs.sparkSession):
+        return marked.select("row", "base", F.array_sort(F.concat("base", _chosen(F.col("found"), F.col("base"), passed))).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
