@@ -4,6 +4,7 @@ force, SQL and odd rows."""
 import collections
 import hashlib
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -334,3 +335,33 @@ def test_pii_unlabelled_forms_are_no_errors(spark):
     assert all(got[i] == f"email:5:{len(rows[3 * i][1]) - 6}" for i in range(600))
     assert all(got[1000 + i] == f"phone:5:{len(rows[3 * i + 1][1]) - 4}" for i in range(600))
     assert not any(got[2000 + i] for i in range(600))
+
+
+def test_pii_neighbouring_numbers(spark):
+    """Every phone of a list is found by itself, whatever parts the list."""
+    rng = np.random.default_rng(2)
+    number = lambda: f"{rng.integers(200, 999)}-{rng.integers(200, 999)}-{rng.integers(1000, 9999)}"
+    rows = [(i, f"call {number()}, {number()} now") for i in range(300)]
+    rows += [(1000 + i, f"call +1 {number()} now") for i in range(300)]
+    rows += [(2000 + i, f"order {rng.integers(1, 9)}/{rng.integers(100, 999)}/{rng.integers(1000, 9999)} shipped") for i in range(300)]
+    got = {r.doc_id: r.s for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", pii.listed(F.col("spans")).alias("s")).collect()}
+    assert all(got[i] == "phone:5:17,phone:19:31" for i in range(300))
+    assert all(got[1000 + i] == "phone:5:20" for i in range(300)) and not any(got[2000 + i] for i in range(300))
+
+
+def test_pii_text_of_many_numbers(spark):
+    """Time grows with the numbers of a text, not with their square, and no span overlaps another."""
+    rng = np.random.default_rng(3)
+    number = lambda: f"{rng.integers(200, 999)}-{rng.integers(200, 999)}-{rng.integers(1000, 9999)}"
+
+    def run(n):
+        text = "call " + ", ".join(("+1 " if k % 3 == 0 else "") + number() for k in range(n)) + " now"
+        rows = [(0, text)] + [(i, f"call {number()}, {number()}, +1 {number()}, {number()}, {number()} now") for i in range(1, 300)]
+        begin = time.perf_counter()
+        found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).where("row.doc_id = 0").select("spans").first()[0]
+        return found, time.perf_counter() - begin
+
+    run(10)
+    (few, short), (many, long) = run(2_000), run(20_000)
+    assert len(few) == 2_000 and len(many) == 20_000 and all(a.end <= b.start for a, b in zip(many, many[1:]))
+    assert long < 25 * max(short, 2) and long < 120, (short, long)
