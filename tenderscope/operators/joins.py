@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from .util import rnd
+from .util import BROADCAST_ROWS, broadcast_small, rnd
 
 
 
@@ -63,10 +63,11 @@ def filter_by_map(fact: DataFrame, mapa: DataFrame, pred) -> DataFrame:
 
 def with_calendar(fact: DataFrame, cal: DataFrame) -> DataFrame:
     """Fact → calendar on the first-of-month date.  The calendar holds one
-    row per day of the covered period (bounded by the date range, not by the
-    data volume), so it is broadcast."""
+    row per day of the covered period; it is broadcast where that is counted to
+    be few (one absurd date would make millions)."""
+    days = cal.limit(BROADCAST_ROWS + 1).count()
     c = cal.withColumnRenamed("Mes", "MesNum")  # names are case-insensitive: Mes vs mes
-    return fact.join(F.broadcast(c), fact["mes"] == c["Date"], "left").drop("Date")
+    return fact.join(broadcast_small(c, days), fact["mes"] == c["Date"], "left").drop("Date")
 
 
 def filter_in(df: DataFrame, keys_df: DataFrame, keys) -> DataFrame:

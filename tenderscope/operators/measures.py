@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dax import distinct_count_blank
+from ..functions.dax import distinct_count_blank, div
 from .quantile import exact_quantiles
 from .util import join_on_keys, keys_list, money, ratio
 
@@ -63,11 +63,11 @@ def measures(fact: DataFrame, by=(), names=None) -> DataFrame:
         if n in BASE:
             out.append(money(n).alias(n) if n == "valor_total" else F.col(n))
         elif n == "ticket_medio":
-            out.append(ratio(F.try_divide("valor_total", "qtd_licitacoes")).alias(n))
+            out.append(ratio(div("valor_total", "qtd_licitacoes")).alias(n))
         elif n == "valor_medio_item":
-            out.append(ratio(F.try_divide("valor_total", "qtd_itens")).alias(n))
+            out.append(ratio(div("valor_total", "qtd_itens")).alias(n))
         elif n == "itens_por_licitacao":
-            out.append(ratio(F.try_divide("qtd_itens", "qtd_licitacoes")).alias(n))
+            out.append(ratio(div("qtd_itens", "qtd_licitacoes")).alias(n))
     res = g.select(*by, *out)
     if "valor_mediano_item" in names:
         med = exact_quantiles(fact, by, "valor", [0.5], names=["valor_mediano_item"])

@@ -120,11 +120,14 @@ def acf_arrays(arrs: DataFrame, max_lag_expr: str = "least(36, n div 2 - 1)") ->
 
 
 def acf(series: DataFrame, col: str = "y") -> DataFrame:
-    """Autocorrelation to lag min(36, n/2−1), with ±1.96/√n bands."""
+    """Autocorrelation to lag min(36, n/2−1), with the ±1.96/√n band and the
+    band that widens with the squared autocorrelations before the lag."""
     a = acf_arrays(series_arrays(series, col))
-    e = a.select("series_id", "n", F.posexplode("r").alias("lag", "acf"))
-    return e.select("series_id", F.col("lag").cast("bigint").alias("lag"), rnd("acf", 6).alias("acf"),
-                    rnd(F.lit(1.96) / F.sqrt("n"), 6).alias("banda"))
+    earlier = f"aggregate({rng('1', 'k - 1')}, 0D, (s, j) -> s + r[j] * r[j])"
+    wide = F.expr(let("r", "r", f"transform(r, (x, k) -> named_struct('acf', x, 'wide', if(k = 0, 0D, 1.96D * sqrt((1 + 2 * {earlier}) / n))))"))
+    e = a.select("series_id", "n", F.posexplode(wide).alias("lag", "p"))
+    return e.select("series_id", F.col("lag").cast("bigint").alias("lag"), rnd(F.col("p.acf"), 6).alias("acf"),
+                    rnd(F.lit(1.96) / F.sqrt("n"), 6).alias("banda"), rnd(F.col("p.wide"), 6).alias("banda_bartlett"))
 
 
 def pacf(series: DataFrame, col: str = "y") -> DataFrame:

@@ -304,7 +304,9 @@ def _acf_sql(body, key, maxlag, *extra):
 
 
 @register("acf", _acf_sql(
-    "SELECT series_id, CAST(lag AS BIGINT) AS lag, ROUND(r, 6) AS acf, ROUND(1.96 / SQRT(n), 6) AS banda FROM r",
+    """SELECT series_id, CAST(lag AS BIGINT) AS lag, ROUND(r, 6) AS acf, ROUND(1.96 / SQRT(n), 6) AS banda, ROUND(CASE WHEN lag = 0 THEN 0 ELSE 1.96 * SQRT((1 + 2 *
+         COALESCE(SUM(CASE WHEN lag > 0 THEN r * r END) OVER (PARTITION BY series_id ORDER BY lag ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / n) END, 6) AS banda_bartlett
+       FROM r""",
     "categoria_ia", "LEAST(36, a.n // 2 - 1)"))
 def q_acf(spark, d):
     return tsa.acf(tsa.stationary_form(_filled(spark, d)))
