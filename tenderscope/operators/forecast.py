@@ -118,7 +118,7 @@ def seasonal_future(series: DataFrame, horizon: int = 12, z: float = MODEL_Z) ->
     return _apply(model, idx, both, z)
 
 
-def metrics(pred: DataFrame) -> DataFrame:
+def raw_metrics(pred: DataFrame) -> DataFrame:
     """MAPE (%), MAE, RMSE on the test months and the accuracy label."""
     e = pred.where(F.col("y").isNotNull())
     a = e.groupBy("series_id").agg(
@@ -127,5 +127,9 @@ def metrics(pred: DataFrame) -> DataFrame:
         F.sqrt(F.avg(F.pow(F.col("y") - F.col("yhat"), 2))).alias("rmse"))
     label = (F.when(F.col("mape") < MAPE_GOOD, F.lit(LABEL_GOOD)).when(F.col("mape") < MAPE_FAIR, F.lit(LABEL_FAIR))
              .otherwise(F.lit(LABEL_LIMITED)))
-    return a.select("series_id", rnd("mape", 4).alias("mape"), rnd("mae", 2).alias("mae"), rnd("rmse", 2).alias("rmse"),
-                    label.alias("acuracia"))
+    return a.select("series_id", "mape", "mae", "rmse", label.alias("acuracia"))
+
+
+def metrics(pred: DataFrame) -> DataFrame:
+    """The same, rounded."""
+    return raw_metrics(pred).select("series_id", rnd("mape", 4).alias("mape"), rnd("mae", 2).alias("mae"), rnd("rmse", 2).alias("rmse"), "acuracia")

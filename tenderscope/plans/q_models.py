@@ -197,5 +197,5 @@ def q_forecast_changepoint_future(spark, d):
 ).replace("WITH ", "WITH RECURSIVE ", 1))
 def q_forecast_changepoint_metrics(spark, d):
     """F7, F8 of the change-point forecast."""
-    m = fc.metrics(cp.validation(fc.train_test(se.cleaned(fact(spark, d), "categoria_ia"))))
+    m = fc.raw_metrics(cp.validation(fc.train_test(se.cleaned(fact(spark, d), "categoria_ia"))))
     return m.select("series_id", rnd("mape", 3).alias("mape"), rnd(F.col("mae") / 1e3, 2).alias("mae_mil"), rnd(F.col("rmse") / 1e3, 2).alias("rmse_mil"), "acuracia")
