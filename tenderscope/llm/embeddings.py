@@ -65,10 +65,14 @@ class Index:
     def place(self, x: np.ndarray, r: float):
         """Nearest list, and for every vector the lists with a higher number
         that a vector within r of it can be in."""
-        d = np.maximum((x * x).sum(1)[:, None] + (self.coarse ** 2).sum(1) - 2 * x @ self.coarse.T, 0)
-        near = np.argmin(d, axis=1)
-        apart = np.sqrt(np.maximum(((self.coarse[:, None] - self.coarse[None]) ** 2).sum(2), 0))[near]
-        reach = (d - d[np.arange(len(x)), near][:, None]) <= 2 * r * apart + 1e-6
+        size = (self.coarse ** 2).sum(1)
+        apart = np.sqrt(np.maximum(size[:, None] + size - 2 * self.coarse @ self.coarse.T, 0))
+        near, reach = np.zeros(len(x), np.int64), np.zeros((len(x), len(self.coarse)), bool)
+        for i in range(0, len(x), 512):
+            part = x[i:i + 512]
+            d = np.maximum((part * part).sum(1)[:, None] + size - 2 * part @ self.coarse.T, 0)
+            near[i:i + 512] = at = np.argmin(d, axis=1)
+            reach[i:i + 512] = (d - d[np.arange(len(part)), at][:, None]) <= 2 * r * apart[at] + 1e-6
         reach &= np.arange(len(self.coarse)) > near[:, None]
         return near, reach
 
@@ -186,7 +190,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     other columns are ignored.
 
     ``sample`` rows at most fit the index; all are indexed.  ``lists``: coarse
-    lists, by default the square root of half the sample, at most 128."""
+    lists, by default the square root of half the distinct vectors, so a list
+    grows with the square root of the table as long as the sample holds eight
+    vectors for each list."""
     spark, r = vectors.sparkSession, float(np.sqrt(2 - 2 * cosine))
     rows = lead(vectors, "vec_id", "embedding", "label").withColumn("label", F.col("label").cast("long"))
     kind = "<f4" if rows.schema["embedding"].dataType.elementType.simpleString() == "float" else "<f8"
@@ -197,10 +203,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     reps = saved(reps.select(F.xxhash64("label", "hash").alias("rep"), "label", "hash", "v", (F.length("v") / np.dtype(kind).itemsize).cast("int").alias("dim"),
                              "least", "copies"), "distinct-vectors")
     taken = reps.select("rep", "v", "dim").orderBy("rep").limit(sample).collect()  # bounded by ``sample``
+    root = (reps.count() / 2) ** 0.5
     index = {}
     for dim in sorted({t["dim"] for t in taken}):
         x = _units(np.array([np.frombuffer(t["v"], dtype=kind) for t in taken if t["dim"] == dim]))
-        index[dim] = Index(x, lists or int(min(128, max(1, (len(x) / 2) ** 0.5))))
+        index[dim] = Index(x, lists or int(max(1, min(root, len(x) / 8))))
     spread = reps.select("rep", "label", "v", "dim", "copies").mapInArrow(
         partial(_indexed, index=index, r=r, kind=kind), "rep long, label long, v binary, dim int, copies long, list int, probe boolean")
     spread = saved(spread, "lists")
