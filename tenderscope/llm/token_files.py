@@ -41,13 +41,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc, lead, parts, saved
+from .common import crc, lead, parts, saved, tidy
 from .words import GROUP, encoder, vocabulary_path
 
 SHARD_IDS = 1 << 20
 END_ID = 1
 #: pairs seen less often stay as they are; a round that replaces a smaller share of the ids is the last
-MIN_PAIRS, GAIN = 16, 0.01
+MIN_PAIRS, GAIN = 16, 0.02
 SHARDS = ("part int, shard int, base long, width int, rules binary, lengths binary, symbols binary, "
           "doc_ids array<long>, ends array<long>, n_ids long")
 _ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("base", pa.int64()), ("width", pa.int32()),
@@ -57,58 +57,64 @@ _ARROW = pa.schema([("part", pa.int32()), ("shard", pa.int32()), ("base", pa.int
 
 def _sorted_pairs(s: np.ndarray, end_id: int, top: int):
     """(pairs in order, their places): all neighbours that may be replaced."""
-    left, right = s[:-1], s[1:]
-    use = (left != end_id) & (right != end_id)
-    same = left == right
-    if same.any():  # in a run of one symbol every second place
-        new = np.concatenate([[True], ~same[:-1]])
-        use &= ~same | ((np.arange(len(left)) - np.flatnonzero(new)[np.cumsum(new) - 1]) % 2 == 0)
-    at = np.flatnonzero(use)
-    pair = left[at] * top + right[at]
+    pair = s[:-1] * top
+    pair += s[1:]
+    none = top * top
+    end = np.flatnonzero(s == end_id)
+    pair[end[end < len(pair)]] = none
+    pair[end[end > 0] - 1] = none
+    same = np.flatnonzero(s[:-1] == s[1:])
+    if len(same):  # in a run of one symbol every second place
+        new = np.diff(same, prepend=-2) != 1
+        pair[same[(same - same[new][np.cumsum(new) - 1]) % 2 == 1]] = none
     bits = int(len(s)).bit_length()
-    if (top * top).bit_length() + bits < 64:  # sorts pair and place as one number
-        both = np.sort(pair << bits | at)
-        return both >> bits, both & (1 << bits) - 1
+    if none.bit_length() + bits < 64:  # sorts pair and place as one number
+        pair <<= bits
+        pair |= np.arange(len(pair))
+        pair.sort()
+        pair = pair[:np.searchsorted(pair, none << bits)]
+        return pair >> bits, pair & (1 << bits) - 1
     order = np.argsort(pair, kind="stable")
-    return pair[order], at[order]
+    order = order[:np.searchsorted(pair, none, sorter=order)]
+    return pair[order], order
 
 
 def compress(ids: np.ndarray, end_id: int = END_ID, gain: float = GAIN):
     """(symbols, rules, lengths, base) of the ids."""
     s = ids.astype(np.int64)
     base = top = int(s.max()) + 1 if len(s) else 1
-    rules: list[tuple[int, int]] = []
-    spans: list[int] = []
+    rules, spans = [np.zeros((0, 2), np.int64)], np.ones(base, np.int64)
     while len(s) > 1:
         pair, at = _sorted_pairs(s, end_id, top)
-        begin = np.flatnonzero(np.diff(pair, prepend=-1))
-        count = np.diff(begin, append=len(pair))
-        often = np.flatnonzero(count >= MIN_PAIRS)
-        often = often[np.argsort(-count[often], kind="stable")]
-        side, chosen, first = {}, [], len(rules)
-        for k, p in zip(often.tolist(), pair[begin[often]].tolist()):
-            a, b = divmod(p, top)
-            if a == b and a not in side:
-                side[a] = "both"
-            elif a != b and side.get(a, "left") == "left" and side.get(b, "right") == "right":
-                side[a], side[b] = "left", "right"
-            else:
-                continue
-            chosen.append(k)
-            rules.append((a, b))
-            spans.append((1 if a < base else spans[a - base]) + (1 if b < base else spans[b - base]))
+        begin = np.flatnonzero(pair[MIN_PAIRS - 1:] == pair[:max(0, len(pair) - MIN_PAIRS + 1)])  # a run of a frequent pair goes on for so many places
+        begin = begin[(begin == 0) | (pair[begin] != pair[begin - 1])]
+        count = np.searchsorted(pair, pair[begin], side="right") - begin
+        often = np.argsort(-count, kind="stable")
+        both = np.column_stack(np.divmod(pair[begin[often]], top))
+        side, chosen = bytearray(top), []  # 1 left, 2 right, 3 both sides of a pair of equals
+        for k, (a, b) in enumerate(both.tolist()):
+            if a == b:
+                if not side[a]:
+                    side[a] = 3
+                    chosen.append(k)
+            elif side[a] < 2 and side[b] in (0, 2):
+                side[a], side[b] = 1, 2
+                chosen.append(k)
         if not chosen:
             break
-        n = count[chosen]
-        rule = np.repeat(np.arange(len(chosen)), n)
-        place = at[np.repeat(begin[chosen] - (np.cumsum(n) - n), n) + np.arange(len(rule))]
-        s[place] = base + first + rule
+        rules.append(both[chosen])
+        spans = np.concatenate([spans, spans[both[chosen, 0]] + spans[both[chosen, 1]]])
+        picked = often[chosen]
+        n = count[picked]
+        rule = np.repeat(np.arange(len(picked)), n)
+        place = at[np.repeat(begin[picked] - (np.cumsum(n) - n), n) + np.arange(len(rule))]
+        s[place] = top + rule
         keep = np.ones(len(s), dtype=bool)
         keep[place + 1] = False
-        s, top = s[keep], base + len(rules)
+        s, top = s[keep], top + len(picked)
         if len(place) < gain * len(ids):
             break
-    return s, np.array(rules, dtype="<u4").reshape(-1, 2), np.array(spans, dtype="<u4"), base
+    return s, np.concatenate(rules).astype("<u4"), spans[base:].astype("<u4"), base
 
 
 def expand(s: np.ndarray, rules: np.ndarray, base: int) -> np.ndarray:
@@ -154,6 +160,7 @@ def _shard(part: int, shard: int, docs: list, ids: list[bytes], end_id: int) ->
             "ends": ends.tolist(), "n_ids": len(whole)}
 
 
+@tidy
 def _write(batches, path: str, end_id: int, shard_ids: int):
     enc, part = encoder(path), TaskContext.get().partitionId()
     docs, ids, held, shard = [], [], 0, 0
@@ -191,6 +198,7 @@ def decode_document(shard: dict, k: int) -> np.ndarray:
     return expand(s[begin:shard["ends"][k]], np.frombuffer(shard["rules"], dtype="<u4").reshape(-1, 2), shard["base"])
 
 
+@tidy
 def _read(batches):
     for b in batches:
         for row in b.to_pylist():

@@ -26,9 +26,9 @@ _ODD = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-ɏ]|<\\|")
 _CHUNK = re.compile("[^ \t\n\r\x0b\x0c]+")
 _LETTERS = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
 #: chunks kept per Python worker, 40 bytes each; beyond it they are learnt anew (a memory bound, it changes no result)
-CACHE_CHUNKS = 2_000_000
+CACHE_CHUNKS = 700_000
 #: texts looked up at once
-GROUP = 2048
+GROUP = 1024
 #: bytes up to which a chunk is kept
 LONGEST = 4096
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
@@ -48,19 +48,23 @@ def _odd(text: str) -> bool:
         return _ODD.search(text) is not None
 
 
-def chunk_hashes(chunks: pa.LargeStringArray, which: int = 0) -> np.ndarray:
-    """64-bit hash of every string (0 for empty ones), by array operations."""
+def chunk_hashes(chunks: pa.LargeStringArray, hashes: int = 1) -> list[np.ndarray]:
+    """So many independent 64-bit hashes of every string (0 for empty ones), by array operations."""
     offsets = np.frombuffer(chunks.buffers()[1], dtype=np.int64)[chunks.offset:chunks.offset + len(chunks) + 1]
     length = np.diff(offsets)
-    some, out = np.flatnonzero(length), np.zeros(len(chunks), np.uint64)
+    some, out = np.flatnonzero(length), [np.zeros(len(chunks), np.uint64) for _ in range(hashes)]
     if len(some):
         n = length[some]
         begin = np.cumsum(n) - n
         place = np.arange(int(n.sum())) - np.repeat(begin, n)
-        code = np.frombuffer(chunks.buffers()[2], dtype=np.uint8)[np.repeat(offsets[some], n) + place].astype(np.uint64) + np.uint64(1)
-        h = np.add.reduceat(code * _POWERS[which][place % LONGEST], begin)
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        out[some] = h ^ (h >> np.uint64(29))
+        # the strings lie one after the other, the empty ones take no place
+        code = np.frombuffer(chunks.buffers()[2], dtype=np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64) + np.uint64(1)
+        if n.max() > LONGEST:
+            place %= LONGEST
+        for k in range(hashes):
+            h = np.add.reduceat(code * _POWERS[k][place], begin)
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            out[k][some] = h ^ (h >> np.uint64(29))
     return out
 
 
@@ -121,7 +125,7 @@ class WordEncoder:
         rest = np.flatnonzero(length > LONGEST)
         keys = [np.zeros(0, np.uint64)] * 2
         if len(some):
-            keys = [chunk_hashes(chunks, k)[some] for k in (0, 1)]
+            keys = [h[some] for h in chunk_hashes(chunks, 2)]
             order = np.argsort(keys[0], kind="stable")
             keys, some = [h[order] for h in keys], some[order]
             at = np.searchsorted(self.hashes[0], keys[0])
