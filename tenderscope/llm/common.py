@@ -3,11 +3,14 @@ connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,6 +38,22 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(step):
+    """A task function over batches that hands free memory back to the machine
+    when it ends: idle Python workers live on between stages."""
+
+    @functools.wraps(step)
+    def run(batches, *args, **kwargs):
+        yield from step(batches, *args, **kwargs)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not glibc
+            pass
+
+    return run
+
+
 def parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc, lead, saved
+from .common import crc, lead, saved, tidy
 from .words import encoder, vocabulary_path
 
 SEQUENCE_TOKENS = 2048
@@ -34,6 +34,7 @@ END_ID = 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+@tidy
 def _pieces(batches, path: str, size: int, end: int):
     enc, tail = encoder(path), np.array([end], dtype="<u4").tobytes()
     for b in batches:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, forest, lead, parts, saved
+from .common import components, forest, lead, parts, saved, tidy
 
 SHINGLE, RADIUS = 4, 4
 TILE, STRIP = 16384, 512
@@ -53,6 +53,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(bits * 2 > n).tobytes(), "big")
 
 
+@tidy
 def _fingerprints(batches, shingle: int):
     for b in batches:
         found = [fingerprint(t or b"", shingle) for t in b.column(1).cast(pa.binary()).to_pylist()]
@@ -67,6 +68,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return rows.mapInArrow(partial(_fingerprints, shingle=shingle), "doc_id long, h long, fp long")
 
 
+@tidy
 def _tiles(batches):
     held = []
 
@@ -131,6 +133,7 @@ def linked(a: np.ndarray, b: np.ndarray | None, radius: int):
     return both[node], both[root[node]]
 
 
+@tidy
 def _compare(batches, radius: int):
     """Rows of one cell come one after the other, the tiles of its first group
     before those of its second."""

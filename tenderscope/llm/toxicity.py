@@ -44,14 +44,14 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, lead, parts, saved
+from .common import fold, lead, parts, saved, tidy
 from .words import chunk_hashes
 
 SAMPLE, CHARS, STRONG = 20_000, 64_000_000, 0.015
 #: absolute discounts of words and of pairs
 DISCOUNTS = ((0.75, 3.0), (2.0, 8.0), (4.0, 16.0))
 #: words read before a map task hands on its distinct pairs; bytes of text per bucket of pairs; characters worked on at once
-FLUSH, BUCKET, SLICE = 2_000_000, 24_000_000, 1_000_000
+FLUSH, BUCKET, SLICE = 1_500_000, 24_000_000, 1_000_000
 #: everything in ASCII but letters, digits and underscores parts words
 _SPACE = bytes(c if c >= 128 or c == 95 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -71,7 +71,7 @@ def words_of(text) -> list[bytes]:
 
 
 def _hash(words) -> np.ndarray:
-    return chunk_hashes(pa.array(words, type=pa.large_binary()).cast(pa.large_string()))
+    return chunk_hashes(pa.array(words, type=pa.large_binary()).cast(pa.large_string()))[0]
 
 
 def coded(texts):
@@ -85,7 +85,7 @@ def coded(texts):
         found = lists.flatten().dictionary_encode()
         code, ends = found.indices.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
         some = pc.binary_length(found.dictionary).to_numpy(zero_copy_only=False)[code] > 0  # the splitter gives an empty word at an edge
-        return chunk_hashes(found.dictionary), code[some], np.concatenate([[0], np.cumsum(some)])[ends]
+        return chunk_hashes(found.dictionary)[0], code[some], np.concatenate([[0], np.cumsum(some)])[ends]
 
     for text in texts:
         held.append(_cleaned(text))
@@ -116,6 +116,7 @@ class Known:
 
 # -- counts of the labelled rows ---------------------------------------------------
 
+@tidy
 def _count_words(batches):
     """Documents of each class that hold a word, by its hash."""
     held = [np.zeros((0, 2), np.int64)], [np.zeros(0, np.uint64)]
@@ -143,6 +144,7 @@ def _count_words(batches):
     yield pa.RecordBatch.from_arrays([pa.array(held[1][0][some].view(np.int64)), *[pa.array(held[0][0][some, k]) for k in (0, 1)]], ["word", "ordinary", "toxic"])
 
 
+@tidy
 def _count_pairs(batches, hashes: np.ndarray):
     known, n = Known(hashes), len(hashes)
     for b in batches:
@@ -174,6 +176,7 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
 
 
+@tidy
 def _preceding(batches, hashes: np.ndarray, buckets: int, bits: int):
     """Numbers of ``bits`` low bits for the word before (a word of the model by
     its place, any other by its hash in the upper half) and the word's place above."""
@@ -182,10 +185,12 @@ def _preceding(batches, hashes: np.ndarray, buckets: int, bits: int):
 
     def dealt():
         keys = np.unique(np.concatenate(held))
-        mixed = (keys & np.uint64((1 << bits) - 1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-        bucket = (mixed % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+        held.clear()
+        bucket = (keys & np.uint64((1 << bits) - 1)) * np.uint64(0x9E3779B97F4A7C15)
+        bucket >>= np.uint64(40)
+        bucket = (bucket % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.uint32)
         order = np.argsort(bucket, kind="stable")
-        keys, cuts = keys[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+        keys, cuts = keys[order], np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
         some = [(b, a, z) for b, (a, z) in enumerate(zip(cuts[:-1], cuts[1:])) if z > a]
         return pa.RecordBatch.from_arrays([pa.array([b for b, _, _ in some], type=pa.int32()), pa.array([_pack(keys[a:z]) for _, a, z in some], type=pa.binary())],
                                           ["bucket", "keys"])
@@ -200,7 +205,7 @@ def _preceding(batches, hashes: np.ndarray, buckets: int, bits: int):
             size += len(at)
             if size >= FLUSH:
                 yield dealt()
-                held, size = [], 0
+                size = 0
     if held:
         yield dealt()
 
@@ -311,6 +316,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     return np.concatenate([[w[0] - (w[1:] / scale * mean).sum()], w[1:] / scale])
 
 
+@tidy
 def _evidence(batches, models: list[Model]):
     """Evidence under each model, flat, and the label."""
     known = Known(models[0].hashes)
@@ -387,6 +393,7 @@ def score_column(model: Model | None, text):
     if model is None:
         return F.lit(0.0)
 
+    @tidy
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         known = Known(model.hashes)
         for texts in batches:
