@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc, lead, saved, tidy
-from .words import encoder, vocabulary_path
+from .words import GROUP, encoder, vocabulary_path
 
 SEQUENCE_TOKENS = 2048
 MAX_DOCUMENTS = SEQUENCE_TOKENS  # every piece has a token, so this never opens a needless sequence
@@ -37,7 +37,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 @tidy
 def _pieces(batches, path: str, size: int, end: int):
     enc, tail = encoder(path), np.array([end], dtype="<u4").tobytes()
-    for b in batches:
+    for b in (batch.slice(i, GROUP) for batch in batches for i in range(0, len(batch), GROUP)):
         rows = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
         for doc, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist())):
             ids += tail
