@@ -26,7 +26,9 @@ _ODD = re.compile("[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-ɏ]|<\\|")
 _CHUNK = re.compile("[^ \t\n\r\x0b\x0c]+")
 _LETTERS = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
 #: chunks kept per Python worker, 40 bytes each; beyond it they are learnt anew (a memory bound, it changes no result)
-CACHE_CHUNKS = 700_000
+CACHE_CHUNKS = 1_500_000
+#: new chunks gathered before they join the known ones
+RECENT = 60_000
 #: texts looked up at once
 GROUP = 1024
 #: bytes up to which a chunk is kept
@@ -73,6 +75,28 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Known:
+    """Chunks by two hashes, in order of the first: where their ids begin and how many they are."""
+
+    def __init__(self):
+        self.keys = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def find(self, keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the ordered keys are known, their places here)."""
+        if not len(self.begin):
+            return np.zeros(len(keys[0]), bool), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.keys[0], keys[0]), len(self.begin) - 1)
+        hit = (self.keys[0][at] == keys[0]) & (self.keys[1][at] == keys[1])
+        return hit, at[hit]
+
+    def add(self, keys: list[np.ndarray], begin: np.ndarray, size: np.ndarray) -> None:
+        keys = [np.concatenate([a, b]) for a, b in zip(self.keys, keys)]
+        order = np.argsort(keys[0], kind="stable")
+        self.keys = [k[order] for k in keys]
+        self.begin, self.size = np.concatenate([self.begin, begin])[order], np.concatenate([self.size, size])[order]
+
+
 class WordEncoder:
     """``flat(texts)`` gives the ids of all texts one after the other and the
     number of ids up to the end of each; ``encode(texts)`` each text's ids as
@@ -81,20 +105,17 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers import normalizers, pre_tokenizers
+        from tokenizers import pre_tokenizers
         self.tok = Tokenizer.from_file(path)
         # a run of lower-case letters is left as it is by the file's
         # normaliser and splitter, so these may be skipped for it
-        self.bare = Tokenizer.from_file(path)
-        self.bare.normalizer = normalizers.Sequence([])
+        self.bare = Tokenizer(self.tok.model)  # the same model, not a second copy
         self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.marks: dict[str, bytes] = {}  # punctuation behind words
         self._forget()
 
     def _forget(self) -> None:
-        """hashes of the known chunks, in order of the first; where their ids begin in ``table`` and how many they are."""
-        self.hashes = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
-        self.begin, self.size, self.table = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+        self.known, self.recent, self.table = _Known(), _Known(), np.zeros(0, "<u4")
 
     def _library(self, tok, chunks: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for i in range(0, len(chunks), 4096)
@@ -128,13 +149,10 @@ class WordEncoder:
             keys = [h[some] for h in chunk_hashes(chunks, 2)]
             order = np.argsort(keys[0], kind="stable")
             keys, some = [h[order] for h in keys], some[order]
-            at = np.searchsorted(self.hashes[0], keys[0])
-            hit = np.zeros(len(some), bool)
-            if len(self.begin):
-                at = np.minimum(at, len(self.begin) - 1)
-                hit = (self.hashes[0][at] == keys[0]) & (self.hashes[1][at] == keys[1])
-                begin[some[hit]], size[some[hit]] = self.begin[at[hit]], self.size[at[hit]]
-            keys, some = [h[~hit] for h in keys], some[~hit]
+            for known in (self.known, self.recent):
+                hit, at = known.find(keys)
+                begin[some[hit]], size[some[hit]] = known.begin[at], known.size[at]
+                keys, some = [h[~hit] for h in keys], some[~hit]
         new = np.concatenate([some, rest])
         if len(new):
             found = self._encoded(chunks.take(pa.array(new)).to_pylist())
@@ -142,10 +160,10 @@ class WordEncoder:
             size[new], begin[new] = n, len(self.table) + np.cumsum(n) - n
             self.table = np.concatenate([self.table, np.frombuffer(b"".join(found), dtype="<u4")])
             # the long ones stay for this call only: nothing points to them afterwards
-            self.hashes = [np.concatenate([a, b]) for a, b in zip(self.hashes, keys)]
-            self.begin, self.size = np.append(self.begin, begin[some]), np.append(self.size, size[some])
-            order = np.argsort(self.hashes[0], kind="stable")
-            self.hashes, self.begin, self.size = [h[order] for h in self.hashes], self.begin[order], self.size[order]
+            self.recent.add(keys, begin[some], size[some])
+            if len(self.recent.begin) > RECENT:
+                self.known.add(self.recent.keys, self.recent.begin, self.recent.size)
+                self.recent = _Known()
         return begin, size
 
     def flat(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +172,7 @@ class WordEncoder:
         lists = pc.ascii_split_whitespace(pa.array([t.lower() for t in texts], type=pa.large_string()))
         if odd:
             lists = pa.array([_CHUNK.findall(t) if i in odd else c for i, (t, c) in enumerate(zip(texts, lists.to_pylist()))], type=pa.large_list(pa.large_string()))
-        if len(self.begin) > CACHE_CHUNKS:
+        if len(self.known.begin) + len(self.recent.begin) > CACHE_CHUNKS:
             self._forget()
         coded = lists.flatten().dictionary_encode()
         code = coded.indices.to_numpy(zero_copy_only=False)
