@@ -21,7 +21,7 @@ Q, SQL = queries.queries(), queries.oracle_sql()
 
 def duck(sf, sql):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels"):
+    for t in ("documents", "embeddings", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     cur = con.execute(sql)
     names = [c[0] for c in cur.description]
