@@ -190,7 +190,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     other columns are ignored.
 
     ``sample`` rows at most fit the index; all are indexed.  ``lists``: coarse
-    lists, by default the square root of half the distinct vectors, so a list
+    lists, by default the square root of a fifth of the distinct vectors, so a list
     grows with the square root of the table as long as the sample holds eight
     vectors for each list."""
     spark, r = vectors.sparkSession, float(np.sqrt(2 - 2 * cosine))
@@ -203,7 +203,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, sample: int = SA
     reps = saved(reps.select(F.xxhash64("label", "hash").alias("rep"), "label", "hash", "v", (F.length("v") / np.dtype(kind).itemsize).cast("int").alias("dim"),
                              "least", "copies"), "distinct-vectors")
     taken = reps.select("rep", "v", "dim").orderBy("rep").limit(sample).collect()  # bounded by ``sample``
-    root = (reps.count() / 2) ** 0.5
+    root = (reps.count() / 5) ** 0.5
     index = {}
     for dim in sorted({t["dim"] for t in taken}):
         x = _units(np.array([np.frombuffer(t["v"], dtype=kind) for t in taken if t["dim"] == dim]))
