@@ -38,6 +38,15 @@ def saved(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hand_back() -> None:
+    """Free memory of this process goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def tidy(step):
     """A task function over batches that hands free memory back to the machine
     when it ends: idle Python workers live on between stages."""
@@ -45,11 +54,7 @@ def tidy(step):
     @functools.wraps(step)
     def run(batches, *args, **kwargs):
         yield from step(batches, *args, **kwargs)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # not glibc
-            pass
+        hand_back()
 
     return run
 

@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fold, lead, parts, saved, tidy
+from .common import fold, hand_back, lead, parts, saved, tidy
 from .words import chunk_hashes
 
 SAMPLE, CHARS, STRONG = 20_000, 64_000_000, 0.015
@@ -353,6 +353,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = C
     hashes = counted["word"].to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     hashes, counts = hashes[order], [counted[c].to_numpy()[order].astype(np.float64) for c in classes]
+    del counted, order
     if not all(c.sum() > 0 for c in counts):
         return None
     two = for_counts.mapInArrow(partial(_count_pairs, hashes=hashes), "pair long, ordinary long, toxic long").groupBy("pair").agg(
@@ -372,8 +373,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = C
     heads = [column(c) for c in classes]
     often = rows["often"].combine_chunks().flatten()
     pairs, pair_counts = often.field("pair").to_numpy(), [often.field(c).to_numpy().astype(np.float64) for c in classes]
+    often = None
     contexts = preceding_words(docs, hashes)
     models = [Model(hashes, counts, contexts, d, heads, [column(f"{c}{i}") for c in classes], pairs, pair_counts) for i, d in enumerate(DISCOUNTS)]
+    rows = heads = contexts = counts = None
+    hand_back()
     judge = lambda df: df.mapInArrow(partial(_evidence, models=models), "x array<double>, toxic int").collect()
     found = judge(for_fit)  # at most 2 * sample rows
     if len({r["toxic"] for r in found}) < 2:
@@ -385,7 +389,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = C
         m.weights = _logistic(z, y)
         odds = np.clip(m.weights[0] + z @ m.weights[1:], -30, 30)
         loss.append(np.logaddexp(0, np.where(y == 1, -odds, odds)).mean())
-    return models[int(np.argmin(loss))]
+    best = models[int(np.argmin(loss))]
+    models = found = x = None
+    hand_back()
+    return best
 
 
 def score_column(model: Model | None, text):
