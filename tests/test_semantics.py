@@ -250,3 +250,21 @@ def test_ten_thousand_categories(spark):
     assert small.count() > 2
     r = cl.score_best(spark.createDataFrame([("q", [3.0, 0.0])], "descricao string, embedding array<double>"), small, key="descricao").first()
     assert (r.best_name, r.best_score) == ("a", 1.0)
+
+
+def test_large_search_is_dealt_into_bounded_cells(spark):
+    """A catalogue as large as the texts: no row carries every block, copies and odd vectors included."""
+    rng = np.random.default_rng(5)
+    cats, texts = rng.normal(size=(1_500, 8)), rng.normal(size=(1_200, 8))
+    cats[1_000:1_100] = cats[7]  # copies: the first is the best of them
+    texts[:20] = cats[7]
+    c = spark.createDataFrame([(f"c{i}", i, v.tolist()) for i, v in enumerate(cats)] + [("odd", 9_000, [math.inf] * 8), ("short", 9_001, [1.0])], "name string, _ord int, vec array<double>")
+    t = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(texts)] + [(None, [1.0] * 8), (9_000, [None] * 8)], "id long, embedding array<double>")
+    blocks = cl.catalogue_blocks(c, size=32)
+    assert blocks.columns == ["block", "members"]
+    assert cl._deals(300_000) * cl.SIDE >= 300_000 and cl._deals(1) == 1
+    got = {r.id: (r.best_name, r.best_score) for r in cl.score_best(t, blocks, key="id").collect()}
+    cos = texts @ cats.T / (np.linalg.norm(texts, axis=1)[:, None] * np.linalg.norm(cats, axis=1))
+    assert len(got) == 1_202 and got[None] == got[9_000] == (None, None)
+    for i in range(1_200):
+        assert abs(got[i][1] - cos[i].max()) < 1e-12 and got[i][0] == ("c7" if i < 20 else f"c{int(cos[i].argmax())}")
