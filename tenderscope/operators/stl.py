@@ -8,75 +8,119 @@ every outer step gives months with large remainders less weight.  Windows are
 those of the study's call (seasonal 7, trend 23, low-pass 13, all linear; two
 inner and, robust, fifteen outer steps).
 
-One series is one row: its months (bounded by the calendar) in an array, and the
-whole iteration one expression over it, so any number of series spreads over
-all tasks without a row per iteration."""
+One series is one row: its months (bounded by the calendar) in an array.  The
+series are dealt over all tasks, and a task fits the series of one length
+together: each step is a few array operations over all of them, added up in the
+order of the places, so a series' result does not depend on its neighbours."""
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
-from .tsa import let, series_arrays
-from .util import deep_expressions
+from .tsa import series_arrays
 
 PERIOD, SEASONAL, TREND, LOW_PASS, INNER, OUTER = 12, 7, 23, 13, 2, 15
 
 
-def _smooth_at(y: str, w: str, n: str, q: str, x: str, lo: str, hi: str) -> str:
-    """Tricube-weighted linear fit of ``y`` over places lo..hi (from 1), read at
-    place x; null where all weights vanish."""
-    reach = f"greatest({x} - {lo}, {hi} - {x}) + if({q} > {n}, ({q} - {n}) div 2, 0)"
-    dist = "abs(j - e.x)"
-    weight = f"{w}[j - 1] * if({dist} <= 0.001D * e.h, 1D, if({dist} <= 0.999D * e.h, pow(1D - pow({dist} / e.h, 3), 3), 0D))"
-    step = let(weight, "v", f"""named_struct('s0', m.s0 + v, 's1', m.s1 + v * (j - e.x), 's2', m.s2 + v * (j - e.x) * (j - e.x),
-        't0', m.t0 + v * {y}[j - 1], 't1', m.t1 + v * (j - e.x) * {y}[j - 1])""")
-    sums = f"aggregate(sequence({lo}, {hi}), named_struct('s0', 0D, 's1', 0D, 's2', 0D, 't0', 0D, 't1', 0D), (m, j) -> {step})"
-    spread = let("m.s1 / m.s0", "c", let("m.s2 / m.s0 - c * c", "d",
-                 f"m.t0 / m.s0 - if(sqrt(greatest(d, 0D)) > 0.001D * ({n} - 1), c / d * (m.t1 / m.s0 - c * m.t0 / m.s0), 0D)"))
-    return let(f"named_struct('x', {x}, 'h', {reach})", "e", let(sums, "m", f"if(m.s0 <= 0, cast(null as double), {spread})"))
+#: series of one length fitted together
+TOGETHER = 256
 
 
-def _smooth(y: str, w: str, q: int) -> str:
-    """The smoother at every place of the array ``y``."""
-    n = f"size({y})"
-    lo = f"if({q} >= {n}, 1, greatest(1, least(i - {(q + 1) // 2 - 1}, {n} - {q - 1})))"
-    hi = f"least({n}, w0 + {q - 1})"
-    at = _smooth_at(y, w, n, str(q), "i", "w0", hi)
-    return f"transform(sequence(1, {n}), i -> coalesce({let(lo, 'w0', at)}, {y}[i - 1]))"
+@functools.lru_cache(maxsize=4096)
+def _window(n: int, q: int, x: int, lo: int, hi: int):
+    """Places (from 0), distances and tricube weights of lo..hi seen from place x (from 1)."""
+    j = np.arange(lo, hi + 1)
+    h = max(x - lo, hi - x) + ((q - n) // 2 if q > n else 0)
+    dist = np.abs(j - x)
+    with np.errstate(all="ignore"):
+        weight = np.where(dist <= 0.001 * h, 1.0, np.where(dist <= 0.999 * h, (1.0 - (dist / h) ** 3.0) ** 3.0, 0.0))
+    return j - 1, (j - x).astype(float), weight
 
 
-def _moving(x: str, size: int) -> str:
-    return f"transform(sequence(1, size({x}) - {size - 1}), i -> aggregate(slice({x}, i, {size}), 0D, (s, v) -> s + v) / {size})"
+def _fit(y, w, n: int, windows):
+    """Weighted linear fits of the rows of ``y``, one per window of equal length, read
+    at the windows' own places; NaN where all weights vanish."""
+    place, away, tricube = (np.stack(a) for a in zip(*windows))
+    s0, s1, s2, t0, t1 = (np.zeros((len(y), len(windows))) for _ in range(5))
+    for k in range(place.shape[1]):
+        at, d = place[:, k], away[:, k]
+        v = w[:, at] * tricube[:, k]
+        vy = v * y[:, at]
+        s0, s1, s2, t0, t1 = s0 + v, s1 + v * d, s2 + v * d * d, t0 + vy, t1 + vy * d
+    with np.errstate(all="ignore"):
+        c = s1 / s0
+        d = s2 / s0 - c * c
+        level = t0 / s0
+        tilted = np.where(np.sqrt(np.maximum(d, 0.0)) > 0.001 * (n - 1), level - c / d * (t1 / s0 - c * t0 / s0), level)
+    return tilted, s0 > 0
 
 
-def _month_curves(y: str, w: str) -> str:
-    """Each calendar month's smoothed values, one place longer at both ends, back
-    in time order (period places longer at both ends)."""
-    k = "size(u)"
-    first = _smooth_at("u", "uw", k, str(SEASONAL), "0", "1", f"least({SEASONAL}, {k})")
-    last = _smooth_at("u", "uw", k, str(SEASONAL), f"({k} + 1)", f"greatest(1, {k} - {SEASONAL - 1})", k)
-    curve = let(_smooth("u", "uw", SEASONAL), "sm", f"concat(array(coalesce({first}, sm[0])), sm, array(coalesce({last}, sm[{k} - 1])))")
-    of = lambda a: f"filter({a}, (v, i) -> i % {PERIOD} = ph)"
-    curves = f"transform(sequence(0, {PERIOD - 1}), ph -> {let(of(y), 'u', let(of(w), 'uw', curve))})"
-    return let(curves, "cs", f"transform(sequence(0, size({y}) + {2 * PERIOD - 1}), t -> cs[t % {PERIOD}][t div {PERIOD}])")
+def _smooth(y, w, q: int):
+    """The smoother at every place of the rows of ``y``."""
+    n = y.shape[1]
+    first = lambda i: 1 if q >= n else max(1, min(i - ((q + 1) // 2 - 1), n - (q - 1)))
+    fit, some = _fit(y, w, n, [_window(n, q, i, first(i), min(n, first(i) + q - 1)) for i in range(1, n + 1)])
+    return np.where(some, fit, y)
 
 
-def _step() -> str:
-    """One inner step: from the trend ``f.trend`` to new seasonal and trend."""
-    low = let(_moving("c2", PERIOD), "m1", let(_moving("m1", PERIOD), "m2", let(_moving("m2", 3), "m3", _smooth("m3", "one", LOW_PASS))))
-    seasonal = let("transform(ys, (v, i) -> v - f.trend[i])", "det", let(_month_curves("det", "rw"), "c2", let(
-        low, "lp", f"transform(ys, (v, i) -> c2[i + {PERIOD}] - lp[i])")))
-    return let(seasonal, "se", let("transform(ys, (v, i) -> v - se[i])", "des",
-                                   f"named_struct('trend', {_smooth('des', 'rw', TREND)}, 'seasonal', se)"))
+def _moving(x, size: int):
+    total = np.zeros((len(x), x.shape[1] - size + 1))
+    for k in range(size):
+        total = total + x[:, k:k + total.shape[1]]
+    return total / size
 
 
-def _weights() -> str:
-    """Bisquare weights from the remainders, six median deviations wide."""
-    left = "transform(ys, (v, i) -> abs(v - g.trend[i] - g.seasonal[i]))"
-    width = "3D * (so[size(so) div 2] + so[size(so) - size(so) div 2 - 1])"
-    weight = "if(v <= 0.001D * h6, 1D, if(v <= 0.999D * h6, pow(1D - pow(v / h6, 2), 2), 0D))"
-    return let(left, "ab", let("array_sort(ab)", "so", let(width, "h6", f"transform(ab, v -> if(h6 <= 0, 1D, {weight}))")))
+def _month_curves(y, w):
+    """Each calendar month's smoothed values, one place longer at both ends, back
+    in time order (period places longer at both ends)."""
+    out = np.empty((len(y), y.shape[1] + 2 * PERIOD))
+    for ph in range(PERIOD):
+        u, uw = y[:, ph::PERIOD], w[:, ph::PERIOD]
+        k = u.shape[1]
+        mid = _smooth(u, uw, SEASONAL)
+        edge = lambda near, *at: np.where(*(lambda fit, some: (some, fit, near[:, None]))(*_fit(u, uw, k, [_window(k, SEASONAL, *at)])))
+        out[:, ph::PERIOD] = np.hstack([edge(mid[:, 0], 0, 1, min(SEASONAL, k)), mid, edge(mid[:, -1], k + 1, max(1, k - SEASONAL + 1), k)])
+    return out
+
+
+def _weights(left):
+    """Bisquare weights from the sizes of the remainders, six median deviations wide."""
+    n = left.shape[1]
+    ranked = np.sort(left, axis=1)
+    wide = (3.0 * (ranked[:, n // 2] + ranked[:, n - n // 2 - 1]))[:, None]
+    with np.errstate(all="ignore"):
+        inside = np.where(left <= 0.999 * wide, (1.0 - (left / wide) ** 2.0) ** 2.0, 0.0)
+    return np.where((wide <= 0) | (left <= 0.001 * wide), 1.0, inside)
+
+
+def _decompose(ys, outer: int):
+    """Trend and seasonal of the rows of ``ys``, all of one length."""
+    n, one = ys.shape[1], np.ones_like(ys)
+    trend, seasonal, rw = np.zeros_like(ys), np.zeros_like(ys), one
+    for _ in range(outer + 1):
+        for _ in range(INNER):
+            curve = _month_curves(ys - trend, rw)
+            low = _smooth(_moving(_moving(_moving(curve, PERIOD), PERIOD), 3), one, LOW_PASS)
+            seasonal = curve[:, PERIOD:PERIOD + n] - low
+            trend = _smooth(ys - seasonal, rw, TREND)
+        rw = _weights(np.abs(ys - trend - seasonal))
+    return trend, seasonal
+
+
+def _fit_batches(batches: Iterator[pd.DataFrame], outer: int) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for _, same in batch.groupby(batch["ys"].map(len)):
+            for i in range(0, len(same), TOGETHER):
+                some = same.iloc[i:i + TOGETHER]
+                trend, seasonal = _decompose(np.stack(some["ys"].to_numpy()), outer)
+                yield some.assign(trend=list(trend), seasonal=list(seasonal))
 
 
 def stl_arrays(series: DataFrame, col: str = "y", robust: bool = True) -> DataFrame:
@@ -84,13 +128,10 @@ def stl_arrays(series: DataFrame, col: str = "y", robust: bool = True) -> DataFr
     a = series_arrays(series, col).where(f"n >= {2 * PERIOD}")
     # little data and much work: the series are dealt over all tasks, not merged into few
     tasks = int(a.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = a.repartition(tasks, "series_id").withColumn("one", F.expr("transform(ys, v -> 1D)"))
-    inner = f"aggregate(sequence(1, {INNER}), named_struct('trend', s.trend, 'seasonal', s.seasonal), (f, q) -> {_step()})"
-    outer = let("s.rw", "rw", let(inner, "g", f"named_struct('trend', g.trend, 'seasonal', g.seasonal, 'rw', {_weights()})"))
-    start = "named_struct('trend', transform(ys, v -> 0D), 'seasonal', transform(ys, v -> 0D), 'rw', transform(ys, v -> 1D))"
-    fit = f"aggregate(sequence(0, {OUTER if robust else 0}), {start}, (s, k) -> {outer})"
-    with deep_expressions(a.sparkSession):
-        return a.withColumn("fit", F.expr(fit)).select("series_id", "ys", "fit.trend", "fit.seasonal")
+    a = a.repartition(tasks, "series_id").select("series_id", F.col("ys").cast("array<double>"))
+    out = StructType([*a.schema, *[StructField(c, ArrayType(DoubleType())) for c in ("trend", "seasonal")]])
+    outer = OUTER if robust else 0
+    return a.mapInPandas(lambda batches: _fit_batches(batches, outer), out)
 
 
 def stl(series: DataFrame, col: str = "y", robust: bool = True) -> DataFrame:
