@@ -74,7 +74,8 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return True
 
 
-def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None, fmt: str = "parquet", schema: str | None = None, partition_by=()) -> DataFrame:
+def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None, fmt: str = "parquet", schema: str | None = None, partition_by=(),
+                  compression: str | None = None) -> DataFrame:
     """A table Spark derives from input files, written once per input
     signature into the shared folder and read from there by every application.
     The read is kept per application and path (the path names the signature), so
@@ -87,7 +88,8 @@ def derived_table(spark: SparkSession, name: str, inputs, build, sort_by=None, f
         df = build()
         if sort_by:
             df = df.sortWithinPartitions(*sort_by)
-        df.write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(path)
+        writer = df.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
+        (writer.option("compression", compression) if compression else writer).save(path)
         spark.range(1, numPartitions=1).write.mode("overwrite").parquet(f"{path}-complete")
     reader = spark.read.format(fmt)
     out = (reader.schema(schema) if schema else reader).load(path)
@@ -106,7 +108,18 @@ def fact(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFram
         return fact_plan(spark, sf_dir)
     base = sf_dir.rstrip("/")
     return derived_table(spark, FACT_VERSION, [f"{base}/{t}.parquet" for t in ("lineitem", "part", "supplier")],
-                         lambda: fact_plan(spark, sf_dir), sort_by=["mes"])
+                         lambda: _dealt(fact_plan(spark, sf_dir), read_table(spark, sf_dir, "lineitem").count()), sort_by=["mes"])
+
+
+#: item rows sorted and written by one task
+FACT_ROWS = 300_000
+
+
+def _dealt(items: DataFrame, rows: int) -> DataFrame:
+    """The items dealt evenly over as many tasks as their number asks for.  An input
+    split holds millions of packed rows, and its sort would hold them unpacked."""
+    tasks = -(-rows // FACT_ROWS)
+    return items.repartition(tasks, *items.columns) if tasks > 1 else items
 
 
 def fact_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
