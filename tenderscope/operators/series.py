@@ -65,22 +65,25 @@ def missing_months(series: DataFrame) -> DataFrame:
 def interpolate_linear(series: DataFrame) -> DataFrame:
     """Linear interpolation over missing months by month position; gaps
     before the first value stay null, gaps after the last value take it."""
-    g = gap_free(series)
-    # both look-ups use a growing frame (O(n) per series); the look-ahead runs
-    # over the reversed order instead of an unbounded-following frame, which
-    # Spark re-aggregates for every row (O(n²))
-    back = _w().rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy("series_id").orderBy(F.desc("mseq")).rowsBetween(Window.unboundedPreceding, 0)
-    known_seq = F.when(F.col("y").isNotNull(), F.col("mseq"))
-    g = g.select(
-        "series_id", "mes", "mseq", "y",
-        F.last("y", ignorenulls=True).over(back).alias("_v0"), F.last(known_seq, ignorenulls=True).over(back).alias("_s0"),
-        F.last("y", ignorenulls=True).over(ahead).alias("_v1"), F.last(known_seq, ignorenulls=True).over(ahead).alias("_s1"),
-    )
+    s = series.where(F.col("mes").isNotNull())
+    # one row per series holds its known values; the stretches between them are laid out from it,
+    # so nothing is sorted after it grew.  Small rows that grow are dealt over all tasks, not merged into few
+    tasks = int(s.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = s.select("series_id", "mes", F.col("y").cast("double").alias("y")).repartition(tasks, "series_id").groupBy("series_id").agg(
+        F.min("mes").alias("lo"), F.max("mes").alias("hi"),
+        F.sort_array(F.collect_list(F.when(F.col("y").isNotNull(), F.struct("mes", "y")))).alias("k"))
+    stretches = """concat(
+        if(size(k) > 0 and k[0].mes <= lo, cast(array() as array<struct<m0: date, m1: date, v0: double, next: date, v1: double>>),
+           array(named_struct('m0', lo, 'm1', if(size(k) > 0, add_months(k[0].mes, -1), hi), 'v0', cast(null as double), 'next', cast(null as date), 'v1', cast(null as double)))),
+        transform(k, (p, i) -> named_struct('m0', p.mes, 'm1', if(i + 1 < size(k), add_months(k[i + 1].mes, -1), hi), 'v0', p.y,
+                                            'next', if(i + 1 < size(k), k[i + 1].mes, null), 'v1', if(i + 1 < size(k), k[i + 1].y, null))))"""
+    st = a.select("series_id", F.explode(F.expr(stretches)).alias("s")).select("series_id", "s.*")
+    g = st.select("*", F.explode(F.sequence("m0", "m1", F.expr("interval 1 month"))).alias("mes"), month_seq("m0").alias("_s0"), month_seq("next").alias("_s1"))
+    g = g.select("*", month_seq("mes").alias("mseq"), F.when(F.col("mes") == F.col("m0"), F.col("v0")).alias("y"))
     interp = (F.when(F.col("y").isNotNull(), F.col("y"))
-              .when(F.col("_v0").isNull(), F.lit(None))
-              .when(F.col("_v1").isNull(), F.col("_v0"))
-              .otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * (F.col("mseq") - F.col("_s0")) / (F.col("_s1") - F.col("_s0"))))
+              .when(F.col("v0").isNull(), F.lit(None))
+              .when(F.col("v1").isNull(), F.col("v0"))
+              .otherwise(F.col("v0") + (F.col("v1") - F.col("v0")) * (F.col("mseq") - F.col("_s0")) / (F.col("_s1") - F.col("_s0"))))
     return g.select("series_id", "mes", "mseq", "y", interp.alias("y_interp"))
 
 
