@@ -15,7 +15,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from ..functions.parse import parse_decimal_comma
 from ..operators.joins import attach_month
 from ..sources.files import read_layer, with_ingest_ts, write_layer
-from ..sources.pages import assemble_items, assemble_pages, pages_of, with_source
+from ..sources.pages import assemble_items, assemble_pages, pages_of, pages_of_few, with_source
 from ..sources.tables import derived_table, expenses, read_table, storage_root
 
 
@@ -80,15 +80,30 @@ def header_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_of(recs, ["unidade", "mes/ano", "lote"], "id", 25, ["id", "valor", "modalidade"])
 
 
-def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item pages per tender id: lineitems of an order, 3 a page, ids dealt over eight folders."""
+_ITEM_BODY = ["numero", "codigoItemCompra", "quantidade", "valor", "cpfCnpjVencedor"]
+
+
+def item_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of the tenders (lineitems of an order), ids dealt over eight folders."""
     li = read_table(spark, sf_dir, "lineitem")
-    recs = li.select(
+    return li.select(
         F.col("l_orderkey").alias("id"), F.pmod("l_orderkey", F.lit(8)).cast("int").alias("lote"),
         F.col("l_linenumber").cast("long").alias("numero"), F.col("l_partkey").cast("string").alias("codigoItemCompra"),
         F.col("l_quantity").cast("long").alias("quantidade"), F.translate(F.format_number("l_extendedprice", 2), ",.", ".,").alias("valor"),
         F.col("l_suppkey").cast("string").alias("cpfCnpjVencedor"))
-    return pages_of(recs, ["id", "lote"], "numero", 3, ["numero", "codigoItemCompra", "quantidade", "valor", "cpfCnpjVencedor"])
+
+
+def item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item pages per tender id, 3 items a page, every request answered."""
+    return pages_of_few(item_records(spark, sf_dir), ["id", "lote"], "numero", 3, _ITEM_BODY)
+
+
+def first_item_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item pages as the first pull lands them: an item lies on page 1 + number mod
+    (pages of its id), and the request of a page fails where 17 divides id + page."""
+    pages = pages_of_few(item_records(spark, sf_dir), ["id", "lote"], "numero", 3, _ITEM_BODY, on_page=lambda at, no: at % no + 1)
+    failed = (F.col("body") != "[]") & ((F.col("id") + F.col("page_no")) % 17 == 0)
+    return pages.select("id", "lote", "page_no", F.when(~failed, F.col("body")).alias("body"), F.when(failed, 500).otherwise(200).alias("status"))
 
 
 def landing_zone(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -98,8 +113,9 @@ def landing_zone(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
         pages = derived_table(spark, "landed-headers-v2", [f"{base}/orders.parquet"], lambda: header_pages(spark, sf_dir),
                               fmt="json", schema=HEADER_PAGES, partition_by=["unidade", "lote"])
     else:
-        pages = derived_table(spark, "landed-items-v2", [f"{base}/lineitem.parquet"], lambda: item_pages(spark, sf_dir),
-                              fmt="json", schema=ITEM_PAGES, partition_by=["lote"])
+        name, build = ("landed-items-v3", item_pages) if kind == "items" else ("landed-items-first-v1", first_item_pages)
+        pages = derived_table(spark, name, [f"{base}/lineitem.parquet"], lambda: build(spark, sf_dir),
+                              fmt="json", schema=ITEM_PAGES, partition_by=["lote"], compression="gzip")
     return with_source(pages)
 
 
@@ -112,6 +128,11 @@ def paged_items(spark: SparkSession, sf_dir: str):
     return assemble_items(landing_zone(spark, sf_dir, "items"), "id", ITEM_RECORD)
 
 
+def first_pull(spark: SparkSession, sf_dir: str):
+    """S3 over the first pull, in which requests failed: its items and the ids to be pulled again."""
+    return assemble_items(landing_zone(spark, sf_dir, "items-first"), "id", ITEM_RECORD)
+
+
 def items_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3 items → J1 month from the S2 headers → A5 drop exact duplicates."""
     items, _failed = paged_items(spark, sf_dir)

@@ -51,11 +51,21 @@ def q_paged_items(spark, d):
     return items
 
 
-@register("paged_failed_ids", with_ctes("SELECT id FROM ip WHERE FALSE", _ITEM_PAGED))
+_ITEM_PAGES = """
+r AS (SELECT l_orderkey AS id, CAST(l_linenumber AS BIGINT) AS numero, CAST(l_partkey AS VARCHAR) AS codigoItemCompra,
+             CAST(l_quantity AS BIGINT) AS quantidade,
+             translate(format('{:,.2f}', l_extendedprice), ',.', '.,') AS valor,
+             CAST(l_suppkey AS VARCHAR) AS cpfCnpjVencedor FROM lineitem),
+c AS (SELECT id, CAST(ceil(COUNT(*) / 3.0) AS BIGINT) AS np FROM r GROUP BY id),
+p AS (SELECT r.*, 1 + r.numero % c.np AS page_no FROM r JOIN c USING (id)),
+bad AS (SELECT DISTINCT id FROM p WHERE (id + page_no) % 17 = 0)"""
+
+
+@register("paged_failed_ids", with_ctes("SELECT id FROM bad", _ITEM_PAGES))
 def q_paged_failed_ids(spark, d):
-    """S3: ids with a failed request, written as a table (no landed page of the tables failed)."""
+    """S3: ids with a failed request in the first pull (the one before the complete pull that ``paged_items`` reads), written as a table."""
     from ..sources.files import read_layer, write_layer
-    _, failed = md.paged_items(spark, d)
+    _, failed = md.first_pull(spark, d)
     path = md.scratch_path(spark, "failed-ids", d)
     write_layer(failed, path)
     return read_layer(spark, path)

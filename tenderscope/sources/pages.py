@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
+from ..operators.util import broadcast_small, materialize
+
 
 def pages_of(records: DataFrame, keys, rid: str, page_size: int, body_cols) -> DataFrame:
     """Records as the pages a pull lands: about ``page_size`` of a key's records a
@@ -30,6 +32,24 @@ def pages_of(records: DataFrame, keys, rid: str, page_size: int, body_cols) -> D
     return bodies.unionByName(end).withColumn("status", F.lit(200))
 
 
+def pages_of_few(records: DataFrame, keys, rid: str, page_size: int, body_cols, on_page=None) -> DataFrame:
+    """As ``pages_of``, for keys of few records each (a tender's items): the records
+    of a key meet once and are cut into full pages in order of ``rid`` there, or lie
+    on the page ``on_page(rid, number of pages)`` (a page without records is not landed)."""
+    keys = list(keys)
+    known = records.where(" and ".join(f"`{k}` is not null" for k in keys))
+    body = F.struct(*[F.col(f"`{c}`") for c in body_cols])
+    met = known.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(F.col(rid).alias("_at"), body.alias("_r")))).alias("_rs"))
+    no = F.ceil(F.size("_rs") / F.lit(page_size)).cast("int")
+    part = lambda i: F.transform(F.slice("_rs", (i - 1) * page_size + 1, page_size), lambda r: r["_r"])
+    if on_page is not None:
+        part = lambda i: F.transform(F.filter("_rs", lambda r: on_page(r["_at"], no) == i), lambda r: r["_r"])
+    full = F.transform(F.sequence(F.lit(1), no), lambda i: F.struct(i.alias("page_no"), part(i).alias("rs")))
+    end = F.array(F.struct((no + 1).alias("page_no"), F.slice(F.transform("_rs", lambda r: r["_r"]), 1, 0).alias("rs")))
+    pages = met.select(*keys, F.explode(F.concat(F.filter(full, lambda p: F.size(p["rs"]) > 0), end)).alias("_p"))
+    return pages.select(*keys, "_p.page_no", F.to_json("_p.rs").alias("body"), F.lit(200).alias("status"))
+
+
 def read_pages(spark: SparkSession, path: str, schema: str, where: str | None = None) -> DataFrame:
     """Landed pages with the file each came from (``arquivo``).  ``where`` on the
     folder columns reads only those folders; a line that is no page at all is
@@ -62,11 +82,17 @@ def assemble_items(pages: DataFrame, key: str, record_schema: StructType):
     """S3: like S2 per tender id, but a failed request before the end page
     drops the *whole id*.  Returns ``(items, failed_ids)``; the failures are a
     frame (to be written as a table), not a print."""
-    stop_empty = pages.where(F.col("body") == "[]").groupBy(key).agg(F.min("page_no").alias("_end"))
-    p = pages.join(stop_empty, on=key, how="left").where(
-        F.col("_end").isNull() | (F.col("page_no") < F.col("_end")))
-    status = p.groupBy(key).agg(F.bool_or(F.col("status") != 200).alias("_failed"))
-    failed_ids = status.where("_failed").select(key)
-    ok = p.join(failed_ids, on=key, how="left_anti")
+    bad, end = F.col("status") != 200, F.col("body") == "[]"
+    seen = pages.groupBy(key).agg(
+        F.min(F.when(end, F.col("page_no"))).alias("_end"), F.max("page_no").alias("_last"),
+        F.min(F.when(bad, F.col("page_no"))).alias("_bad"), F.bool_or(bad).alias("_any_bad"))
+    failed = F.when(F.col("_end").isNull(), F.col("_any_bad")).otherwise(F.coalesce(F.col("_bad") < F.col("_end"), F.lit(False)))
+    seen = seen.select(key, "_end", "_last", failed.alias("_failed"))
+    # only ids that failed or go on after their end page need a look-up: the pages themselves do not move
+    odd = materialize(seen.where("_failed or _last > _end"))
+    failed_ids = odd.where("_failed").select(key)
+    look = broadcast_small(odd.where(F.col(key).isNotNull()).select(key, F.col("_end").alias("_cut"), "_failed"), odd.count())
+    ok = pages.join(look, on=key, how="left").where(~F.coalesce("_failed", F.lit(False)) & (~F.coalesce(end, F.lit(False)))
+                                                    & (F.col("_cut").isNull() | (F.col("page_no") < F.col("_cut"))))
     items = ok.select(key, F.explode(F.from_json("body", ArrayType(record_schema))).alias("_r")).select(key, "_r.*")
     return items, failed_ids
